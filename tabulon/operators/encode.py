@@ -58,6 +58,13 @@ class StateModel(Model, MLWritable, MLReadable):
     def write(self) -> MLWriter:
         return _StateWriter(self)
 
+    def settled(self, path: str):
+        """Write the fitted state once and return the model reading it from there."""
+        for name, table in self.state.items():
+            table.write.parquet(f"{path}/state_{name}")
+        spark = next(iter(self.state.values())).sparkSession
+        return type(self)(self.config, {n: spark.read.parquet(f"{path}/state_{n}") for n in self.state})
+
     @classmethod
     def read(cls) -> MLReader:
         return _StateReader(cls)

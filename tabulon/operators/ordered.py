@@ -103,7 +103,7 @@ def average_ranks(df: DataFrame, value: str, by: Sequence[str] = (), *, descendi
 
 
 def kth_in_hash_order(keys: DataFrame, hash_col: str, tie: str, wanted: DataFrame,
-                      strata: Sequence[str] = ()) -> DataFrame:
+                      strata: Sequence[str] = (), *, small_bytes: int | None = None) -> DataFrame:
     """The (hash, tie) pair at each wanted rank of the (hash, tie) order, per stratum.
 
     `wanted` holds (strata..., mark, rank). Hashes are uniform, so counting their top 16 bits
@@ -111,6 +111,10 @@ def kth_in_hash_order(keys: DataFrame, hash_col: str, tie: str, wanted: DataFram
     ranked. Returns (strata..., mark, cut_hash, cut_tie).
     """
     strata = list(strata)
+    if is_small(keys, small_bytes):
+        order = Window.partitionBy(*(strata or [F.lit(1)])).orderBy(hash_col, tie)
+        return (keys.withColumn("rank", F.row_number().over(order)).join(wanted, [*strata, "rank"])
+                .select(*strata, "mark", F.col(hash_col).alias("cut_hash"), F.col(tie).alias("cut_tie")))
     sliced = keys.select(*strata, F.col(hash_col).alias("_h"), F.col(tie).alias("_t"),
                          F.shiftright(F.col(hash_col), 44).alias("_slice"))
     counts = sliced.groupBy(*strata, "_slice").agg(F.count(F.lit(1)).alias("_n"))

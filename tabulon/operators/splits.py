@@ -34,8 +34,14 @@ class Split:
     def test(self) -> DataFrame:
         return self.frame.where(F.col("split") == "test")
 
+    def saved(self, path: str) -> Split:
+        """The same split from a table partitioned by part: later jobs prune to the part they read."""
+        self.frame.write.partitionBy("split").parquet(path)
+        return Split(self.frame.sparkSession.read.schema(self.frame.schema).parquet(path))
 
-def _boundaries(df: DataFrame, key: str, seed, shares: Sequence[float], strata: Sequence[str], distinct: bool) -> DataFrame:
+
+def _boundaries(df: DataFrame, key: str, seed, shares: Sequence[float], strata: Sequence[str], distinct: bool,
+                small_bytes: int | None) -> DataFrame:
     """Boundary (hash, key) after each cumulative share, one row per stratum: list column `_cuts`."""
     keys = df.select(*strata, col(key).alias("_key"))
     if distinct:
@@ -45,13 +51,14 @@ def _boundaries(df: DataFrame, key: str, seed, shares: Sequence[float], strata:
     marks = F.array(*[F.struct(F.lit(i).alias("mark"), F.round(F.col("_total") * F.lit(float(s))).cast("bigint").alias("rank"))
                       for i, s in enumerate(shares)])
     wanted = totals.select(*strata, F.inline(marks))
-    cuts = kth_in_hash_order(keys, "_hash", "_key", wanted, strata)
+    cuts = kth_in_hash_order(keys, "_hash", "_key", wanted, strata, small_bytes=small_bytes)
     return cuts.groupBy(*strata).agg(F.array_sort(F.collect_list(F.struct("mark", "cut_hash", "cut_tie"))).alias("_cuts"))
 
 
-def _position(df: DataFrame, key: str, seed, shares: Sequence[float], strata: Sequence[str], distinct: bool) -> DataFrame:
+def _position(df: DataFrame, key: str, seed, shares: Sequence[float], strata: Sequence[str], distinct: bool,
+              small_bytes: int | None) -> DataFrame:
     """Add `_pos`: how many boundaries lie strictly before the row."""
-    cuts = _boundaries(df, key, seed, shares, strata, distinct)
+    cuts = _boundaries(df, key, seed, shares, strata, distinct, small_bytes)
     if strata:
         joined = df.join(cuts, list(strata), "left")
     else:
@@ -64,22 +71,22 @@ def _position(df: DataFrame, key: str, seed, shares: Sequence[float], strata: Se
 
 
 def split(df: DataFrame, row_id: str, *, test: float = 0.2, seed: int = 42, stratify: str | None = None,
-          group: str | None = None) -> Split:
+          group: str | None = None, small_bytes: int | None = None) -> Split:
     """Random, stratified (`stratify`) or whole-group (`group`) split; `test` is a share of rows,
     of every class, or of groups. The test part holds exactly round(n * test) of them."""
     if stratify and group:
         raise ValueError("stratify and group cannot be combined")
-    out = _position(df, group or row_id, seed, [test], [stratify] if stratify else [], bool(group))
+    out = _position(df, group or row_id, seed, [test], [stratify] if stratify else [], bool(group), small_bytes)
     label = F.when(F.col("_pos") == 0, F.lit("test")).otherwise(F.lit("train"))
     return Split(out.withColumn("split", label).drop("_pos"))
 
 
 def folds(df: DataFrame, row_id: str, k: int = 5, *, seed: int = 42, stratify: str | None = None,
-          group: str | None = None, name: str = "fold") -> DataFrame:
+          group: str | None = None, name: str = "fold", small_bytes: int | None = None) -> DataFrame:
     """Add fold numbers 1..k; fold sizes (rows, rows per class, or groups) differ by at most one."""
     if stratify and group:
         raise ValueError("stratify and group cannot be combined")
-    out = _position(df, group or row_id, seed, [i / k for i in range(1, k)], [stratify] if stratify else [], bool(group))
+    out = _position(df, group or row_id, seed, [i / k for i in range(1, k)], [stratify] if stratify else [], bool(group), small_bytes)
     return out.withColumn(name, F.col("_pos") + 1).drop("_pos")
 
 

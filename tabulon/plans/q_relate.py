@@ -158,7 +158,7 @@ def _(t: Tables):
 
 
 @query("w6_running_totals", "WITH " + SQL_SCORED + """, h AS (SELECT config, score, sum(label)::BIGINT AS pos, sum(1 - label)::BIGINT AS neg FROM scored GROUP BY 1, 2)
-SELECT config, score, pos, neg, sum(pos) OVER w::BIGINT AS cum_pos, sum(neg) OVER w::BIGINT AS cum_neg, sum(pos) OVER (PARTITION BY config)::BIGINT AS tot_pos, sum(neg) OVER (PARTITION BY config)::BIGINT AS tot_neg
+SELECT config, """ + r('score') + """ AS score, pos, neg, sum(pos) OVER w::BIGINT AS cum_pos, sum(neg) OVER w::BIGINT AS cum_neg, sum(pos) OVER (PARTITION BY config)::BIGINT AS tot_pos, sum(neg) OVER (PARTITION BY config)::BIGINT AS tot_neg
 FROM h WINDOW w AS (PARTITION BY config ORDER BY score DESC)""")
 def _(t: Tables):
     h = t.scored.groupBy("config", "score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
@@ -172,7 +172,7 @@ def _(t: Tables):
     return R.top_k(t.orders.select("o_orderpriority", "o_orderkey", "o_totalprice"), [F.asc("o_orderpriority"), F.desc("o_totalprice"), F.asc("o_orderkey")], 25)
 
 
-@query("k2_top_k", "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 20")
+@query("k2_top_k", "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 20")
 def _(t: Tables):
     return R.top_k(t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice"), [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber")], 20)
 
@@ -215,10 +215,10 @@ def _(t: Tables):
     return R.key_overlap(t.orders.where("o_orderstatus = 'F'"), t.orders.where("o_orderpriority = '1-URGENT'"), "o_custkey")
 
 
-@query("u3_set_difference", "SELECT DISTINCT l_partkey FROM lineitem WHERE l_returnflag = 'R' EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'A'")
+@query("u3_set_difference", "SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity = 50 EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity < 5")
 def _(t: Tables):
-    k = lambda f: t.lineitem.where(F.col("l_returnflag") == f).select("l_partkey")
-    return k("R").subtract(k("A"))
+    k = lambda condition: t.lineitem.where(condition).select("l_partkey").distinct()
+    return k("l_quantity = 50").subtract(k("l_quantity < 5"))
 
 
 @query("u4_missed_set_overlap", "WITH " + SQL_SCORED + """, m AS (SELECT config, row_id FROM scored WHERE label = 1 AND score < 0.5) """ + union(
