@@ -14,6 +14,7 @@ from tabulon.operators.profile import describe
 from tabulon.operators.relate import rank_results
 from tabulon.operators.reshape import to_long
 from tabulon.operators.splits import repeated_folds
+from tabulon.plans.q_prepare import sql_folds
 from tabulon.plans.registry import query, r, union
 from tabulon.plans.tables import SQL_PREDICTED, SQL_SCORED, Tables, sql_digest
 
@@ -289,7 +290,9 @@ def _(t: Tables):
     return a.select("config", "roc_auc", "pr_auc", "roc_rank", "pr_rank", F.round(lift, 4).alias("lift"))
 
 
-@query("x38_repeated_folds_stability", None)
+@query("x38_repeated_folds_stability", "WITH " + SQL_PREDICTED + ", u AS (" + union(f"SELECT {n} AS rep, fold, actual, p_year FROM {sql_folds('pred', 'o_orderkey', 5, 42000 + n)}" for n in (1, 2)) + f"""),
+f AS (SELECT rep, fold, sqrt(avg((actual-p_year)^2)) AS rmse FROM u GROUP BY 1, 2) SELECT 'p_year' AS config, 'rmse' AS metric, count(*) AS folds, {r('avg(rmse)')} AS mean, {r('stddev_samp(rmse)')} AS std, {r('min(rmse)')} AS min, {r('max(rmse)')} AS max,
+ {r('avg(rmse) - 2.2621571628*stddev_samp(rmse)/sqrt(10)')} AS ci_low, {r('avg(rmse) + 2.2621571628*stddev_samp(rmse)/sqrt(10)')} AS ci_high FROM f""")
 def _(t: Tables):
     df = repeated_folds(t.predicted.select("o_orderkey", "actual", "p_year"), "o_orderkey", 5, 2)
     long = to_long(df, ["o_orderkey", "actual", "p_year"], ["fold_r1", "fold_r2"], "repeat", "fold")
@@ -320,7 +323,7 @@ def _(t: Tables):
     return Q.heteroscedasticity(_resid(t), "p_year", ["o_orderstatus"])
 
 
-@query("x42_normalised_confusion", "WITH " + SQL_SCORED + f" SELECT config, label::BIGINT AS label, (score>=0.5)::BIGINT AS pred, count(*) AS n, {r('count(*) * 1.0 / sum(count(*)) OVER (PARTITION BY config, label)')} AS share FROM scored GROUP BY 1, 2, 3")
+@query("x42_normalised_confusion", "WITH " + SQL_SCORED + f" SELECT config, lab AS label, pred, n, {r('n * 1.0 / sum(n) OVER (PARTITION BY config, lab)')} AS share FROM (SELECT config, label::BIGINT AS lab, (score>=0.5)::BIGINT AS pred, count(*) AS n FROM scored GROUP BY 1, 2, 3)")
 def _(t: Tables):
     return M.normalised_confusion(t.scored, "label", M.decide("score", 0.5), ["config"])
 
