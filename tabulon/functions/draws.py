@@ -6,6 +6,8 @@ recomputed by any SQL engine; `fast_uniform` uses xxhash64 and serves the inner
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,13 +37,12 @@ def fast_uniform(seed: int | str, *keys: str | Column) -> Column:
 
 
 def poisson_one(u: Column) -> Column:
-    """Poisson(1) draw by inversion of the uniform `u` (tail mass beyond 12 is below 1e-10)."""
-    out, cdf, p = F.lit(0), 0.0, 2.718281828459045 ** -1
-    steps = []
+    """Poisson(1) draw by inversion of the uniform `u` (the tail beyond 12 has mass below 1e-10)."""
+    cdf, p = 0.0, math.exp(-1.0)
+    out = None
     for k in range(12):
         cdf += p
-        steps.append(cdf)
         p /= k + 1
-    for s in steps:
-        out = out + F.when(u >= F.lit(s), F.lit(1)).otherwise(F.lit(0))
-    return out
+        step = u < F.lit(cdf)
+        out = F.when(step, F.lit(k)) if out is None else out.when(step, F.lit(k))
+    return out.otherwise(F.lit(12))

@@ -7,6 +7,7 @@ across models, and only one partial sum per (replicate, group) leaves each task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -17,11 +18,15 @@ from tabulon.functions.numeric import col, count_if, ratio, ratio_or_zero
 from tabulon.operators.metrics import curve_points, ranking_metrics
 from tabulon.operators.reshape import to_long
 
+# Share of rows a Poisson(1) replicate leaves out.
+ZERO_MASS = math.exp(-1.0)
+
 
 def replicates(df: DataFrame, row_id: str, b: int, seed: int = 42) -> DataFrame:
     """Rows x replicates with weight > 0 (`replicate` 1..b, `weight`)."""
     out = df.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(b))))
-    return out.withColumn("weight", poisson_one(fast_uniform(seed, "replicate", row_id))).where(F.col("weight") > 0)
+    drawn = out.withColumn("_u", fast_uniform(seed, "replicate", row_id)).where(F.col("_u") >= F.lit(ZERO_MASS))
+    return drawn.withColumn("weight", poisson_one(F.col("_u"))).drop("_u")
 
 
 def intervals(values: DataFrame, metrics: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

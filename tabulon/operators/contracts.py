@@ -235,9 +235,14 @@ def number_rules(c: str, *, allow_negative: bool = True) -> list[Rule]:
 
 
 def with_errors(df: DataFrame, rules: Sequence[Rule], name: str = "errors") -> DataFrame:
-    """Add the array of all rule violations of each row (works on streams)."""
+    """Add the array of all rule violations of each row (works on streams).
+
+    The array passes through a one-element explode, so that a later filter on it reads the
+    computed value: pushed below the projection it would run every rule again.
+    """
     hits = F.array(*[F.when(F.coalesce(r.bad, F.lit(False)), F.lit(r.error)) for r in rules])
-    return df.withColumn(name, F.array_compact(hits))
+    computed = df.withColumn("_hits", F.array_compact(hits))
+    return computed.withColumn(name, F.explode(F.array("_hits"))).drop("_hits")
 
 
 def validate_records(df: DataFrame, rules: Sequence[Rule], *, fail_fast: bool = False):

@@ -40,13 +40,31 @@ def _nearest_in_block(qid, q, cid, c, k: int):
             yield qid[i], cid[near[j]], float(exact[j])
 
 
+def _few_points(pts: DataFrame, rows: list, k: int) -> DataFrame:
+    """All candidates fit one block: it travels with the task, queries stay partitioned."""
+    cid = np.array([r["id"] for r in rows], dtype="int64")
+    cv = np.array([r["v"] for r in rows], dtype=float)
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                found = _nearest_in_block(b["id"].to_numpy(), np.stack(b["v"]), cid, cv, k)
+                out = pd.DataFrame(found, columns=["row_id", "neighbour_id", "distance"])
+                out["rank"] = (out.groupby("row_id").cumcount() + 1).astype("int32")
+                yield out[["row_id", "rank", "neighbour_id", "distance"]]
+
+    spread = pts.repartition(max(1, min(64, len(rows) // 256)), "id")
+    return spread.mapInPandas(search, "row_id bigint, rank int, neighbour_id bigint, distance double")
+
+
 def nearest_neighbours(points: DataFrame, row_id: str, vector: str, k: int = 5, *, seed: int = 42,
                        pivots: int = 64, block: int = 4096) -> DataFrame:
     """(row_id, rank 1..k, neighbour_id, distance) for every point, Euclidean, exact."""
     pts = points.select(col(row_id).cast("bigint").alias("id"), col(vector).cast("array<double>").alias("v"))
+    head = pts.limit(block + 1).collect()  # at most block + 1 rows
+    if len(head) <= block:
+        return _few_points(pts, head, k)
     chosen = pts.orderBy(digest(seed, "id"), "id").limit(pivots).collect()  # bounded by `pivots`
-    if not chosen:
-        return pts.sparkSession.createDataFrame([], "row_id bigint, rank int, neighbour_id bigint, distance double")
     centre = np.array([r["v"] for r in chosen], dtype=float)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -124,21 +124,18 @@ def kth_in_hash_order(keys: DataFrame, hash_col: str, tie: str, wanted: DataFram
     if strata:
         marks = ends.join(wanted, strata).where(inside)
     else:
-        per_slice = ends.withColumn("_w", F.explode(_as_list(wanted)))
-        marks = per_slice.select("*", "_w.*").where(inside)
+        listed = wanted.agg(F.collect_list(F.struct("mark", "rank"))).scalar()
+        marks = ends.withColumn("_w", F.explode(listed)).select("*", "_w.*").where(inside)
     marks = marks.select(*strata, "_slice", "mark", (F.col("rank") - F.col("_start")).alias("_local"))
-    needed = sliced.join(marks.select(*strata, "_slice").distinct(), [*strata, "_slice"], "left_semi")
+    # One entry per stratum and mark, tested on the scan: only rows of those slices are shuffled.
+    slot = F.concat_ws("|", *[col(s).cast("string") for s in strata], F.col("_slice").cast("string"))
+    needed = sliced.where(F.array_contains(marks.agg(F.collect_set(slot)).scalar(), slot))
     rn = Window.partitionBy(*strata, "_slice").orderBy("_h", "_t")
     ranked = needed.withColumn("_local", F.row_number().over(rn))
     return (ranked.join(marks, [*strata, "_slice", "_local"])
             .select(*strata, "mark", F.col("_h").alias("cut_hash"), F.col("_t").alias("cut_tie")))
 
 
-def _as_list(small: DataFrame) -> Column:
-    """A frame with a handful of rows (one per split mark) as a list-valued scalar subquery."""
-    return small.agg(F.collect_list(F.struct("mark", "rank"))).scalar()
-
-
 def hash_numbering(keys: DataFrame, hash_col: str, tie: str, *, name: str = "number") -> DataFrame:
     """Number rows 0, 1, 2, ... in (hash, tie) order without a global sort.
 

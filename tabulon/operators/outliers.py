@@ -11,7 +11,7 @@ from tabulon.functions.numeric import col, count_if, ratio
 from tabulon.operators.contracts import any_of
 from tabulon.operators.profile import describe
 from tabulon.operators.reshape import rows_from
-from tabulon.operators.skew import attach
+from tabulon.operators.skew import attach_few
 from tabulon.session import with_state
 
 
@@ -64,7 +64,7 @@ def box_stats(df: DataFrame, value: str, by: str, k: float = 1.5, *, small_bytes
     iqr = F.col("p75") - F.col("p25")
     q = q.select(by, "n", "p25", "p50", "p75", (F.col("p25") - k * iqr).alias("_lo"), (F.col("p75") + k * iqr).alias("_hi"))
     fences = q.select(by, "_lo", "_hi", F.col("n").alias("_n"))
-    inside = attach(df.select(by, value), fences, [by], rows="_n", spread=value, small_bytes=small_bytes).where(
+    inside = attach_few(df.select(by, value), fences, [by], rows="_n", spread=value, small_bytes=small_bytes).where(
         col(value).between(F.col("_lo"), F.col("_hi")))
     whiskers = inside.groupBy(by).agg(F.min(value).alias("whisker_low"), F.max(value).alias("whisker_high"))
     return q.join(whiskers, by, "left").drop("_lo", "_hi")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabulon.functions.numeric import col, count_if, ratio
 from tabulon.operators.ordered import histogram_of, quantile_label, quantiles, running_totals
@@ -14,20 +15,46 @@ from tabulon.operators.skew import attach
 from tabulon.session import is_small, one_row
 
 
+def _value_family(t: T.DataType) -> str:
+    """Common type a column is profiled in, so that values of one family share one pass."""
+    if isinstance(t, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+        return "bigint"
+    if isinstance(t, (T.DoubleType, T.FloatType)):
+        return "double"
+    return t.simpleString()
+
+
 def profile(df: DataFrame, cols: Sequence[str] | None = None, *, exact: bool = True) -> DataFrame:
-    """One row per column: type, non-null, null, null %, distinct, min and max (as text)."""
+    """One row per column: type, non-null, null, null %, distinct, min and max (as text).
+
+    exact: values are counted per (column, value), family of types by family; everything else
+    follows from that table of distinct values. Otherwise one pass with approximate distinct counts.
+    """
     cols = list(cols or df.columns)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    distinct = F.count_distinct if exact else F.approx_count_distinct
-    one = df.agg(F.count(F.lit(1)).alias("_n"), *[e for c in cols for e in (
-        F.count(col(c)).alias(f"{c}__cnt"), distinct(col(c)).alias(f"{c}__dst"),
-        F.min(col(c)).cast("string").alias(f"{c}__min"), F.max(col(c)).cast("string").alias(f"{c}__max"))])
-    return rows_from(one, [], [{
-        "column": F.lit(c), "dtype": F.lit(types[c]), "non_null": F.col(f"{c}__cnt"),
-        "nulls": F.col("_n") - F.col(f"{c}__cnt"),
-        "null_pct": ratio(100 * (F.col("_n") - F.col(f"{c}__cnt")), F.col("_n")),
-        "distinct_values": F.col(f"{c}__dst"), "min_value": F.col(f"{c}__min"), "max_value": F.col(f"{c}__max")}
-        for c in cols])
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    names = F.create_map(*[F.lit(x) for c in cols for x in (c, kinds[c].simpleString())])
+    if exact:
+        out = None
+        families: dict[str, list[str]] = {}
+        for c in cols:
+            families.setdefault(_value_family(kinds[c]), []).append(c)
+        for family, members in families.items():
+            long = df.select(*[col(c).cast(family).alias(c) for c in members]).unpivot([], members, "column", "v")
+            freq = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+            one = freq.groupBy("column").agg(
+                F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null"),
+                F.count("v").alias("distinct_values"), F.min("v").cast("string").alias("min_value"), F.max("v").cast("string").alias("max_value"))
+            out = one if out is None else out.unionByName(one)
+    else:
+        one = df.agg(F.count(F.lit(1)).alias("_n"), *[e for c in cols for e in (
+            F.count(col(c)).alias(f"{c}__cnt"), F.approx_count_distinct(col(c)).alias(f"{c}__dst"),
+            F.min(col(c)).cast("string").alias(f"{c}__min"), F.max(col(c)).cast("string").alias(f"{c}__max"))])
+        out = rows_from(one, [], [{
+            "column": F.lit(c), "rows": F.col("_n"), "non_null": F.col(f"{c}__cnt"), "distinct_values": F.col(f"{c}__dst"),
+            "min_value": F.col(f"{c}__min"), "max_value": F.col(f"{c}__max")} for c in cols])
+    nulls = F.col("rows") - F.col("non_null")
+    return out.select("column", names[F.col("column")].alias("dtype"), "non_null", nulls.alias("nulls"),
+                      ratio(100 * nulls, F.col("rows")).alias("null_pct"), "distinct_values", "min_value", "max_value")
 
 
 def missing_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:

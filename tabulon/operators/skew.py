@@ -14,6 +14,8 @@ from tabulon.session import is_small
 # hot keys whatever the data: the broadcast below has a fixed bound.
 HOT_SHARE = 1000
 SALTS = 256
+# A result table of at most this many rows is collected and broadcast as a local relation.
+FEW_ROWS = 10_000
 
 
 def _same(left: DataFrame, keys: Sequence[str], prefix: str):
@@ -49,3 +51,21 @@ def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], *, rows: str, s
         "_salt", F.when(alone, F.pmod(F.xxhash64(col(spread)), F.lit(SALTS)).cast("int") + 1).otherwise(F.lit(0)))
     joined = marked.join(cold, _same(df, keys, "_k_") & (F.col("_salt") == F.col("_salt_c")), "left")
     return joined.withColumn("_v", F.coalesce("_hot", "_v")).select(*df.columns, "_v.*")
+
+
+def attach_few(df: DataFrame, table: DataFrame, keys: Sequence[str], *, rows: str, spread: str,
+               small_bytes: int | None = None) -> DataFrame:
+    """`attach` for keys expected to take few values (labels, categories, periods).
+
+    For large inputs the per-key table is computed once; when it has at most FEW_ROWS rows it is
+    broadcast, so `df` is not shuffled at all. A longer table goes through `attach`.
+    """
+    if is_small(df, small_bytes):
+        return attach(df, table, keys, rows=rows, spread=spread, small_bytes=small_bytes)
+    got = table.limit(FEW_ROWS + 1).collect()
+    if len(got) > FEW_ROWS:
+        return attach(df, table, keys, rows=rows, spread=spread, small_bytes=small_bytes)
+    values = [c for c in table.columns if c not in keys]
+    local = df.sparkSession.createDataFrame(got, table.schema)
+    renamed = local.select(*[col(k).alias(f"_k_{k}") for k in keys], F.struct(*values).alias("_v"))
+    return df.join(F.broadcast(renamed), _same(df, keys, "_k_"), "left").select(*df.columns, "_v.*")

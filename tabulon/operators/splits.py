@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.draws import digest
@@ -40,34 +40,44 @@ class Split:
         return Split(self.frame.sparkSession.read.schema(self.frame.schema).parquet(path))
 
 
-def _boundaries(df: DataFrame, key: str, seed, shares: Sequence[float], strata: Sequence[str], distinct: bool,
-                small_bytes: int | None) -> DataFrame:
-    """Boundary (hash, key) after each cumulative share, one row per stratum: list column `_cuts`."""
-    keys = df.select(*strata, col(key).alias("_key"))
+# Strata are class labels: their boundaries travel as one map value. More strata than this are refused.
+MAX_STRATA = 10_000
+
+
+def _stratum(stratify: str | None) -> Column:
+    """Stratum key; null is a stratum of its own."""
+    return F.coalesce(F.concat(F.lit("="), col(stratify).cast("string")), F.lit("null")) if stratify else F.lit("all")
+
+
+def _boundaries(df: DataFrame, key: str, seed, shares: Sequence[float], stratify: str | None, distinct: bool,
+                small_bytes: int | None) -> Column:
+    """Map stratum -> boundary (hash, key) after each cumulative share, as a scalar subquery."""
+    keys = df.select(_stratum(stratify).alias("_s"), col(key).alias("_key"))
     if distinct:
         keys = keys.distinct()
     keys = keys.withColumn("_hash", digest(seed, "_key"))
-    totals = keys.groupBy(*strata).agg(F.count(F.lit(1)).alias("_total"))
+    totals = keys.groupBy("_s").agg(F.count(F.lit(1)).alias("_total"))
     marks = F.array(*[F.struct(F.lit(i).alias("mark"), F.round(F.col("_total") * F.lit(float(s))).cast("bigint").alias("rank"))
                       for i, s in enumerate(shares)])
-    wanted = totals.select(*strata, F.inline(marks))
-    cuts = kth_in_hash_order(keys, "_hash", "_key", wanted, strata, small_bytes=small_bytes)
-    return cuts.groupBy(*strata).agg(F.array_sort(F.collect_list(F.struct("mark", "cut_hash", "cut_tie"))).alias("_cuts"))
+    cuts = kth_in_hash_order(keys, "_hash", "_key", totals.select("_s", F.inline(marks)), ["_s"], small_bytes=small_bytes)
+    per = cuts.groupBy("_s").agg(F.array_sort(F.collect_list(F.struct("mark", "cut_hash", "cut_tie"))).alias("_cuts"))
+    too_many = F.raise_error(F.lit(f"more than {MAX_STRATA} strata")).cast("string")
+    entry = F.struct(F.when(F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("_s")) <= MAX_STRATA, F.col("_s"))
+                     .otherwise(too_many), F.col("_cuts"))
+    return per.select(entry.alias("_e")).agg(F.map_from_entries(F.collect_list("_e"))).scalar()
 
 
-def _position(df: DataFrame, key: str, seed, shares: Sequence[float], strata: Sequence[str], distinct: bool,
+def _position(df: DataFrame, key: str, seed, shares: Sequence[float], stratify: str | None, distinct: bool,
               small_bytes: int | None) -> DataFrame:
-    """Add `_pos`: how many boundaries lie strictly before the row."""
-    cuts = _boundaries(df, key, seed, shares, strata, distinct, small_bytes)
-    if strata:
-        joined = df.join(cuts, list(strata), "left")
-    else:
-        joined = df.withColumn("_cuts", one_row(cuts)["_cuts"])
+    """Add `_pos`: how many boundaries lie strictly before the row. A narrow projection of `df`."""
+    cuts = _boundaries(df, key, seed, shares, stratify, distinct, small_bytes)
+    placed = df.withColumn("_all", cuts).withColumn("_cuts", F.col("_all")[_stratum(stratify)]).withColumn("_h", digest(seed, key))
     h, k = F.col("_h"), col(key)
     before = lambda b: (b["cut_hash"] < h) | ((b["cut_hash"] == h) & (b["cut_tie"] < k))
-    pos = F.coalesce(F.size(F.filter("_cuts", before)), F.lit(0))
-    missing = F.lit(len(shares)) - F.coalesce(F.size("_cuts"), F.lit(0))  # a share that rounds to rank 0
-    return joined.withColumn("_h", digest(seed, key)).withColumn("_pos", (pos + missing).cast("int")).drop("_cuts", "_h")
+    found = F.when(F.col("_cuts").isNotNull(), F.size("_cuts")).otherwise(F.lit(0))
+    passed = F.when(F.col("_cuts").isNotNull(), F.size(F.filter("_cuts", before))).otherwise(F.lit(0))
+    missing = F.lit(len(shares)) - found  # a share that rounds to rank 0 lies before every row
+    return placed.withColumn("_pos", (passed + missing).cast("int")).drop("_all", "_cuts", "_h")
 
 
 def split(df: DataFrame, row_id: str, *, test: float = 0.2, seed: int = 42, stratify: str | None = None,
@@ -76,7 +86,7 @@ def split(df: DataFrame, row_id: str, *, test: float = 0.2, seed: int = 42, stra
     of every class, or of groups. The test part holds exactly round(n * test) of them."""
     if stratify and group:
         raise ValueError("stratify and group cannot be combined")
-    out = _position(df, group or row_id, seed, [test], [stratify] if stratify else [], bool(group), small_bytes)
+    out = _position(df, group or row_id, seed, [test], stratify, bool(group), small_bytes)
     label = F.when(F.col("_pos") == 0, F.lit("test")).otherwise(F.lit("train"))
     return Split(out.withColumn("split", label).drop("_pos"))
 
@@ -86,7 +96,7 @@ def folds(df: DataFrame, row_id: str, k: int = 5, *, seed: int = 42, stratify: s
     """Add fold numbers 1..k; fold sizes (rows, rows per class, or groups) differ by at most one."""
     if stratify and group:
         raise ValueError("stratify and group cannot be combined")
-    out = _position(df, group or row_id, seed, [i / k for i in range(1, k)], [stratify] if stratify else [], bool(group), small_bytes)
+    out = _position(df, group or row_id, seed, [i / k for i in range(1, k)], stratify, bool(group), small_bytes)
     return out.withColumn(name, F.col("_pos") + 1).drop("_pos")
 
 

@@ -61,7 +61,7 @@ def _(t: Tables):
 
 @query("j4_semi_join", "SELECT count(*) AS n FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 45)")
 def _(t: Tables):
-    big = t.lineitem.where("l_quantity > 45")
+    big = t.lineitem.where("l_quantity > 45").select("l_orderkey").distinct()
     return t.orders.join(big, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -11,6 +11,7 @@ from tabulon.operators import contracts as C
 from tabulon.operators.dedupe import dedupe_first, row_log
 from tabulon.operators.metrics import decide
 from tabulon.operators.relate import hash_sample
+from tabulon.operators.skew import attach
 from tabulon.operators.splits import fold_report, validate_folds
 from tabulon.plans import preparation as prep
 from tabulon.plans.registry import i, query, r, union
@@ -337,8 +338,9 @@ def _(t: Tables):
 @query("p6_membership_in_learned_set", """SELECT count(*) AS rows_kept, count(DISTINCT l_partkey) AS parts_kept FROM lineitem
  WHERE l_partkey IN (SELECT l_partkey FROM lineitem GROUP BY 1 HAVING count(*) >= 32)""")
 def _(t: Tables):
-    kept = t.lineitem.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n")).where("n >= 32").select("l_partkey")
-    return t.lineitem.join(kept, "l_partkey", "left_semi").agg(F.count(F.lit(1)).alias("rows_kept"), F.count_distinct("l_partkey").alias("parts_kept"))
+    kept = t.lineitem.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n")).where("n >= 32")
+    rows = attach(t.lineitem.select("l_partkey", "l_orderkey"), kept, ["l_partkey"], rows="n", spread="l_orderkey").where(F.col("n").isNotNull())
+    return rows.agg(F.count(F.lit(1)).alias("rows_kept"), F.count_distinct("l_partkey").alias("parts_kept"))
 
 
 @query("p7_between", "SELECT count(*) AS n FROM part WHERE p_size BETWEEN 10 AND 20")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.draws import digest
 from tabulon.functions.numeric import elapsed_seconds
+from tabulon.operators.skew import attach_few
 from tabulon.session import one_row
 
 NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -86,10 +87,12 @@ class Tables:
         """Order totals (scaled to 0..10) with three group-mean predictions."""
         o = self.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.year("o_orderdate").alias("yr"),
                                (F.col("o_totalprice") / 50000).alias("actual"))
-        by_prio = o.groupBy("o_orderpriority").agg(F.avg("actual").alias("p_prio"))
-        by_year = o.groupBy("yr", "o_orderstatus").agg(F.avg("actual").alias("p_year"))
-        overall = o.agg(F.avg("actual")).scalar()
-        return o.join(by_prio, "o_orderpriority").join(by_year, ["yr", "o_orderstatus"]).withColumn("p_mean", overall)
+        n = F.count(F.lit(1)).alias("_n")
+        by_prio = o.groupBy("o_orderpriority").agg(F.avg("actual").alias("p_prio"), n)
+        by_year = o.groupBy("yr", "o_orderstatus").agg(F.avg("actual").alias("p_year"), n)
+        out = attach_few(o, by_prio, ["o_orderpriority"], rows="_n", spread="o_orderkey").drop("_n")
+        out = attach_few(out, by_year, ["yr", "o_orderstatus"], rows="_n", spread="o_orderkey").drop("_n")
+        return out.withColumn("p_mean", o.agg(F.avg("actual")).scalar())
 
 
 SQL_TITLES = """titles AS (
