@@ -65,7 +65,7 @@ def estimator(recipe: Recipe, rows: int):
     if recipe.model == "logistic_regression":
         c, penalty = float(p.pop("C", 1.0)), p.pop("penalty", "l2")
         return LogisticRegression(**base, regParam=1.0 / (c * max(rows, 1)), elasticNetParam=1.0 if penalty == "l1" else 0.0,
-                                  standardization=False, maxIter=int(p.pop("maxIter", 100)), **p)
+                                  standardization=False, maxIter=int(p.pop("maxIter", 100)), tol=float(p.pop("tol", 1e-4)), **p)
     if recipe.model == "random_forest":
         return RandomForestClassifier(**base, **{"numTrees": 100, "seed": recipe.seed, "maxDepth": 12, **p})
     if recipe.model == "linear":
