@@ -46,8 +46,8 @@ def _(t: Tables):
 
 @query("j3_lookup_two_level_fallback", f"""WITH m AS (SELECT date_trunc('month', l_shipdate) AS mon, quantile_cont(l_extendedprice, 0.5) AS med FROM lineitem WHERE l_discount > 0.02 GROUP BY 1 HAVING count(*) >= 100),
 g AS (SELECT quantile_cont(l_extendedprice, 0.5) AS gm FROM lineitem WHERE l_discount > 0.02)
-SELECT date_trunc('month', l_shipdate)::DATE::VARCHAR AS month, {r('sum(coalesce(CASE WHEN l_discount > 0.02 THEN l_extendedprice END, med, gm))', 2)} AS total
-FROM lineitem LEFT JOIN m ON date_trunc('month', l_shipdate) = mon, g GROUP BY 1""", 2)
+SELECT date_trunc('month', l_shipdate)::DATE::VARCHAR AS month, {r('avg(coalesce(CASE WHEN l_discount > 0.02 THEN l_extendedprice END, med, gm))', 4)} AS mean_price
+FROM lineitem LEFT JOIN m ON date_trunc('month', l_shipdate) = mon, g GROUP BY 1""", 4)
 def _(t: Tables):
     df = t.lineitem.select(F.date_format("l_shipdate", "yyyy-MM-01").alias("month"), "l_orderkey",
                            F.when(F.col("l_discount") > 0.02, F.col("l_extendedprice")).alias("price"))
@@ -56,7 +56,7 @@ def _(t: Tables):
     med = quantiles(known, "price", [.5], ["month"], names=["med"]).join(sizes, "month")
     overall = quantiles(known, "price", [.5], names=["m"]).select("m").scalar()
     out = attach(df, med, ["month"], rows="n", spread="l_orderkey")
-    return out.groupBy("month").agg(F.sum(F.coalesce("price", "med", overall)).alias("total"))
+    return out.groupBy("month").agg(F.avg(F.coalesce("price", "med", overall)).alias("mean_price"))
 
 
 @query("j4_semi_join", "SELECT count(*) AS n FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 45)")
