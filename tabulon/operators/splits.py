@@ -52,14 +52,17 @@ def _stratum(stratify: str | None) -> Column:
 def _boundaries(df: DataFrame, key: str, seed, shares: Sequence[float], stratify: str | None, distinct: bool,
                 small_bytes: int | None) -> Column:
     """Map stratum -> boundary (hash, key) after each cumulative share, as a scalar subquery."""
-    keys = df.select(_stratum(stratify).alias("_s"), col(key).alias("_key"))
+    by = ["_s"] if stratify else []
+    keys = df.select(*([_stratum(stratify).alias("_s")] if by else []), col(key).alias("_key"))
     if distinct:
         keys = keys.distinct()
     keys = keys.withColumn("_hash", digest(seed, "_key"))
-    totals = keys.groupBy("_s").agg(F.count(F.lit(1)).alias("_total"))
+    totals = keys.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"))
     marks = F.array(*[F.struct(F.lit(i).alias("mark"), F.round(F.col("_total") * F.lit(float(s))).cast("bigint").alias("rank"))
                       for i, s in enumerate(shares)])
-    cuts = kth_in_hash_order(keys, "_hash", "_key", totals.select("_s", F.inline(marks)), ["_s"], small_bytes=small_bytes)
+    cuts = kth_in_hash_order(keys, "_hash", "_key", totals.select(*by, F.inline(marks)), by, small_bytes=small_bytes)
+    if not by:
+        cuts = cuts.withColumn("_s", _stratum(None))
     per = cuts.groupBy("_s").agg(F.array_sort(F.collect_list(F.struct("mark", "cut_hash", "cut_tie"))).alias("_cuts"))
     too_many = F.raise_error(F.lit(f"more than {MAX_STRATA} strata")).cast("string")
     entry = F.struct(F.when(F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("_s")) <= MAX_STRATA, F.col("_s"))
@@ -83,7 +86,11 @@ def _position(df: DataFrame, key: str, seed, shares: Sequence[float], stratify:
 def split(df: DataFrame, row_id: str, *, test: float = 0.2, seed: int = 42, stratify: str | None = None,
           group: str | None = None, small_bytes: int | None = None) -> Split:
     """Random, stratified (`stratify`) or whole-group (`group`) split; `test` is a share of rows,
-    of every class, or of groups. The test part holds exactly round(n * test) of them."""
+    of every class, or of groups. The test part holds exactly round(n * test) of them.
+
+    Key and label columns of `df` are read up to three times; hand in a stored table, not a long
+    chain of transformations.
+    """
     if stratify and group:
         raise ValueError("stratify and group cannot be combined")
     out = _position(df, group or row_id, seed, [test], stratify, bool(group), small_bytes)

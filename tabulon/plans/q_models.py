@@ -19,7 +19,7 @@ from tabulon.plans.q_prepare import sql_folds
 from tabulon.plans.q_relate import sql_split
 from tabulon.plans.registry import query, r
 from tabulon.plans.tables import SQL_TRANSACTIONS, Tables
-from tabulon.session import materialise, scratch_path
+from tabulon.session import scratch_path, stored
 from tabulon.sources import files
 from tabulon.streaming import flows
 
@@ -40,7 +40,7 @@ def _parts(t: Tables):
 
 
 def _folded(t: Tables, k: int = 3) -> DataFrame:
-    return materialise(folds(_tx(t), "event_id", k, stratify="label"))
+    return stored(folds(_tx(t), "event_id", k, stratify="label"), "folds")
 
 
 LOGISTIC = T.Recipe("logistic", "logistic_regression", FEATURES, "label", "event_id")
@@ -170,7 +170,7 @@ def _(t: Tables):
 
 @query("m15_ablation")
 def _(t: Tables):
-    oof = T.ablation(materialise(folds(_orders(t), "o_orderkey", 2)), LINEAR, {"time": ["yr", "mon"], "customer": ["cust"], "signal": ["signal"]}, "fold", 2)
+    oof = T.ablation(stored(folds(_orders(t), "o_orderkey", 2), "folds"), LINEAR, {"time": ["yr", "mon"], "customer": ["cust"], "signal": ["signal"]}, "fold", 2)
     m = M.regression_metrics(oof, "label", "score", ["config"]).select("config", "rmse", "r2")
     return step_delta(m, "config", "rmse")
 
@@ -178,7 +178,7 @@ def _(t: Tables):
 @query("m16_encoder_sensitivity")
 def _(t: Tables):
     frame = prep.modelling_frame(t.titles, "row_id", "rating").select("row_id", "rating", "director", "actor_1")
-    df = materialise(folds(materialise(frame), "row_id", 2))
+    df = stored(folds(stored(frame, "frame"), "row_id", 2), "folds")
     oof = T.people_sensitivity(df, "person", ["director", "actor_1"], "rating", "row_id", "fold", 2, [60, 200])
     per = M.regression_metrics(oof, "label", "score", ["config", "fold"])
     return paired_folds(per, "config", "fold", "rmse", "min_count=60")
@@ -186,7 +186,7 @@ def _(t: Tables):
 
 @query("m17_without_outliers")
 def _(t: Tables):
-    df = materialise(flag_iqr(folds(_orders(t).withColumn("squared", F.col("signal") ** 3), "o_orderkey", 2), ["squared"]))
+    df = stored(flag_iqr(folds(_orders(t).withColumn("squared", F.col("signal") ** 3), "o_orderkey", 2), ["squared"]), "flagged")
     out = None
     for name, rows in (("all rows", df), ("without outliers", df.where(~F.col("is_outlier")))):
         one = T.cross_validate(rows, [replace(LINEAR, name=name)], "fold", 2)

@@ -16,8 +16,8 @@ from tabulon.operators.relate import compare_counts
 from tabulon.plans import preparation as prep
 from tabulon.plans.q_relate import sql_split
 from tabulon.plans.registry import query, r, union
-from tabulon.session import materialise, scratch_path
 from tabulon.plans.tables import LINE_NUMERIC, SQL_RATED, SQL_TRANSACTIONS, Tables, sql_digest
+from tabulon.session import scratch_path, stored
 
 
 def sql_folds(table: str, key: str, k: int, seed: int = 42, strata: str = "", keep: str = "*") -> str:
@@ -114,7 +114,7 @@ def _(t: Tables):
 
 def _rated(t: Tables) -> L.Split:
     frame = prep.modelling_frame(t.titles, "row_id", "rating").drop("genre_list")
-    return L.split(materialise(frame), "row_id").saved(scratch_path(t.spark, "rated-split"))
+    return L.split(stored(frame, "rated"), "row_id").saved(scratch_path(t.spark, "rated-split"))
 
 
 _SPLIT_RATED = "WITH " + SQL_RATED + ", s AS " + sql_split("rated", "row_id")
@@ -316,4 +316,4 @@ def _(t: Tables):
 SELECT row_id, split FROM k JOIN """ + sql_split("(SELECT DISTINCT group_id FROM k)", "group_id") + " USING (group_id)")
 def _(t: Tables):
     frame = prep.modelling_frame(t.titles, "row_id", "rating").select("row_id", group_key("name", "year", "row_id").alias("group_id"))
-    return L.split(frame, "row_id", group="group_id").frame.select("row_id", "split")
+    return L.split(stored(frame, "title-groups"), "row_id", group="group_id").frame.select("row_id", "split")

@@ -242,7 +242,7 @@ def people_sensitivity(df: DataFrame, prefix: str, cols: Sequence[str], label: s
     """Out-of-fold scores of a linear model for several `min_count` settings of the people encoder,
     the encoder being refitted on the training part of every fold."""
     from tabulon.operators.encode import PeopleEncoder
-    from tabulon.session import materialise
+    from tabulon.session import stored
     out = None
     for n in min_counts:
         for i in range(1, k + 1):
@@ -251,7 +251,7 @@ def people_sensitivity(df: DataFrame, prefix: str, cols: Sequence[str], label: s
             names = encoder.frequent_names()
             features = tuple(encoder.feature_names()) + tuple(f"hot_{j}" for j in range(len(names)))
             flags = {f"hot_{j}": F.array_contains(f"{prefix}_frequent", v).cast("double") for j, v in enumerate(names)}
-            encoded = materialise(encoder.transform(inside.unionByName(outside)).withColumns(flags).select(row_id, label, fold, *features))
+            encoded = stored(encoder.transform(inside.unionByName(outside)).withColumns(flags).select(row_id, label, fold, *features), "encoded")
             recipe = Recipe(f"min_count={n}", "ridge", features, label, row_id)
             one = score(fit(recipe, encoded.where(col(fold) != i)), encoded.where(col(fold) == i), recipe).select(
                 F.lit(recipe.name).alias("config"), F.lit(i).alias("fold"), F.lit(len(features)).alias("features"), row_id, "label", "score")

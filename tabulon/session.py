@@ -61,3 +61,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     root = folder or tempfile.mkdtemp(prefix="tabulon-")
     return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` once below the shared folder and read it back: cuts the lineage and gives the
+    planner exact sizes for everything built on it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
