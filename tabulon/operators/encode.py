@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tabulon.functions.numeric import bucket_floor, col
 from tabulon.functions.text import clean_text, name_set, slug, split_tokens, strip
 from tabulon.operators.skew import attach
-from tabulon.session import one_row, with_state
+from tabulon.session import is_small, one_row, with_state
 
 # Indicator columns are real columns; beyond this many use the token array output instead.
 MAX_INDICATORS = 2000
@@ -160,13 +160,24 @@ class PeopleEncoderModel(StateModel):
     def _transform(self, df: DataFrame) -> DataFrame:
         c = self.config
         cols, row_id, prefix = c["cols"], c["row_id"], c["prefix"]
+        # `_cnt` is how many training rows carry the name: a good guide to hot names at scoring.
+        table = self.state["counts"].select(F.col("name").alias("_name"), F.col("n").alias("_cnt"))
         out = df
+        if is_small(df, c.get("small_bytes")):
+            for s in cols:
+                found = table.select(F.col("_name"), F.col("_cnt").alias(f"_c_{slug(s)}"))
+                out = out.join(found, strip(s) == F.col("_name"), "left").drop("_name")
+        else:
+            # Only (row id, slot, name) is shuffled by name; the wide rows move once, by row id.
+            long = df.select(row_id, F.posexplode(F.array(*[strip(s) for s in cols])).alias("_slot", "_name")).where(
+                F.col("_name").isNotNull())
+            found = attach(long, table, ["_name"], rows="_cnt", spread=row_id, small_bytes=0)
+            per_row = found.groupBy(row_id).agg(*[
+                F.max(F.when(F.col("_slot") == i, F.col("_cnt"))).alias(f"_c_{slug(s)}") for i, s in enumerate(cols)])
+            out = out.join(per_row, row_id, "left")
         for s in cols:
-            # `rows` is how many training rows carry the name: a good guide to hot names at scoring.
-            table = self.state["counts"].select(F.col("name").alias("_name"), F.col("n").alias("_cnt"))
-            out = attach(out.withColumn("_name", strip(s)), table, ["_name"], rows="_cnt", spread=row_id, null_keys=False)
-            out = out.withColumns({f"{slug(s)}_count": F.coalesce("_cnt", F.lit(0)),
-                                   f"{slug(s)}_missing": clean_text(s).isNull().cast("int")}).drop("_name", "_cnt")
+            out = out.withColumns({f"{slug(s)}_count": F.coalesce(f"_c_{slug(s)}", F.lit(0)),
+                                   f"{slug(s)}_missing": clean_text(s).isNull().cast("int")}).drop(f"_c_{slug(s)}")
         frequent = F.array_compact(F.array(*[
             F.when(F.col(f"{slug(s)}_count") >= c["min_count"], strip(s)) for s in cols]))
         out = out.withColumn(f"{prefix}_frequent", F.array_sort(F.array_distinct(frequent)))
@@ -202,14 +213,16 @@ class PeopleEncoder(Estimator):
     array of names with at least `min_count` training rows.
     """
 
-    def __init__(self, prefix: str, cols: Sequence[str], row_id: str, *, min_count: int = 10):
+    def __init__(self, prefix: str, cols: Sequence[str], row_id: str, *, min_count: int = 10,
+                 small_bytes: int | None = None):
         super().__init__()
-        self.prefix, self.cols, self.row_id, self.min_count = prefix, list(cols), row_id, min_count
+        self.prefix, self.cols, self.row_id = prefix, list(cols), row_id
+        self.min_count, self.small_bytes = min_count, small_bytes
 
     def _fit(self, df: DataFrame) -> PeopleEncoderModel:
         counts = df.select(F.explode(name_set(self.cols)).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
         return PeopleEncoderModel({"prefix": self.prefix, "cols": self.cols, "row_id": self.row_id,
-                                   "min_count": self.min_count}, {"counts": counts})
+                                   "min_count": self.min_count, "small_bytes": self.small_bytes}, {"counts": counts})
 
 
 SCALING = ("standard", "minimal", "log_amount", "passthrough")

@@ -40,10 +40,11 @@ def test_multi_hot_counts_unseen_tokens(spark):
     assert [(r["g=a"], r["g=b"], r["g_missing"], r["g_count"]) for r in out] == [(0, 1, 0, 2), (0, 0, 1, 0), (0, 0, 1, 0)]
 
 
-def test_people_encoder(spark):
+@pytest.mark.parametrize("small", [None, 0])
+def test_people_encoder(spark, small):
     schema = "id int, a string, b string"
     train = spark.createDataFrame([(1, "x", " x "), (2, "y", "x"), (3, None, "y"), (4, "w", None)], schema)
-    model = E.PeopleEncoder("who", ["a", "b"], "id", min_count=2).fit(train)
+    model = E.PeopleEncoder("who", ["a", "b"], "id", min_count=2, small_bytes=small).fit(train)
     new = spark.createDataFrame([(1, " x", "y"), (2, "new", None), (3, "x", "x"), (4, None, " ")], schema)
     out = {r["id"]: r for r in model.with_indicators(model.transform(new)).collect()}
     assert (out[1]["a_count"], out[1]["b_count"], out[1]["who_listed"], out[1]["who_frequent"]) == (2, 2, 2, ["x", "y"])
