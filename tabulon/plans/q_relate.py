@@ -313,10 +313,10 @@ def _(t: Tables):
 
 
 @query("f10_f12_buckets_and_logs", "WITH " + SQL_TRANSACTIONS + f""" SELECT event_id, (floor((amount - 250)/50)*50)::BIGINT AS bucket, {r('ln(1 + amount)')} AS log1p, {r('log10(nullif(amount, 0))')} AS log10, {r('sqrt(amount)')} AS root,
- {r('time/3600')} AS hours, floor(time/3600)::BIGINT AS hour FROM tx""")
+ {r('time/3600', 2)} AS hours, floor(time/3600)::BIGINT AS hour FROM tx""")
 def _(t: Tables):
     return t.transactions.select("event_id", bucket_floor(F.col("amount") - 250, 50).alias("bucket"), F.log1p("amount").alias("log1p"),
-                                 F.log10("amount").alias("log10"), F.sqrt("amount").alias("root"), (F.col("time") / 3600).alias("hours"),
+                                 F.log10("amount").alias("log10"), F.sqrt("amount").alias("root"), F.round(F.col("time") / 3600, 2).alias("hours"),
                                  F.floor(F.col("time") / 3600).alias("hour"))
 
 
