@@ -22,7 +22,7 @@ from tabulon.llm.common import stored
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
 SLICES = 256
-FILLS = 4
+FILLS = 5
 SEED = "mix"
 
 
@@ -124,9 +124,10 @@ def mix(docs: DataFrame, weight: Column | None = None, weights: tuple[float, ...
     state = stored(cuts.join(plan_.select(F.col("_source").alias("_s"), "budget"), F.col("_cut_source").eqNullSafe(F.col("_s")))
                    .select("_s", (F.col("budget") - F.col("_sum")).alias("gap"), F.expr("CAST(array() AS array<struct<key:double, doc_id:bigint, size:bigint>>)").alias("picks")), "gaps")
     one = F.struct("key", F.col("doc_id").cast("long").alias("doc_id"), "size")
-    for _ in range(FILLS):
+    for i in range(FILLS):
         free = chosen.filter(~F.col("extra") & (F.col("size") > 0)).join(state, F.col("source").eqNullSafe(F.col("_s")))
         free = free.withColumn("off", F.abs(F.col("gap") - F.col("size"))).filter((F.col("off") < F.col("gap")) & ~F.array_contains("picks", one))
+        free = free.filter("size <= gap") if i + 1 < FILLS else free  # only the last may go over
         best = free.groupBy(F.col("source").alias("_b")).agg(F.min(F.struct("off", one.alias("one"))).getField("one").alias("one"))
         more = state.join(best, F.col("_s").eqNullSafe(F.col("_b")), "left")
         state = stored(more.select("_s", (F.col("gap") - F.coalesce("one.size", F.lit(0))).alias("gap"), F.when(F.col("one").isNotNull(), F.array_append("picks", F.col("one"))).otherwise(F.col("picks")).alias("picks")), "gaps")
