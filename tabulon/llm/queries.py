@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabulon.llm import mixing, quality, simhash
+from tabulon.llm import language, mixing, packing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.mix(_documents(spark, sf_dir)))
 
 
+@query("op2_language")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_documents(spark, sf_dir))
+
+
+@query("op4_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), packing.tokenizer_file("word_bpe_49k.json"))
+
+
 @query("op5_simhash")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(_documents(spark, sf_dir)))
