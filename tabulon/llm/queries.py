@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabulon.llm import language, mixing, packing, quality, simhash
+import corpus_pipeline
+from tabulon.llm import language, line_dedup, mixing, packing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +49,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_quality")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_documents(spark, sf_dir))
+
+
+@query("op10_line_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.duplicate_lines(_documents(spark, sf_dir))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
