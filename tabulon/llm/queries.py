@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tabulon.llm import language, licences, line_dedup, mixing, packing, quality, simhash
+from tabulon.llm import language, licences, line_dedup, mixing, packing, quality, simhash, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,6 +51,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_documents(spark, sf_dir))
 
 
+@query("op8_suffixes")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(suffixes.remove_repeats(_documents(spark, sf_dir)))
+
+
 @query("op9_licences", licences.ORACLE_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_documents(spark, sf_dir))
