@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tabulon.llm import language, licences, line_dedup, mixing, packing, quality, simhash, suffixes
+from tabulon.llm import language, licences, line_dedup, mixing, packing, quality, simhash, suffixes, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(_documents(spark, sf_dir)))
 
 
+@query("op6_vectors")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query("op7_quality")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_documents(spark, sf_dir))
