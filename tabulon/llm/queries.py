@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tabulon.llm import language, licences, line_dedup, mixing, packing, quality, simhash, suffixes, vectors
+from tabulon.llm import language, licences, line_dedup, mixing, packing, quality, simhash, suffixes, token_counts, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_documents(spark, sf_dir))
 
 
+@query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_documents(spark, sf_dir), packing.tokenizer_file("piece_bpe_32k.model"))
+
+
 @query("op4_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), packing.tokenizer_file("word_bpe_49k.json"))
