@@ -2,7 +2,7 @@
 
 A text is cut into normalised sentences: lower case, every run of other characters than letters and digits a single space.
 It is cut in two ways, since licence notices are both single lines among others and paragraphs wrapped over lines: at
-sentence ends and line ends, and at sentence ends alone. Each sentence that is in the table becomes its identifier; the
+sentence ends and line ends, and at sentence ends and empty lines alone. Each sentence that is in the table becomes its identifier; the
 others are left out. A licence is recognised where the identifiers of one of its rules follow each other in that order.
 """
 
@@ -129,7 +129,8 @@ def scan(docs: DataFrame) -> DataFrame:
     marked = F.regexp_replace(F.lower(text), _END, "\x01$1")
     rows = docs.select("doc_id", F.regexp_replace(marked, _OTHER, " ").alias("_t"))
     lines = F.split("_t", r" ?[\n\x01][ \n\x01]*")
-    whole = F.split(F.regexp_replace("_t", r"[ \n]+", " "), r" ?\x01[ \x01]*")
+    paragraphs = F.regexp_replace("_t", r"\n ?\n[ \n]*", "\x01")
+    whole = F.split(F.regexp_replace(paragraphs, r"[ \n]+", " "), r" ?\x01[ \x01]*")
     rows = rows.select("doc_id", _sequence(F.transform(lines, lambda x: F.trim(x))).alias("_lines"), _sequence(F.transform(whole, lambda x: F.trim(x))).alias("_whole"))
     rules = F.array(*[F.struct(F.lit(a).alias("licence"), F.lit(b).alias("rule")) for a, b in RULE_STRINGS])
     found = F.filter(rules, lambda r: F.contains("_lines", r["rule"]) | F.contains("_whole", r["rule"]))
@@ -156,7 +157,7 @@ WITH t AS (
     '[^\\p{{L}}\\p{{N}}\\n\\x01]+', ' ', 'g') AS t FROM documents),
 s AS (
   SELECT doc_id, {_sql_sequence("string_split_regex(t, ' ?[\\n\\x01][ \\n\\x01]*')")} AS seq,
-    {_sql_sequence("string_split_regex(regexp_replace(t, '[ \\n]+', ' ', 'g'), ' ?\\x01[ \\x01]*')")} AS whole FROM t),
+    {_sql_sequence("string_split_regex(regexp_replace(regexp_replace(t, '\\n ?\\n[ \\n]*', chr(1), 'g'), '[ \\n]+', ' ', 'g'), ' ?\\x01[ \\x01]*')")} AS whole FROM t),
 r AS (SELECT unnest([{', '.join(_q(a) for a, _ in RULE_STRINGS)}]) AS licence, unnest([{', '.join(_q(b) for _, b in RULE_STRINGS)}]) AS rule),
 m AS (SELECT DISTINCT doc_id, seq, whole, licence FROM s JOIN r ON contains(s.seq, r.rule) OR contains(s.whole, r.rule)),
 g AS (SELECT doc_id, string_agg(licence, ',' ORDER BY licence) AS licences FROM m GROUP BY doc_id)
