@@ -93,7 +93,7 @@ def _lines(docs: DataFrame) -> DataFrame:
                 texts = lines.take(pa.array(real)).to_pylist()
                 distinct = list(dict.fromkeys(texts))
                 keys = band_keys(distinct).astype("<u8").view(np.uint8).reshape(len(distinct), BANDS, 8)[:, :, :KEY_BYTES]
-                keys = np.ascontiguousarray(keys).reshape(len(distinct), -1)
+                keys = np.ascontiguousarray(keys).reshape(len(distinct), BANDS * KEY_BYTES)
                 packed = {x: (xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")), keys[i].tobytes()) for i, x in enumerate(distinct)}
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(pa.array(owner[real] + a)), pa.array(number[real].astype(np.int32)),
