@@ -37,12 +37,13 @@ def fast_uniform(seed: int | str, *keys: str | Column) -> Column:
 
 
 def poisson_one(u: Column) -> Column:
-    """Poisson(1) draw by inversion of the uniform `u` (the tail beyond 12 has mass below 1e-10)."""
+    """Poisson(1) draw by inversion of the uniform `u` (steps until the tail is below one unit in the last place)."""
     cdf, p = 0.0, math.exp(-1.0)
     out = None
-    for k in range(12):
+    k = -1
+    while (k := k + 1) == 0 or cdf + p > cdf:
         cdf += p
         p /= k + 1
         step = u < F.lit(cdf)
         out = F.when(step, F.lit(k)) if out is None else out.when(step, F.lit(k))
-    return out.otherwise(F.lit(12))
+    return out.otherwise(F.lit(k))

@@ -102,7 +102,7 @@ def group_key(title: str, year: str, row_id: str) -> Column:
     """
     flat = F.lower(F.regexp_replace(strip(F.coalesce(col(title), F.lit(""))), r"(?U)\s+", " "))
     y = F.coalesce(col(year).cast("int").cast("string"), F.lit("NA"))
-    return F.when(flat == "", F.concat(F.lit("__untitled__|"), col(row_id).cast("string"))).otherwise(
+    return F.when(flat == "", F.concat(F.lit("no title|"), col(row_id).cast("string"))).otherwise(
         F.concat_ws("|", flat, y))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.numeric import col, count_if, ratio
 from tabulon.operators.reshape import to_long
+from tabulon.operators.skew import join_groups
 from tabulon.session import with_state
 
 # Two-sided 95% Student t quantiles for 1..30 degrees of freedom.
@@ -19,14 +20,18 @@ T_975 = (12.7062047364, 4.3026527297, 3.1824463053, 2.7764451052, 2.5705818356,
          2.2621571628, 2.2281388520, 2.2009851601, 2.1788128297, 2.1603686565, 2.1447866879, 2.1314495456, 2.1199052992,
          2.1098155778, 2.1009220402, 2.0930240544, 2.0859634473, 2.0796138447, 2.0738730679, 2.0686576104, 2.0638985616,
          2.0595385528, 2.0555294386, 2.0518305165, 2.0484071418, 2.0452296421, 2.0422724563)
-NORMAL_975 = 1.9599639845
+NORMAL_975 = 1.959963984540054
 
 
 def t_975(n: Column) -> Column:
-    """Quantile for n observations (n - 1 degrees of freedom); the normal value beyond 30."""
+    """Quantile for n observations (n - 1 degrees of freedom). Beyond the table the expansion around the normal quantile
+    in powers of 1 / (degrees of freedom) is exact to eight digits."""
     table = F.array(*[F.lit(v) for v in T_975])
-    dof = (n - 1).cast("int")
-    return F.when(dof.between(1, len(T_975)), F.get(table, dof - 1)).when(dof > len(T_975), F.lit(NORMAL_975))
+    dof, z = (n - 1).cast("int"), NORMAL_975
+    terms = (z, (z ** 3 + z) / 4, (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96, (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384,
+             (79 * z ** 9 + 776 * z ** 7 + 1482 * z ** 5 - 1920 * z ** 3 - 945 * z) / 92160)
+    series = sum((F.lit(t) / F.pow(dof, F.lit(float(i))) for i, t in enumerate(terms)), F.lit(0.0))
+    return F.when(dof.between(1, len(T_975)), F.get(table, dof - 1)).when(dof > len(T_975), series)
 
 
 def summarise_folds(fold_metrics: DataFrame, metrics: Sequence[str], by: Sequence[str], *, ddof: int = 1) -> DataFrame:
@@ -67,7 +72,7 @@ def generalisation_gap(train: DataFrame, valid: DataFrame, metric: str, by: Sequ
     """Train minus validation, absolute and in % of validation."""
     t = train.groupBy(*by).agg(F.avg(metric).alias("train"))
     v = valid.groupBy(*by).agg(F.avg(metric).alias("valid"))
-    return t.join(v, list(by)).withColumn("gap", F.col("train") - F.col("valid")).withColumn(
+    return join_groups(t, v, list(by)).withColumn("gap", F.col("train") - F.col("valid")).withColumn(
         "gap_pct", 100 * ratio(F.col("train") - F.col("valid"), F.col("valid")))
 
 

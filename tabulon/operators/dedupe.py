@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.functions.numeric import col, count_if
+from tabulon.functions.numeric import col, count_if, ratio
 from tabulon.operators.skew import attach
 
 
@@ -38,16 +38,18 @@ def dedupe_first(df: DataFrame, cols: Sequence[str], row_id: str) -> DataFrame:
 
 
 def duplicate_stats(df: DataFrame, cols: Sequence[str], flag: Column | None = None) -> DataFrame:
-    """Rows, extra copies, rows in duplicate groups, groups, largest group, extra copies with flag."""
+    """Rows, extra copies, rows in duplicate groups, groups, largest group. With `flag` (a class) also the rows of
+    duplicate groups that carry it, all rows that do, and their share in per cent. One pass."""
     mark = F.coalesce(flag, F.lit(False)) if flag is not None else F.lit(False)
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-    flagged = df.where(mark) if flag is not None else None
+    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"), count_if(mark).alias("flagged"))
     out = groups.agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("extra_copies"),
                      F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("rows_in_groups"),
-                     count_if(F.col("n") > 1).alias("groups"), F.max("n").alias("largest_group"))
-    if flagged is None:
-        return out
-    return out.withColumn("flagged_rows", flagged.agg(F.count(F.lit(1))).scalar())
+                     count_if(F.col("n") > 1).alias("groups"), F.max("n").alias("largest_group"),
+                     F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("flagged"))), F.lit(0)).alias("flagged_in_groups"),
+                     F.coalesce(F.sum("flagged"), F.lit(0)).alias("flagged_rows"))
+    if flag is None:
+        return out.drop("flagged_in_groups", "flagged_rows")
+    return out.withColumn("flagged_share", 100 * ratio(F.col("flagged_in_groups"), F.col("flagged_rows")))
 
 
 def group_size_distribution(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from tabulon.functions.numeric import col, count_if, mean_if, ratio
 from tabulon.operators.ordered import quantiles
 from tabulon.operators.profile import corrected_skewness, describe
 from tabulon.operators.reshape import reindex, rows_from
+from tabulon.operators.skew import join_groups
 from tabulon.session import with_state
 
 
@@ -29,7 +30,7 @@ def residual_summary(df: DataFrame, by: Sequence[str] = (), bounds: Sequence[flo
         *[mean_if(F.abs(r) <= b).alias(f"within_{str(b).replace('.', '_')}") for b in bounds])
     med = quantiles(df, "residual", [.5], by, names=["median"], small_bytes=small_bytes)
     if by:
-        return stats.join(med, list(by))
+        return join_groups(stats, med, list(by))
     return stats.withColumn("median", med.select("median").scalar())
 
 
@@ -79,7 +80,7 @@ def error_profile(df: DataFrame, shares: Mapping[str, Column], medians: Mapping[
     """Flagged rows against the rest: n, shares of conditions, medians of columns."""
     base = df.groupBy(flag).agg(F.count(F.lit(1)).alias("n"), *[mean_if(c).alias(n) for n, c in shares.items()])
     for name, c in medians.items():
-        base = base.join(quantiles(df, c, [.5], [flag], names=[name], small_bytes=small_bytes), flag)
+        base = join_groups(base, quantiles(df, c, [.5], [flag], names=[name], small_bytes=small_bytes), [flag], "left")
     return base
 
 
@@ -119,8 +120,8 @@ def miss_distribution(counts: DataFrame, n_configs: int) -> DataFrame:
 
 
 def hardness(counts: DataFrame) -> DataFrame:
-    group = F.when(F.col("missed_by") == 0, "caught by all").when(
-        F.col("missed_by") == F.col("configs"), "missed by all").otherwise("mixed")
+    group = F.when(F.col("missed_by") == 0, "none missed").when(
+        F.col("missed_by") == F.col("configs"), "all missed").otherwise("some missed")
     return counts.withColumn("hardness", group)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.numeric import col, count_if, ratio, ratio_or_zero
 from tabulon.operators.ordered import histogram_of, quantiles, running_totals
+from tabulon.operators.skew import join_groups
 
 # Fixed grid of decision thresholds: 0.05, 0.10, ..., 0.95.
 THRESHOLDS = tuple(round(0.05 * i, 2) for i in range(1, 20))
@@ -102,7 +103,7 @@ def evaluate(df: DataFrame, label: str, score: str, by: Sequence[str] = (), *, t
     rank = ranking_metrics(curve, by).drop("positives", "negatives")
     table = rates(conf, by)
     if by:
-        return table.join(rank, list(by))
+        return join_groups(table, rank, list(by))
     from tabulon.session import one_row
     return table.withColumn("_k", one_row(rank)).select("*", "_k.*").drop("_k")
 
@@ -144,7 +145,7 @@ def best_threshold_extended(df: DataFrame, label: str, score: str, by: Sequence[
     edge = F.when(F.col("threshold") == high, "upper").when(F.col("threshold") == low, "lower").otherwise("none")
     base = base.select(*by, edge.alias("edge"))
     if by:
-        tagged = table.join(base, list(by))
+        tagged = join_groups(table, base, list(by))
     else:
         tagged = table.withColumn("edge", base.select("edge").scalar())
     usable = (F.col("threshold").between(low, high) | ((F.col("edge") == "upper") & (F.col("threshold") > high))
@@ -167,7 +168,7 @@ def threshold_stability(df: DataFrame, label: str, score: str, fold: str) -> Dat
     chosen = best_threshold(pooled).select("threshold").scalar()
     at_pooled = per_fold.withColumn("_t", chosen).where(F.col("threshold") == F.col("_t")).select(
         fold, F.col("threshold").alias("pooled_threshold"), F.col("f1").alias("f1_at_pooled"))
-    return best_threshold(per_fold, [fold]).join(at_pooled, fold)
+    return join_groups(best_threshold(per_fold, [fold]), at_pooled, [fold])
 
 
 def tie_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
@@ -185,7 +186,7 @@ def normalised_confusion(df: DataFrame, label: str, pred: Column, by: Sequence[s
     cells = df.groupBy(*by, col(label).cast("int").alias("label"), pred.cast("int").alias("pred")).agg(
         F.count(F.lit(1)).alias("n"))
     totals = cells.groupBy(*by, "label").agg(F.sum("n").alias("_t"))
-    return cells.join(totals, [*by, "label"]).withColumn("share", ratio(F.col("n"), F.col("_t"))).drop("_t")
+    return join_groups(cells, totals, [*by, "label"]).withColumn("share", ratio(F.col("n"), F.col("_t"))).drop("_t")
 
 
 def mean_baseline(train: DataFrame, test: DataFrame, target: str) -> DataFrame:

@@ -11,7 +11,7 @@ from tabulon.functions.numeric import col, count_if, ratio
 from tabulon.operators.contracts import any_of
 from tabulon.operators.profile import describe
 from tabulon.operators.reshape import rows_from
-from tabulon.operators.skew import attach_few
+from tabulon.operators.skew import attach_few, join_groups
 from tabulon.session import with_state
 
 
@@ -67,4 +67,4 @@ def box_stats(df: DataFrame, value: str, by: str, k: float = 1.5, *, small_bytes
     inside = attach_few(df.select(by, value), fences, [by], rows="_n", spread=value, small_bytes=small_bytes).where(
         col(value).between(F.col("_lo"), F.col("_hi")))
     whiskers = inside.groupBy(by).agg(F.min(value).alias("whisker_low"), F.max(value).alias("whisker_high"))
-    return q.join(whiskers, by, "left").drop("_lo", "_hi")
+    return join_groups(q, whiskers, [by], "left").drop("_lo", "_hi")

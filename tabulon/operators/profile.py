@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tabulon.functions.numeric import col, count_if, ratio
 from tabulon.operators.ordered import histogram_of, quantile_label, quantiles, running_totals
 from tabulon.operators.reshape import rows_from
-from tabulon.operators.skew import attach
+from tabulon.operators.skew import attach, join_groups
 from tabulon.session import is_small, one_row
 
 
@@ -97,7 +97,7 @@ def describe(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (.25,
         return rows
     long = df.select(*by, *[col(c).cast("double").alias(c) for c in cols]).unpivot(by, cols, "column", "value")
     qt = quantiles(long, "value", probs, [*by, "column"], small_bytes=small_bytes)
-    return rows.join(qt, [*by, "column"], "left")
+    return join_groups(rows, qt, [*by, "column"], "left")
 
 
 def corrected_skewness(c: Column) -> Column:
@@ -184,7 +184,7 @@ def token_stats(df: DataFrame, tokens: str, value: str, min_support: int = 1, *,
     long = df.where(col(value).isNotNull()).select(F.explode(col(tokens)).alias("token"), col(value).cast("double").alias("_v"))
     stats = long.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"))
     med = quantiles(long, "_v", [.5], ["token"], names=["median"], small_bytes=small_bytes)
-    return stats.join(med, "token").where(F.col("n") >= min_support)
+    return join_groups(stats, med, ["token"]).where(F.col("n") >= min_support)
 
 
 def histogram(df: DataFrame, value: str, edges_state: DataFrame, bins: int, by: Sequence[str] = ()) -> DataFrame:
@@ -200,7 +200,7 @@ def histogram(df: DataFrame, value: str, edges_state: DataFrame, bins: int, by:
     counts = inside.groupBy(*by, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.max(width).alias("_w"))
     totals = counts.groupBy(*by).agg(F.sum("n").alias("_tot"), F.max("_w").alias("_width"))
     if by:
-        joined = counts.join(totals, list(by))
+        joined = join_groups(counts, totals, list(by))
     else:
         joined = counts.withColumn("_t", one_row(totals)).select("*", "_t.*")
     return joined.select(*by, "bin", "n", ratio(F.col("n"), F.col("_tot") * F.col("_width")).alias("density"))

@@ -26,6 +26,13 @@ def _same(left: DataFrame, keys: Sequence[str], prefix: str):
     return on
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join two per-group results on their grouping keys; a null key is a group like any other."""
+    values = [c for c in right.columns if c not in keys]
+    renamed = right.select(*[col(k).alias(f"_g_{k}") for k in keys], *values)
+    return left.join(renamed, _same(left, keys, "_g_"), how).select(*[col(c) for c in left.columns], *values)
+
+
 def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], *, rows: str, spread: str,
            null_keys: bool = True, small_bytes: int | None = None) -> DataFrame:
     """Left join of `table` (unique on `keys`, nulls equal) to `df`, safe against hot keys.

@@ -266,7 +266,7 @@ def _(t: Tables):
 
 
 @query("x34_hard_row_profile", "WITH " + SQL_SCORED + f""", m AS (SELECT row_id, count(*) FILTER (score < 0.5) AS missed_by, any_value(amount) AS amount FROM scored WHERE label=1 GROUP BY 1)
-SELECT CASE missed_by WHEN 0 THEN 'caught by all' WHEN 3 THEN 'missed by all' ELSE 'mixed' END AS hardness, 'amount' AS "column", count(*) AS n, {r('avg(amount)')} AS mean, {r('stddev_samp(amount)')} AS std, {r('min(amount)')} AS min, {r('max(amount)')} AS max,
+SELECT CASE missed_by WHEN 0 THEN 'none missed' WHEN 3 THEN 'all missed' ELSE 'some missed' END AS hardness, 'amount' AS "column", count(*) AS n, {r('avg(amount)')} AS mean, {r('stddev_samp(amount)')} AS std, {r('min(amount)')} AS min, {r('max(amount)')} AS max,
  {r('quantile_cont(amount, 0.5)')} AS p50 FROM m GROUP BY 1""")
 def _(t: Tables):
     hard = Q.hardness(Q.miss_counts(t.scored, "config", "row_id", "label", M.decide("score", 0.5)))

@@ -312,7 +312,7 @@ def _(t: Tables):
     return compare_counts(parts.train.groupBy("toxic").agg(n), after.groupBy("toxic").agg(n), ["toxic"])
 
 
-@query("l3_group_split_by_title", "WITH " + SQL_RATED + r""", k AS (SELECT row_id, CASE WHEN name IS NULL THEN '__untitled__|' || row_id::VARCHAR ELSE lower(regexp_replace(name, '\s+', ' ', 'g')) || '|' || coalesce(year::INT::VARCHAR, 'NA') END AS group_id FROM rated)
+@query("l3_group_split_by_title", "WITH " + SQL_RATED + r""", k AS (SELECT row_id, CASE WHEN name IS NULL THEN 'no title|' || row_id::VARCHAR ELSE lower(regexp_replace(name, '\s+', ' ', 'g')) || '|' || coalesce(year::INT::VARCHAR, 'NA') END AS group_id FROM rated)
 SELECT row_id, split FROM k JOIN """ + sql_split("(SELECT DISTINCT group_id FROM k)", "group_id") + " USING (group_id)")
 def _(t: Tables):
     frame = prep.modelling_frame(t.titles, "row_id", "rating").select("row_id", group_key("name", "year", "row_id").alias("group_id"))

@@ -190,9 +190,9 @@ def _(t: Tables):
     return P.slot_coverage(prep.clean_titles(t.titles), ["actor_1", "actor_2", "actor_3"], "row_id", (10, 50, 100))
 
 
-@query("a20_duplicate_stats", """WITH g AS (SELECT l_quantity, l_discount, l_tax, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL)
+@query("a20_duplicate_stats", """WITH g AS (SELECT l_quantity, l_discount, l_tax, l_returnflag, count(*) AS n, count(*) FILTER (l_linestatus = 'F') AS f FROM lineitem GROUP BY ALL)
 SELECT sum(n)::BIGINT AS rows, sum(n - 1)::BIGINT AS extra_copies, sum(n) FILTER (n > 1)::BIGINT AS rows_in_groups, count(*) FILTER (n > 1) AS groups, max(n) AS largest_group,
- (SELECT count(*) FROM lineitem WHERE l_linestatus = 'F') AS flagged_rows FROM g""")
+ (sum(f) FILTER (n > 1))::BIGINT AS flagged_in_groups, sum(f)::BIGINT AS flagged_rows, """ + r("100.0 * sum(f) FILTER (n > 1) / sum(f)") + """ AS flagged_share FROM g""")
 def _(t: Tables):
     return D.duplicate_stats(t.lineitem, ["l_quantity", "l_discount", "l_tax", "l_returnflag"], F.col("l_linestatus") == "F")
 
@@ -398,7 +398,7 @@ def _(t: Tables):
     return f.select("p_partkey", F.col("in_duplicate_group").alias("repeated"))
 
 
-@query("d5_group_key", "WITH " + SQL_RATED + r""" SELECT row_id, CASE WHEN name IS NULL THEN '__untitled__|' || row_id::VARCHAR
+@query("d5_group_key", "WITH " + SQL_RATED + r""" SELECT row_id, CASE WHEN name IS NULL THEN 'no title|' || row_id::VARCHAR
  ELSE lower(regexp_replace(name, '\s+', ' ', 'g')) || '|' || coalesce(year::INT::VARCHAR, 'NA') END AS group_id FROM rated""")
 def _(t: Tables):
     return prep.modelling_frame(t.titles, "row_id", "rating").select("row_id", group_key("name", "year", "row_id").alias("group_id"))

@@ -24,9 +24,7 @@ from tabulon.operators.encode import PopulationScaler
 from tabulon.operators.metrics import decide, evaluate, regression_metrics
 from tabulon.operators.ordered import hash_numbering
 from tabulon.operators.resample import STRATEGIES, resample, with_class_weights
-from tabulon.session import is_small
 
-SMALL_TRAINING_BYTES = 16 * 1024 * 1024
 CLASSIFIERS = ("logistic_regression", "random_forest")
 REGRESSORS = ("linear", "ridge", "lasso", "forest", "boosting")
 
@@ -104,8 +102,6 @@ def fit(recipe: Recipe, train: DataFrame) -> PipelineModel:
             params["weightCol"] = "_weight"
         prepared = assembler.transform(changed)
     prepared = prepared.withColumn(recipe.label, col(recipe.label).cast("double"))
-    if is_small(train, SMALL_TRAINING_BYTES):
-        prepared = prepared.coalesce(4)  # iterations over little data are bound by task overhead
     prepared = prepared.persist()
     try:
         learner = estimator(replace(recipe, params=params), prepared.count())

@@ -30,18 +30,26 @@ def is_small(df: DataFrame, limit: int | None = None) -> bool:
     return input_bytes(df) <= (SMALL_INPUT_BYTES if limit is None else limit)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see. A session on one machine that names none gets a temporary one;
+    a cluster must name it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="tabulon-")
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
 
     Used where a later stage must see exactly the same physical layout twice. The folder is the
-    one set in `spark.checkpoint.dir`; only when neither the context nor the session names one
-    (local tests) is a temporary folder taken.
+    one set in `spark.checkpoint.dir` (see `shared_folder`).
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tabulon-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
@@ -58,9 +66,7 @@ def with_state(df: DataFrame, state: DataFrame, name: str = "_state") -> DataFra
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for written results, below the shared checkpoint folder where one is set."""
     import uuid
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    root = folder or tempfile.mkdtemp(prefix="tabulon-")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

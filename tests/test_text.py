@@ -47,7 +47,7 @@ def test_group_key_blank_titles_never_merge(spark):
     df = spark.createDataFrame([(1, "  The  FILM ", 2001.0), (2, "the film", 2001.0), (3, " ", 2001.0), (4, None, 2001.0), (5, "x", None)],
                                "id int, t string, y double")
     keys = [r[0] for r in df.orderBy("id").select(X.group_key("t", "y", "id")).collect()]
-    assert keys == ["the film|2001", "the film|2001", "__untitled__|3", "__untitled__|4", "x|NA"]
+    assert keys == ["the film|2001", "the film|2001", "no title|3", "no title|4", "x|NA"]
 
 
 def test_names(spark):
