@@ -52,6 +52,7 @@ def _(t: Tables):
 
 _CURVE = SQL_SCORED + """, h AS (SELECT {by}, score, sum(label)::BIGINT AS pos, sum(1-label)::BIGINT AS neg FROM scored GROUP BY {by}, score),
 cv AS (SELECT *, sum(pos) OVER w::BIGINT AS tp, sum(neg) OVER w::BIGINT AS fp, sum(pos) OVER (PARTITION BY {by})::BIGINT AS tot_pos, sum(neg) OVER (PARTITION BY {by})::BIGINT AS tot_neg FROM h WINDOW w AS (PARTITION BY {by} ORDER BY score DESC))"""
+_CURVE_OF_NULLS = _CURVE.replace(", h AS (", ", nulled AS (SELECT * REPLACE (nullif(config, 'mix') AS config) FROM scored), h AS (").replace("FROM scored GROUP BY {by}", "FROM nulled GROUP BY {by}")
 _AUC = f"{r('sum(neg * (tp - pos + pos/2.0)) / (max(tot_pos) * max(tot_neg))')} AS roc_auc, {r('sum(pos * tp / (tp + fp)) / max(tot_pos)')} AS pr_auc"
 
 
@@ -76,6 +77,12 @@ def _(t: Tables):
     return M.evaluate(t.scored, "label", "score", ["config", "fold"], threshold=0.4)
 
 
+@query("x3_x6_evaluate_null_group", "WITH " + _CURVE_OF_NULLS.replace("{by}", "config, fold") + f""", k AS (SELECT config, fold, {_CONF.replace('{t}', '0.4')} FROM nulled GROUP BY 1, 2), a AS (SELECT config, fold, {_AUC} FROM cv GROUP BY 1, 2)
+SELECT k.config, k.fold, tp, fp, fn, tn, {_RATES}, tp+fn AS positives, fp+tn AS negatives, roc_auc, pr_auc FROM k JOIN a ON k.config IS NOT DISTINCT FROM a.config AND k.fold = a.fold""")
+def _(t: Tables):
+    return M.evaluate(t.scored.withColumn("config", F.nullif("config", F.lit("mix"))), "label", "score", ["config", "fold"], threshold=0.4)
+
+
 def _grid_sql(by: str, grid, where: str = "") -> str:
     lead = f"{by}, " if by else ""
     return f"""g AS (SELECT unnest([{', '.join(str(x) for x in grid)}])::DOUBLE AS threshold), tt AS (SELECT {lead}threshold, count(*) FILTER (label=1 AND score>=threshold) AS tp, count(*) FILTER (label=0 AND score>=threshold) AS fp,
@@ -186,6 +193,12 @@ def _(t: Tables):
     return Q.residual_summary(_resid(t), ["o_orderstatus"])
 
 
+@query("x22_residual_summary_null_group", "WITH " + SQL_RESID + f""" SELECT nullif(o_orderstatus, 'P') AS status, count(*) AS n, {r('avg(residual)')} AS mean, {r('stddev_samp(residual)')} AS std, {r('min(residual)')} AS min, {r('max(residual)')} AS max, {r('skewness(residual)')} AS skewness,
+ {r('avg((residual > 0)::INT)')} AS share_positive, {r('avg((abs_error <= 0.5)::INT)')} AS within_0_5, {r('avg((abs_error <= 1)::INT)')} AS within_1, {r('avg((abs_error <= 2)::INT)')} AS within_2, {r('quantile_cont(residual, 0.5)')} AS median FROM e GROUP BY 1""")
+def _(t: Tables):
+    return Q.residual_summary(_resid(t).withColumn("status", F.nullif("o_orderstatus", F.lit("P"))), ["status"])
+
+
 @query("x23_error_table", "WITH " + SQL_RESID + f""" SELECT o_orderkey, o_orderpriority, {r('actual')} AS actual, {r('p_year')} AS p_year, {r('residual')} AS residual, {r('abs_error')} AS abs_error, {r('100*abs_error/actual')} AS pct_error
 FROM e ORDER BY round(abs_error, 9) DESC, o_orderkey LIMIT 100""")
 def _(t: Tables):
