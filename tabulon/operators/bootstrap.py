@@ -53,10 +53,10 @@ def rmse_difference(df: DataFrame, row_id: str, actual: str, models: Sequence[st
 
 
 def classification_intervals(df: DataFrame, row_id: str, label: str, score: str, *, threshold: float = .5, b: int = 2000,
-                             seed: int = 42, small_bytes: int | None = None) -> DataFrame:
+                             seed: int = 42) -> DataFrame:
     """Intervals of precision, recall, F1, PR-AUC and ROC-AUC; replicates without a positive are skipped."""
     rep = replicates(df.select(row_id, label, score), row_id, b, seed)
-    curve = curve_points(rep, label, score, ["replicate"], weight="weight", small_bytes=small_bytes)
+    curve = curve_points(rep, label, score, ["replicate"], weight="weight")
     flagged = F.col("score") >= threshold
     counts = curve.groupBy("replicate").agg(
         F.coalesce(F.sum(F.when(flagged, F.col("pos"))), F.lit(0)).alias("tp"),

@@ -15,13 +15,13 @@ from tabulon.functions.numeric import col, count_if, ratio
 from tabulon.operators.skew import attach
 
 
-def duplicate_flags(df: DataFrame, cols: Sequence[str], row_id: str, *, small_bytes: int | None = None) -> DataFrame:
+def duplicate_flags(df: DataFrame, cols: Sequence[str], row_id: str) -> DataFrame:
     """Add `copies` (group size), `is_extra` (not the first copy) and `in_duplicate_group`.
 
     Nulls compare equal. `row_id` (unique) defines which copy is first.
     """
     groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"), F.min(row_id).alias("_first"))
-    out = attach(df, groups, cols, rows="copies", spread=row_id, small_bytes=small_bytes)
+    out = attach(df, groups, cols, rows="copies", spread=row_id)
     return (out.withColumn("is_extra", col(row_id) != F.col("_first"))
             .withColumn("in_duplicate_group", F.col("copies") > 1).drop("_first"))
 
@@ -57,9 +57,9 @@ def group_size_distribution(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("groups"))
 
 
-def row_log(df: DataFrame, raw_cols: Sequence[str], row_id: str, target: str, *, small_bytes: int | None = None) -> DataFrame:
+def row_log(df: DataFrame, raw_cols: Sequence[str], row_id: str, target: str) -> DataFrame:
     """(step, rows) of dedupe + target filter, in one pass over flagged rows."""
-    flagged = duplicate_flags(df, raw_cols, row_id, small_bytes=small_bytes)
+    flagged = duplicate_flags(df, raw_cols, row_id)
     has = col(target).isNotNull()
     one = flagged.agg(F.count(F.lit(1)).alias("a"), count_if(F.col("is_extra")).alias("b"),
                       count_if(F.col("is_extra") & has).alias("c"), count_if(~F.col("is_extra")).alias("d"),

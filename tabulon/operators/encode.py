@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tabulon.functions.numeric import bucket_floor, col
 from tabulon.functions.text import clean_text, name_set, slug, split_tokens, strip
 from tabulon.operators.skew import attach
-from tabulon.session import is_small, one_row, with_state
+from tabulon.session import one_row, with_state
 
 # Indicator columns are real columns; beyond this many use the token array output instead.
 MAX_INDICATORS = 2000
@@ -95,22 +95,20 @@ class GroupMedianImputer(Estimator):
     itself is filled with its training median. Adds <value>_missing.
     """
 
-    def __init__(self, by: str, value: str, *, width: int = 10, min_group_size: int = 30,
-                 small_bytes: int | None = None):
+    def __init__(self, by: str, value: str, *, width: int = 10, min_group_size: int = 30):
         super().__init__()
         self.by, self.value, self.width = by, value, width
-        self.min_group_size, self.small_bytes = min_group_size, small_bytes
+        self.min_group_size = min_group_size
 
     def _fit(self, df: DataFrame) -> GroupMedianImputerModel:
         from tabulon.operators.ordered import quantiles
         rows = df.select(col(self.by).cast("double").alias("by"), col(self.value).cast("double").alias("value"))
-        kw = {"small_bytes": self.small_bytes}
-        overall = quantiles(rows, "value", [.5], names=["value_median"], **kw).withColumn(
-            "by_median", one_row(quantiles(rows, "by", [.5], names=["m"], **kw))["m"])
+        overall = quantiles(rows, "value", [.5], names=["value_median"]).withColumn(
+            "by_median", one_row(quantiles(rows, "by", [.5], names=["m"]))["m"])
         known = with_state(rows.where(F.col("value").isNotNull()), overall, "_o").select(
             bucket_floor(F.coalesce("by", "_o.by_median"), self.width).alias("bucket"), "value")
         sizes = known.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= self.min_group_size)
-        medians = quantiles(known, "value", [.5], ["bucket"], names=["median"], **kw).join(sizes, "bucket")
+        medians = quantiles(known, "value", [.5], ["bucket"], names=["median"]).join(sizes, "bucket")
         return GroupMedianImputerModel(
             {"by": self.by, "value": self.value, "width": self.width,
              "features": [self.by, self.value, f"{self.value}_missing"]},
@@ -163,18 +161,13 @@ class PeopleEncoderModel(StateModel):
         # `_cnt` is how many training rows carry the name: a good guide to hot names at scoring.
         table = self.state["counts"].select(F.col("name").alias("_name"), F.col("n").alias("_cnt"))
         out = df
-        if is_small(df, c.get("small_bytes")):
-            for s in cols:
-                found = table.select(F.col("_name"), F.col("_cnt").alias(f"_c_{slug(s)}"))
-                out = out.join(found, strip(s) == F.col("_name"), "left").drop("_name")
-        else:
-            # Only (row id, slot, name) is shuffled by name; the wide rows move once, by row id.
-            long = df.select(row_id, F.posexplode(F.array(*[strip(s) for s in cols])).alias("_slot", "_name")).where(
-                F.col("_name").isNotNull())
-            found = attach(long, table, ["_name"], rows="_cnt", spread=row_id, small_bytes=0)
-            per_row = found.groupBy(row_id).agg(*[
-                F.max(F.when(F.col("_slot") == i, F.col("_cnt"))).alias(f"_c_{slug(s)}") for i, s in enumerate(cols)])
-            out = out.join(per_row, row_id, "left")
+        # Only (row id, slot, name) is shuffled by name; the wide rows move once, by row id.
+        long = df.select(row_id, F.posexplode(F.array(*[strip(s) for s in cols])).alias("_slot", "_name")).where(
+            F.col("_name").isNotNull())
+        found = attach(long, table, ["_name"], rows="_cnt", spread=row_id)
+        per_row = found.groupBy(row_id).agg(*[
+            F.max(F.when(F.col("_slot") == i, F.col("_cnt"))).alias(f"_c_{slug(s)}") for i, s in enumerate(cols)])
+        out = out.join(per_row, row_id, "left")
         for s in cols:
             out = out.withColumns({f"{slug(s)}_count": F.coalesce(f"_c_{slug(s)}", F.lit(0)),
                                    f"{slug(s)}_missing": clean_text(s).isNull().cast("int")}).drop(f"_c_{slug(s)}")
@@ -213,16 +206,15 @@ class PeopleEncoder(Estimator):
     array of names with at least `min_count` training rows.
     """
 
-    def __init__(self, prefix: str, cols: Sequence[str], row_id: str, *, min_count: int = 10,
-                 small_bytes: int | None = None):
+    def __init__(self, prefix: str, cols: Sequence[str], row_id: str, *, min_count: int = 10):
         super().__init__()
         self.prefix, self.cols, self.row_id = prefix, list(cols), row_id
-        self.min_count, self.small_bytes = min_count, small_bytes
+        self.min_count = min_count
 
     def _fit(self, df: DataFrame) -> PeopleEncoderModel:
         counts = df.select(F.explode(name_set(self.cols)).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
         return PeopleEncoderModel({"prefix": self.prefix, "cols": self.cols, "row_id": self.row_id,
-                                   "min_count": self.min_count, "small_bytes": self.small_bytes}, {"counts": counts})
+                                   "min_count": self.min_count}, {"counts": counts})
 
 
 SCALING = ("standard", "minimal", "log_amount", "passthrough")

@@ -21,14 +21,13 @@ def with_residuals(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return df.withColumns({"residual": e, "abs_error": F.abs(e), "pct_error": 100 * F.abs(ratio(e, col(actual)))})
 
 
-def residual_summary(df: DataFrame, by: Sequence[str] = (), bounds: Sequence[float] = (.5, 1, 2), *,
-                     small_bytes: int | None = None) -> DataFrame:
+def residual_summary(df: DataFrame, by: Sequence[str] = (), bounds: Sequence[float] = (.5, 1, 2)) -> DataFrame:
     r = F.col("residual")
     stats = df.groupBy(*by).agg(
         F.count(r).alias("n"), F.avg(r).alias("mean"), F.stddev_samp(r).alias("std"), F.min(r).alias("min"), F.max(r).alias("max"),
         corrected_skewness(r).alias("skewness"), mean_if(r > 0).alias("share_positive"),
         *[mean_if(F.abs(r) <= b).alias(f"within_{str(b).replace('.', '_')}") for b in bounds])
-    med = quantiles(df, "residual", [.5], by, names=["median"], small_bytes=small_bytes)
+    med = quantiles(df, "residual", [.5], by, names=["median"])
     if by:
         return join_groups(stats, med, list(by))
     return stats.withColumn("median", med.select("median").scalar())
@@ -69,24 +68,23 @@ def calibration(df: DataFrame, band: Column, actual: str, predicted: str, small:
     return error_by(df, band, "band", actual, predicted).drop("rmse").withColumn("small_sample", F.col("n") < small)
 
 
-def largest_errors(df: DataFrame, share: float = 0.1, *, small_bytes: int | None = None) -> DataFrame:
+def largest_errors(df: DataFrame, share: float = 0.1) -> DataFrame:
     """Flag rows whose absolute error reaches the (1 - share) quantile."""
-    cut = quantiles(df, "abs_error", [1 - share], names=["cut"], small_bytes=small_bytes)
+    cut = quantiles(df, "abs_error", [1 - share], names=["cut"])
     return with_state(df, cut, "_q").withColumn("is_large", F.col("abs_error") >= F.col("_q.cut")).drop("_q")
 
 
-def error_profile(df: DataFrame, shares: Mapping[str, Column], medians: Mapping[str, str], *, flag: str = "is_large",
-                  small_bytes: int | None = None) -> DataFrame:
+def error_profile(df: DataFrame, shares: Mapping[str, Column], medians: Mapping[str, str], *, flag: str = "is_large") -> DataFrame:
     """Flagged rows against the rest: n, shares of conditions, medians of columns."""
     base = df.groupBy(flag).agg(F.count(F.lit(1)).alias("n"), *[mean_if(c).alias(n) for n, c in shares.items()])
     for name, c in medians.items():
-        base = join_groups(base, quantiles(df, c, [.5], [flag], names=[name], small_bytes=small_bytes), [flag], "left")
+        base = join_groups(base, quantiles(df, c, [.5], [flag], names=[name]), [flag], "left")
     return base
 
 
-def prediction_range(df: DataFrame, cols: Sequence[str], *, small_bytes: int | None = None) -> DataFrame:
+def prediction_range(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Spread of actual against predicted values, incl. the p95 - p5 span."""
-    d = describe(df, cols, [.05, .5, .95], small_bytes=small_bytes)
+    d = describe(df, cols, [.05, .5, .95])
     return d.withColumn("span", F.col("p95") - F.col("p5"))
 
 
@@ -95,9 +93,9 @@ def outcome(label: str, pred: Column) -> Column:
     return F.when((y == 1) & (p == 1), "TP").when((y == 1) & (p == 0), "FN").when((y == 0) & (p == 1), "FP").otherwise("TN")
 
 
-def outcome_profile(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), *, small_bytes: int | None = None) -> DataFrame:
+def outcome_profile(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """mean / median / max of columns per outcome (and configuration)."""
-    return describe(df, cols, [.5], [*by, "outcome"], small_bytes=small_bytes)
+    return describe(df, cols, [.5], [*by, "outcome"])
 
 
 def score_bands(df: DataFrame, label: str, band: Column, by: Sequence[str] = ()) -> DataFrame:

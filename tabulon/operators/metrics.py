@@ -32,10 +32,9 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[
         (1 - ratio(F.var_pop(e), F.var_pop(y))).alias("explained_variance"))
 
 
-def median_absolute_error(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = (), *,
-                          small_bytes: int | None = None) -> DataFrame:
+def median_absolute_error(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
     err = df.select(*by, F.abs(col(actual) - col(predicted)).alias("_e"))
-    return quantiles(err, "_e", [.5], by, names=["median_ae"], small_bytes=small_bytes)
+    return quantiles(err, "_e", [.5], by, names=["median_ae"])
 
 
 def confusion(df: DataFrame, label: str, pred: Column, by: Sequence[str] = ()) -> DataFrame:
@@ -64,8 +63,7 @@ def decide(score: str, threshold: float, *, strict: bool = False) -> Column:
     return (col(score) > threshold) if strict else (col(score) >= threshold)
 
 
-def curve_points(df: DataFrame, label: str, score: str, by: Sequence[str] = (), *, weight: str | None = None,
-                 small_bytes: int | None = None) -> DataFrame:
+def curve_points(df: DataFrame, label: str, score: str, by: Sequence[str] = (), *, weight: str | None = None) -> DataFrame:
     """One row per distinct score, highest first: tp, fp flagged at `score >= value`, precision,
     recall (tpr) and fpr. Rows with equal scores always move together."""
     y = col(label).cast("int")
@@ -73,7 +71,7 @@ def curve_points(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
     hist = histogram_of(df.select(*by, col(score).alias("score"), y.alias("_y"), w.alias("_w")), by, "score",
                         pos=F.sum(F.when(F.col("_y") == 1, F.col("_w")).otherwise(0)),
                         neg=F.sum(F.when(F.col("_y") == 0, F.col("_w")).otherwise(0)))
-    cum = running_totals(hist, by, "score", ["pos", "neg"], descending=True, small_bytes=small_bytes)
+    cum = running_totals(hist, by, "score", ["pos", "neg"], descending=True)
     return cum.select(*by, "score", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                       "tot_pos", "tot_neg", ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
                       ratio(F.col("cum_pos"), F.col("tot_pos")).alias("recall"),
@@ -92,10 +90,9 @@ def ranking_metrics(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         ratio(F.sum(F.when(F.col("pos") > 0, pos * F.col("precision")).otherwise(0.0)), F.max("tot_pos")).alias("pr_auc"))
 
 
-def evaluate(df: DataFrame, label: str, score: str, by: Sequence[str] = (), *, threshold: float = 0.5, strict: bool = False,
-             small_bytes: int | None = None) -> DataFrame:
+def evaluate(df: DataFrame, label: str, score: str, by: Sequence[str] = (), *, threshold: float = 0.5, strict: bool = False) -> DataFrame:
     """Threshold metrics and ranking metrics of every group from one histogram of scores."""
-    curve = curve_points(df, label, score, by, small_bytes=small_bytes)
+    curve = curve_points(df, label, score, by)
     flagged = decide("score", threshold, strict=strict)
     conf = curve.groupBy(*by).agg(
         F.sum(F.when(flagged, F.col("pos")).otherwise(0)).alias("tp"), F.sum(F.when(flagged, F.col("neg")).otherwise(0)).alias("fp"),

@@ -1,10 +1,9 @@
 """Order-dependent aggregates that do not pull a group into one task.
 
 The input is first collapsed to one row per distinct (group, value) - ties vanish and a value held
-by a third of all rows becomes a single row. Small inputs (checked through Catalyst's size of the
-leaf relations) then use a plain window. Larger ones are range-partitioned on the composite key
+by a third of all rows becomes a single row. The rest is range-partitioned on the composite key
 (group, value), so even one dominating group is spread over many tasks; running totals are taken
-inside each range and shifted by the totals of the ranges before it.
+inside each range and shifted by the totals of the ranges before it. There is one plan at every size.
 """
 
 from __future__ import annotations
@@ -15,7 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.numeric import col
-from tabulon.session import is_small, materialise
+from tabulon.session import input_bytes, materialise
+
+
+RANGE_BYTES = 128 * 1024 * 1024
+# Catalyst's estimate for a relation of unknown size is beyond any real one.
+UNKNOWN_BYTES = 1 << 60
 
 
 def histogram_of(df: DataFrame, by: Sequence[str], value: str, **sums: Column) -> DataFrame:
@@ -24,8 +28,15 @@ def histogram_of(df: DataFrame, by: Sequence[str], value: str, **sums: Column) -
     return df.groupBy(*by, value).agg(*aggs)
 
 
+def range_count(df: DataFrame) -> int:
+    """Ranges to sort into: the shuffle setting, or more where the files below hold over RANGE_BYTES per range."""
+    size = input_bytes(df)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(least, -(-size // RANGE_BYTES)) if size < UNKNOWN_BYTES else least
+
+
 def running_totals(hist: DataFrame, by: Sequence[str], value: str, sums: Sequence[str], *,
-                   descending: bool = False, small_bytes: int | None = None,
+                   descending: bool = False,
                    ranges: int | None = None) -> DataFrame:
     """Add `cum_<s>` (inclusive running total along `value`) and `tot_<s>` (group total).
 
@@ -34,14 +45,7 @@ def running_totals(hist: DataFrame, by: Sequence[str], value: str, sums: Sequenc
     by = list(by)
     key = col(value).desc() if descending else col(value).asc()
     group = by or [F.lit(1)]
-    if is_small(hist, small_bytes):
-        run = Window.partitionBy(*group).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-        whole = Window.partitionBy(*group)
-        return hist.select("*", *[F.sum(s).over(run).alias(f"cum_{s}") for s in sums],
-                           *[F.sum(s).over(whole).alias(f"tot_{s}") for s in sums])
-
-    spark = hist.sparkSession
-    ranges = ranges or max(64, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    ranges = ranges or range_count(hist)
     parts = materialise(
         hist.repartitionByRange(ranges, *[col(b).asc() for b in by], key)
         .withColumn("_range", F.spark_partition_id()))
@@ -70,16 +74,12 @@ def quantile_label(q: float) -> str:
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), *,
-              names: Sequence[str] | None = None, small_bytes: int | None = None) -> DataFrame:
+              names: Sequence[str] | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group; nulls are ignored."""
     by, names = list(by), list(names or [quantile_label(q) for q in probs])
     present = df.where(col(value).isNotNull())
-    if is_small(df, small_bytes):
-        arr = F.percentile(col(value), F.array(*[F.lit(float(q)) for q in probs]))
-        return (present.groupBy(*by).agg(arr.alias("_q"))
-                .select(*by, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)]))
     hist = histogram_of(present.select(*by, col(value).cast("double").alias("_v")), by, "_v")
-    cum = running_totals(hist, by, "_v", ["n"], small_bytes=small_bytes)
+    cum = running_totals(hist, by, "_v", ["n"])
     picks = []
     for q, nm in zip(probs, names, strict=True):
         pos = (F.col("tot_n") - 1) * F.lit(float(q))
@@ -92,18 +92,17 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
                              .alias(nm) for nm in names])
 
 
-def average_ranks(df: DataFrame, value: str, by: Sequence[str] = (), *, descending: bool = False,
-                  small_bytes: int | None = None) -> DataFrame:
+def average_ranks(df: DataFrame, value: str, by: Sequence[str] = (), *, descending: bool = False) -> DataFrame:
     """(by, value, n, first_rank, avg_rank): ties share the average rank; one row per value."""
     hist = histogram_of(df.where(col(value).isNotNull()).select(*by, value), by, value)
-    cum = running_totals(hist, by, value, ["n"], descending=descending, small_bytes=small_bytes)
+    cum = running_totals(hist, by, value, ["n"], descending=descending)
     start = F.col("cum_n") - F.col("n")
     return cum.select(*by, value, "n", (start + 1).alias("first_rank"),
                       (start + (F.col("n") + 1) / F.lit(2.0)).alias("avg_rank"))
 
 
 def kth_in_hash_order(keys: DataFrame, hash_col: str, tie: str, wanted: DataFrame,
-                      strata: Sequence[str] = (), *, small_bytes: int | None = None) -> DataFrame:
+                      strata: Sequence[str] = ()) -> DataFrame:
     """The (hash, tie) pair at each wanted rank of the (hash, tie) order, per stratum.
 
     `wanted` holds (strata..., mark, rank). Hashes are uniform, so counting their top 16 bits
@@ -111,10 +110,6 @@ def kth_in_hash_order(keys: DataFrame, hash_col: str, tie: str, wanted: DataFram
     ranked. Returns (strata..., mark, cut_hash, cut_tie).
     """
     strata = list(strata)
-    if is_small(keys, small_bytes):
-        order = Window.partitionBy(*(strata or [F.lit(1)])).orderBy(hash_col, tie)
-        return (keys.withColumn("rank", F.row_number().over(order)).join(wanted, [*strata, "rank"])
-                .select(*strata, "mark", F.col(hash_col).alias("cut_hash"), F.col(tie).alias("cut_tie")))
     sliced = keys.select(*strata, F.col(hash_col).alias("_h"), F.col(tie).alias("_t"),
                          F.shiftright(F.col(hash_col), 44).alias("_slice"))
     counts = sliced.groupBy(*strata, "_slice").agg(F.count(F.lit(1)).alias("_n"))

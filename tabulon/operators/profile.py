@@ -12,7 +12,7 @@ from tabulon.functions.numeric import col, count_if, ratio
 from tabulon.operators.ordered import histogram_of, quantile_label, quantiles, running_totals
 from tabulon.operators.reshape import rows_from
 from tabulon.operators.skew import attach, join_groups
-from tabulon.session import is_small, one_row
+from tabulon.session import one_row
 
 
 def _value_family(t: T.DataType) -> str:
@@ -77,26 +77,19 @@ def null_patterns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (.25, .5, .75),
-             by: Sequence[str] = (), *, small_bytes: int | None = None) -> DataFrame:
+             by: Sequence[str] = ()) -> DataFrame:
     """count, mean, sample std, min, exact quantiles, max: one row per (group, column)."""
     by, cols = list(by), list(cols)
     stats = [e for c in cols for e in (
         F.count(col(c)).alias(f"{c}__n"), F.avg(col(c)).alias(f"{c}__mean"),
         F.stddev_samp(col(c)).alias(f"{c}__std"), F.min(col(c)).cast("double").alias(f"{c}__min"),
         F.max(col(c)).cast("double").alias(f"{c}__max"))]
-    small = is_small(df, small_bytes)
-    if small:
-        qs = F.array(*[F.lit(float(q)) for q in probs])
-        stats += [F.percentile(col(c), qs).alias(f"{c}__q") for c in cols]
     wide = df.groupBy(*by).agg(*stats)
     rows = rows_from(wide, by, [{
         "column": F.lit(c), "n": F.col(f"{c}__n"), "mean": F.col(f"{c}__mean"), "std": F.col(f"{c}__std"),
-        "min": F.col(f"{c}__min"), "max": F.col(f"{c}__max"),
-        **({quantile_label(q): F.col(f"{c}__q")[i] for i, q in enumerate(probs)} if small else {})} for c in cols])
-    if small:
-        return rows
+        "min": F.col(f"{c}__min"), "max": F.col(f"{c}__max")} for c in cols])
     long = df.select(*by, *[col(c).cast("double").alias(c) for c in cols]).unpivot(by, cols, "column", "value")
-    qt = quantiles(long, "value", probs, [*by, "column"], small_bytes=small_bytes)
+    qt = quantiles(long, "value", probs, [*by, "column"])
     return join_groups(rows, qt, [*by, "column"], "left")
 
 
@@ -179,11 +172,11 @@ def contingency(df: DataFrame, a: str | Column, b: str, b_values: Sequence) -> D
     return df.groupBy(a).pivot(b, list(b_values)).agg(F.count(F.lit(1))).na.fill(0)
 
 
-def token_stats(df: DataFrame, tokens: str, value: str, min_support: int = 1, *, small_bytes: int | None = None) -> DataFrame:
+def token_stats(df: DataFrame, tokens: str, value: str, min_support: int = 1) -> DataFrame:
     """Per list element: rows, mean, median and sample std of `value`, with a support floor."""
     long = df.where(col(value).isNotNull()).select(F.explode(col(tokens)).alias("token"), col(value).cast("double").alias("_v"))
     stats = long.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"))
-    med = quantiles(long, "_v", [.5], ["token"], names=["median"], small_bytes=small_bytes)
+    med = quantiles(long, "_v", [.5], ["token"], names=["median"])
     return join_groups(stats, med, ["token"]).where(F.col("n") >= min_support)
 
 
@@ -206,18 +199,18 @@ def histogram(df: DataFrame, value: str, edges_state: DataFrame, bins: int, by:
     return joined.select(*by, "bin", "n", ratio(F.col("n"), F.col("_tot") * F.col("_width")).alias("density"))
 
 
-def class_histogram_limits(df: DataFrame, value: str, label: str, *, small_bytes: int | None = None) -> DataFrame:
+def class_histogram_limits(df: DataFrame, value: str, label: str) -> DataFrame:
     """One-row (lo, hi): 0.1 / 99.9 percentiles, widened by the positive class's 1 / 99."""
-    everyone = quantiles(df, value, [.001, .999], names=["a", "b"], small_bytes=small_bytes)
-    positive = quantiles(df.where(col(label) == 1), value, [.01, .99], names=["c", "d"], small_bytes=small_bytes)
+    everyone = quantiles(df, value, [.001, .999], names=["a", "b"])
+    positive = quantiles(df.where(col(label) == 1), value, [.01, .99], names=["c", "d"])
     return everyone.withColumn("_p", one_row(positive)).select(
         F.least("a", "_p.c").alias("lo"), F.greatest("b", "_p.d").alias("hi"))
 
 
-def ecdf(df: DataFrame, value: str, by: Sequence[str] = (), *, small_bytes: int | None = None) -> DataFrame:
+def ecdf(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Empirical distribution function at every distinct value."""
     hist = histogram_of(df.where(col(value).isNotNull()).select(*by, value), by, value)
-    cum = running_totals(hist, by, value, ["n"], small_bytes=small_bytes)
+    cum = running_totals(hist, by, value, ["n"])
     return cum.select(*by, value, "n", ratio(F.col("cum_n"), F.col("tot_n")).alias("ecdf"))
 
 
@@ -228,7 +221,7 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return rows_from(one, [], [{"a": F.lit(a), "b": F.lit(b), "r": F.col(f"_r{i}")} for i, (a, b) in enumerate(pairs)])
 
 
-def spearman(df: DataFrame, x: str, y: str, *, small_bytes: int | None = None) -> DataFrame:
+def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Spearman correlation with average ranks for ties.
 
     Works on distinct (x, y) pairs with counts; ranks come from value histograms.
@@ -238,20 +231,20 @@ def spearman(df: DataFrame, x: str, y: str, *, small_bytes: int | None = None) -
 
     def ranks(c):
         hist = pairs.groupBy(c).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("pairs"))
-        cum = running_totals(hist, [], c, ["n"], small_bytes=small_bytes)
+        cum = running_totals(hist, [], c, ["n"])
         centred = F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2 - (F.col("tot_n") + 1) / 2
         return cum.select(c, centred.alias(f"r_{c}"), F.col("pairs").alias(f"pairs_{c}"))
 
-    got = attach(pairs, ranks("x"), ["x"], rows="pairs_x", spread="y", small_bytes=small_bytes)
-    got = attach(got, ranks("y"), ["y"], rows="pairs_y", spread="x", small_bytes=small_bytes)
+    got = attach(pairs, ranks("x"), ["x"], rows="pairs_x", spread="y")
+    got = attach(got, ranks("y"), ["y"], rows="pairs_y", spread="x")
     n, a, b = F.col("n"), F.col("r_x"), F.col("r_y")
     return got.agg(F.sum(n).alias("n"), ratio(F.sum(n * a * b), F.sqrt(F.sum(n * a * a) * F.sum(n * b * b))).alias("rho"))
 
 
-def class_separation(df: DataFrame, cols: Sequence[str], label: Column, *, small_bytes: int | None = None) -> DataFrame:
+def class_separation(df: DataFrame, cols: Sequence[str], label: Column) -> DataFrame:
     """Per feature: mean / median / std per class and the standardised mean difference."""
     tagged = df.select(label.cast("int").alias("_y"), *[col(c).cast("double").alias(c) for c in cols])
-    d = describe(tagged, cols, [.5], ["_y"], small_bytes=small_bytes)
+    d = describe(tagged, cols, [.5], ["_y"])
     pick = lambda k, c: F.max(F.when(F.col("_y") == k, F.col(c)))
     wide = d.groupBy("column").agg(*[pick(k, c).alias(f"{c}_{k}") for k in (0, 1) for c in ("n", "mean", "p50", "std")])
     pooled_var = ((F.col("n_0") - 1) * F.col("std_0") ** 2 + (F.col("n_1") - 1) * F.col("std_1") ** 2) / (

@@ -13,14 +13,14 @@ from tabulon.operators.skew import attach
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, value: str, *, default, rows: str, spread: str,
-           name: str | None = None, small_bytes: int | None = None) -> DataFrame:
+           name: str | None = None) -> DataFrame:
     """value of `key` in `table` (unique, non-null keys), `default` when the key is unseen or null.
 
     `rows` (about how many rows carry the key) and `spread` (a column to scatter hot keys by) keep
     the join safe against dominating keys.
     """
     got = table.select(col(key), col(value).alias("_lv"), col(rows).alias("_ln"))
-    out = attach(df, got, [key], rows="_ln", spread=spread, null_keys=False, small_bytes=small_bytes)
+    out = attach(df, got, [key], rows="_ln", spread=spread, null_keys=False)
     return out.withColumn(name or value, F.coalesce("_lv", F.lit(default))).drop("_lv", "_ln")
 
 

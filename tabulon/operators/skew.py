@@ -8,14 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.numeric import col
-from tabulon.session import is_small
+from tabulon.session import stored
 
 # A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE
 # hot keys whatever the data: the broadcast below has a fixed bound.
 HOT_SHARE = 1000
 SALTS = 256
-# A result table of at most this many rows is collected and broadcast as a local relation.
-FEW_ROWS = 10_000
 
 
 def _same(left: DataFrame, keys: Sequence[str], prefix: str):
@@ -34,7 +32,7 @@ def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 
 
 def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], *, rows: str, spread: str,
-           null_keys: bool = True, small_bytes: int | None = None) -> DataFrame:
+           null_keys: bool = True) -> DataFrame:
     """Left join of `table` (unique on `keys`, nulls equal) to `df`, safe against hot keys.
 
     `rows` is the column of `table` that says how many rows of `df` carry the key; `spread` is a
@@ -43,9 +41,8 @@ def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], *, rows: str, s
     """
     values = [c for c in table.columns if c not in keys]
     renamed = table.select(*[col(k).alias(f"_k_{k}") for k in keys], F.struct(*values).alias("_v"))
-    if is_small(df, small_bytes):
-        return df.join(renamed, _same(df, keys, "_k_"), "left").select(*df.columns, "_v.*")
-    total = table.agg(F.sum(rows)).scalar()
+    renamed = stored(renamed, "attach")  # read for the total, the hot and the other keys
+    total = renamed.agg(F.sum(F.col(f"_v.{rows}"))).scalar()
     is_hot = F.col(f"_v.{rows}") * F.lit(HOT_SHARE) > total
     hot = renamed.where(is_hot).select(*[F.col(f"`_k_{k}`").alias(f"_h_{k}") for k in keys],
                                        F.col("_v").alias("_hot"))
@@ -60,19 +57,12 @@ def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], *, rows: str, s
     return joined.withColumn("_v", F.coalesce("_hot", "_v")).select(*df.columns, "_v.*")
 
 
-def attach_few(df: DataFrame, table: DataFrame, keys: Sequence[str], *, rows: str, spread: str,
-               small_bytes: int | None = None) -> DataFrame:
+def attach_few(df: DataFrame, table: DataFrame, keys: Sequence[str], *, rows: str, spread: str) -> DataFrame:
     """`attach` for keys expected to take few values (labels, categories, periods).
 
-    For large inputs the per-key table is computed once; when it has at most FEW_ROWS rows it is
-    broadcast, so `df` is not shuffled at all. A longer table goes through `attach`.
+    The per-key table is written once, so that Spark knows its size: a small one is broadcast by the
+    planner and `df` is not shuffled; a large one is joined by a shuffle whose skewed parts Spark splits.
     """
-    if is_small(df, small_bytes):
-        return attach(df, table, keys, rows=rows, spread=spread, small_bytes=small_bytes)
-    got = table.limit(FEW_ROWS + 1).collect()
-    if len(got) > FEW_ROWS:
-        return attach(df, table, keys, rows=rows, spread=spread, small_bytes=small_bytes)
     values = [c for c in table.columns if c not in keys]
-    local = df.sparkSession.createDataFrame(got, table.schema)
-    renamed = local.select(*[col(k).alias(f"_k_{k}") for k in keys], F.struct(*values).alias("_v"))
-    return df.join(F.broadcast(renamed), _same(df, keys, "_k_"), "left").select(*df.columns, "_v.*")
+    renamed = stored(table.select(*[col(k).alias(f"_k_{k}") for k in keys], F.struct(*values).alias("_v")), "attach")
+    return df.join(renamed, _same(df, keys, "_k_"), "left").select(*df.columns, "_v.*")

@@ -49,8 +49,7 @@ def _stratum(stratify: str | None) -> Column:
     return F.coalesce(F.concat(F.lit("="), col(stratify).cast("string")), F.lit("null")) if stratify else F.lit("all")
 
 
-def _boundaries(df: DataFrame, key: str, seed, shares: Sequence[float], stratify: str | None, distinct: bool,
-                small_bytes: int | None) -> Column:
+def _boundaries(df: DataFrame, key: str, seed, shares: Sequence[float], stratify: str | None, distinct: bool) -> Column:
     """Map stratum -> boundary (hash, key) after each cumulative share, as a scalar subquery."""
     by = ["_s"] if stratify else []
     keys = df.select(*([_stratum(stratify).alias("_s")] if by else []), col(key).alias("_key"))
@@ -60,7 +59,7 @@ def _boundaries(df: DataFrame, key: str, seed, shares: Sequence[float], stratify
     totals = keys.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"))
     marks = F.array(*[F.struct(F.lit(i).alias("mark"), F.round(F.col("_total") * F.lit(float(s))).cast("bigint").alias("rank"))
                       for i, s in enumerate(shares)])
-    cuts = kth_in_hash_order(keys, "_hash", "_key", totals.select(*by, F.inline(marks)), by, small_bytes=small_bytes)
+    cuts = kth_in_hash_order(keys, "_hash", "_key", totals.select(*by, F.inline(marks)), by)
     if not by:
         cuts = cuts.withColumn("_s", _stratum(None))
     per = cuts.groupBy("_s").agg(F.array_sort(F.collect_list(F.struct("mark", "cut_hash", "cut_tie"))).alias("_cuts"))
@@ -70,10 +69,9 @@ def _boundaries(df: DataFrame, key: str, seed, shares: Sequence[float], stratify
     return per.select(entry.alias("_e")).agg(F.map_from_entries(F.collect_list("_e"))).scalar()
 
 
-def _position(df: DataFrame, key: str, seed, shares: Sequence[float], stratify: str | None, distinct: bool,
-              small_bytes: int | None) -> DataFrame:
+def _position(df: DataFrame, key: str, seed, shares: Sequence[float], stratify: str | None, distinct: bool) -> DataFrame:
     """Add `_pos`: how many boundaries lie strictly before the row. A narrow projection of `df`."""
-    cuts = _boundaries(df, key, seed, shares, stratify, distinct, small_bytes)
+    cuts = _boundaries(df, key, seed, shares, stratify, distinct)
     placed = df.withColumn("_all", cuts).withColumn("_cuts", F.col("_all")[_stratum(stratify)]).withColumn("_h", digest(seed, key))
     h, k = F.col("_h"), col(key)
     before = lambda b: (b["cut_hash"] < h) | ((b["cut_hash"] == h) & (b["cut_tie"] < k))
@@ -84,7 +82,7 @@ def _position(df: DataFrame, key: str, seed, shares: Sequence[float], stratify:
 
 
 def split(df: DataFrame, row_id: str, *, test: float = 0.2, seed: int = 42, stratify: str | None = None,
-          group: str | None = None, small_bytes: int | None = None) -> Split:
+          group: str | None = None) -> Split:
     """Random, stratified (`stratify`) or whole-group (`group`) split; `test` is a share of rows,
     of every class, or of groups. The test part holds exactly round(n * test) of them.
 
@@ -93,17 +91,17 @@ def split(df: DataFrame, row_id: str, *, test: float = 0.2, seed: int = 42, stra
     """
     if stratify and group:
         raise ValueError("stratify and group cannot be combined")
-    out = _position(df, group or row_id, seed, [test], stratify, bool(group), small_bytes)
+    out = _position(df, group or row_id, seed, [test], stratify, bool(group))
     label = F.when(F.col("_pos") == 0, F.lit("test")).otherwise(F.lit("train"))
     return Split(out.withColumn("split", label).drop("_pos"))
 
 
 def folds(df: DataFrame, row_id: str, k: int = 5, *, seed: int = 42, stratify: str | None = None,
-          group: str | None = None, name: str = "fold", small_bytes: int | None = None) -> DataFrame:
+          group: str | None = None, name: str = "fold") -> DataFrame:
     """Add fold numbers 1..k; fold sizes (rows, rows per class, or groups) differ by at most one."""
     if stratify and group:
         raise ValueError("stratify and group cannot be combined")
-    out = _position(df, group or row_id, seed, [i / k for i in range(1, k)], stratify, bool(group), small_bytes)
+    out = _position(df, group or row_id, seed, [i / k for i in range(1, k)], stratify, bool(group))
     return out.withColumn(name, F.col("_pos") + 1).drop("_pos")
 
 

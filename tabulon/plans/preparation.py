@@ -76,12 +76,12 @@ def clean_titles(raw: DataFrame) -> DataFrame:
             "genre_list": split_tokens("genre")})
 
 
-def modelling_frame(raw: DataFrame, row_id: str, target: str, *, small_bytes: int | None = None) -> DataFrame:
+def modelling_frame(raw: DataFrame, row_id: str, target: str) -> DataFrame:
     """Exact duplicates out (first kept), rows with a target only, (name, year) repeats flagged."""
     cols = [c for c in raw.columns if c != row_id]
     rated = clean_titles(dedupe_first(raw, cols, row_id)).where(col(target).isNotNull())
     groups = rated.groupBy("name", "year").agg(F.count(F.lit(1)).alias("_repeat"))
-    return attach(rated, groups, ["name", "year"], rows="_repeat", spread=row_id, small_bytes=small_bytes).withColumn(
+    return attach(rated, groups, ["name", "year"], rows="_repeat", spread=row_id).withColumn(
         "name_year_repeat", F.col("_repeat") > 1).drop("_repeat")
 
 

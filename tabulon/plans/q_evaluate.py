@@ -63,7 +63,7 @@ def _(t: Tables):
 
 @query("x5_x6_range_partitioned", "WITH " + _CURVE.replace("{by}", "config") + f" SELECT config, max(tot_pos) AS positives, max(tot_neg) AS negatives, {_AUC} FROM cv GROUP BY 1")
 def _(t: Tables):
-    return M.ranking_metrics(M.curve_points(t.scored, "label", "score", ["config"], small_bytes=0), ["config"])
+    return M.ranking_metrics(M.curve_points(t.scored, "label", "score", ["config"]), ["config"])
 
 
 @query("x7_x8_curve_points", "WITH " + _CURVE.replace("{by}", "config") + f" SELECT config, {r('score')} AS score, pos, neg, tp, fp, tot_pos, tot_neg, {r('tp/(tp+fp)')} AS precision, {r('tp/tot_pos')} AS recall, {r('fp/tot_neg')} AS fpr FROM cv")

@@ -75,7 +75,7 @@ def _(t: Tables):
 @query("a5_quantiles_range_partitioned", "SELECT l_returnflag, " + ", ".join(
     f"{r(f'quantile_cont(l_extendedprice, {q})')} AS p{int(q * 100)}" for q in _NINE) + " FROM lineitem GROUP BY 1")
 def _(t: Tables):
-    return quantiles(t.lineitem, "l_extendedprice", _NINE, ["l_returnflag"], small_bytes=0)
+    return quantiles(t.lineitem, "l_extendedprice", _NINE, ["l_returnflag"])
 
 
 @query("a6_group_aggregation", f"""SELECT l_returnflag, l_linestatus, count(*) AS n, {r('avg(l_extendedprice)')} AS mean_price, {r('quantile_cont(l_extendedprice, 0.5)')} AS median_price,
@@ -235,7 +235,7 @@ def _(t: Tables):
 
 @query("a23_spearman_range_partitioned", _SPEARMAN)
 def _(t: Tables):
-    return P.spearman(t.lineitem.withColumn("s", F.col("l_tax") + F.col("l_discount")), "l_quantity", "s", small_bytes=0)
+    return P.spearman(t.lineitem.withColumn("s", F.col("l_tax") + F.col("l_discount")), "l_quantity", "s")
 
 
 @query("a25_class_separation", union(f"""SELECT '{c}' AS "column", count(*) FILTER (y=0) AS n_0, {r(f'avg({c}) FILTER (y=0)')} AS mean_0, {r(f'quantile_cont({c}, 0.5) FILTER (y=0)')} AS p50_0,
@@ -315,7 +315,7 @@ def _(t: Tables):
 
 @query("a33_ecdf_range_partitioned", _ECDF)
 def _(t: Tables):
-    return P.ecdf(t.transactions, "amount", ["label"], small_bytes=0)
+    return P.ecdf(t.transactions, "amount", ["label"])
 
 
 @query("a34_linear_fit", union(f"SELECT '{c}' AS feature, {r(f'regr_slope(l_extendedprice, {c})', 4)} AS slope, {r(f'regr_intercept(l_extendedprice, {c})', 4)} AS intercept FROM lineitem"
@@ -372,7 +372,7 @@ def _(t: Tables):
 
 @query("d1_duplicate_flags_hot_keys", "SELECT o_orderkey, count(*) OVER w AS copies, o_orderkey <> min(o_orderkey) OVER w AS is_extra FROM orders WINDOW w AS (PARTITION BY o_orderstatus, o_orderpriority)")
 def _(t: Tables):
-    return D.duplicate_flags(t.orders, ["o_orderstatus", "o_orderpriority"], "o_orderkey", small_bytes=0).select("o_orderkey", "copies", "is_extra")
+    return D.duplicate_flags(t.orders, ["o_orderstatus", "o_orderpriority"], "o_orderkey").select("o_orderkey", "copies", "is_extra")
 
 
 @query("d2_dedupe_first", "WITH " + SQL_TITLES + f" SELECT min(row_id) AS row_id FROM titles GROUP BY {', '.join(TITLE_COLUMNS)}")

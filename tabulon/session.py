@@ -1,4 +1,4 @@
-"""Session helpers: plan-size checks, durable intermediate results, one-row state."""
+"""Session helpers: input sizes, durable intermediate results, one-row state."""
 
 from __future__ import annotations
 
@@ -7,10 +7,6 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Inputs up to this many (file) bytes may be ordered inside single window tasks;
-# larger inputs take the range-partitioned plans.
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Settings every plan of this package relies on (all are session scoped)."""
@@ -26,10 +22,6 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    return input_bytes(df) <= (SMALL_INPUT_BYTES if limit is None else limit)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors see. A session on one machine that names none gets a temporary one;
     a cluster must name it."""

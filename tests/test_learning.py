@@ -25,7 +25,7 @@ from tabulon.streaming import flows
 def test_group_median_imputer(spark, small):
     rows = [(2001.0, 100.0)] * 30 + [(2001.0, None)] + [(1985.0, 50.0)] * 5 + [(1985.0, None), (None, None)]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, year double, d double")
-    out = {r["id"]: r for r in E.GroupMedianImputer("year", "d", small_bytes=small).fit(df).transform(df).collect()}
+    out = {r["id"]: r for r in E.GroupMedianImputer("year", "d").fit(df).transform(df).collect()}
     assert (out[30]["d"], out[30]["d_missing"]) == (100.0, 1)
     assert out[36]["d"] == 100.0          # small decade: overall median
     assert (out[37]["year"], out[37]["d"]) == (2001.0, 100.0)
@@ -44,7 +44,7 @@ def test_multi_hot_counts_unseen_tokens(spark):
 def test_people_encoder(spark, small):
     schema = "id int, a string, b string"
     train = spark.createDataFrame([(1, "x", " x "), (2, "y", "x"), (3, None, "y"), (4, "w", None)], schema)
-    model = E.PeopleEncoder("who", ["a", "b"], "id", min_count=2, small_bytes=small).fit(train)
+    model = E.PeopleEncoder("who", ["a", "b"], "id", min_count=2).fit(train)
     new = spark.createDataFrame([(1, " x", "y"), (2, "new", None), (3, "x", "x"), (4, None, " ")], schema)
     out = {r["id"]: r for r in model.with_indicators(model.transform(new)).collect()}
     assert (out[1]["a_count"], out[1]["b_count"], out[1]["who_listed"], out[1]["who_frequent"]) == (2, 2, 2, ["x", "y"])

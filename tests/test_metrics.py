@@ -34,7 +34,7 @@ def scored(spark):
 
 @pytest.mark.parametrize("small", [None, 0])
 def test_auc_and_ap_with_ties(spark, scored, small):
-    r = M.ranking_metrics(M.curve_points(scored, "label", "score", small_bytes=small)).first()
+    r = M.ranking_metrics(M.curve_points(scored, "label", "score")).first()
     assert r["roc_auc"] == pytest.approx(brute_auc(ROWS))
     assert r["pr_auc"] == pytest.approx(brute_ap(ROWS))
 
@@ -44,7 +44,7 @@ def test_random_scores_against_brute_force(spark, small):
     rng = random.Random(5)
     rows = [(i, int(rng.random() < .3), round(rng.random(), 2)) for i in range(400)]
     df = spark.createDataFrame(rows, "row_id int, label int, score double").repartition(7)
-    r = M.ranking_metrics(M.curve_points(df, "label", "score", small_bytes=small)).first()
+    r = M.ranking_metrics(M.curve_points(df, "label", "score")).first()
     assert r["roc_auc"] == pytest.approx(brute_auc(rows))
     assert r["pr_auc"] == pytest.approx(brute_ap(rows))
 

@@ -22,7 +22,7 @@ def values(spark):
 
 @pytest.mark.parametrize("parts", [1, 4, 17])
 def test_quantiles_match_numpy(values, parts):
-    got = {r["g"]: r for r in O.quantiles(values.repartition(parts), "v", [.05, .5, .9], ["g"], small_bytes=0).collect()}
+    got = {r["g"]: r for r in O.quantiles(values.repartition(parts), "v", [.05, .5, .9], ["g"]).collect()}
     pdf = values.dropna().toPandas()
     for g, s in pdf.groupby("g")["v"]:
         assert [got[g][n] for n in ("p5", "p50", "p90")] == pytest.approx(list(np.quantile(s, [.05, .5, .9])))
@@ -33,13 +33,13 @@ def test_running_totals_descending(values):
     h = O.histogram_of(values.where("v is not null"), ["g"], "v")
     key = lambda d: sorted(map(tuple, d.select("g", "v", "n", "cum_n", "tot_n").collect()))
     assert key(O.running_totals(h, ["g"], "v", ["n"], descending=True)) == key(
-        O.running_totals(h, ["g"], "v", ["n"], descending=True, small_bytes=0, ranges=9))
+        O.running_totals(h, ["g"], "v", ["n"], descending=True, ranges=9))
 
 
 def test_running_totals_with_null_group(spark):
     h = spark.createDataFrame([(None, 1.0, 2), (None, 2.0, 3), ("x", 1.0, 5)], "g string, v double, n int")
     a = sorted(map(str, O.running_totals(h, ["g"], "v", ["n"]).collect()))
-    assert a == sorted(map(str, O.running_totals(h, ["g"], "v", ["n"], small_bytes=0).collect()))
+    assert a == sorted(map(str, O.running_totals(h, ["g"], "v", ["n"]).collect()))
 
 
 @pytest.mark.parametrize("small", [None, 0])
@@ -47,7 +47,7 @@ def test_spearman_matches_pandas(spark, small):
     rng = random.Random(3)
     rows = [(float(rng.randint(0, 8)), float(rng.randint(0, 5))) for _ in range(300)]
     rows = [(x, y + x / 3) for x, y in rows]
-    got = P.spearman(spark.createDataFrame(rows, "x double, y double"), "x", "y", small_bytes=small).first()
+    got = P.spearman(spark.createDataFrame(rows, "x double, y double"), "x", "y").first()
     ranked = pd.DataFrame(rows, columns=["x", "y"]).rank()
     assert got["rho"] == pytest.approx(ranked["x"].corr(ranked["y"]))
 
@@ -55,7 +55,7 @@ def test_spearman_matches_pandas(spark, small):
 @pytest.mark.parametrize("small", [None, 0])
 def test_describe_and_moments(values, small):
     pdf = values.toPandas()["v"].dropna()
-    r = P.describe(values, ["v"], small_bytes=small).first()
+    r = P.describe(values, ["v"]).first()
     assert (r["n"], r["mean"], r["std"]) == (len(pdf), pytest.approx(pdf.mean()), pytest.approx(pdf.std()))
     m = P.moments(values, ["v"]).first()
     assert m["skewness"] == pytest.approx(pdf.skew()) and m["kurtosis"] == pytest.approx(pdf.kurt())
@@ -75,7 +75,7 @@ def test_attach_with_hot_and_null_keys(spark, join, small):
     rows = [(i, "hot" if i % 3 else None if i % 2 else f"k{i}") for i in range(3000)]
     df = spark.createDataFrame(rows, "id int, k string")
     t = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    got = join(df, t, ["k"], rows="n", spread="id", small_bytes=small).collect()
+    got = join(df, t, ["k"], rows="n", spread="id").collect()
     sizes = pd.Series([k for _, k in rows]).value_counts(dropna=False).to_dict()
     sizes = {None if not isinstance(k, str) else k: v for k, v in sizes.items()}
     assert len(got) == 3000 and all(r["n"] == sizes[r["k"]] for r in got)
@@ -84,7 +84,7 @@ def test_attach_with_hot_and_null_keys(spark, join, small):
 def test_attach_without_null_keys_keeps_rows(spark):
     df = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(100)], "id int, k string")
     t = spark.createDataFrame([("a", 5), ("b", 1)], "k string, n int")
-    got = attach(df, t, ["k"], rows="n", spread="id", null_keys=False, small_bytes=0).collect()
+    got = attach(df, t, ["k"], rows="n", spread="id", null_keys=False).collect()
     assert len(got) == 100 and sum(r["n"] == 5 for r in got) == 50
 
 

@@ -19,16 +19,16 @@ def assignment(df, c):
 
 @pytest.mark.parametrize("small", [None, 0])
 def test_split_sizes_and_replay(rows, small):
-    want = assignment(L.split(rows, "id", small_bytes=small).frame, "split")
+    want = assignment(L.split(rows, "id").frame, "split")
     assert sum(v == "test" for v in want.values()) == round(1003 * .2)
     for parts in (1, 4, 17):
-        assert assignment(L.split(rows.repartition(parts), "id", small_bytes=small).frame, "split") == want
-    assert assignment(L.split(rows, "id", seed=43, small_bytes=small).frame, "split") != want
+        assert assignment(L.split(rows.repartition(parts), "id").frame, "split") == want
+    assert assignment(L.split(rows, "id", seed=43).frame, "split") != want
 
 
 def test_large_plan_equals_small_plan(rows):
     for kw in ({}, {"stratify": "y"}, {"group": "g"}):
-        assert assignment(L.folds(rows, "id", 4, small_bytes=0, **kw), "fold") == assignment(L.folds(rows, "id", 4, **kw), "fold")
+        assert assignment(L.folds(rows, "id", 4, **kw), "fold") == assignment(L.folds(rows, "id", 4, **kw), "fold")
 
 
 def test_stratified_counts(rows):
