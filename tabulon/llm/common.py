@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step inside a task handles at a time (a single longer text is one step).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: The words of all operators are maximal runs of other characters than these.
 BLANKS = b" \t\n\x0b\x0c\r"
 _IS_BLANK = np.zeros(256, bool)
