@@ -51,7 +51,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(_documents(spark, sf_dir)))
 
 
-@query("op6_vectors")
+@query("op6_vectors", vectors.ORACLE_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 

@@ -148,3 +148,15 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, nearest: int
     linked = rows.filter("key IS NOT NULL").join(labels, F.col("key") == F.col("_key")).select("vec_id", "n_links", "component_id")
     alone = rows.filter("key IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+#: All pairs in DuckDB; the index finds every pair of the small tables.
+ORACLE_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      AND CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) END >= {THRESHOLD}),
+r(id, c) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a), m AS (SELECT id, min(c) AS c FROM r GROUP BY id)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, m.c AS component_id, v.vec_id = m.c AS kept FROM v JOIN m ON m.id = v.vec_id LEFT JOIN n ON n.a = v.vec_id
+"""

@@ -138,6 +138,37 @@ def test_mixing_targets_and_budgets(docs_of, prose):
     assert plain(mixing.digest(mixing.mix(docs_of(rows[::-1]).repartition(5)))) == plain(mixing.digest(mixing.mix(docs_of(rows))))
 
 
+def test_mixing_against_brute_force(docs_of, prose):
+    import hashlib
+    import math
+    rows = [(50 * s + i, prose(50 * s + i, 5 + 17 * i % 120), "en", src, 0) for s, (src, n) in enumerate([("a", 40), ("b", 30), ("c", 45), (None, 20)]) for i in range(n)]
+    got = mixing.mix(docs_of(rows)).collect()
+    for source in ("a", "b", "c", None):
+        mine = {r["doc_id"]: r for r in got if r["source"] == source}
+        first = next(iter(mine.values()))
+        budget = math.floor(first["target"] - first["epochs"] * first["source_size"] + 0.5)
+        order = []
+        for i, text, _, src, _ in rows:
+            if src == source:
+                u = (int(hashlib.md5(f"mix:{i}".encode()).hexdigest()[:12], 16) + 0.5) / 2 ** 48
+                share = max(0.05, sum(c.isascii() and c.isalpha() or not c.isascii() for c in text) / len(text))
+                order.append((-math.log(u) / share, i, mine[i]["size"]))
+        order.sort()
+        extra, total = set(), 0
+        for _, i, n in order:
+            if total + n > budget:
+                break
+            extra.add(i)
+            total += n
+        for k in range(mixing.FILLS):
+            gap = budget - total
+            free = [(abs(gap - n), key, i, n) for key, i, n in order if i not in extra and n > 0 and abs(gap - n) < gap and (n <= gap or k + 1 == mixing.FILLS)]
+            if free:
+                extra.add(min(free)[2])
+                total += min(free)[3]
+        assert {i for i, r in mine.items() if r["extra"] and r["size"]} == {i for i in extra if mine[i]["size"]}
+
+
 def test_mixing_prefers_heavy_documents(spark, docs_of):
     df = docs_of([(i, "a b c d", "en", "x" if i < 400 else "y", 0) for i in range(800)])
     heavy = F.when(F.col("doc_id") % 2 == 0, 9.0).otherwise(1.0)
