@@ -21,8 +21,7 @@ from tabulon.streaming import flows
 
 # ------------------------------------------------------------------ encoders
 
-@pytest.mark.parametrize("small", [None, 0])
-def test_group_median_imputer(spark, small):
+def test_group_median_imputer(spark):
     rows = [(2001.0, 100.0)] * 30 + [(2001.0, None)] + [(1985.0, 50.0)] * 5 + [(1985.0, None), (None, None)]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, year double, d double")
     out = {r["id"]: r for r in E.GroupMedianImputer("year", "d").fit(df).transform(df).collect()}
@@ -40,8 +39,7 @@ def test_multi_hot_counts_unseen_tokens(spark):
     assert [(r["g=a"], r["g=b"], r["g_missing"], r["g_count"]) for r in out] == [(0, 1, 0, 2), (0, 0, 1, 0), (0, 0, 1, 0)]
 
 
-@pytest.mark.parametrize("small", [None, 0])
-def test_people_encoder(spark, small):
+def test_people_encoder(spark):
     schema = "id int, a string, b string"
     train = spark.createDataFrame([(1, "x", " x "), (2, "y", "x"), (3, None, "y"), (4, "w", None)], schema)
     model = E.PeopleEncoder("who", ["a", "b"], "id", min_count=2).fit(train)

@@ -32,15 +32,13 @@ def scored(spark):
     return spark.createDataFrame(ROWS, "row_id int, label int, score double")
 
 
-@pytest.mark.parametrize("small", [None, 0])
-def test_auc_and_ap_with_ties(spark, scored, small):
+def test_auc_and_ap_with_ties(spark, scored):
     r = M.ranking_metrics(M.curve_points(scored, "label", "score")).first()
     assert r["roc_auc"] == pytest.approx(brute_auc(ROWS))
     assert r["pr_auc"] == pytest.approx(brute_ap(ROWS))
 
 
-@pytest.mark.parametrize("small", [None, 0])
-def test_random_scores_against_brute_force(spark, small):
+def test_random_scores_against_brute_force(spark):
     rng = random.Random(5)
     rows = [(i, int(rng.random() < .3), round(rng.random(), 2)) for i in range(400)]
     df = spark.createDataFrame(rows, "row_id int, label int, score double").repartition(7)

@@ -31,8 +31,7 @@ def test_row_id_is_required(copies):
         D.dedupe_first(copies.drop("id"), ["k"], "id")
 
 
-@pytest.mark.parametrize("small", [None, 0])
-def test_flags(copies, small):
+def test_flags(copies):
     got = {r["id"]: (r["copies"], r["is_extra"], r["in_duplicate_group"]) for r in D.duplicate_flags(copies, ["k", "v"], "id").collect()}
     assert got == {1: (2, False, True), 3: (2, True, True), 2: (1, False, False), 4: (1, False, False), 5: (2, False, True), 6: (2, True, True)}
 
