@@ -89,7 +89,7 @@ def prepare_records(df: DataFrame) -> DataFrame:
     """Loose scoring input to feature columns: year and duration in any accepted spelling, absent
     optional fields null, target and votes ignored. `usable` is false without a year."""
     if "year" not in df.columns:
-        raise ValueError("missing required field(s): ['year']")
+        raise ValueError("records need a year")
     get = lambda c: col(c) if c in df.columns else F.lit(None).cast("string")
     keep = [c for c in df.columns if c not in ("year", "duration", "genre", "director", "actor_1", "actor_2", "actor_3",
                                                "rating", "votes")]

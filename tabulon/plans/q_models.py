@@ -285,7 +285,7 @@ def _(t: Tables):
 
 @query("z3_stream_hourly_counts", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def _(t: Tables):
-    out = flows.run_once(flows.hourly_counts(_event_stream(t), "ts", "event_type"), scratch_path(t.spark, "stream-hours"), mode="complete")
+    out = flows.run_once(flows.hourly_counts(_event_stream(t), "ts", "event_type"), scratch_path(t.spark, "stream-hours"), mode="update", keys=("hour_start", "event_type"))
     return out.select(F.date_format("hour_start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n")
 
 

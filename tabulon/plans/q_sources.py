@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tabulon.functions.numeric import band, col, count_if
 
 from tabulon.operators import contracts as C
-from tabulon.operators.dedupe import dedupe_first, row_log
+from tabulon.operators.dedupe import row_log
 from tabulon.operators.metrics import decide
 from tabulon.operators.relate import hash_sample
 from tabulon.operators.skew import attach
@@ -57,8 +57,7 @@ def _(t: Tables):
     df = t.titles
     quoted = {"quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": "", "nullValue": "\\N"}
     df.write.options(header=True, **quoted).csv(path)
-    back = t.spark.read.schema(df.schema).options(header=True, **quoted).csv(path)
-    return dedupe_first(back, list(TITLE_COLUMNS), "row_id").select("row_id", "name", "votes")
+    return files.read_csv(t.spark, path, df.schema, row_id="row_id", **quoted).select("row_id", "name", "votes")
 
 
 @query("s4_parquet_roundtrip", "SELECT event_type, count(*) AS n, " + r("sum(value)", 2) + " AS total FROM events GROUP BY 1", 2)

@@ -121,7 +121,7 @@ def score(model: PipelineModel, df: DataFrame, recipe: Recipe) -> DataFrame:
 def predict_batch(model: PipelineModel, df: DataFrame, features: Sequence[str], label: str, threshold: float) -> DataFrame:
     """Input plus score and predicted class; refuses input that carries the label. Works on streams."""
     if label in df.columns:
-        raise ValueError(f"scoring input must not contain the target column {label!r}")
+        raise ValueError(f"rows to be scored hold the label {label!r}")
     missing = [c for c in features if c not in df.columns]
     if missing:
         raise ValueError(f"scoring input lacks {missing}")

@@ -15,13 +15,13 @@ from tabulon.operators.dedupe import dedupe_first
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, *, encoding: str = "UTF-8",
-             contract: Contract | None = None, strict: bool = False, row_id: str | None = None) -> DataFrame:
-    """CSV with a declared schema. strict=True fails on malformed lines.
+             contract: Contract | None = None, strict: bool = False, row_id: str | None = None, **options) -> DataFrame:
+    """CSV with a declared schema; `options` are Spark's. strict=True fails on malformed lines.
 
     With a `row_id` exact duplicates over the other columns are dropped, first copy kept.
     """
     df = (spark.read.schema(schema).option("header", True).option("encoding", encoding)
-          .option("mode", "FAILFAST" if strict else "PERMISSIVE").option("enforceSchema", False).csv(path))
+          .option("mode", "FAILFAST" if strict else "PERMISSIVE").option("enforceSchema", False).options(**options).csv(path))
     if contract is not None:
         df = require(df, contract)
     if row_id is not None:
@@ -32,7 +32,7 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, *, enco
 def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     missing = sorted(set(columns) - set(df.columns))
     if missing:
-        raise ContractError(f"missing expected columns: {missing}")
+        raise ContractError(f"the file has no column {', '.join(missing)}")
     return df
 
 

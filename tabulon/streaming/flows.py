@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tabulon.functions.numeric import col
 from tabulon.operators.contracts import Rule, with_errors
@@ -42,19 +43,24 @@ def score_stream(stream: DataFrame, model: PipelineModel, features: Sequence[str
     return predict_batch(model, stream, features, label, threshold)
 
 
-def run_once(stream: DataFrame, path: str, *, mode: str = "append") -> DataFrame:
+def run_once(stream: DataFrame, path: str, *, mode: str = "append", keys: tuple[str, ...] = ()) -> DataFrame:
     """Process everything available into parquet files under `path` and read them back.
 
-    `complete` output goes through foreachBatch and keeps the last full result.
+    `update` output needs the `keys` of a row: each batch writes the rows it changed (again, if it is replayed), and the
+    latest of each key is read. State behind the watermark is dropped and late rows are refused, as in append mode.
     """
     spark = stream.sparkSession
     if mode == "append":
         q = (stream.writeStream.format("parquet").option("path", f"{path}/data").option("checkpointLocation", f"{path}/checkpoint")
              .outputMode("append").trigger(availableNow=True).start())
     else:
-        def keep(batch: DataFrame, _epoch: int) -> None:
-            batch.write.mode("overwrite").parquet(f"{path}/data")
+        def keep(batch: DataFrame, epoch: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{path}/data/epoch={epoch}")
         q = (stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{path}/checkpoint")
              .outputMode(mode).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/data")
+    if mode == "append":
+        return spark.read.schema(stream.schema).parquet(f"{path}/data")
+    rows = spark.read.schema(StructType([*stream.schema.fields, StructField("epoch", LongType())])).parquet(f"{path}/data")
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*stream.columns), "epoch").alias("_row"))
+    return last.select("_row.*")
