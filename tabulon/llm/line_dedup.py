@@ -205,7 +205,7 @@ def duplicate_lines(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     wanted = members.select("id").distinct().join(classes.select("id", "digest", "first.doc_id"), "id")
     wanted = wanted.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("id", "digest")).alias("wanted"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
-    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc"))).select(F.explode(_pick("text", "wanted")).alias("x")).select("x.id", "x.text")
+    texts = texts.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc"))).select(F.explode(_pick("text", "wanted")).alias("x")).select("x.id", "x.text")
     texts = stored(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
     sizes = stored(members.groupBy(F.col("bucket").alias("_b")).agg(F.ceil(F.count("*") / block).cast("int").alias("parts")).filter("parts > 1"), "crowded")
     spread = members.join(sizes, F.col("bucket") == F.col("_b"), "left").withColumn("mine", F.expr("coalesce(pmod(xxhash64(id), parts), 0)"))
@@ -242,7 +242,7 @@ def drop_duplicate_lines(docs: DataFrame) -> DataFrame:
     loses its last line with a word is dropped: all it said stands in other documents. Texts without a word stay."""
     found = duplicate_lines(docs).filter("NOT kept")
     gone = stored(found.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("line_no").alias("__gone")), "gone")
-    rows = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left").withColumn("__left", _without(F.col("text").cast("string"), "__gone"))
+    rows = docs.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")), "left").withColumn("__left", _without(F.col("text").cast("string"), "__gone"))
     rows = rows.filter(F.col("__left").isNotNull() | F.col("__gone").isNull())
     new = {"text": F.col("__left"), "n_chars": F.length("__left").cast(dict(docs.dtypes).get("n_chars", "long"))}
     return rows.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

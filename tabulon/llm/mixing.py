@@ -148,5 +148,5 @@ def repeat_rows(docs: DataFrame, **options) -> DataFrame:
     copies = mixed.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"))
     copies = stored(copies.agg(F.max(F.col("epochs") + F.col("extra").cast("long")).alias("__copies")), "copies")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").cast("string").eqNullSafe(F.col("__source")) & (word_count(F.col("text")) == F.col("__size"))
-    rows = docs.join(copies.filter("__copies > 0"), same)
+    rows = docs.join(copies.filter("__copies > 0").hint("merge"), same)
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])

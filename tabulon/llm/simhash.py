@@ -145,7 +145,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     marks = near_duplicates(docs)
     named = stored(marks.filter("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct(), "kept")
     unnamed = stored(marks.filter("component_id IS NULL").select(F.col("fp").alias("__fp"), F.col("root").alias("__root")).distinct(), "unnamed")
-    rows = docs.join(named, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
+    rows = docs.join(named.hint("merge"), F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
     others = docs.filter("doc_id IS NULL").withColumn("__print", fingerprint_of(F.col("text")))
     others = others.join(unnamed, F.col("__print") == F.col("__fp")).dropDuplicates(["__root"])
     return rows.unionByName(others.select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -310,7 +310,7 @@ def covered_ranges(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     dealt = told.repartition(F.when(F.col("known"), F.xxhash64("anchor", "tid")).otherwise(F.col("anchor"))).sortWithinPartitions("anchor")
     repeated = stored(dealt.mapInArrow(_repeated, "anchor long, tid long"), "anchors")
     wanted = repeated.groupBy("tid").agg(F.collect_set("anchor").alias("wanted")).join(firsts, "tid").select(F.col("first_id").alias("_id"), F.col("tid").alias("_tid"), "wanted")
-    found = docs.join(wanted, (F.col("doc_id") == F.col("_id")) & (F.col("tid") == F.col("_tid"))).select("doc_id", "text", "wanted")
+    found = docs.join(wanted.hint("merge"), (F.col("doc_id") == F.col("_id")) & (F.col("tid") == F.col("_tid"))).select("doc_id", "text", "wanted")
     rows = stored(found.mapInArrow(_pieces, "anchor long, doc_id long, start long, count long, piece binary"), "pieces")
     drop(repeated)
     heavy = rows.filter("piece IS NOT NULL").groupBy(F.col("anchor").alias("_anchor")).agg(F.count("*").alias("n")).filter(F.col("n") > HEAVY).select("_anchor")
@@ -343,7 +343,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     copies = copies.select(F.col("doc_id").alias("_id"), F.lit(True).alias("_copy")).distinct()
     marks = stored(gathered.join(copies, "_id", "full"), "marks")
     drop(ranges, keyed, classes)
-    joined = rows.join(marks, F.col("doc_id") == F.col("_id"), "left")
+    joined = rows.join(marks.hint("merge"), F.col("doc_id") == F.col("_id"), "left")
     cut = joined.withColumn("_c", _cut("text", "_starts", "_counts", F.coalesce("_copy", F.lit(False))))
     return cut.select("doc_id", "_c.n_bytes", "_c.n_removed", F.col("_c.n_spans").cast("long").alias("n_spans"), "_c.text", "_c.kept_sha256")
 
