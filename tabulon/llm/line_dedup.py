@@ -22,7 +22,10 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from tabulon.llm.common import chunks, components, drop, roots, stored, text_of
 
-SHINGLE = 8
+#: A character changed in the middle of a line takes SHINGLE shingles; at the threshold this links lines of 39 characters on.
+SHINGLE = 4
+#: Lines of fewer characters are one shingle, so only equal ones are linked.
+WHOLE = 8
 THRESHOLD = 0.8
 #: 14 bands of 4 values: a pair at the threshold shares a band with probability 0.9994.
 BANDS, ROWS = 14, 4
@@ -42,14 +45,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all character shingles of all lines, and the line of each. A shorter line is one shingle."""
+    """64-bit hashes of all character shingles of all lines, and the line of each. A line below WHOLE is one shingle."""
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     h, step = _mix(points + np.uint64(1)), 1
-    while step < SHINGLE:  # hashes of 2, 4, 8 characters
+    while step < SHINGLE:  # hashes of 2, 4 characters
         h = _mix(h[:-step] * np.uint64(0xD6E8FEB86659FD93) + h[step:]) if len(h) > step else h[:0]
         step *= 2
-    counts = np.maximum(sizes - SHINGLE + 1, 0)
+    counts = np.where(sizes >= WHOLE, sizes - SHINGLE + 1, 0)
     ends = np.cumsum(sizes)
     owner = np.repeat(np.arange(len(lines)), counts)
     at = np.arange(counts.sum()) + np.repeat(ends - sizes - (np.cumsum(counts) - counts), counts)

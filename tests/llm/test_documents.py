@@ -314,6 +314,15 @@ def test_lines_against_brute_force(docs_of, prose, block):
     assert got == smallest(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
 
 
+def test_one_changed_character_links_short_lines(docs_of):
+    r = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz    "))
+    lines = ["x" + "".join(r.choice(letters, n - 2)) + "x" for n in range(40, 71)]
+    edited = [x[:len(x) // 2] + "7" + x[len(x) // 2 + 1:] for x in lines]
+    got = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in line_dedup.duplicate_lines(docs_of([(1, "\n".join(lines)), (2, "\n".join(edited))])).collect()}
+    assert got == {(d, i): (1, i) for d in (1, 2) for i in range(len(lines))}
+
+
 def test_dropping_lines(docs_of, prose):
     a, b = prose(1, 24).split("\n"), prose(2, 24).split("\n")
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in line_dedup.drop_duplicate_lines(docs_of([(1, "\n".join(a)), (2, "\n".join([b[0], a[1]])), (3, a[0]), (4, "")])).collect()}
