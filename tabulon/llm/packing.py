@@ -3,7 +3,7 @@
 Only lengths matter for packing, and there are fewer than `capacity` of them, so the problem that is solved on the driver
 is a histogram whose size does not depend on the data. The search takes the largest length left, lists the fillings of
 the rest of its sequence that no other filling dominates, and applies the best one to as many sequences as the histogram
-has. It backtracks within a node budget, cut off where the sequences used and the waste bound of what is left cannot beat
+has. The first descent always ends; after it the search backtracks within a node budget, cut off where the sequences used and the waste bound of what is left cannot beat
 the best packing known; the first known one is best-fit decreasing. The result is a list of patterns with the number of
 times each is used: at most one pattern per exhausted length. Spark then gives every piece its rank among the pieces of
 its length, and looks up the place of that rank.
@@ -29,7 +29,7 @@ from tabulon.llm.common import chunks, stored, text_of
 
 CAPACITY = 4096
 END_ID = 1
-#: Fillings tried per sequence, and patterns placed in all, by the search.
+#: Fillings tried per sequence, and patterns placed by the search after its first descent.
 WIDTH = 6
 NODES = 4000
 #: Words whose ids a worker keeps.
@@ -133,6 +133,7 @@ def complete_bins(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NOD
     bound = -(-int((counts * sizes).sum()) // capacity)
     stack: list[tuple[Pattern, int, list[Pattern]]] = []  # chosen pattern, times, alternatives left
     used, left = 0, int((counts * sizes).sum())
+    descended = False  # the first descent is free: its placements are a small multiple of the number of lengths
 
     def options() -> list[Pattern]:
         first = int(np.flatnonzero(counts)[-1])
@@ -153,9 +154,10 @@ def complete_bins(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NOD
 
     while best_bins > bound and nodes > 0:
         if left and used + -(-left // capacity) < best_bins:
-            nodes -= 1
+            nodes -= descended
             place(options())
             continue
+        descended = True
         if not left and used < best_bins:
             best, best_bins = [(p, n) for p, n, _ in stack], used
         while stack:  # back to the last sequence that has another filling

@@ -274,6 +274,19 @@ def test_suffix_order():
         assert keys == sorted(keys) and len(keys) == n
 
 
+def test_bin_completion_of_all_lengths():
+    counts = 1 + np.bincount(np.clip(np.random.default_rng(0).lognormal(7.2, 0.5, 1_000_000).astype(int), 1, 4095), minlength=4097)
+    counts[[0, 4096]] = 0
+    first, best = packing.best_fit_decreasing(counts, 4096), packing.complete_bins(counts)
+    used = Counter()
+    for pattern, times in best:
+        assert sum(pattern) <= 4096
+        for x in pattern:
+            used[x] += times
+    assert used == {i: c for i, c in enumerate(counts.tolist()) if c}
+    assert sum(n for _, n in best) < sum(n for _, n in first)
+
+
 @pytest.mark.parametrize("heavy", [20_000, 2])
 def test_repeats_against_brute_force(docs_of, prose, monkeypatch, heavy):
     import hashlib
