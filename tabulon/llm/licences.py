@@ -3,7 +3,8 @@
 A text is cut into normalised sentences: lower case, every run of other characters than letters and digits a single space.
 It is cut in two ways, since licence notices are both single lines among others and paragraphs wrapped over lines: at
 sentence ends and line ends, and at sentence ends and empty lines alone. Each sentence that is in the table becomes its identifier; the
-others are left out. A licence is recognised where the identifiers of one of its rules follow each other in that order.
+others are left out, but a third BSD clause in unknown words keeps its place, so that what stands around it is not taken for
+the licence without that clause; the holder named in it does not matter. A licence is recognised where the identifiers of one of its rules follow each other in that order.
 """
 
 from __future__ import annotations
@@ -46,6 +47,19 @@ SENTENCES = {
     "gpl.see": "See the GNU General Public License for more details",
     "lgpl.notice": "This library is licensed under the GNU Lesser General Public License, version 3",
     "agpl.notice": "This work is licensed under the GNU Affero General Public License, version 3",
+    "gnu3.either": "either version 3 of the License, or (at your option) any later version",
+    "lgpl.free": "This library is free software",
+    "lgpl.hope": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",
+    "lgpl2.terms": "you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation",
+    "lgpl2.see": "See the GNU Library General Public License for more details",
+    "lgpl.terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    "lgpl21.either": "either version 2.1 of the License, or (at your option) any later version",
+    "lgpl21.later": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version",
+    "lgpl3.later": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "lgpl.see": "See the GNU Lesser General Public License for more details",
+    "agpl.terms": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    "agpl3.later": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "agpl.see": "See the GNU Affero General Public License for more details",
     "mpl.grant": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     "mpl.copy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
     "ccbync.notice": "Licensed under CC BY-NC 4.0",
@@ -71,6 +85,13 @@ RULES = [
     ("GPL-3.0", ["gpl3.notice"]), ("GPL-2.0", ["gpl2.notice"]),
     ("GPL-2.0-or-later", ["gpl.free", "gpl2.later", "gpl.hope", "gpl.even", "gpl.see"]),
     ("GPL-3.0-or-later", ["gpl.free", "gpl3.later", "gpl.hope", "gpl.even", "gpl.see"]),
+    ("GPL-3.0-or-later", ["gpl.free", "gpl2.later.1", "gnu3.either", "gpl.hope", "gpl.even", "gpl.see"]),
+    ("AGPL-3.0-or-later", ["gpl.free", "agpl3.later", "gpl.hope", "gpl.even", "agpl.see"]),
+    ("AGPL-3.0-or-later", ["gpl.free", "agpl.terms", "gnu3.either", "gpl.hope", "gpl.even", "agpl.see"]),
+    *[(licence, [f"{k}.free", *terms, f"{k}.hope", "gpl.even", see]) for k in ("gpl", "lgpl") for licence, terms, see in [
+        ("LGPL-2.0-or-later", ["lgpl2.terms", "gpl2.later.2"], "lgpl2.see"),
+        ("LGPL-2.1-or-later", ["lgpl.terms", "lgpl21.either"], "lgpl.see"), ("LGPL-2.1-or-later", ["lgpl21.later"], "lgpl.see"),
+        ("LGPL-3.0-or-later", ["lgpl.terms", "gnu3.either"], "lgpl.see"), ("LGPL-3.0-or-later", ["lgpl3.later"], "lgpl.see")]],
     ("LGPL-3.0", ["lgpl.notice"]), ("AGPL-3.0", ["agpl.notice"]),
     ("MPL-2.0", ["mpl.grant", "mpl.copy"]),
     ("CC-BY-NC-4.0", ["ccbync.notice"]), ("CC-BY-NC-4.0", ["ccbync.work"]),
@@ -81,6 +102,13 @@ RULES = [
 
 _BLANK = r"[ \t\n\x0B\f\r]"
 _END = rf"[.!?;:]+({_BLANK}|$)"
+#: The head of the third BSD clause with the name of a holder in it; with the general words it stays as it is.
+_GAP = r"[^\p{L}\p{N}]+"
+_HOLDER = _GAP.join(["neither", "the", "names?", "of", f"(?!the{_GAP}copyright{_GAP}holder{_GAP}nor{_GAP}the{_GAP}names{_GAP}of{_GAP}its{_GAP}contributors)"
+                     f"[\\s\\S]{{1,300}}?{_GAP}nor", "the", "names?", "of", "(?:[a-z]+" + _GAP + "){0,3}contributors"])
+_NAMES = "neither the name of the copyright holder nor the names of its contributors"
+#: Stands in a sequence for a third clause in other words: no rule goes over it.
+_FOREIGN = "<bsd.other>"
 _OTHER = r"[^\p{L}\p{N}\n\x01]+"
 
 
@@ -103,7 +131,7 @@ def _table() -> dict[str, str]:
 
 def _rule(ids: list[str]) -> str:
     """The rule as it stands in a sequence of identifiers."""
-    parts = [[f"{i}.{k + 1}" for k in range(n)] if (n := len(normalised(SENTENCES[i]))) > 1 else [i] for i in ids]
+    parts = [[f"{i}.{k + 1}" for k in range(n)] if (n := len(normalised(SENTENCES.get(i, i)))) > 1 and i in SENTENCES else [i] for i in ids]
     return "".join(f"<{x}>" for p in parts for x in p)
 
 
@@ -112,10 +140,11 @@ RULE_STRINGS = [(licence, _rule(ids)) for licence, ids in RULES]
 
 
 def _sequence(sentences: Column) -> Column:
-    """'<id><id>...' of the known sentences in order."""
+    """'<id><id>...' of the known sentences in order, with _FOREIGN for the parts of unknown third clauses."""
     ids = F.create_map(*[F.lit(x) for pair in TABLE.items() for x in pair])
-    known = F.filter(sentences, lambda s: s.isin(*TABLE))
-    return F.array_join(F.transform(known, lambda s: F.concat(F.lit("<"), ids[s], F.lit(">"))), "")
+    foreign = lambda s: s.startswith("neither the name") | s.contains("to endorse or promote products")
+    known = F.filter(sentences, lambda s: s.isin(*TABLE) | foreign(s))
+    return F.array_join(F.transform(known, lambda s: F.when(s.isin(*TABLE), F.concat(F.lit("<"), ids[s], F.lit(">"))).otherwise(_FOREIGN)), "")
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -126,7 +155,8 @@ def scan(docs: DataFrame) -> DataFrame:
     and for null and empty texts. Repeated rows give repeated rows; other columns are not looked at.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    marked = F.regexp_replace(F.lower(text), _END, "\x01$1")
+    named = F.regexp_replace(F.lower(text), _HOLDER, _NAMES)
+    marked = F.regexp_replace(named, _END, "\x01$1")
     rows = docs.select("doc_id", F.regexp_replace(marked, _OTHER, " ").alias("_t"))
     lines = F.split("_t", r" ?[\n\x01][ \n\x01]*")
     paragraphs = F.regexp_replace("_t", r"\n ?\n[ \n]*", "\x01")
@@ -136,7 +166,7 @@ def scan(docs: DataFrame) -> DataFrame:
     found = F.filter(rules, lambda r: F.contains("_lines", r["rule"]) | F.contains("_whole", r["rule"]))
     names = F.array_sort(F.array_distinct(F.transform(found, lambda r: r["licence"])))
     either = (F.length("_lines") > 0) | (F.length("_whole") > 0)
-    return rows.select("doc_id", F.col("_lines").alias("sentence_ids"), F.when(either, F.array_join(names, ",")).otherwise("").alias("licences"))
+    return rows.select("doc_id", F.replace("_lines", F.lit(_FOREIGN), F.lit("")).alias("sentence_ids"), F.when(either, F.array_join(names, ",")).otherwise("").alias("licences"))
 
 
 def _q(x: str) -> str:

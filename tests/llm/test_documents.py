@@ -327,6 +327,24 @@ def test_lines_against_brute_force(docs_of, prose, block):
     assert got == smallest(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
 
 
+def test_licences_with_holders_and_headers(docs_of):
+    def bsd(clause):
+        parts = [licences.SENTENCES[x] + "." for x in ("bsd.grant", "bsd.source", "bsd.binary")] + [clause] * bool(clause) + [licences.SENTENCES["bsd.asis"] + "."]
+        return "\n\n".join(parts)
+
+    tail = "contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    def gnu(what, which, either, see):
+        return (f"This {what} is free software: you can redistribute it and/or modify\nit under the terms of the GNU {which} General Public License as published by\nthe Free Software Foundation{either} of the License, or\n(at your option) any later version.\n\n"
+                f"This {what} is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU {see} General Public License for more details.").replace("GNU  ", "GNU ")
+    rows = [(1, bsd("    * Neither the name of Google Inc. nor the names of its\n " + tail)), (2, bsd("")), (3, bsd("3. Neither the name of the <organization> nor the\n   names of its\n" + tail)),
+            (4, bsd("The name of the author may not be used to endorse or promote products derived from this software.")), (5, bsd("Neither the name of the copyright holder nor the names of its " + tail)),
+            (6, gnu("program", "Affero", ", either version 3", "Affero")), (7, gnu("library", "Lesser", "; either version 2.1", "Lesser")), (8, gnu("program", "Lesser", ", either version 3", "Lesser")),
+            (9, gnu("library", "Library", "; either version 2", "Library")), (10, gnu("program", "", "; either version 3", "")), (11, gnu("program", "", "; either version 2", ""))]
+    got = {r["doc_id"]: r["licences"] for r in licences.scan(docs_of(rows)).collect()}
+    assert got == {1: "BSD-3-Clause", 2: "BSD-2-Clause", 3: "BSD-3-Clause", 4: "", 5: "BSD-3-Clause", 6: "AGPL-3.0-or-later", 7: "LGPL-2.1-or-later", 8: "LGPL-3.0-or-later",
+                   9: "LGPL-2.0-or-later", 10: "GPL-3.0-or-later", 11: "GPL-2.0-or-later"}
+
+
 def test_one_changed_character_links_short_lines(docs_of):
     r = np.random.default_rng(4)
     letters = np.array(list("abcdefghijklmnopqrstuvwxyz    "))
