@@ -2,9 +2,9 @@
 
 Every source has a budget of words. Whole passes over a source come first. What is left of the budget is filled by
 Efraimidis-Spirakis order: a document's key is an exponential draw divided by its quality weight, the draw a function of
-its id, and documents are taken by rising key until the running sum of their sizes meets the budget. Last, the
-document whose size fits what is then missing best is added, FILLS times over, so that small sources and those with very
-long documents come near their budget as well.
+its id, and documents are taken by rising key until one does not fit. Then the document that fits best into what is
+missing is added, FILLS - 1 times over. Where further documents fit after that, those too long for the gap are skipped and
+the order goes on, and so in turn until none fits; a last pick may go over the budget if that comes nearer to it.
 
 The running sum is never made over a whole source in one task. Keys fall into slices; the sizes per slice are summed,
 the slice in which the budget ends is found from at most SLICES sums per source, and that slice is cut again. What is
@@ -102,35 +102,59 @@ def mix(docs: DataFrame, weight: Column | None = None, weights: tuple[float, ...
         over = run.filter((F.col("before") + F.col(start) <= F.col("budget")) & (F.col("before") + F.col(start) + F.col("words") > F.col("budget")))
         return over.select(F.col("source").alias("_source"), F.col(slice_).alias("_" + slice_), (F.col("before") + F.col(start)).alias("_start"))
 
-    coarse = joined.groupBy("source", "budget", "coarse").agg(F.sum("size").alias("words")).withColumn("zero", F.lit(0))
-    ends = stored(end(coarse, "coarse", "zero"), "coarse")
-    inside = joined.join(ends, F.col("source").eqNullSafe(F.col("_source")) & (F.col("coarse") == F.col("_coarse")))
-    fines = inside.groupBy("source", "budget", "fine", "_start").agg(F.sum("size").alias("words")).withColumnRenamed("_start", "start")
-    last = stored(end(fines, "fine", "start"), "fine")
-    edge = joined.join(last, F.col("source").eqNullSafe(F.col("_source")) & (F.col("fine") == F.col("_fine")))
-    order = W.partitionBy("source").orderBy("key", "doc_id", "size")
-    edge = edge.withColumn("sum", F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0)) + F.col("_start"))
-    # the last document taken by order, per source
-    cut = edge.filter("sum <= budget").groupBy("source").agg(F.max(F.struct("key", "doc_id", "size", "sum")).alias("at"))
-    cuts = last.join(cut, F.col("_source").eqNullSafe(F.col("source")), "left").select(
-        F.col("_source").alias("_cut_source"), F.col("_fine").alias("_cut"), "at", F.coalesce("at.sum", "_start").alias("_sum"))
-    cuts = stored(cuts, "cuts")
+    def prefix(rows: DataFrame) -> DataFrame:
+        """Per source the last document of `rows` taken by order and the words so far; no row where all of it fits."""
+        coarse = rows.groupBy("source", "budget", "coarse").agg(F.sum("size").alias("words")).withColumn("zero", F.lit(0))
+        ends = stored(end(coarse, "coarse", "zero"), "coarse")
+        inside = rows.join(ends, F.col("source").eqNullSafe(F.col("_source")) & (F.col("coarse") == F.col("_coarse")))
+        fines = inside.groupBy("source", "budget", "fine", "_start").agg(F.sum("size").alias("words")).withColumnRenamed("_start", "start")
+        last = stored(end(fines, "fine", "start"), "fine")
+        edge = rows.join(last, F.col("source").eqNullSafe(F.col("_source")) & (F.col("fine") == F.col("_fine")))
+        order = W.partitionBy("source").orderBy("key", "doc_id", "size")
+        edge = edge.withColumn("sum", F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0)) + F.col("_start"))
+        cut = edge.filter("sum <= budget").groupBy("source").agg(F.max(F.struct("key", "doc_id", "size", "sum")).alias("at"))
+        cuts = last.join(cut, F.col("_source").eqNullSafe(F.col("source")), "left").select(
+            F.col("_source").alias("_cut_source"), F.col("_fine").alias("_cut"), "at", F.coalesce("at.sum", "_start").alias("_sum"))
+        return stored(cuts, "cuts")
+
+    upto = (F.col("fine") < F.col("_cut")) | ((F.col("fine") == F.col("_cut")) & F.coalesce(F.struct("key", "doc_id", "size") <= F.struct("at.key", "at.doc_id", "at.size"), F.lit(False)))
+    upto = F.col("_cut").isNull() | upto
+    cuts = prefix(joined)
     chosen = joined.join(cuts, F.col("source").eqNullSafe(F.col("_cut_source")), "left")
-    mine = F.struct("key", "doc_id", "size")
-    upto = (F.col("fine") < F.col("_cut")) | ((F.col("fine") == F.col("_cut")) & F.coalesce(mine <= F.struct("at.key", "at.doc_id", "at.size"), F.lit(False)))
-    chosen = chosen.withColumn("extra", F.coalesce(upto, F.lit(False)) & (F.col("size") > 0))
-    chosen = stored(chosen.drop("_source", "_cut_source", "_cut", "at", "coarse", "fine"), "chosen")
-    # close what is missing with the document that fits best, a few times over
-    state = stored(cuts.join(plan_.select(F.col("_source").alias("_s"), "budget"), F.col("_cut_source").eqNullSafe(F.col("_s")))
-                   .select("_s", (F.col("budget") - F.col("_sum")).alias("gap"), F.expr("CAST(array() AS array<struct<key:double, doc_id:bigint, size:bigint>>)").alias("picks")), "gaps")
+    chosen = stored(chosen.withColumn("extra", upto & (F.col("size") > 0)).drop("_cut_source", "_cut", "at", "_sum"), "chosen")
+    none = F.expr("CAST(array() AS array<struct<key:double, doc_id:bigint, size:bigint>>)")
+    state = stored(cuts.join(plan.select(F.col("source").alias("_s"), "budget"), F.col("_cut_source").eqNullSafe(F.col("_s")))
+                   .select("_s", (F.col("budget") - F.col("_sum")).alias("gap"), none.alias("picks")), "gaps")
     one = F.struct("key", F.col("doc_id").cast("long").alias("doc_id"), "size")
-    for i in range(FILLS):
-        free = chosen.filter(~F.col("extra") & (F.col("size") > 0)).join(state, F.col("source").eqNullSafe(F.col("_s")))
-        free = free.withColumn("off", F.abs(F.col("gap") - F.col("size"))).filter((F.col("off") < F.col("gap")) & ~F.array_contains("picks", one))
-        free = free.filter("size <= gap") if i + 1 < FILLS else free  # only the last may go over
-        best = free.groupBy(F.col("source").alias("_b")).agg(F.min(F.struct("off", one.alias("one"))).getField("one").alias("one"))
+
+    def free() -> DataFrame:
+        rows = chosen.filter(~F.col("extra") & (F.col("size") > 0)).join(state, F.col("source").eqNullSafe(F.col("_s")))
+        return rows.filter(~F.array_contains("picks", one))
+
+    def fill(over: bool) -> DataFrame:
+        """`state` with the document of each source that fits its gap best; with `over` it may be longer than the gap."""
+        rows = free().withColumn("off", F.abs(F.col("gap") - F.col("size"))).filter(F.col("off") < F.col("gap"))
+        rows = rows if over else rows.filter("size <= gap")
+        best = rows.groupBy(F.col("source").alias("_b")).agg(F.min(F.struct("off", one.alias("one"))).getField("one").alias("one"))
         more = state.join(best, F.col("_s").eqNullSafe(F.col("_b")), "left")
-        state = stored(more.select("_s", (F.col("gap") - F.coalesce("one.size", F.lit(0))).alias("gap"), F.when(F.col("one").isNotNull(), F.array_append("picks", F.col("one"))).otherwise(F.col("picks")).alias("picks")), "gaps")
+        return stored(more.select("_s", (F.col("gap") - F.coalesce("one.size", F.lit(0))).alias("gap"), F.when(F.col("one").isNotNull(), F.array_append("picks", F.col("one"))).otherwise(F.col("picks")).alias("picks")), "gaps")
+
+    while True:
+        for _ in range(FILLS - 1):
+            state = fill(False)
+        fits = free().filter("size <= gap")
+        if fits.isEmpty():
+            break
+        # go on with the order among the documents that fit: at least one is taken, so each round closes some of the gap
+        cuts = prefix(fits.withColumn("budget", F.col("gap")))
+        marked = chosen.join(state, F.col("source").eqNullSafe(F.col("_s")), "left").join(cuts, F.col("source").eqNullSafe(F.col("_cut_source")), "left")
+        picked = F.coalesce(F.array_contains("picks", one), F.lit(False))
+        more = ~F.col("extra") & ~picked & (F.col("size") > 0) & F.coalesce(F.col("size") <= F.col("gap"), F.lit(False)) & upto
+        marked = stored(marked.withColumn("_more", more).withColumn("extra", F.col("extra") | picked | more).drop("_s", "gap", "picks", "_cut_source", "_cut", "at", "_sum"), "chosen")
+        added = marked.filter("_more").groupBy(F.col("source").alias("_b")).agg(F.sum("size").alias("_added"))
+        state = stored(state.join(added, F.col("_s").eqNullSafe(F.col("_b")), "left").select("_s", (F.col("gap") - F.coalesce("_added", F.lit(0))).alias("gap"), none.alias("picks")), "gaps")
+        chosen = marked.drop("_more")
+    state = fill(True)
     picked = state.select(F.col("_s").alias("_p"), "picks")
     out = chosen.join(picked, F.col("source").eqNullSafe(F.col("_p")), "left")
     extra = F.col("extra") | F.coalesce(F.array_contains("picks", one), F.lit(False))

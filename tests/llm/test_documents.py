@@ -176,6 +176,16 @@ def test_mixing_prefers_heavy_documents(spark, docs_of):
     assert sum(i % 2 == 0 for i in taken) > 0.75 * len(taken) > 50
 
 
+def test_mixing_goes_on_after_a_very_long_document(docs_of, prose):
+    rows = [(1000 * s + i, "word " * 20 if i else "long " * 10_000, "en", src, 0) for s, src in enumerate("ab") for i in range(600)]
+    first = F.when(F.col("doc_id") % 1000 == 0, 1e9).otherwise(1.0)  # the long one leads the order; in a it does not fit
+    got = mixing.mix(docs_of(rows), first, weights=(7.0, 3.0)).collect()
+    for source in "ab":
+        mine = [r for r in got if r["source"] == source]
+        assert source == "b" or 0 < mine[0]["target"] % mine[0]["source_size"] < 10_000
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 20
+
+
 def test_language_learns_and_marks_unknown(docs_of, prose):
     other = str.maketrans("taeiorn", "zöxquvj")
     rows = [(i, prose(i, 30) if i % 2 else prose(i, 30).translate(other), "aa" if i % 2 else "bb", "s", 0) for i in range(200)]
@@ -264,16 +274,6 @@ def test_bin_completion_beats_best_fit():
     assert sum(n for _, n in packing.complete_bins(counts, 10)) == 3
 
 
-def test_suffix_order():
-    r = np.random.default_rng(1)
-    for n in (1, 2, 40, 500):
-        t = r.integers(0, 3, n).astype(np.uint8)
-        t[-1] = 0
-        raw = t.tobytes()
-        keys = [raw[i:i + 56].ljust(56, b"\0") for i in suffixes.sort_suffixes(t)]
-        assert keys == sorted(keys) and len(keys) == n
-
-
 def test_bin_completion_of_all_lengths():
     counts = 1 + np.bincount(np.clip(np.random.default_rng(0).lognormal(7.2, 0.5, 1_000_000).astype(int), 1, 4095), minlength=4097)
     counts[[0, 4096]] = 0
@@ -287,6 +287,16 @@ def test_bin_completion_of_all_lengths():
     assert sum(n for _, n in best) < sum(n for _, n in first)
 
 
+def test_suffix_order():
+    r = np.random.default_rng(1)
+    for n in (1, 2, 40, 500):
+        t = r.integers(0, 3, n).astype(np.uint8)
+        t[-1] = 0
+        raw = t.tobytes()
+        keys = [raw[i:i + 56].ljust(56, b"\0") for i in suffixes.sort_suffixes(t)]
+        assert keys == sorted(keys) and len(keys) == n
+
+
 @pytest.mark.parametrize("heavy", [20_000, 2])
 def test_repeats_against_brute_force(docs_of, prose, monkeypatch, heavy):
     import hashlib
@@ -317,16 +327,6 @@ def test_licences(docs_of):
     assert got == {1: "MIT", 2: "MIT", 3: "", 4: "", 5: "", 6: "CC-BY-NC-4.0,GPL-3.0", 7: "Apache-2.0", 8: "BSD-3-Clause"}
 
 
-@pytest.mark.parametrize("block", [1024, 2])
-def test_lines_against_brute_force(docs_of, prose, block):
-    base = prose(5, 24, 24)
-    texts = [(i, "\n".join([prose(i, 24, 24), base.replace(" ", " x" if i % 4 == 0 else " ", 1), base[i:], "", "short", "é" * (i % 3 + 5)])) for i in range(20)] + [(30, None), (31, "\n \n")]
-    got = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in line_dedup.duplicate_lines(docs_of(texts), block).collect()}
-    lines = {(i, n): x for i, t in texts for n, x in enumerate((t or "").split("\n")) if WORD.search(x)}
-    sets = {k: frozenset(x[j:j + 8] for j in range(max(1, len(x) - 7))) for k, x in lines.items()}
-    assert got == smallest(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
-
-
 def test_licences_with_holders_and_headers(docs_of):
     def bsd(clause):
         parts = [licences.SENTENCES[x] + "." for x in ("bsd.grant", "bsd.source", "bsd.binary")] + [clause] * bool(clause) + [licences.SENTENCES["bsd.asis"] + "."]
@@ -345,6 +345,16 @@ def test_licences_with_holders_and_headers(docs_of):
                    9: "LGPL-2.0-or-later", 10: "GPL-3.0-or-later", 11: "GPL-2.0-or-later"}
 
 
+@pytest.mark.parametrize("block", [1024, 2])
+def test_lines_against_brute_force(docs_of, prose, block):
+    base = prose(5, 24, 24)
+    texts = [(i, "\n".join([prose(i, 24, 24), base.replace(" ", " x" if i % 4 == 0 else " ", 1), base[i:], "", "short", "é" * (i % 3 + 5)])) for i in range(20)] + [(30, None), (31, "\n \n")]
+    got = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in line_dedup.duplicate_lines(docs_of(texts), block).collect()}
+    lines = {(i, n): x for i, t in texts for n, x in enumerate((t or "").split("\n")) if WORD.search(x)}
+    sets = {k: frozenset(x[j:j + 8] for j in range(max(1, len(x) - 7))) for k, x in lines.items()}
+    assert got == smallest(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+
+
 def test_one_changed_character_links_short_lines(docs_of):
     r = np.random.default_rng(4)
     letters = np.array(list("abcdefghijklmnopqrstuvwxyz    "))
