@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tabulon.llm import language, licences, line_dedup, mixing, packing, quality, simhash, suffixes, token_counts, vectors
+from tabulon.llm import alignment, language, licences, line_dedup, middle, mixing, packing, quality, simhash, suffixes, token_counts, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,6 +76,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.duplicate_lines(_documents(spark, sf_dir))
 
 
+@query("op12_middle", middle.ORACLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.digest(middle.fill_in_middle(_documents(spark, sf_dir)))
+
+
+@query("op13_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(alignment.align(_documents(spark, sf_dir), packing.tokenizer_file("byte_bpe_50k.json"), packing.tokenizer_file("piece_bpe_32k.model")))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
