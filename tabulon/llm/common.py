@@ -150,3 +150,34 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         if mark == state or mark[0] == 0:
             return edges.select("node", F.col("to").alias("component"))
         state = mark
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
+    """Columns of whole runs of equal first `keys` columns, from batches sorted by them."""
+    rest: list[np.ndarray] | None = None
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if rest is not None:
+            columns = [np.concatenate([r, c]) for r, c in zip(rest, columns)]
+        if not len(columns[0]):
+            continue
+        same = np.ones(len(columns[0]), bool)
+        for c in columns[:keys]:
+            same &= c == c[-1]
+        cut = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
+        rest = [c[cut:] for c in columns]
+        if cut:
+            yield [c[:cut] for c in columns]
+    if rest is not None and len(rest[0]):
+        yield rest
+
+
+def run_starts(*columns: np.ndarray) -> np.ndarray:
+    """Positions at which a run of equal rows begins."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)

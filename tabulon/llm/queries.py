@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tabulon.llm import alignment, language, licences, line_dedup, middle, mixing, packing, quality, simhash, suffixes, token_counts, vectors
+from tabulon.llm import alignment, language, licences, line_dedup, middle, mixing, packing, quality, recompression, simhash, suffixes, token_counts, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,6 +76,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.duplicate_lines(_documents(spark, sf_dir))
 
 
+@query("op11_recompression")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.digest(recompression.remove_passages(_documents(spark, sf_dir)))
+
+
 @query("op12_middle", middle.ORACLE_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return middle.digest(middle.fill_in_middle(_documents(spark, sf_dir)))

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tabulon.llm import alignment, middle, packing
+from tabulon.llm import alignment, middle, packing, recompression
 
 BYTES, PIECES = (packing.tokenizer_file(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 sha = lambda x: hashlib.sha256(x.encode() if isinstance(x, str) else x).hexdigest()
@@ -17,7 +17,7 @@ def plain(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-RUNS = {"middle": middle.fill_in_middle, "align": lambda d: alignment.align(d, BYTES, PIECES)}
+RUNS = {"passages": recompression.remove_passages, "middle": middle.fill_in_middle, "align": lambda d: alignment.align(d, BYTES, PIECES)}
 
 
 @pytest.mark.parametrize("name", RUNS)
@@ -35,6 +35,75 @@ def test_one_row_per_row(name, odd):
     assert Counter(r["doc_id"] for r in RUNS[name](odd).collect()) == Counter(r["doc_id"] for r in odd.collect())
 
 
+# ---- repeated windows
+
+def without_repeats(rows, window=20):
+    """Rows (doc_id, text): windows seen before, in the order of doc_id, go."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(set(rows)):
+        words = text.encode().split()
+        gone, own = set(), set()
+        for i in range(len(words) - window + 1):
+            w = tuple(words[i:i + window])
+            if w in seen or w in own:
+                gone.update(range(i, i + window))
+            own.add(w)
+        seen |= own
+        kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+        out[doc_id, text] = (doc_id, len(words), len(gone), sha(kept))
+    return [out[r] for r in rows]
+
+
+def passages(prose):
+    shared = [prose(500 + i, 21 + 13 * i).split() for i in range(8)]
+    rows = []
+    for i in range(80):
+        words = prose(i, 150).split()
+        for k in range(i % 4):
+            at = (37 * i + 61 * k) % len(words)
+            words[at:at] = shared[(i + 3 * k) % 8][(i % 3):]
+        rows.append((1000 - i, " ".join(words) if i % 2 else "\n".join(words)))
+    rows += [(i, rows[i][1]) for i in range(0, 40, 7)]  # equal texts
+    rows += [(2000 + i, " ".join(rows[5][1].split()[:-i])) for i in range(1, 30, 3)]  # near copies
+    rows += [(3000, "a " * 100), (3001, "a " * 19), (3002, "a " * 20 + "b"), (3003, "a b " * 40), (3004, "b " + "a b " * 30), (3005, "x" * 5000), (3006, ""), (3007, "a " * 100)]
+    rows += [(3010, prose(600, 70) + " " + prose(600, 70)), (3011, prose(601, 19) + " " + prose(600, 70)), (3012, prose(600, 30)), (3013, prose(602, 10))]
+    return rows
+
+
+def test_passages_against_brute_force(docs_of, prose):
+    rows = passages(prose)
+    want = sorted(without_repeats(rows))
+    assert sum(w[2] for w in want) > 2000
+    for n in (1, 6):
+        assert plain(recompression.digest(recompression.remove_passages(docs_of(rows).repartition(n)))) == sorted(want, key=repr)
+
+
+def test_passages_of_odd_rows(odd, docs_of, prose):
+    text = prose(1, 60)
+    rows = [(1, text), (1, text), (None, text), (None, None), (2, text), (3, prose(2, 40) + " " + text)]
+    got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["n_spans"]) for r in recompression.remove_passages(docs_of(rows)).collect()), key=repr)
+    assert got == [(1, 60, 0, 0), (1, 60, 0, 0), (2, 60, 60, 1), (3, 100, 60, 1), (None, 0, 0, 0), (None, 60, 0, 0)]
+    one_id = [(7, prose(3, 30) + " " + text), (7, prose(4, 30) + " " + text), (8, text)]
+    got = sorted((r["doc_id"], r["n_removed"]) for r in recompression.remove_passages(docs_of(one_id)).collect())
+    assert got == [(7, 0), (7, 60), (8, 60)]
+    rows = [(r["doc_id"], r["text"] or "") for r in odd.collect() if r["doc_id"] is not None]
+    assert plain(recompression.digest(recompression.remove_passages(odd.filter("doc_id IS NOT NULL")))) == sorted(without_repeats(rows), key=repr)
+
+
+def test_equal_stretches_form_equal_symbols(prose):
+    import pyarrow as pa
+    core = prose(9, 40).split()
+    texts = [" ".join(prose(10 + i, 5 + i).split() + core + prose(30 + i, 7).split()) for i in range(12)] + [" ".join(core)]
+    key, text, first, last = recompression.anchors(recompression.Words(pa.array(texts)))
+    bounds = recompression.Words(pa.array(texts)).bounds
+    seen = []
+    for t in range(len(texts)):
+        head = 5 + t if t < 12 else 0
+        by = {w - bounds[t] - head: k for k, x, a, b in zip(key, text, first, last) if x == t for w in range(a, b + 1)}
+        seen.append([by[i] for i in range(21)])  # the windows inside the core
+    assert all(s == seen[0] for s in seen)
+
+
 # ---- fill in the middle
 
 def by_hand(doc_id, text):
