@@ -2,10 +2,12 @@
 
 1. Every line with a word gets a digest and the band keys of a one-permutation MinHash signature; equal lines become one
    class (a third of all rows may be one line).
-2. Classes meet in buckets of equal band keys. Buckets with the same members are one bucket.
-3. The text of each class in a bucket is fetched once and sent to its buckets; there the shingle sets are compared
-   exactly. A bucket of over BLOCK classes is cut into blocks, and each pair of blocks is compared on its own.
-4. Components of the links that hold keep the line of the smallest (doc_id, line number).
+2. Classes meet in buckets of equal band keys. Buckets with the same members are one bucket. A bucket of over BLOCK
+   classes is cut into blocks, and each pair of blocks meets on its own.
+3. Before any text moves, the members of a meeting compare sketches, a few bits of each value of the signature. Members
+   whose sketches still allow the threshold form a party; who has nobody leaves. Parties with the same members are one.
+4. The text of each class in a party is fetched once and sent to its parties; there the shingle sets are compared exactly.
+5. Components of the links that hold keep the line of the smallest (doc_id, line number).
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from tabulon.llm.common import chunks, components, drop, roots, stored, text_of
+from tabulon.llm.common import chunks, components, drop, roots, run_starts, stored, text_of
 
 #: A character changed in the middle of a line takes SHINGLE shingles; at the threshold this links lines of 39 characters on.
 SHINGLE = 4
@@ -31,10 +33,16 @@ THRESHOLD = 0.8
 BANDS, ROWS = 14, 4
 KEY_BYTES = 5
 BLOCK = 1024
+#: Bits of each signature value in a sketch, and how many standard deviations below the agreement that is expected at the
+#: threshold a pair may fall before it is left out (4: 3 pairs of 100,000 at the threshold itself, fewer above it).
+SKETCH_BITS, DEVIATIONS = 4, 4.0
+#: Meetings up to this size are compared together, pair by pair; rows that are handled at a time.
+SMALL, STEP = 48, 4096
 #: Distinct shingles of a bucket that are counted at a time.
 COLUMNS = 20_000
 
 _BINS = BANDS * ROWS
+_SKETCH = _BINS // 2 + 1
 _EMPTY = np.uint32(0xFFFFFFFF)
 _DONORS = np.stack([np.random.default_rng(11 + j).permutation(_BINS) for j in range(_BINS)], 1)  # attempt x bin
 
@@ -61,14 +69,15 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([h[at], alone]), np.concatenate([owner, short])
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
-    """(lines x BANDS) keys of KEY_BYTES each: one-permutation MinHash, empty bins filled from other bins."""
+def signatures(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(lines x BANDS) keys of KEY_BYTES each: one-permutation MinHash, empty bins filled from other bins. (lines x _SKETCH)
+    bytes: the number of bins that had a value of their own, and the low SKETCH_BITS of each value."""
     h, owner = shingle_hashes(lines)
     bins = ((h >> np.uint64(32)) * np.uint64(_BINS) >> np.uint64(32)).astype(np.int64)
     table = np.full(len(lines) * _BINS, _EMPTY, np.uint32)
     np.minimum.at(table, owner * _BINS + bins, np.minimum(h.astype(np.uint32), _EMPTY - np.uint32(1)))
     table = table.reshape(-1, _BINS)
-    filled = table.copy()
+    filled, own = table.copy(), (table != _EMPTY).sum(1, keepdims=True).astype(np.uint8)
     row, bin_ = np.nonzero(table == _EMPTY)
     for donors in _DONORS:
         if not len(row):
@@ -81,11 +90,17 @@ def band_keys(lines: list[str]) -> np.ndarray:
     key = np.zeros(values.shape[:2], np.uint64) + np.arange(BANDS, dtype=np.uint64)
     for i in range(ROWS):
         key = _mix(key * np.uint64(0xD6E8FEB86659FD93) + values[:, :, i] + np.uint64(1))
-    return key
+    low = (filled & np.uint32(15)).astype(np.uint8)
+    return key, np.concatenate([own, low[:, ::2] | low[:, 1::2] << np.uint8(SKETCH_BITS)], 1)
+
+
+def _first_of(texts: list[str]) -> list[bool]:
+    seen: set[str] = set()
+    return [not (x in seen or seen.add(x)) for x in texts]
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, digest, bands of every line with a word."""
+    """doc_id, line_no, digest of every line with a word; bands (keys and sketch) with the first of equal lines in a chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in chunks(batch.column(1)):
@@ -95,12 +110,14 @@ def _lines(docs: DataFrame) -> DataFrame:
                 real = np.flatnonzero(np.asarray(pc.not_equal(pc.ascii_trim_whitespace(lines), "")))
                 texts = lines.take(pa.array(real)).to_pylist()
                 distinct = list(dict.fromkeys(texts))
-                keys = band_keys(distinct).astype("<u8").view(np.uint8).reshape(len(distinct), BANDS, 8)[:, :, :KEY_BYTES]
-                keys = np.ascontiguousarray(keys).reshape(len(distinct), BANDS * KEY_BYTES)
+                keys, sketches = signatures(distinct)
+                keys = keys.astype("<u8").view(np.uint8).reshape(len(distinct), BANDS, 8)[:, :, :KEY_BYTES]
+                keys = np.concatenate([keys.reshape(len(distinct), BANDS * KEY_BYTES), sketches], 1)
                 packed = {x: (xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")), keys[i].tobytes()) for i, x in enumerate(distinct)}
+                signed = [packed[x][1] if new else None for x, new in zip(texts, _first_of(texts))]  # once per chunk
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(pa.array(owner[real] + a)), pa.array(number[real].astype(np.int32)),
-                    pa.array([packed[x][0] for x in texts], pa.binary()), pa.array([packed[x][1] for x in texts], pa.binary())],
+                    pa.array([packed[x][0] for x in texts], pa.binary()), pa.array(signed, pa.binary())],
                     names=["doc_id", "line_no", "digest", "bands"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
@@ -109,7 +126,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _explode_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, BANDS, KEY_BYTES)
+        raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, BANDS * KEY_BYTES + _SKETCH)[:, :BANDS * KEY_BYTES].reshape(-1, BANDS, KEY_BYTES)
         wide = np.zeros((*raw.shape[:2], 8), np.uint8)
         wide[:, :, :KEY_BYTES] = raw
         key = wide.view("<i8")[:, :, 0] << 8 | np.arange(BANDS)
@@ -158,26 +175,106 @@ def similar(lines: list[str], threshold: float = THRESHOLD) -> tuple[np.ndarray,
     return x, y
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (bucket, id, text) sorted by bucket -> links, one per class that is not its bucket's root."""
-    current, ids, texts, links = None, [], [], []
+def _candidates(starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """All index pairs inside the groups of up to SMALL rows that begin at `starts`, and the bounds of the larger ones."""
+    stops = np.append(starts[1:], n)
+    large = stops - starts > SMALL
+    end = np.repeat(np.where(large, starts, stops), stops - starts)  # rows of large groups are in no pair here
+    more = np.maximum(end - np.arange(n) - 1, 0)
+    a = np.repeat(np.arange(n), more)
+    b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(more) - more, more)
+    return a, b, list(zip(starts[large].tolist(), stops[large].tolist()))
+
+
+def alike(sketches: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of sketches may belong to lines at the threshold."""
+    same = sketches[a, 1:] ^ sketches[b, 1:]
+    agree = ((same & 15) == 0).sum(1) + ((same >> 4) == 0).sum(1)
+    expected = THRESHOLD + (1 - THRESHOLD) / (1 << SKETCH_BITS)
+    values = np.maximum(np.minimum(sketches[a, 0], sketches[b, 0]).astype(float), 1)
+    return agree >= _BINS * (expected - DEVIATIONS * np.sqrt(expected * (1 - expected) / values))
 
-    def close() -> None:
-        if len(ids) > 1:
-            root = roots(*similar(texts), len(ids))
-            links.extend((ids[i], ids[r]) for i, r in enumerate(root) if i != r)
 
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[pa.Array]]]:
+    """Rows sorted by their first column -> (where groups begin, columns) of whole groups, about STEP rows at a time."""
+    rest: list[pa.Array] | None = None
     for batch in batches:
-        for bucket, id_, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if bucket != current:
-                close()
-                current, ids, texts = bucket, [], []
-            ids.append(id_)
-            texts.append(text)
-        done, links = links, []
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], pa.int64()) for i in (0, 1)], names=["a", "b"])
-    close()
-    yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
+        columns = batch.columns if rest is None else [pa.concat_arrays([r, c]) for r, c in zip(rest, batch.columns)]
+        starts = run_starts(columns[0].to_numpy())
+        at = 0
+        while len(starts) - at > 1:  # the last group may go on
+            stop = min(max(at + 1, int(np.searchsorted(starts, starts[at] + STEP, "right")) - 1), len(starts) - 1)
+            yield starts[at:stop] - starts[at], [c.slice(starts[at], starts[stop] - starts[at]) for c in columns]
+            at = stop
+        rest = [c.slice(starts[at]) for c in columns] if len(starts) else columns
+    if rest is not None and len(rest[0]):
+        yield np.zeros(1, np.int64), rest
+
+
+def _parties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(meet, id, bands) sorted by meet -> (party, id) of members with a partner; the party is a hash of its members."""
+    for starts, columns in _meetings(batches):
+        ids = columns[1].to_numpy()
+        sketches = np.frombuffer(b"".join(columns[2].to_pylist()), np.uint8).reshape(len(ids), -1)[:, -_SKETCH:]
+        a, b, big = _candidates(starts, len(ids))
+        ok = alike(sketches, a, b)
+        links = [(a[ok], b[ok])]
+        for low, high in big:
+            for i in range(low, high - 1):
+                other = np.arange(i + 1, high)
+                other = other[alike(sketches, np.full(len(other), i), other)]
+                links.append((np.full(len(other), i), other))
+        root = roots(*(np.concatenate(x) for x in zip(*links)), len(ids))
+        order = np.argsort(root, kind="stable")
+        starts = run_starts(root[order])
+        sizes = np.diff(np.append(starts, len(order)))
+        total = np.add.reduceat(_mix(ids[order].astype(np.uint64) + np.uint64(77)), starts)
+        party = np.repeat(_mix(total + sizes.astype(np.uint64)).view(np.int64), sizes)
+        many = np.repeat(sizes > 1, sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(party[many]), pa.array(ids[order][many])], names=["party", "id"])
+
+
+def _similar_pairs(lines: list[str], a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """Which of the pairs have shingle sets of Jaccard similarity `threshold` or more: both sets end to end, sorted."""
+    h, owner = shingle_hashes(lines)
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    new = run_starts(owner, h)
+    h, owner = h[new], owner[new]
+    begin = np.searchsorted(owner, np.arange(len(lines) + 1))
+    sizes = np.diff(begin)
+    out = np.zeros(len(a), bool)
+    ends = np.cumsum(sizes[a] + sizes[b])
+    at = 0
+    while at < len(a):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 500_000, "right")))
+        both = np.concatenate([a[at:stop], b[at:stop]])
+        pair = np.tile(np.arange(stop - at), 2)
+        n = sizes[both]
+        of = np.repeat(pair, n)
+        x = h[np.arange(n.sum()) + np.repeat(begin[both] - (np.cumsum(n) - n), n)]
+        order = np.lexsort((x, of))
+        x, of = x[order], of[order]
+        common = np.bincount(of[1:][(x[1:] == x[:-1]) & (of[1:] == of[:-1])], minlength=stop - at)
+        total = sizes[a[at:stop]] + sizes[b[at:stop]] - common
+        out[at:stop] = common >= threshold * total
+        at = stop
+    return out
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (party, id, text) sorted by party -> links, one per class that is not its party's root."""
+    for starts, columns in _meetings(batches):
+        ids, texts = columns[1].to_numpy(), columns[2].to_pylist()
+        a, b, big = _candidates(starts, len(ids))
+        ok = _similar_pairs(texts, a, b)
+        links = [(a[ok], b[ok])]
+        for low, high in big:
+            x, y = similar(texts[low:high])
+            links.append((x + low, y + low))
+        root = roots(*(np.concatenate(x) for x in zip(*links)), len(ids))
+        own = np.flatnonzero(root != np.arange(len(ids)))
+        yield pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(ids[root[own]])], names=["a", "b"])
 
 
 @F.arrow_udf(ArrayType(StructType([StructField("id", LongType()), StructField("text", StringType())])))
@@ -205,20 +302,24 @@ def duplicate_lines(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     banded = classes.select("id", "bands").mapInArrow(_explode_bands, "key long, id long")
     shared = banded.repartition("key").sortWithinPartitions("key").mapInArrow(_shared_buckets, "bucket long, id long")
     members = stored(shared.distinct(), "buckets")
-    wanted = members.select("id").distinct().join(classes.select("id", "digest", "first.doc_id"), "id")
-    wanted = wanted.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("id", "digest")).alias("wanted"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
-    texts = texts.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc"))).select(F.explode(_pick("text", "wanted")).alias("x")).select("x.id", "x.text")
-    texts = stored(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
     sizes = stored(members.groupBy(F.col("bucket").alias("_b")).agg(F.ceil(F.count("*") / block).cast("int").alias("parts")).filter("parts > 1"), "crowded")
     spread = members.join(sizes, F.col("bucket") == F.col("_b"), "left").withColumn("mine", F.expr("coalesce(pmod(xxhash64(id), parts), 0)"))
     spread = spread.withColumn("other", F.explode(F.expr("sequence(0L, coalesce(parts, 1) - 1L)")))
     spread = spread.select("id", F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("meet"))
-    met = spread.join(texts, "id").select("meet", "id", "text").repartition("meet").sortWithinPartitions("meet")
+    sketched = spread.join(classes.select("id", F.expr(f"substring(bands, {BANDS * KEY_BYTES + 1}, {_SKETCH})").alias("sketch")), "id")
+    sketched = sketched.select("meet", "id", "sketch").repartition("meet").sortWithinPartitions("meet")
+    parties = stored(sketched.mapInArrow(_parties, "party long, id long").distinct(), "parties")
+    drop(members)
+    wanted = parties.select("id").distinct().join(classes.select("id", "digest", "first.doc_id"), "id")
+    wanted = wanted.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("id", "digest")).alias("wanted"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
+    texts = texts.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc"))).select(F.explode(_pick("text", "wanted")).alias("x")).select("x.id", "x.text")
+    texts = stored(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
+    met = parties.join(texts, "id").select("party", "id", "text").repartition("party").sortWithinPartitions("party")
     linked = components(met.mapInArrow(_verify, "a long, b long"), "a", "b")
     grouped = stored(classes.select("id", "digest", "first").join(linked, F.col("id") == F.col("node"), "left")
                      .select("digest", "first", F.coalesce("component", "id").alias("root")), "grouped")
-    drop(members, texts, sizes)
+    drop(parties, texts, sizes)
     kept = stored(grouped.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("keep")), "kept")
     labels = stored(grouped.join(kept, F.col("root") == F.col("_root")).select(F.col("digest").alias("_digest"), F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.line_no").alias("keep_line_no")), "labels")
     drop(classes, grouped, kept)

@@ -351,8 +351,48 @@ def test_lines_against_brute_force(docs_of, prose, block):
     texts = [(i, "\n".join([prose(i, 24, 24), base.replace(" ", " x" if i % 4 == 0 else " ", 1), base[i:], "", "short", "é" * (i % 3 + 5)])) for i in range(20)] + [(30, None), (31, "\n \n")]
     got = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in line_dedup.duplicate_lines(docs_of(texts), block).collect()}
     lines = {(i, n): x for i, t in texts for n, x in enumerate((t or "").split("\n")) if WORD.search(x)}
-    sets = {k: frozenset(x[j:j + 8] for j in range(max(1, len(x) - 7))) for k, x in lines.items()}
-    assert got == smallest(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    sets = {k: frozenset([x]) if len(x) < line_dedup.WHOLE else frozenset(x[j:j + 4] for j in range(len(x) - 3)) for k, x in lines.items()}
+    assert line_dedup.SHINGLE == 4 and got == smallest(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+
+
+def test_sketches_keep_pairs_at_the_threshold(prose):
+    r = np.random.default_rng(8)
+    lines = []
+    for n in (30, 60, 90, 200, 900):
+        for _ in range(150):
+            x = list("".join(r.choice(list("abcdefghijklmnop   "), n)))
+            lines.append("".join(x))
+            for k in r.integers(0, n, max(1, n // 36)):
+                x[k] = "#"
+            lines.append("".join(x))
+    a = np.arange(0, len(lines), 2)
+    near = line_dedup._similar_pairs(lines, a, a + 1)
+    sets = [frozenset(x[j:j + 4] for j in range(len(x) - 3)) for x in lines]
+    assert near.tolist() == [len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1]) for i in a] and 100 < near.sum() < 700
+    sketches = line_dedup.signatures(lines)[1]
+    assert line_dedup.alike(sketches, a, a + 1)[near].all()
+    others = r.permutation(len(lines) // 2) * 2
+    assert line_dedup.alike(sketches, a[300:], others[300:])[a[300:] != others[300:]].mean() < 0.05
+
+
+@pytest.mark.parametrize("small, step", [(48, 4096), (3, 10), (1, 5)])
+def test_parties_and_links_at_any_step(docs_of, prose, monkeypatch, small, step):
+    import pyarrow as pa
+    monkeypatch.setattr(line_dedup, "SMALL", small)
+    monkeypatch.setattr(line_dedup, "STEP", step)
+    lines = [prose(i % 12, 24, 24) + "abcdefgh"[:i // 12] for i in range(60)]
+    meet = [i // 20 for i in range(60)]
+    sketches = [x.tobytes() for x in line_dedup.signatures(lines)[1]]
+    batches = [pa.record_batch({"meet": pa.array(meet[i:i + 7], pa.int64()), "id": pa.array(range(i, min(i + 7, 60)), pa.int64()), "x": pa.array(sketches[i:i + 7], pa.binary())}) for i in range(0, 60, 7)]
+    parties = {}
+    for b in line_dedup._parties(iter(batches)):
+        for p, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            parties.setdefault(p, set()).add(i)
+    assert sorted(map(sorted, parties.values())) == sorted([i for i in range(g, g + 20) if i % 12 == k] for g in (0, 20, 40) for k in range(12) if len([i for i in range(g, g + 20) if i % 12 == k]) > 1)
+    rows = sorted((p, i) for p, m in parties.items() for i in m)
+    batches = [pa.record_batch({"party": pa.array([p for p, _ in rows[k:k + 7]], pa.int64()), "id": pa.array([i for _, i in rows[k:k + 7]], pa.int64()), "text": [lines[i] for _, i in rows[k:k + 7]]}) for k in range(0, len(rows), 7)]
+    links = {(x, y) for b in line_dedup._verify(iter(batches)) for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
+    assert links == {(i, min(m)) for m in parties.values() for i in m if i != min(m)}
 
 
 def test_one_changed_character_links_short_lines(docs_of):
