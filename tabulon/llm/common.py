@@ -181,3 +181,8 @@ def run_starts(*columns: np.ndarray) -> np.ndarray:
     for c in columns:
         new[1:] |= c[1:] != c[:-1]
     return np.flatnonzero(new)
+
+
+def strings(values: pa.Array) -> list:
+    """The values of a string or binary array as Python objects, made in one step."""
+    return values.to_numpy(zero_copy_only=False).tolist()

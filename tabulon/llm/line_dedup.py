@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from tabulon.llm.common import chunks, components, drop, roots, run_starts, stored, text_of
+from tabulon.llm.common import chunks, components, drop, roots, run_starts, stored, strings, text_of
 
 #: A character changed in the middle of a line takes SHINGLE shingles; at the threshold this links lines of 39 characters on.
 SHINGLE = 4
@@ -108,7 +108,7 @@ def _lines(docs: DataFrame) -> DataFrame:
                 owner, lines = np.asarray(pc.list_parent_indices(split), np.int64), split.flatten()
                 number = np.arange(len(owner)) - np.searchsorted(owner, owner)
                 real = np.flatnonzero(np.asarray(pc.not_equal(pc.ascii_trim_whitespace(lines), "")))
-                texts = lines.take(pa.array(real)).to_pylist()
+                texts = strings(lines.take(pa.array(real)))
                 distinct = list(dict.fromkeys(texts))
                 keys, sketches = signatures(distinct)
                 keys = keys.astype("<u8").view(np.uint8).reshape(len(distinct), BANDS, 8)[:, :, :KEY_BYTES]
@@ -126,7 +126,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _explode_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, BANDS * KEY_BYTES + _SKETCH)[:, :BANDS * KEY_BYTES].reshape(-1, BANDS, KEY_BYTES)
+        raw = np.frombuffer(b"".join(strings(batch.column(1))), np.uint8).reshape(-1, BANDS * KEY_BYTES + _SKETCH)[:, :BANDS * KEY_BYTES].reshape(-1, BANDS, KEY_BYTES)
         wide = np.zeros((*raw.shape[:2], 8), np.uint8)
         wide[:, :, :KEY_BYTES] = raw
         key = wide.view("<i8")[:, :, 0] << 8 | np.arange(BANDS)
@@ -215,7 +215,7 @@ def _parties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(meet, id, bands) sorted by meet -> (party, id) of members with a partner; the party is a hash of its members."""
     for starts, columns in _meetings(batches):
         ids = columns[1].to_numpy()
-        sketches = np.frombuffer(b"".join(columns[2].to_pylist()), np.uint8).reshape(len(ids), -1)[:, -_SKETCH:]
+        sketches = np.frombuffer(b"".join(strings(columns[2])), np.uint8).reshape(len(ids), -1)[:, -_SKETCH:]
         a, b, big = _candidates(starts, len(ids))
         ok = alike(sketches, a, b)
         links = [(a[ok], b[ok])]
@@ -265,7 +265,7 @@ def _similar_pairs(lines: list[str], a: np.ndarray, b: np.ndarray, threshold: fl
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (party, id, text) sorted by party -> links, one per class that is not its party's root."""
     for starts, columns in _meetings(batches):
-        ids, texts = columns[1].to_numpy(), columns[2].to_pylist()
+        ids, texts = columns[1].to_numpy(), strings(columns[2])
         a, b, big = _candidates(starts, len(ids))
         ok = _similar_pairs(texts, a, b)
         links = [(a[ok], b[ok])]

@@ -25,15 +25,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tabulon.llm.common import chunks, stored, text_of
+from tabulon.llm.common import chunks, stored, strings, text_of
 
 CAPACITY = 4096
 END_ID = 1
 #: Fillings tried per sequence, and patterns placed by the search after its first descent.
 WIDTH = 6
 NODES = 4000
-#: Words whose ids a worker keeps.
+#: Words whose ids a worker keeps, and bytes of text that are encoded together.
 CACHE_WORDS = 1_000_000
+TEXT_BYTES = 4 << 20
 
 Pattern = tuple[int, ...]
 
@@ -207,48 +208,66 @@ class _Ids:
 
     def clear(self) -> None:
         self.slot: dict[str, int] = {}
+        self.known: dict[str, int] = {}
         self.start, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.pool, self.filled = np.zeros(4096, np.uint32), 0
+        self.pool, self.filled, self.used = np.zeros(4096, np.uint32), 0, 0
+
+    def _add(self, lengths: np.ndarray, ids: np.ndarray) -> int:
+        """Append lists of ids; the slot of the first."""
+        base, n, total = self.used, len(lengths), len(ids)
+        while base + n > len(self.start):
+            self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
+        while self.filled + total > len(self.pool):
+            self.pool = np.resize(self.pool, 2 * len(self.pool))
+        self.pool[self.filled:self.filled + total] = ids
+        self.start[base:base + n] = self.filled + np.cumsum(lengths) - lengths
+        self.length[base:base + n] = lengths
+        self.filled, self.used = self.filled + total, base + n
+        return base
+
+    def _gather(self, slots: np.ndarray) -> np.ndarray:
+        lengths = self.length[slots]
+        ends = np.cumsum(lengths)
+        return self.pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[slots] - (ends - lengths), lengths)]
 
     def slots(self, words: list[str]) -> np.ndarray:
         new = [w for w in words if w not in self.slot]
         if new:
             lists = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
             lengths = np.array([len(x) for x in lists], np.int64)
-            base, total = len(self.slot), int(lengths.sum())
-            while base + len(new) > len(self.start):
-                self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
-            while self.filled + total > len(self.pool):
-                self.pool = np.resize(self.pool, 2 * len(self.pool))
-            self.pool[self.filled:self.filled + total] = np.fromiter(chain.from_iterable(lists), np.uint32, total)
-            self.start[base:base + len(new)] = self.filled + np.cumsum(lengths) - lengths
-            self.length[base:base + len(new)] = lengths
+            base = self._add(lengths, np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum())))
             self.slot.update(zip(new, range(base, base + len(new))))
-            self.filled += total
         return np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
 
+    def whole(self, distinct: pa.Array) -> np.ndarray:
+        """Slots of distinct blank-separated words. One that is new is lower-cased and cut before the marks at its end."""
+        words = strings(distinct)
+        found = list(map(self.known.get, words))
+        new = [w for w, k in zip(words, found) if k is None] if None in found else []
+        if new:
+            lower = pa.array(new, distinct.type)
+            lower = pc.if_else(pc.match_substring(lower, "<|"), lower, pc.ascii_lower(lower))
+            parts = pc.extract_regex(lower, _TAIL)
+            matched = parts.is_valid()
+            core = pc.if_else(matched, parts.field(0), lower).dictionary_encode()
+            tail = pc.if_else(matched, parts.field(1), "").dictionary_encode()
+            halves = np.stack([self.slots(strings(x.dictionary))[np.asarray(x.indices, np.int64)] for x in (core, tail)], 1)
+            base = self._add(self.length[halves].sum(1), self._gather(halves.ravel()))
+            self.known.update(zip(new, range(base, base + len(new))))
+            found = list(map(self.known.__getitem__, words))
+        return np.array(found, np.int64)
+
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each text has."""
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words, owner = split.flatten(), pc.list_parent_indices(split)
         real = pc.not_equal(words, "")
         words, owner = words.filter(real), np.asarray(owner.filter(real), np.int64)
-        if len(self.slot) > CACHE_WORDS:
+        if len(self.known) > CACHE_WORDS:
             self.clear()
         coded = words.dictionary_encode()
-        distinct = coded.dictionary
-        distinct = pc.if_else(pc.match_substring(distinct, "<|"), distinct, pc.ascii_lower(distinct))
-        parts = pc.extract_regex(distinct, _TAIL)
-        matched = parts.is_valid()
-        core = pc.if_else(matched, parts.field(0), distinct).dictionary_encode()
-        tail = pc.if_else(matched, parts.field(1), "").dictionary_encode()
-        known = [self.slots(x.dictionary.to_pylist())[np.asarray(x.indices, np.int64)] for x in (core, tail)]
-        mine = np.stack([k[np.asarray(coded.indices, np.int64)] for k in known], 1).ravel()
-        owner = np.repeat(owner, 2)
-        lengths = self.length[mine]
-        ends = np.cumsum(lengths)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[mine] - (ends - lengths), lengths)
-        return self.pool[at], np.bincount(owner, weights=lengths, minlength=len(texts)).astype(np.int64)
+        mine = self.whole(coded.dictionary)[np.asarray(coded.indices, np.int64)]
+        return self._gather(mine), np.bincount(owner, weights=self.length[mine], minlength=len(texts)).astype(np.int64)
 
 
 _WORKER: dict[str, _Ids] = {}
@@ -256,7 +275,7 @@ _WORKER: dict[str, _Ids] = {}
 
 def piece_rows(texts: pa.Array, ids: _Ids, capacity: int, end_id: int) -> Iterator[tuple[int, int, int, int, int]]:
     """(row, piece, start, length, crc32 of the ids) of every piece of every text."""
-    for a, b in chunks(texts):
+    for a, b in chunks(texts, TEXT_BYTES):
         flat, sizes = ids.of(texts.slice(a, b - a))
         begin = np.cumsum(sizes) - sizes
         for row, (start, n) in enumerate(zip(begin.tolist(), sizes.tolist())):

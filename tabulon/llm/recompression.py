@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tabulon.llm.common import chunks, drop, run_starts, stored, text_of, whole_runs
+from tabulon.llm.common import chunks, drop, run_starts, stored, strings, text_of, whole_runs
 
 WINDOW = 20
 #: Rounds after which supports have outgrown any window.
@@ -52,7 +52,7 @@ class Words:
         real = pc.not_equal(words, "")
         coded = words.filter(real).dictionary_encode()
         owner = np.asarray(owner.filter(real), np.int64)
-        raw = b"".join(xxhash.xxh3_128_digest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist())
+        raw = b"".join(xxhash.xxh3_128_digest(w) for w in strings(coded.dictionary.cast(pa.large_binary())))
         names = np.frombuffer(raw, np.uint64).reshape(-1, 2)[np.asarray(coded.indices, np.int64)]
         self.h1, self.h2 = np.ascontiguousarray(names[:, 0]), np.ascontiguousarray(names[:, 1])
         self.bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
