@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from tabulon.llm.common import chunks, drop, stored, text_of, utf8
+from tabulon.llm.common import chunks, drop, stored, strings, text_of, utf8
 
 LENGTH = 50
 ANCHOR = 16
@@ -232,17 +232,35 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, last = 0, None
 
     def close() -> pa.RecordBatch:
-        known = [r[1:4] for r in rows if r[4] is None]
-        real = [r for r in rows if r[4] is not None]
-        docs, starts = (np.array([r[i] for r in real], np.int64) for i in (1, 2))
-        found = common_strings([r[4] for r in real], docs) if len(real) > 1 else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        known: list[tuple[int, int, int]] = []
+        best: dict[bytes, tuple[int, list[int]]] = {}  # equal pieces are sorted once, for the smallest document
+        for _, doc, start, count, piece in rows:
+            if piece is None:
+                known.append((doc, start, count))
+                continue
+            least, starts = best.get(piece, (doc, None))
+            if starts is None or doc < least:
+                known.extend((least, s, count) for s in starts or ())
+                best[piece] = doc, [start]
+            elif doc == least:
+                starts.append(start)
+            else:
+                known.append((doc, start, count))
+        docs = np.array([d for d, _ in best.values()], np.int64)
+        found = common_strings(list(best), docs) if len(best) > 1 else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         piece, at, count = _joined(*found)
+        times = np.array([len(s) for _, s in best.values()], np.int64)
+        starts = np.array([x for _, s in best.values() for x in s], np.int64)
+        again = np.repeat(np.arange(len(piece)), times[piece])
+        nth = np.arange(len(again)) - np.repeat(np.cumsum(times[piece]) - times[piece], times[piece])
+        piece, at, count = piece[again], at[again], count[again]
+        begin = starts[(np.cumsum(times) - times)[piece] + nth]
         whole = np.array(known, np.int64).reshape(-1, 3)
-        out = [np.concatenate([whole[:, i], x]) for i, x in enumerate((docs[piece], starts[piece] + at, count))]
+        out = [np.concatenate([whole[:, i], x]) for i, x in enumerate((docs[piece], begin + at, count))]
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=columns)
 
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
+        for row in zip(*(strings(c) for c in batch.columns)):
             if held > BLOCK_BYTES and row[0] != last:
                 yield close()
                 rows, held = [], 0
