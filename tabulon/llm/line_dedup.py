@@ -186,13 +186,26 @@ def _candidates(starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, lis
     return a, b, list(zip(starts[large].tolist(), stops[large].tolist()))
 
 
-def alike(sketches: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+_NIBBLES = np.uint64(0x1111111111111111)
+
+
+def sketch_words(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sketches as rows of 64-bit words, and how many values of their own they have."""
+    wide = np.zeros((len(rows), -(-(_SKETCH - 1) // 8) * 8), np.uint8)
+    wide[:, :_SKETCH - 1] = rows[:, 1:]
+    return wide.view(np.uint64), rows[:, 0].astype(float)
+
+
+def alike(sketches: tuple[np.ndarray, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which pairs of sketches may belong to lines at the threshold."""
-    same = sketches[a, 1:] ^ sketches[b, 1:]
-    agree = ((same & 15) == 0).sum(1) + ((same >> 4) == 0).sum(1)
+    words, values = sketches
+    x = words[a] ^ words[b]
+    x |= x >> np.uint64(2)
+    x |= x >> np.uint64(1)
+    differ = np.bitwise_count(x & _NIBBLES).sum(1)
     expected = THRESHOLD + (1 - THRESHOLD) / (1 << SKETCH_BITS)
-    values = np.maximum(np.minimum(sketches[a, 0], sketches[b, 0]).astype(float), 1)
-    return agree >= _BINS * (expected - DEVIATIONS * np.sqrt(expected * (1 - expected) / values))
+    own = np.maximum(np.minimum(values[a], values[b]), 1)
+    return differ <= _BINS * (1 - expected + DEVIATIONS * np.sqrt(expected * (1 - expected) / own))
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[pa.Array]]]:
@@ -216,6 +229,7 @@ def _parties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for starts, columns in _meetings(batches):
         ids = columns[1].to_numpy()
         sketches = np.frombuffer(b"".join(strings(columns[2])), np.uint8).reshape(len(ids), -1)[:, -_SKETCH:]
+        sketches = sketch_words(sketches)
         a, b, big = _candidates(starts, len(ids))
         ok = alike(sketches, a, b)
         links = [(a[ok], b[ok])]
@@ -237,10 +251,9 @@ def _parties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _similar_pairs(lines: list[str], a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
     """Which of the pairs have shingle sets of Jaccard similarity `threshold` or more: both sets end to end, sorted."""
     h, owner = shingle_hashes(lines)
-    order = np.lexsort((h, owner))
-    h, owner = h[order], owner[order]
-    new = run_starts(owner, h)
-    h, owner = h[new], owner[new]
+    code = np.unique(h, return_inverse=True)[1]
+    both = np.unique(owner << 32 | code)  # sets of codes, line by line
+    owner, code = both >> 32, both & 0xFFFFFFFF
     begin = np.searchsorted(owner, np.arange(len(lines) + 1))
     sizes = np.diff(begin)
     out = np.zeros(len(a), bool)
@@ -249,13 +262,10 @@ def _similar_pairs(lines: list[str], a: np.ndarray, b: np.ndarray, threshold: fl
     while at < len(a):
         stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 500_000, "right")))
         both = np.concatenate([a[at:stop], b[at:stop]])
-        pair = np.tile(np.arange(stop - at), 2)
         n = sizes[both]
-        of = np.repeat(pair, n)
-        x = h[np.arange(n.sum()) + np.repeat(begin[both] - (np.cumsum(n) - n), n)]
-        order = np.lexsort((x, of))
-        x, of = x[order], of[order]
-        common = np.bincount(of[1:][(x[1:] == x[:-1]) & (of[1:] == of[:-1])], minlength=stop - at)
+        of = np.repeat(np.tile(np.arange(stop - at), 2), n)
+        x = np.sort(of << 32 | code[np.arange(n.sum()) + np.repeat(begin[both] - (np.cumsum(n) - n), n)])
+        common = np.bincount(x[1:][x[1:] == x[:-1]] >> 32, minlength=stop - at)
         total = sizes[a[at:stop]] + sizes[b[at:stop]] - common
         out[at:stop] = common >= threshold * total
         at = stop

@@ -369,7 +369,7 @@ def test_sketches_keep_pairs_at_the_threshold(prose):
     near = line_dedup._similar_pairs(lines, a, a + 1)
     sets = [frozenset(x[j:j + 4] for j in range(len(x) - 3)) for x in lines]
     assert near.tolist() == [len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1]) for i in a] and 100 < near.sum() < 700
-    sketches = line_dedup.signatures(lines)[1]
+    sketches = line_dedup.sketch_words(line_dedup.signatures(lines)[1])
     assert line_dedup.alike(sketches, a, a + 1)[near].all()
     others = r.permutation(len(lines) // 2) * 2
     assert line_dedup.alike(sketches, a[300:], others[300:])[a[300:] != others[300:]].mean() < 0.05
