@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabulon.functions.draws import sql_poisson_weights
 from tabulon.functions.numeric import band, bucket_floor
 from tabulon.functions.text import split_tokens
 from tabulon.operators import bootstrap as BS
@@ -176,15 +177,29 @@ def _(t: Tables):
     return S.improvement(m, "model", "rmse", "p_mean")
 
 
-@query("x20_bootstrap_rmse_difference")
+_OTHERS = ("p_mean", "p_prio")
+_ERRORS = ", ".join(f"(actual - {m})^2 AS {m}" for m in MODELS)
+
+
+@query("x20_bootstrap_rmse_difference", "WITH " + SQL_PREDICTED + f""", e AS (SELECT o_orderkey, {_ERRORS} FROM pred), w AS ({sql_poisson_weights('e', sql_digest('42', 'o_orderkey'), BS.REPLICATES, ', '.join(MODELS))}),
+per AS (SELECT replicate, {', '.join(f'sqrt(sum(w * {m}) / sum(w)) AS {m}' for m in MODELS)} FROM w GROUP BY 1), point AS (SELECT {', '.join(f'sqrt(avg({m})) AS {m}' for m in MODELS)} FROM e)
+""" + union(f"SELECT '{m}' AS model, (SELECT {r(f'{m} - p_year')} FROM point) AS diff, {r(f'quantile_cont({m} - p_year, 0.025)')} AS low, {r(f'quantile_cont({m} - p_year, 0.975)')} AS high, {r(f'avg(({m} > p_year)::INT)')} AS share_worse FROM per" for m in _OTHERS))
 def _(t: Tables):
-    return BS.rmse_difference(t.predicted, "o_orderkey", "actual", list(MODELS), "p_year", b=200)
+    return BS.rmse_difference(t.predicted, "o_orderkey", "actual", list(MODELS), "p_year")
+
+
+_RATES = {"precision": "CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END", "recall": "tp / p", "f1": "2 * tp / (tp + fp + p)", "pr_auc": "steps / p", "roc_auc": "CASE WHEN n > 0 THEN pairs / (p::DOUBLE * n) END"}
 
 
-@query("x21_bootstrap_classification")
+@query("x21_bootstrap_classification", "WITH " + SQL_SCORED + f""", mix AS (SELECT row_id, label, score FROM scored WHERE config = 'mix' AND score IS NOT NULL), w AS ({sql_poisson_weights('mix', sql_digest('42', 'row_id'), BS.REPLICATES, 'label, score')}),
+cell AS (SELECT replicate, score, sum(w * label) AS pos, sum(w * (1 - label)) AS neg FROM w GROUP BY 1, 2),
+cum AS (SELECT *, sum(pos) OVER (PARTITION BY replicate ORDER BY score DESC) AS ap, sum(neg) OVER (PARTITION BY replicate ORDER BY score DESC) AS an FROM cell),
+per AS (SELECT replicate, sum(pos) AS p, sum(neg) AS n, coalesce(sum(pos) FILTER (score >= 0.4), 0) AS tp, coalesce(sum(neg) FILTER (score >= 0.4), 0) AS fp, sum(CASE WHEN pos > 0 THEN pos * ap::DOUBLE / (ap + an) ELSE 0 END) AS steps,
+ sum(neg * (ap - pos / 2.0)::DOUBLE) AS pairs FROM cum GROUP BY 1), v AS (SELECT {', '.join(f'({e})::DOUBLE AS {m}' for m, e in _RATES.items())} FROM per WHERE p > 0)
+""" + union(f"SELECT '{m}' AS metric, {r(f'quantile_cont({m}, 0.025)')} AS low, {r(f'quantile_cont({m}, 0.975)')} AS high, count({m}) AS replicates FROM v" for m in _RATES))
 def _(t: Tables):
     mix = t.scored.where("config = 'mix'").select("row_id", "label", "score")
-    return BS.classification_intervals(mix, "row_id", "label", "score", threshold=0.4, b=100)
+    return BS.classification_intervals(mix, "row_id", "label", "score", threshold=0.4)
 
 
 @query("x22_residual_summary", "WITH " + SQL_RESID + f""" SELECT o_orderstatus, count(*) AS n, {r('avg(residual)')} AS mean, {r('stddev_samp(residual)')} AS std, {r('min(residual)')} AS min, {r('max(residual)')} AS max, {r('skewness(residual)')} AS skewness,

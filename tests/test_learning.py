@@ -161,17 +161,56 @@ def test_bootstrap_draws_are_poisson(spark):
     assert len(totals) == 50 and abs(np.mean(totals) / 2000 - 1) < .02 and .7 < np.std(totals) / 2000 ** .5 < 1.3
 
 
+def replayed(ids, b, seed=42):
+    """(rows x b) weights by plain integers."""
+    import hashlib
+    from tabulon.functions.draws import POISSON_BOUNDS
+    out = np.zeros((len(ids), b), int)
+    for i, key in enumerate(ids):
+        d = int(hashlib.md5(f"{seed}|{key}".encode()).hexdigest()[:15], 16)
+        for r in range(1, b + 1):
+            x = ((d & 0xFFFFFFFF) + r * (2 * (d >> 32) + 1) + r * 2654435769) & 0xFFFFFFFF
+            for _ in range(2):
+                x = (x ^ x >> 16) * 73244475 & 0xFFFFFFFF
+            x ^= x >> 16
+            out[i, r - 1] = sum(x >= bound for bound in POISSON_BOUNDS)
+    return out
+
+
 def test_bootstrap_rmse_against_replayed_weights(spark):
     df = spark.range(300).select("id", F.lit(0.0).alias("y"), (F.col("id") % 7 / 3.0).alias("a"), (F.col("id") % 5 / 2.0).alias("b"))
-    w = BS.replicates(df, "id", 40).toPandas()
-    w["ea"], w["eb"] = w["a"] ** 2 * w["weight"], w["b"] ** 2 * w["weight"]
-    g = w.groupby("replicate")[["ea", "eb", "weight"]].sum()
-    diff = (g["ea"] / g["weight"]) ** .5 - (g["eb"] / g["weight"]) ** .5
+    w, ids = replayed(range(300), 40), np.arange(300)
+    rmse = lambda e: np.sqrt((w * (e ** 2)[:, None]).sum(0) / w.sum(0))
+    diff = rmse(ids % 7 / 3.0) - rmse(ids % 5 / 2.0)
     r = BS.rmse_difference(df.repartition(5), "id", "y", ["a", "b"], "b", b=40).first()
     assert [r["low"], r["high"]] == pytest.approx(list(np.quantile(diff, [.025, .975])))
     assert r["share_worse"] == pytest.approx((diff > 0).mean()) and r["low"] <= r["diff"] <= r["high"]
 
 
+@pytest.mark.parametrize("cell, block", [(64, 1 << 20), (2, 1 << 20), (2, 1 << 7), (1000, 90)])
+def test_bootstrap_ranking_metrics_against_replayed_weights(spark, monkeypatch, cell, block):
+    monkeypatch.setattr(BS, "CELL_ROWS", cell)
+    monkeypatch.setattr(BS, "BLOCK", block)
+    ids = np.arange(400)
+    score, y = (ids * 37 % 23) / 23.0, (ids % 4 == 0).astype(int)
+    score[ids % 3 == 0] = 0.5  # a third of the rows have one score
+    df = spark.createDataFrame([(int(i), float(s), int(l)) for i, s, l in zip(ids, score, y)] + [(900, None, 1), (901, .2, None)], "id long, s double, y int")
+    got = {r["replicate"]: r for r in BS.classification_values(df.repartition(3), "id", "y", "s", b=30).collect()}
+    w = replayed(ids, 30)
+    assert len(got) == 30
+    for k in range(30):
+        pos, neg = w[:, k] * y, w[:, k] * (1 - y)
+        ap = auc = tp = fp = 0
+        for s in sorted(set(score), reverse=True):
+            p, n = pos[score == s].sum(), neg[score == s].sum()
+            auc += n * (tp + p / 2)
+            tp, fp = tp + p, fp + n
+            ap += p * tp / (tp + fp) if p else 0
+        hit = score >= .5
+        want = (pos[hit].sum() / (pos[hit].sum() + neg[hit].sum()), pos[hit].sum() / tp, ap / tp, auc / (tp * fp))
+        assert [got[k + 1][m] for m in ("precision", "recall", "pr_auc", "roc_auc")] == pytest.approx(want)
+
+
 def test_bootstrap_intervals_hold_the_estimate(spark):
     df = spark.range(400).select("id", (F.col("id") % 4 == 0).cast("int").alias("y"), (((F.col("id") * 37) % 101) / 101.0 * .6 + F.when(F.col("id") % 4 == 0, .3).otherwise(0)).alias("s"))
     from tabulon.operators.metrics import evaluate
