@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from tabulon.functions.numeric import bucket_floor, col
 from tabulon.functions.text import clean_text, name_set, slug, split_tokens, strip
 from tabulon.operators.skew import attach
-from tabulon.session import one_row, with_state
+from tabulon.session import one_row, stored, with_state
 
-# Indicator columns are real columns; beyond this many use the token array output instead.
+# Indicator columns are real columns; beyond this many use `assembly.FeatureAssembler`, whose vectors have no such bound.
 MAX_INDICATORS = 2000
 
 
@@ -112,7 +112,7 @@ class GroupMedianImputer(Estimator):
         return GroupMedianImputerModel(
             {"by": self.by, "value": self.value, "width": self.width,
              "features": [self.by, self.value, f"{self.value}_missing"]},
-            {"overall": overall, "medians": medians})
+            {"overall": stored(overall, "overall"), "medians": stored(medians, "medians")})
 
 
 class MultiHotModel(StateModel):
@@ -123,14 +123,18 @@ class MultiHotModel(StateModel):
             raise ValueError(f"more than {MAX_INDICATORS} tokens: use the '{self.config['col']}_tokens' array")
         return sorted(got)
 
+    def with_tokens(self, df: DataFrame) -> DataFrame:
+        """<col>_tokens, <col>_missing and <col>_count, without a column per token."""
+        c = self.config["col"]
+        out = df.withColumn(f"{c}_tokens", split_tokens(c, self.config["sep"]))
+        return out.withColumns({f"{c}_missing": F.col(f"{c}_tokens").isNull().cast("int"),
+                                f"{c}_count": F.coalesce(F.size(F.col(f"{c}_tokens")), F.lit(0)) * F.col(f"{c}_tokens").isNotNull().cast("int")})
+
     def _transform(self, df: DataFrame) -> DataFrame:
         c = self.config["col"]
-        tokens = split_tokens(c, self.config["sep"])
-        out = df.withColumn(f"{c}_tokens", tokens)
+        out = self.with_tokens(df)
         t = F.coalesce(F.col(f"{c}_tokens"), F.array().cast("array<string>"))
-        flags = {f"{c}={v}": F.array_contains(t, v).cast("int") for v in self.vocabulary()}
-        return out.withColumns({**flags, f"{c}_missing": F.col(f"{c}_tokens").isNull().cast("int"),
-                                f"{c}_count": F.size(t)})
+        return out.withColumns({f"{c}={v}": F.array_contains(t, v).cast("int") for v in self.vocabulary()})
 
     def feature_names(self) -> list[str]:
         c = self.config["col"]
@@ -151,7 +155,7 @@ class MultiHotEncoder(Estimator):
         counts = df.select(F.explode(split_tokens(self.col, self.sep)).alias("token")).groupBy("token").agg(
             F.count(F.lit(1)).alias("n"))
         return MultiHotModel({"col": self.col, "sep": self.sep},
-                             {"vocabulary": counts.where(F.col("n") >= self.min_count)})
+                             {"vocabulary": stored(counts.where(F.col("n") >= self.min_count), "vocabulary")})
 
 
 class PeopleEncoderModel(StateModel):
@@ -180,6 +184,10 @@ class PeopleEncoderModel(StateModel):
         return out
 
     def feature_names(self) -> list[str]:
+        """The fixed columns, then the indicators of the frequent names."""
+        return self.fixed_names() + [f"{self.config['prefix']}={n}" for n in self.frequent_names()]
+
+    def fixed_names(self) -> list[str]:
         cols = self.config["cols"]
         return ([f"{slug(s)}_count" for s in cols] + [f"{slug(s)}_missing" for s in cols]
                 + ([f"{self.config['prefix']}_listed"] if len(cols) > 1 else []))
@@ -214,7 +222,7 @@ class PeopleEncoder(Estimator):
     def _fit(self, df: DataFrame) -> PeopleEncoderModel:
         counts = df.select(F.explode(name_set(self.cols)).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
         return PeopleEncoderModel({"prefix": self.prefix, "cols": self.cols, "row_id": self.row_id,
-                                   "min_count": self.min_count}, {"counts": counts})
+                                   "min_count": self.min_count}, {"counts": stored(counts, "counts")})
 
 
 SCALING = ("standard", "minimal", "log_amount", "passthrough")

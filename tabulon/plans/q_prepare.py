@@ -10,6 +10,7 @@ from tabulon.functions.text import group_key
 from tabulon.operators import encode as E
 from tabulon.operators import resample as B
 from tabulon.operators import splits as L
+from tabulon.operators.assembly import FeatureAssembler
 from tabulon.operators.contracts import Check, Contract, fingerprint, run_checks
 from tabulon.operators.profile import describe
 from tabulon.operators.relate import compare_counts
@@ -153,19 +154,36 @@ def _(t: Tables):
                                               F.array_join("actor_frequent", ";").alias("frequent"))
 
 
-@query("e4_feature_assembly")
+FEATURE_GROUPS = {"numeric": E.GroupMedianImputer("year", "duration_min"), "genre": E.MultiHotEncoder("genre"), "director": E.PeopleEncoder("director", ["director"], "row_id", min_count=10),
+                  "actor": E.PeopleEncoder("actor", ["actor_1", "actor_2", "actor_3"], "row_id", min_count=20)}
+_FIXED = [(0, "numeric", ["year", "duration_min", "duration_min_missing"]), (2, "genre", ["genre_missing", "genre_count"]), (3, "director", ["director_count", "director_missing"]),
+          (5, "actor", ["actor_1_count", "actor_2_count", "actor_3_count", "actor_1_missing", "actor_2_missing", "actor_3_missing", "actor_listed"])]
+_ACTORS = "unnest([actor_1, actor_2, actor_3])"
+SQL_FEATURES = _SPLIT_RATED + """, g AS (SELECT quantile_cont(year, 0.5) AS ym, quantile_cont(duration_min, 0.5) AS dm FROM s WHERE split='train'),
+b AS (SELECT floor(coalesce(year, ym)/10)*10 AS bucket, quantile_cont(duration_min, 0.5) AS med FROM s, g WHERE split='train' AND duration_min IS NOT NULL GROUP BY 1 HAVING count(*) >= 30),
+dc AS (SELECT director AS name, count(*) AS n FROM s WHERE split='train' AND director IS NOT NULL GROUP BY 1),
+ac AS (SELECT name, count(*) AS n FROM (SELECT DISTINCT row_id, """ + _ACTORS + """ AS name FROM s WHERE split='train') WHERE name IS NOT NULL GROUP BY 1),
+names AS (SELECT *, row_number() OVER (ORDER BY slot, k, token) - 1 AS position FROM (
+ SELECT DISTINCT 1 AS slot, 'genre' AS "group", 0 AS k, token, 'genre=' || token AS feature FROM (SELECT unnest(tokens_all) AS token FROM s WHERE split='train')
+ UNION ALL SELECT 4, 'director', 0, name, 'director=' || name FROM dc WHERE n >= 10 UNION ALL SELECT 6, 'actor', 0, name, 'actor=' || name FROM ac WHERE n >= 20
+ UNION ALL """ + " UNION ALL ".join(f"SELECT {slot}, '{g}', {k}, '', '{f}'" for slot, g, fs in _FIXED for k, f in enumerate(fs)) + "))"
+
+
+@query("e4_feature_assembly", SQL_FEATURES + """, f AS (SELECT row_id, coalesce(year, ym) AS year, coalesce(duration_min, med, dm) AS duration_min, (duration_min IS NULL)::INT AS duration_min_missing,
+ (tokens_all IS NULL)::INT AS genre_missing, coalesce(len(list_distinct(tokens_all)), 0) AS genre_count, coalesce(d.n, 0) AS director_count, (director IS NULL)::INT AS director_missing,
+ coalesce(a1.n, 0) AS actor_1_count, coalesce(a2.n, 0) AS actor_2_count, coalesce(a3.n, 0) AS actor_3_count, (actor_1 IS NULL)::INT AS actor_1_missing, (actor_2 IS NULL)::INT AS actor_2_missing,
+ (actor_3 IS NULL)::INT AS actor_3_missing, (actor_1 IS NOT NULL)::INT + (actor_2 IS NOT NULL)::INT + (actor_3 IS NOT NULL)::INT AS actor_listed, tokens_all, director, actor_1, actor_2, actor_3
+ FROM s JOIN g ON true LEFT JOIN b ON floor(coalesce(year, ym)/10)*10 = bucket LEFT JOIN dc d ON director = d.name LEFT JOIN ac a1 ON actor_1 = a1.name LEFT JOIN ac a2 ON actor_2 = a2.name LEFT JOIN ac a3 ON actor_3 = a3.name WHERE split='test'),
+x AS (""" + " UNION ALL ".join(f"SELECT row_id, '{n}' AS feature, {n}::DOUBLE AS value FROM f" for _, _, fs in _FIXED for n in fs) + """
+ UNION ALL SELECT DISTINCT row_id, 'genre=' || token, 1.0 FROM (SELECT row_id, unnest(tokens_all) AS token FROM f) UNION ALL SELECT row_id, 'director=' || director, 1.0 FROM f
+ UNION ALL SELECT DISTINCT row_id, 'actor=' || name, 1.0 FROM (SELECT row_id, """ + _ACTORS + f""" AS name FROM f))
+SELECT row_id, (SELECT count(*) FROM names) AS width, count(*) FILTER (value <> 0) AS nonzeros, {r('sum(value * (position + 1))')} AS checksum FROM x JOIN names USING (feature) GROUP BY 1""")
 def _(t: Tables):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
     parts = _rated(t)
-    stages = [E.GroupMedianImputer("year", "duration_min"), E.MultiHotEncoder("genre"),
-              E.PeopleEncoder("director", ["director"], "row_id"), E.PeopleEncoder("actor", ["actor_1", "actor_2", "actor_3"], "row_id", min_count=20)]
-    model = Pipeline(stages=stages).fit(parts.train)
-    names = [n for stage in model.stages for n in stage.feature_names()]
-    out = VectorAssembler(inputCols=names, outputCol="features").transform(model.transform(parts.test))
-    v = vector_to_array("features")
-    return out.select("row_id", F.size(v).alias("width"), F.aggregate(v, F.lit(0.0), lambda a, x: a + x).alias("checksum"))
+    model = FeatureAssembler(FEATURE_GROUPS, "row_id").fit(parts.train)
+    out = model.transform(parts.test)
+    products = F.zip_with("positions", "values", lambda p, v: (p + 1) * v)
+    return out.select("row_id", F.lit(model.width).alias("width"), F.size("positions").alias("nonzeros"), F.aggregate(products, F.lit(0.0), lambda a, x: a + x).alias("checksum"))
 
 
 _Z = lambda c: f"({c} - avg({c}) FILTER (tr) OVER ()) / stddev_pop({c}) FILTER (tr) OVER ()"
@@ -229,11 +247,16 @@ def _(t: Tables):
     return p.train.unionByName(p.test).select("event_id", "split", "amount", "k")
 
 
-@query("e13_feature_names")
+@query("e13_feature_names", SQL_FEATURES + """ SELECT "group", feature, position, (count(*) OVER (PARTITION BY "group"))::BIGINT AS group_width FROM names""")
 def _(t: Tables):
-    model = E.MultiHotEncoder("genre").fit(_rated(t).train)
-    names = [(n, i) for i, n in enumerate(model.feature_names())]
-    return t.spark.createDataFrame(names, "feature string, position int")
+    index = FeatureAssembler(FEATURE_GROUPS, "row_id").fit(_rated(t).train).index
+    widths = index.groupBy(F.col("group").alias("_g")).agg(F.count(F.lit(1)).alias("group_width"))
+    return index.join(widths, F.col("group") == F.col("_g")).drop("_g")
+
+
+@query("e4_selected_groups", SQL_FEATURES + """ SELECT "group", feature, row_number() OVER (ORDER BY position) - 1 AS position FROM names WHERE "group" IN ('numeric', 'director')""")
+def _(t: Tables):
+    return FeatureAssembler(FEATURE_GROUPS, "row_id", selected=["numeric", "director"]).fit(_rated(t).train).index
 
 
 @query("e14_imputation_plan", "WITH " + SQL_RATED + " " + union(f"""SELECT '{c}' AS "column", count(*) - count({c}) AS missing, {r(f'100.0*(count(*)-count({c}))/count(*)')} AS missing_pct, '{s}' AS strategy, 100.0*(count(*)-count({c}))/count(*) > 5 AS substantial FROM rated"""

@@ -250,7 +250,7 @@ def people_sensitivity(df: DataFrame, prefix: str, cols: Sequence[str], label: s
             inside, outside = df.where(col(fold) != i), df.where(col(fold) == i)
             encoder = PeopleEncoder(prefix, cols, row_id, min_count=n).fit(inside)
             names = encoder.frequent_names()
-            features = tuple(encoder.feature_names()) + tuple(f"hot_{j}" for j in range(len(names)))
+            features = tuple(encoder.fixed_names()) + tuple(f"hot_{j}" for j in range(len(names)))
             flags = {f"hot_{j}": F.array_contains(f"{prefix}_frequent", v).cast("double") for j, v in enumerate(names)}
             encoded = stored(encoder.transform(inside.unionByName(outside)).withColumns(flags).select(row_id, label, fold, *features), "encoded")
             recipe = Recipe(f"min_count={n}", "ridge", features, label, row_id)

@@ -51,6 +51,34 @@ def test_people_encoder(spark):
     assert (out[4]["a_missing"], out[4]["b_missing"]) == (1, 1)
 
 
+def test_feature_assembly(spark):
+    from tabulon.operators.assembly import FeatureAssembler
+    train = spark.createDataFrame([(i, 1990.0 + i % 3, float(i), "b,a" if i % 2 else "c", "x" if i % 3 else "y", None) for i in range(12)], "id int, year double, d double, g string, a string, b string")
+    groups = {"num": E.GroupMedianImputer("year", "d", min_group_size=1), "g": E.MultiHotEncoder("g"), "who": E.PeopleEncoder("who", ["a", "b"], "id", min_count=5)}
+    with pytest.raises(ValueError, match="unknown feature groups"):
+        FeatureAssembler(groups, "id", selected=["num", "cast"])
+    model = FeatureAssembler(groups, "id").fit(train)
+    names = [r["feature"] for r in model.index.orderBy("position").collect()]
+    assert names == ["year", "d", "d_missing", "g=a", "g=b", "g=c", "g_missing", "g_count", "a_count", "b_count", "a_missing", "b_missing", "who_listed", "who=x"]
+    new = spark.createDataFrame([(1, 1991.0, None, "a, z", " x ", "new"), (2, None, 2.0, None, None, "x"), (3, 1992.0, 0.0, "c,b", "x", "x")], "id int, year double, d double, g string, a string, b string")
+    got = {r["id"]: {names[p]: v for p, v in zip(r["positions"], r["values"])} for r in model.transform(new).collect()}
+    assert got[1] == {"year": 1991.0, "d": 5.5, "d_missing": 1.0, "g=a": 1.0, "g_count": 2.0, "a_count": 8.0, "who_listed": 2.0, "who=x": 1.0}
+    assert got[2] == {"year": 1991.0, "d": 2.0, "g_missing": 1.0, "b_count": 8.0, "a_missing": 1.0, "who_listed": 1.0, "who=x": 1.0}
+    assert got[3] == {"year": 1992.0, "g=b": 1.0, "g=c": 1.0, "g_count": 2.0, "a_count": 8.0, "b_count": 8.0, "who_listed": 2.0, "who=x": 1.0}
+    vectors = {r["id"]: r["features"] for r in model.vectors(new, ["year"]).collect()}
+    assert vectors[1].size == 14 and {names[p]: vectors[1][int(p)] for p in vectors[1].indices} == got[1]
+    part = FeatureAssembler(groups, "id", selected=["g"]).fit(train)
+    assert part.width == 5 and {r["group"] for r in part.index.collect()} == {"g"}
+
+
+def test_feature_assembly_is_not_bounded_by_columns(spark):
+    from tabulon.operators.assembly import FeatureAssembler
+    train = spark.range(3000).select("id", F.concat(F.lit("t"), F.col("id")).alias("g"))
+    model = FeatureAssembler({"g": E.MultiHotEncoder("g")}, "id").fit(train)
+    assert model.width == 3002 and model.index.agg(F.count_distinct("position"), F.max("position")).first()[:] == (3002, 3001)
+    assert {(len(r["positions"]), tuple(r["values"])) for r in model.transform(train).collect()} == {(2, (1.0, 1.0))}
+
+
 def test_scaler_uses_population_std_and_train_only(spark):
     train = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "x double, c double")
     out = E.PopulationScaler(["x", "c"]).fit(train).transform(spark.createDataFrame([(5.0, 6.0)], "x double, c double")).first()
