@@ -192,11 +192,51 @@ def conflicting_labels(df: DataFrame, features: Sequence[str], label: str) -> Da
                       F.coalesce(F.sum(F.when(conflict, F.col("_n"))), F.lit(0)).alias("conflicting_rows"))
 
 
+#: Digest limbs of a fingerprint: two of 48 bits, summed modulo 2^48.
+LIMB_BITS = 48
+
+
+def row_text(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
+    """A row as text: per column `n` for null or `v`, its length, `:` and its value, joined by `|`. Floating-point numbers
+    are written as whole millionths, dates and times as days and microseconds since 1970."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def written(c: str) -> Column:
+        kind, v = kinds[c], col(c)
+        if isinstance(kind, T.FractionalType):
+            v = F.when(finite(c), F.round(F.when(finite(c), v.cast("double")) * F.lit(1e6)).cast("decimal(38,0)").cast("string")).otherwise(v.cast("string"))
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            v = F.unix_micros(v.cast("timestamp"))
+        elif isinstance(kind, T.DateType):
+            v = F.unix_date(v)
+        text = v.cast("string")
+        return F.when(v.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.length(text).cast("string"), F.lit(":"), text))
+
+    return F.concat_ws("|", *[written(c) for c in (cols or df.columns)])
+
+
 def fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Order-independent table fingerprint; equal for any partitioning of the same rows."""
-    h = F.xxhash64(*[col(c) for c in (cols or df.columns)])
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(h).alias("xor_hash"),
-                  F.sum(F.pmod(h, F.lit(2 ** 31))).alias("sum_hash"))
+    """(rows, low, high, exact): an order-independent digest of a table as a multiset of rows, equal for any partitioning.
+
+    The first 24 hex digits of the MD5 of each row's `row_text` are two numbers; both are summed modulo 2^48. Sums, unlike
+    XOR, tell how often a row occurs, and any SQL engine can repeat them. `exact` is such a sum of 64-bit hashes of the
+    values as they are: it also sees changes below a millionth, but only Spark has it.
+    """
+    digest = F.md5(row_text(df, cols))
+    limb = lambda at: F.sum(F.conv(F.substring(digest, at, LIMB_BITS // 4), 16, 10).cast("decimal(38,0)"))
+    wrapped = lambda at: F.pmod(F.coalesce(limb(at), F.lit(0)), F.lit(2 ** LIMB_BITS).cast("decimal(38,0)")).cast("bigint")
+    values = F.xxhash64(*[F.struct(F.lit(i), col(c)) for i, c in enumerate(cols or df.columns)])
+    exact = F.pmod(F.coalesce(F.sum(values.cast("decimal(38,0)")), F.lit(0)), F.lit(2 ** 62).cast("decimal(38,0)")).cast("bigint")
+    return df.agg(F.count(F.lit(1)).alias("rows"), wrapped(1).alias("low"), wrapped(1 + LIMB_BITS // 4).alias("high"), exact.alias("exact"))
+
+
+def sql_fingerprint(table: str, cols: Mapping[str, str]) -> str:
+    """SQL of `fingerprint`; the kind of each column is "text", "whole", "number", "date" or "time"."""
+    forms = {"text": "{c}", "whole": "{c}::VARCHAR", "number": "round({c}::DOUBLE * 1e6)::HUGEINT::VARCHAR", "date": "date_diff('day', DATE '1970-01-01', {c}::DATE)::VARCHAR", "time": "epoch_us({c})::VARCHAR"}
+    texts = [forms[kind].format(c=c) for c, kind in cols.items()]
+    row = " || '|' || ".join(f"CASE WHEN {c} IS NULL THEN 'n' ELSE 'v' || length({x}) || ':' || {x} END" for c, x in zip(cols, texts))
+    limb = lambda at: f"(coalesce(sum(('0x' || substr(h, {at}, {LIMB_BITS // 4}))::HUGEINT), 0) % {2 ** LIMB_BITS})::BIGINT"
+    return f"SELECT count(*) AS rows, {limb(1)} AS low, {limb(1 + LIMB_BITS // 4)} AS high FROM (SELECT md5({row}) AS h FROM {table})"
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:

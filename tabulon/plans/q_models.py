@@ -58,6 +58,37 @@ REG = ("cust", "yr", "mon", "signal")
 LINEAR = T.Recipe("linear", "linear", REG, "y", "o_orderkey")
 
 
+SQL_REG = """o AS (SELECT o_orderkey, o_totalprice/50000 AS y, o_custkey::DOUBLE AS cust, year(o_orderdate)::DOUBLE AS yr, month(o_orderdate)::DOUBLE AS mon,
+ o_totalprice/50000 + (o_custkey % 7)/5.0 AS signal FROM orders)"""
+
+
+def sql_normal(rows: str, features, alpha: float = 0.0, by: str = "0 AS g", group: str = "1", per_row: bool = False) -> str:
+    """SQL of (g, n, means m<i> and deviations s<i>, my, a<i>_<j>, b<i>): the normal equations of scaled features."""
+    p, n = range(len(features)), "" if per_row else "count(*) * "
+    x = list(features)
+    parts = [f"avg({x[i]}) AS m{i}, stddev_pop({x[i]}) AS s{i}, {n}covar_pop({x[i]}, y) / stddev_pop({x[i]}) AS b{i}" for i in p]
+    parts += [f"{n}covar_pop({x[i]}, {x[j]}) / stddev_pop({x[i]}) / stddev_pop({x[j]}) + {alpha if i == j else 0.0} AS a{i}_{j}" for i in p for j in p]
+    return f"SELECT {by}, count(*) AS n, avg(y) AS my, {', '.join(parts)} FROM {rows} GROUP BY {group}"
+
+
+def sql_solved(normal: str, p: int) -> str:
+    """Gauss-Jordan elimination of the equations of `sql_normal`, a subquery per step: (g, my, m<i>, s<i>, w<i>)."""
+    keep = ["g", "my", *(f"{c}{i}" for i in range(p) for c in "ms")]
+    for k in range(p):
+        step = lambda i, to: to if i == k else f"{to} - a{i}_{k} * {to.replace(f'a{i}_', f'a{k}_') if to[0] == 'a' else f'b{k}'} / a{k}_{k} AS {to}"
+        columns = [step(i, f"a{i}_{j}") for i in range(p) for j in range(p)] + [step(i, f"b{i}") for i in range(p)]
+        normal = f"SELECT {', '.join(keep + columns)} FROM ({normal})"
+    return f"SELECT {', '.join(keep)}, {', '.join(f'b{i} / a{i}_{i} AS w{i}' for i in range(p))} FROM ({normal})"
+
+
+def sql_fold_scores(rows: str, features, alpha: float = 0.0) -> str:
+    """SQL of (fold, y, score): each row by the model of the other folds."""
+    pairs = f"(SELECT r.*, f.fold AS g FROM {rows} r, (SELECT DISTINCT fold FROM {rows}) f WHERE r.fold <> f.fold)"
+    solved = sql_solved(sql_normal(pairs, features, alpha, "g", "g"), len(features))
+    terms = " + ".join(f"w{i} * ({x} - m{i}) / s{i}" for i, x in enumerate(features))
+    return f"SELECT fold, y, my + {terms} AS score FROM {rows} JOIN ({solved}) ON fold = g"
+
+
 @query("m1_mean_baseline", "WITH s AS " + sql_split("orders", "o_orderkey") + f", m AS (SELECT avg(o_totalprice) AS a FROM s WHERE split='train') SELECT count(*) AS n, {r('avg(abs(o_totalprice - a))', 3)} AS mae, {r('sqrt(avg((o_totalprice - a)^2))', 3)} AS rmse FROM s, m WHERE split='test'", 3)
 def _(t: Tables):
     parts = split(t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey")
@@ -87,16 +118,40 @@ def _(t: Tables):
     return a.join(b, "o_orderkey").agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("a") - F.col("b"))).alias("max_diff"))
 
 
-@query("m4_ridge_coefficients")
+_COEFFICIENTS = lambda w: " UNION ALL ".join([f"SELECT '{x}' AS feature, {r(w(i))} AS coefficient, {w(i)} = 0 AS is_zero FROM z" for i, x in enumerate(REG)] + [f"SELECT '(intercept)', {r('my')}, my = 0 FROM z"])
+
+
+@query("m4_ridge_coefficients", "WITH " + SQL_REG + f", z AS ({sql_solved(sql_normal('o', REG, 1.0), len(REG))}) " + _COEFFICIENTS(lambda i: f"w{i}"))
 def _(t: Tables):
-    recipe = replace(LINEAR, name="ridge", model="ridge", params={"alpha": 1.0})
-    return T.coefficients(T.fit(recipe, _orders(t)), recipe, t.spark)
+    return T.linear_coefficients(_orders(t), replace(LINEAR, name="ridge", model="ridge", params={"alpha": 1.0}))
 
 
-@query("m5_lasso_coefficients")
+def _sql_descent(p: int, alpha: float, sweeps: int) -> str:
+    """Coordinate descent as a recursive query: a sweep is a row, a coordinate a subquery."""
+    step = f"SELECT d.sweep + 1 AS sweep, {', '.join(f'd.w{i}' for i in range(p))}, q.* FROM descent d, q WHERE d.sweep < {sweeps}"
+    for i in range(p):
+        rest = f"(b{i} - ({' + '.join(f'a{i}_{j} * w{j}' for j in range(p) if j != i)}))"
+        new = f"sign({rest}) * greatest(abs({rest}) - {alpha}, 0) / a{i}_{i}"
+        step = f"SELECT * REPLACE ({new} AS w{i}) FROM ({step})"
+    return f"SELECT 0 AS sweep, {', '.join(f'0.0::DOUBLE AS w{i}' for i in range(p))} UNION ALL SELECT sweep, {', '.join(f'w{i}' for i in range(p))} FROM ({step})"
+
+
+@query("m5_lasso_coefficients", "WITH RECURSIVE " + SQL_REG + f", q AS ({sql_normal('o', REG, per_row=True)}), descent AS ({_sql_descent(len(REG), 0.05, 400)}), z AS (SELECT descent.*, my FROM descent, q ORDER BY sweep DESC LIMIT 1) "
+       + _COEFFICIENTS(lambda i: f"w{i}"))
 def _(t: Tables):
-    recipe = replace(LINEAR, name="lasso", model="lasso", params={"alpha": 0.05})
-    return T.coefficients(T.fit(recipe, _orders(t)), recipe, t.spark)
+    return T.linear_coefficients(_orders(t), replace(LINEAR, name="lasso", model="lasso", params={"alpha": 0.05}))
+
+
+_FOLDED = "f AS (SELECT * FROM " + sql_folds("o", "o_orderkey", 5) + ")"
+_FAMILY = {"linear": 0.0, "ridge": 1.0, "ridge 1000": 1000.0}
+
+
+@query("m13_linear_family", "WITH " + SQL_REG + ", " + _FOLDED + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS config, fold, count(*) AS n, {r('sqrt(avg((y - score)^2))')} AS rmse, {r('avg(abs(y - score))')} AS mae FROM ({sql_fold_scores('f', REG, a)}) GROUP BY fold" for c, a in _FAMILY.items()))
+def _(t: Tables):
+    recipes = [replace(LINEAR, name=c, model="ridge" if a else "linear", params={"alpha": a} if a else {}) for c, a in _FAMILY.items()]
+    oof = T.cross_validate_linear(stored(folds(_orders(t), "o_orderkey", 5), "folds"), recipes, "fold")
+    return M.regression_metrics(oof, "label", "score", ["config", "fold"]).select("config", "fold", "n", "rmse", "mae")
 
 
 @query("m6_m7_tree_regressors")
@@ -168,9 +223,14 @@ def _(t: Tables):
     return per.groupBy("config").agg(F.avg("pr_auc").alias("mean_pr_auc"), F.min("pr_auc").alias("min_pr_auc"), F.max("pr_auc").alias("max_pr_auc"))
 
 
-@query("m15_ablation")
+_STEPS = {"1:+time": ("yr", "mon"), "2:+customer": ("yr", "mon", "cust"), "3:+signal": ("yr", "mon", "cust", "signal")}
+
+
+@query("m15_ablation", "WITH " + SQL_REG + ", " + _FOLDED + ", m AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS config, sqrt(avg((y - score)^2)) AS rmse, 1 - avg((y - score)^2) / var_pop(y) AS r2 FROM ({sql_fold_scores('f', xs)})" for c, xs in _STEPS.items())
+    + f") SELECT config, {r('rmse')} AS rmse, {r('r2')} AS r2, {r('rmse - lag(rmse) OVER (ORDER BY config)')} AS delta FROM m")
 def _(t: Tables):
-    oof = T.ablation(stored(folds(_orders(t), "o_orderkey", 2), "folds"), LINEAR, {"time": ["yr", "mon"], "customer": ["cust"], "signal": ["signal"]}, "fold", 2)
+    oof = T.ablation(stored(folds(_orders(t), "o_orderkey", 5), "folds"), LINEAR, {"time": ["yr", "mon"], "customer": ["cust"], "signal": ["signal"]}, "fold", 5)
     m = M.regression_metrics(oof, "label", "score", ["config"]).select("config", "rmse", "r2")
     return step_delta(m, "config", "rmse")
 
@@ -184,14 +244,16 @@ def _(t: Tables):
     return paired_folds(per, "config", "fold", "rmse", "min_count=60")
 
 
-@query("m17_without_outliers")
+@query("m17_without_outliers", "WITH " + SQL_REG + ", " + _FOLDED + """, cube AS (SELECT *, signal^3 AS squared FROM f), fence AS (SELECT quantile_cont(squared, 0.25) AS q1, quantile_cont(squared, 0.75) AS q3 FROM cube),
+inner_rows AS (SELECT cube.* FROM cube, fence WHERE squared BETWEEN q1 - 1.5*(q3 - q1) AND q3 + 1.5*(q3 - q1)) """ + " UNION ALL ".join(
+    f"SELECT '{c}' AS config, count(*) AS n, {r('sqrt(avg((y - score)^2))')} AS rmse, {r('avg(abs(y - score))')} AS mae FROM ({sql_fold_scores(rows, REG)})" for c, rows in (("all rows", "cube"), ("without outliers", "inner_rows"))))
 def _(t: Tables):
-    df = stored(flag_iqr(folds(_orders(t).withColumn("squared", F.col("signal") ** 3), "o_orderkey", 2), ["squared"]), "flagged")
+    df = stored(flag_iqr(folds(_orders(t).withColumn("squared", F.col("signal") ** 3), "o_orderkey", 5), ["squared"]), "flagged")
     out = None
     for name, rows in (("all rows", df), ("without outliers", df.where(~F.col("is_outlier")))):
-        one = T.cross_validate(rows, [replace(LINEAR, name=name)], "fold", 2)
+        one = T.cross_validate_linear(rows, [replace(LINEAR, name=name)], "fold")
         out = one if out is None else out.unionByName(one)
-    return M.regression_metrics(out, "label", "score", ["config"])
+    return M.regression_metrics(out, "label", "score", ["config"]).select("config", "n", "rmse", "mae")
 
 
 @query("m18_permutation_importance")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.draws import digest
 from tabulon.functions.numeric import col
+from tabulon.operators import linear
 from tabulon.operators.encode import PopulationScaler
 from tabulon.operators.metrics import decide, evaluate, regression_metrics
 from tabulon.operators.ordered import hash_numbering
@@ -169,6 +170,30 @@ def cross_validate(df: DataFrame, recipes: Sequence[Recipe], fold: str, k: int,
     return out
 
 
+def _solution(recipe: Recipe, moments: linear.Moments) -> linear.Solution:
+    alpha = float(recipe.params.get("alpha", {"ridge": 1.0, "lasso": 0.01}.get(recipe.model, 0.0)))
+    return linear.solve(moments, recipe.model, recipe.features, alpha=alpha, scaling=recipe.scaling, minimal_cols=recipe.minimal_cols)
+
+
+def cross_validate_linear(df: DataFrame, recipes: Sequence[Recipe], fold: str) -> DataFrame:
+    """`cross_validate` for the linear family: all recipes and folds from the sums of one scan, and scored in one more."""
+    first = recipes[0]
+    if any((r.label, r.row_id) != (first.label, first.row_id) or r.strategy != "none" for r in recipes):
+        raise ValueError("recipes solved together share label and row id, and resample nothing")
+    moments = linear.fold_moments(df, sorted({f for r in recipes for f in r.features}), first.label, fold)
+    whole = linear.total(moments)
+    solutions = {(r.name, k): _solution(r, whole - m) for r in recipes for k, m in moments.items()}
+    scored = linear.score(df, solutions, first.row_id, first.label, fold)
+    return scored.select("config", "fold", F.lit("valid").alias("part"), first.row_id, "label", "score")
+
+
+def linear_coefficients(df: DataFrame, recipe: Recipe) -> DataFrame:
+    """(feature, coefficient, is_zero) of scaled features, intercept included, from the sums of one scan."""
+    s = _solution(recipe, linear.total(linear.fold_moments(df, recipe.features, recipe.label)))
+    rows = [(f, float(v)) for f, v in zip(s.features, s.scaled, strict=True)] + [("(intercept)", s.scaled_intercept)]
+    return df.sparkSession.createDataFrame(rows, "feature string, coefficient double").withColumn("is_zero", F.col("coefficient") == 0)
+
+
 def expand_grid(base: Recipe, grid: Mapping[str, Sequence], n_iter: int | None = None, seed: int = 42) -> list[Recipe]:
     """All parameter combinations, or `n_iter` of them in a replayable hash order."""
     import hashlib
@@ -194,6 +219,8 @@ def ablation(df: DataFrame, base: Recipe, groups: Mapping[str, Sequence[str]], f
     for i, (name, cols) in enumerate(groups.items(), start=1):
         used += list(cols)
         recipes.append(replace(base, name=f"{i}:+{name}", features=tuple(used)))
+    if base.model in linear.FAMILIES and base.scaling in linear.SCALINGS and base.strategy == "none":
+        return cross_validate_linear(df, recipes, fold)
     return cross_validate(df, recipes, fold, k)
 
 

@@ -264,6 +264,49 @@ def test_recipe_validation():
             replace(LOGIT, **change)
 
 
+@pytest.fixture(scope="module")
+def folded(spark):
+    r = np.random.default_rng(3)
+    x = r.normal(size=(500, 3)) * [1, 50, 0.01] + [1e6, -3, 0]
+    y = x @ [0.5, 0.02, 30] + r.normal(size=500)
+    rows = [(i, i % 4 + 1, *map(float, v), float(t)) for i, (v, t) in enumerate(zip(x, y))]
+    return spark.createDataFrame(rows + [(900, 1, None, 1.0, 1.0, 2.0)], "id int, fold int, a double, b double, c double, y double").repartition(3), x, y
+
+
+@pytest.mark.parametrize("scaling", ["standard", "minimal", "passthrough"])
+def test_linear_family_from_sums(folded, scaling):
+    from tabulon.operators import linear
+    df, x, y = folded
+    moments = linear.fold_moments(df, ["a", "b", "c"], "y", "fold")
+    assert {k: m.rows for k, m in moments.items()} == {k: 125 for k in (1, 2, 3, 4)}
+    outside = np.arange(500) % 4 != 2
+    train, target = x[outside], y[outside]
+    scale = np.where([scaling == "standard", scaling != "passthrough", scaling == "standard"], train.std(0), 1.0)
+    z = (train - train.mean(0)) / scale
+    part = linear.total(moments) - moments[3]
+    fit = lambda family, alpha: linear.solve(part, family, alpha=alpha, scaling=scaling, minimal_cols=["b"])
+    assert fit("linear", 0).scaled == pytest.approx(np.linalg.lstsq(z, target - target.mean(), rcond=None)[0], rel=1e-5)
+    ridge = fit("ridge", 7.0)
+    assert ridge.scaled == pytest.approx(np.linalg.solve(z.T @ z + 7 * np.eye(3), z.T @ (target - target.mean())), rel=1e-5)
+    assert train @ ridge.weights + ridge.intercept == pytest.approx(z @ ridge.scaled + target.mean(), rel=1e-5)
+    lasso = fit("lasso", 0.3).scaled
+    slope = z.T @ (target - target.mean() - z @ lasso) / len(target)  # optimality of the lasso
+    assert all(abs(g - 0.3 * np.sign(w)) < 1e-6 if w else abs(g) <= 0.3 + 1e-9 for g, w in zip(slope, lasso))
+    with pytest.raises(ValueError):
+        linear.solve(part, "boosting")
+
+
+def test_linear_cross_validation_equals_fitted_models(spark, folded):
+    df = folded[0].dropna()
+    recipes = [T.Recipe("lin", "linear", ("a", "b"), "y", "id"), T.Recipe("ridge", "ridge", ("a", "b", "c"), "y", "id", params={"alpha": 5.0})]
+    fast = {(r["config"], r["id"]): r["score"] for r in T.cross_validate_linear(df, recipes, "fold").collect()}
+    slow = {(r["config"], r["id"]): r["score"] for r in T.cross_validate(df, recipes, "fold", 4).collect()}
+    assert fast.keys() == slow.keys() and len(fast) == 1000
+    assert [fast[k] for k in slow] == pytest.approx(list(slow.values()), rel=1e-4)
+    with pytest.raises(ValueError):
+        T.cross_validate_linear(df, [replace(recipes[0], strategy="oversample")], "fold")
+
+
 def test_out_of_fold_scores_cover_each_row_once(learnable):
     oof = T.cross_validate(folds(learnable, "id", 3, stratify="y"), [LOGIT], "fold", 3)
     assert oof.count() == 600 and oof.select("id").distinct().count() == 600

@@ -36,10 +36,20 @@ def test_flags(copies):
     assert got == {1: (2, False, True), 3: (2, True, True), 2: (1, False, False), 4: (1, False, False), 5: (2, False, True), 6: (2, True, True)}
 
 
+def test_fingerprint_tells_nulls_and_borders(spark):
+    f = lambda *rows: C.fingerprint(spark.createDataFrame(list(rows), "a string, b string, x double")).first()[:]
+    tables = [f(("p|v1:q", "r", 1.0)), f(("p", "q|v1:r", 1.0)), f((None, "q", 1.0)), f(("", "q", 1.0)), f(("q", None, 1.0)), f(("n", "q", 1.0)), f(("q", "q", None)), f(("q", "q", float("nan"))), f(("q", "q", float("inf")))]
+    assert len({t[1:3] for t in tables}) == len(tables)
+    assert f(("q", "q", 1.0))[:3] == f(("q", "q", 1.0 + 1e-9))[:3] and f(("q", "q", 1.0)) != f(("q", "q", 1.0 + 1e-9))
+
+
 def test_fingerprint_ignores_layout_but_not_values(copies):
     a = C.fingerprint(copies).first()
     assert a == C.fingerprint(copies.repartition(5)).first()
     assert a != C.fingerprint(copies.withColumn("id", F.col("id") + 1)).first()
+    doubled = copies.unionByName(copies.where("id = 1"))  # one doubled row in place of another
+    other = copies.unionByName(copies.where("id = 2"))
+    assert C.fingerprint(doubled).first()[:] != C.fingerprint(other).first()[:] and C.fingerprint(doubled).first()["low"] != C.fingerprint(other).first()["low"]
     assert C.same_rows(copies, copies.repartition(3)).first()["equal"]
     assert not C.same_rows(copies, copies.unionByName(copies.limit(1))).first()["equal"]
 
