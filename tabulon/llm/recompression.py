@@ -271,9 +271,12 @@ def covered_ranges(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     told = docs.select("tid", "text").mapInArrow(_anchor_rows, "anchor long, tid long, many boolean, known boolean")
     dealt = told.repartition(F.when(F.col("known"), F.xxhash64("anchor", "tid")).otherwise(F.col("anchor"))).sortWithinPartitions("anchor")
     shared = stored(dealt.mapInArrow(_shared, "anchor long, tid long"), "anchors")
+    del told, dealt  # Spark removes the shuffle files of plans that nobody holds
+    drop(docs)
     wanted = shared.groupBy("tid").agg(F.collect_set("anchor").alias("wanted")).join(firsts, "tid").select(F.col("first_id").alias("_id"), F.col("tid").alias("_tid"), "wanted")
     found = docs.join(wanted.hint("merge"), (F.col("doc_id") == F.col("_id")) & (F.col("tid") == F.col("_tid"))).select("doc_id", "tid", "text", "wanted")
     rows = stored(found.mapInArrow(_windows, _FOUND), "windows")
+    del wanted, found
     drop(shared)
     known = rows.filter("h1 IS NULL").select("doc_id", "tid", "start", "count")
     met = rows.filter("h1 IS NOT NULL").select(*_NAMES[:5]).repartition("h1").sortWithinPartitions(*_NAMES[:5])
