@@ -90,8 +90,10 @@ def test_passages_of_odd_rows(odd, docs_of, prose):
     assert plain(recompression.digest(recompression.remove_passages(odd.filter("doc_id IS NOT NULL")))) == sorted(without_repeats(rows), key=repr)
 
 
-def test_equal_stretches_form_equal_symbols(prose):
+@pytest.mark.parametrize("rounds", [0, 1, 3, 8])
+def test_equal_stretches_form_equal_symbols(prose, monkeypatch, rounds):
     import pyarrow as pa
+    monkeypatch.setattr(recompression, "ROUNDS", rounds)
     core = prose(9, 40).split()
     texts = [" ".join(prose(10 + i, 5 + i).split() + core + prose(30 + i, 7).split()) for i in range(12)] + [" ".join(core)]
     key, text, first, last = recompression.anchors(recompression.Words(pa.array(texts)))
