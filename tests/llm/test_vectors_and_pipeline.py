@@ -92,7 +92,7 @@ def test_stage_list():
 
 
 @here
-@pytest.mark.parametrize("name", ["op6_vectors", "op9_licences"])
+@pytest.mark.parametrize("name", ["op6_vectors", "op9_licences", "op12_middle"])
 def test_oracles(spark, name):
     con = duckdb.connect()
     for f in sorted(os.listdir(FOLDER)):
