@@ -8,7 +8,10 @@ the order goes on, and so in turn until none fits; a last pick may go over the b
 
 The running sum is never made over a whole source in one task. Keys fall into slices; the sizes per slice are summed,
 the slice in which the budget ends is found from at most SLICES sums per source, and that slice is cut again. What is
-ordered row by row in the end is one of SLICES * SLICES parts of a source.
+ordered class by class in the end is one of SLICES * SLICES parts of a source.
+
+Rows of one source with equal key, doc_id and size form a class. A class is one row with a number of copies in all of this,
+and as many copies are taken as fit, so a document that is a third of all rows weighs no more than any other.
 """
 
 from __future__ import annotations
@@ -75,26 +78,39 @@ def _running(sums: DataFrame, slice_: str) -> DataFrame:
     return sums.withColumn("before", F.sum("words").over(order) - F.col("words"))
 
 
-def mix(docs: DataFrame, weight: Column | None = None, weights: tuple[float, ...] = WEIGHTS, most: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target, epochs, extra (boolean), taken of every row of `docs`.
+CLASS = ("source", "key", "doc_id", "size")
 
-    Null and empty texts have size 0 and take nothing. Null source is a source of its own. `weight` (letter_share of the
-    text by default) must be positive; null, NaN and others count as 1. Rows with equal doc_id get equal draws; ties in
-    the key are broken by doc_id and size, and rows equal in these are interchangeable. Other columns are not looked at.
-    """
-    w = letter_share(F.col("text")) if weight is None else weight
-    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), w.cast("double").alias("weight"))
-    good = F.when((F.col("weight") > 0) & ~F.isnan("weight"), F.col("weight")).otherwise(1.0)
-    rows = stored(rows.withColumn("key", -F.log(uniform(F.col("doc_id"), seed)) / good).drop("weight"), "sizes")
-    targets = source_targets(rows.select("source", "size"), weights, most)
+
+def _same(a: str, b: str = "_") -> Column:
+    """Rows whose class columns, prefixed with `a` and `b`, are equal; nulls equal nulls."""
+    conditions = [F.col(a + c).eqNullSafe(F.col(b + c)) for c in CLASS]
+    return conditions[0] & conditions[1] & conditions[2] & conditions[3]
+
+
+def _draws(docs: DataFrame, weight: Column | None, seed: str) -> list[Column]:
+    """The class columns of a row."""
+    w = (letter_share(F.col("text")) if weight is None else weight).cast("double")
+    good = F.when((w > 0) & ~F.isnan(w), w).otherwise(1.0)
+    key = -F.log(uniform(F.col("doc_id"), seed)) / good
+    return [F.col("source").cast("string").alias("source"), key.alias("key"), F.col("doc_id").cast("long").alias("doc_id"), word_count(F.col("text")).alias("size")]
+
+
+def _taken(docs: DataFrame, weight: Column | None, weights: tuple[float, ...], most: int, seed: str) -> tuple[DataFrame, DataFrame]:
+    """(class, part, here): rows of each class in each part of the input; (class, copies, n, source_size, target, epochs):
+    how many rows of each class the mix takes once more than `epochs` times."""
+    here = docs.select(*_draws(docs, weight, seed)).withColumn("part", F.spark_partition_id()).groupBy(*CLASS, "part").agg(F.count("*").alias("here"))
+    here = stored(here, "sizes")
+    targets = source_targets(here.select("source", (F.col("size") * F.col("here")).alias("size")), weights, most)
     plan = targets.withColumn("epochs", F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)).cast("long"))
     plan = stored(plan.withColumn("budget", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long")), "budgets")
     plan_ = plan.select(F.col("source").alias("_source"), "source_size", "target", "epochs", "budget")
-    joined = rows.join(plan_, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    classes = here.groupBy(*CLASS).agg(F.sum("here").alias("copies"))
+    joined = classes.join(plan_, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     # 1 - exp(-key) spreads the keys over the slices; any rising function of the key would do.
     place = 1 - F.exp(-F.col("key"))
     fine = F.least(F.lit(SLICES * SLICES - 1), F.floor(place * SLICES * SLICES)).cast("int")
     joined = joined.withColumn("fine", fine).withColumn("coarse", (F.col("fine") / SLICES).cast("int"))
+    words = F.col("size") * F.col("free")
 
     def end(sums: DataFrame, slice_: str, start: str) -> DataFrame:
         """Per source the slice in which its budget ends, and the words before it."""
@@ -103,37 +119,41 @@ def mix(docs: DataFrame, weight: Column | None = None, weights: tuple[float, ...
         return over.select(F.col("source").alias("_source"), F.col(slice_).alias("_" + slice_), (F.col("before") + F.col(start)).alias("_start"))
 
     def prefix(rows: DataFrame) -> DataFrame:
-        """Per source the last document of `rows` taken by order and the words so far; no row where all of it fits."""
-        coarse = rows.groupBy("source", "budget", "coarse").agg(F.sum("size").alias("words")).withColumn("zero", F.lit(0))
+        """Per source the last class of `rows` that the order reaches, how many of its `free` copies fit, and the words so
+        far; no row where all of it fits."""
+        coarse = rows.groupBy("source", "budget", "coarse").agg(F.sum(words).alias("words")).withColumn("zero", F.lit(0))
         ends = stored(end(coarse, "coarse", "zero"), "coarse")
         inside = rows.join(ends, F.col("source").eqNullSafe(F.col("_source")) & (F.col("coarse") == F.col("_coarse")))
-        fines = inside.groupBy("source", "budget", "fine", "_start").agg(F.sum("size").alias("words")).withColumnRenamed("_start", "start")
+        fines = inside.groupBy("source", "budget", "fine", "_start").agg(F.sum(words).alias("words")).withColumnRenamed("_start", "start")
         last = stored(end(fines, "fine", "start"), "fine")
         edge = rows.join(last, F.col("source").eqNullSafe(F.col("_source")) & (F.col("fine") == F.col("_fine")))
         order = W.partitionBy("source").orderBy("key", "doc_id", "size")
-        edge = edge.withColumn("sum", F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0)) + F.col("_start"))
-        cut = edge.filter("sum <= budget").groupBy("source").agg(F.max(F.struct("key", "doc_id", "size", "sum")).alias("at"))
-        cuts = last.join(cut, F.col("_source").eqNullSafe(F.col("source")), "left").select(
-            F.col("_source").alias("_cut_source"), F.col("_fine").alias("_cut"), "at", F.coalesce("at.sum", "_start").alias("_sum"))
+        edge = edge.withColumn("before", F.sum(words).over(order.rowsBetween(W.unboundedPreceding, 0)) - words + F.col("_start")).filter("before <= budget")
+        fit = F.least(F.col("free"), F.floor((F.col("budget") - F.col("before")) / F.col("size")).cast("long"))
+        reached = edge.withColumn("fit", fit).withColumn("sum", F.col("before") + F.col("fit") * F.col("size"))
+        cuts = reached.groupBy(F.col("source").alias("_cut_source"), F.col("_fine").alias("_cut")).agg(F.max(F.struct("key", "doc_id", "size", "fit", "sum")).alias("at"))
         return stored(cuts, "cuts")
 
-    upto = (F.col("fine") < F.col("_cut")) | ((F.col("fine") == F.col("_cut")) & F.coalesce(F.struct("key", "doc_id", "size") <= F.struct("at.key", "at.doc_id", "at.size"), F.lit(False)))
-    upto = F.col("_cut").isNull() | upto
-    cuts = prefix(joined)
-    chosen = joined.join(cuts, F.col("source").eqNullSafe(F.col("_cut_source")), "left")
-    chosen = stored(chosen.withColumn("extra", upto & (F.col("size") > 0)).drop("_cut_source", "_cut", "at", "_sum"), "chosen")
+    me, at = F.struct("key", "doc_id", "size"), F.struct("at.key", "at.doc_id", "at.size")
+    inside = F.when(F.col("_cut").isNull() | (F.col("fine") < F.col("_cut")), F.col("free")).when(F.col("fine") > F.col("_cut"), F.lit(0))
+    upto = inside.when(me < at, F.col("free")).when(me <= at, F.col("at.fit")).otherwise(F.lit(0)).cast("long")
+    one = me
     none = F.expr("CAST(array() AS array<struct<key:double, doc_id:bigint, size:bigint>>)")
-    state = stored(cuts.join(plan.select(F.col("source").alias("_s"), "budget"), F.col("_cut_source").eqNullSafe(F.col("_s")))
-                   .select("_s", (F.col("budget") - F.col("_sum")).alias("gap"), none.alias("picks")), "gaps")
-    one = F.struct("key", F.col("doc_id").cast("long").alias("doc_id"), "size")
-
-    def free() -> DataFrame:
-        rows = chosen.filter(~F.col("extra") & (F.col("size") > 0)).join(state, F.col("source").eqNullSafe(F.col("_s")))
-        return rows.filter(~F.array_contains("picks", one))
+    sized = joined.filter("size > 0")
+    cuts = prefix(sized.withColumn("free", F.col("copies")))
+    chosen = sized.withColumn("free", F.col("copies")).join(cuts, F.col("source").eqNullSafe(F.col("_cut_source")), "left")
+    chosen = stored(chosen.withColumn("n", upto).drop("free", "_cut_source", "_cut", "at"), "chosen")
+    state = cuts.join(plan.select(F.col("source").alias("_s"), "budget"), F.col("_cut_source").eqNullSafe(F.col("_s")))
+    state = stored(state.select("_s", (F.col("budget") - F.col("at.sum")).alias("gap"), none.alias("picks")), "gaps")
+    picked = F.coalesce(F.size(F.filter("picks", lambda p: p.eqNullSafe(one))), F.lit(0))
+
+    def open_classes() -> DataFrame:
+        rows = chosen.join(state, F.col("source").eqNullSafe(F.col("_s")))
+        return rows.withColumn("free", F.col("copies") - F.col("n") - picked).filter("free > 0")
 
     def fill(over: bool) -> DataFrame:
         """`state` with the document of each source that fits its gap best; with `over` it may be longer than the gap."""
-        rows = free().withColumn("off", F.abs(F.col("gap") - F.col("size"))).filter(F.col("off") < F.col("gap"))
+        rows = open_classes().withColumn("off", F.abs(F.col("gap") - F.col("size"))).filter(F.col("off") < F.col("gap"))
         rows = rows if over else rows.filter("size <= gap")
         best = rows.groupBy(F.col("source").alias("_b")).agg(F.min(F.struct("off", one.alias("one"))).getField("one").alias("one"))
         more = state.join(best, F.col("_s").eqNullSafe(F.col("_b")), "left")
@@ -142,35 +162,73 @@ def mix(docs: DataFrame, weight: Column | None = None, weights: tuple[float, ...
     while True:
         for _ in range(FILLS - 1):
             state = fill(False)
-        fits = free().filter("size <= gap")
+        fits = open_classes().filter("size <= gap")
         if fits.isEmpty():
             break
         # go on with the order among the documents that fit: at least one is taken, so each round closes some of the gap
         cuts = prefix(fits.withColumn("budget", F.col("gap")))
         marked = chosen.join(state, F.col("source").eqNullSafe(F.col("_s")), "left").join(cuts, F.col("source").eqNullSafe(F.col("_cut_source")), "left")
-        picked = F.coalesce(F.array_contains("picks", one), F.lit(False))
-        more = ~F.col("extra") & ~picked & (F.col("size") > 0) & F.coalesce(F.col("size") <= F.col("gap"), F.lit(False)) & upto
-        marked = stored(marked.withColumn("_more", more).withColumn("extra", F.col("extra") | picked | more).drop("_s", "gap", "picks", "_cut_source", "_cut", "at", "_sum"), "chosen")
-        added = marked.filter("_more").groupBy(F.col("source").alias("_b")).agg(F.sum("size").alias("_added"))
+        marked = marked.withColumn("_picked", picked).withColumn("free", F.col("copies") - F.col("n") - F.col("_picked"))
+        more = F.when((F.col("free") > 0) & F.coalesce(F.col("size") <= F.col("gap"), F.lit(False)), upto).otherwise(F.lit(0)).cast("long")
+        marked = marked.withColumn("_more", more).withColumn("n", F.col("n") + F.col("_picked") + F.col("_more"))
+        marked = stored(marked.drop("_s", "gap", "picks", "_picked", "free", "_cut_source", "_cut", "at"), "chosen")
+        added = marked.groupBy(F.col("source").alias("_b")).agg(F.sum(F.col("size") * F.col("_more")).alias("_added"))
         state = stored(state.join(added, F.col("_s").eqNullSafe(F.col("_b")), "left").select("_s", (F.col("gap") - F.coalesce("_added", F.lit(0))).alias("gap"), none.alias("picks")), "gaps")
         chosen = marked.drop("_more")
     state = fill(True)
-    picked = state.select(F.col("_s").alias("_p"), "picks")
-    out = chosen.join(picked, F.col("source").eqNullSafe(F.col("_p")), "left")
-    extra = F.col("extra") | F.coalesce(F.array_contains("picks", one), F.lit(False))
-    taken = F.col("size") * (F.col("epochs") + extra.cast("long"))
-    return out.select("doc_id", "source", "size", "source_size", "target", "epochs", extra.alias("extra"), taken.alias("taken"))
+    last = chosen.join(state, F.col("source").eqNullSafe(F.col("_s")), "left").withColumn("n", F.col("n") + picked)
+    out = last.select(*CLASS, "copies", "n", "source_size", "target", "epochs")
+    out = out.unionByName(joined.filter("size = 0").withColumn("n", F.lit(0).cast("long")).select(*out.columns))
+    return here, stored(out, "taken")
+
+
+def mix(docs: DataFrame, weight: Column | None = None, weights: tuple[float, ...] = WEIGHTS, most: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """doc_id, source, size, source_size, target, epochs, extra (boolean), taken of every row of `docs`.
+
+    Null and empty texts have size 0 and take nothing. Null source is a source of its own. `weight` (letter_share of the
+    text by default) must be positive; null, NaN and others count as 1. Rows with equal doc_id get equal draws; ties in
+    the key are broken by doc_id and size. Rows equal in all of these are interchangeable: as many of them are extra as fit.
+    Rows without doc_id have one draw in common. Other columns are not looked at.
+    """
+    here, taken = _taken(docs, weight, weights, most, seed)
+    rows = here.join(taken.select(*[F.col(c).alias("_" + c) for c in CLASS], "copies", "n", "source_size", "target", "epochs"), _same(""))
+    # the first n copies of a class, part by part of the input; only classes taken in part need to know what came before
+    before = F.sum("here").over(W.partitionBy(*CLASS).orderBy("part")) - F.col("here")
+    rows = rows.withColumn("before", before).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("here"))))
+    extra = F.col("before") + F.col("nth") <= F.col("n")
+    words = F.col("size") * (F.col("epochs") + extra.cast("long"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", "epochs", extra.alias("extra"), words.alias("taken"))
 
 
 def digest(mixed: DataFrame) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
-def repeat_rows(docs: DataFrame, **options) -> DataFrame:
+def repeat_rows(docs: DataFrame, weight: Column | None = None, weights: tuple[float, ...] = WEIGHTS, most: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The rows of `docs` as often as the mix takes them, all columns as they were."""
-    mixed = mix(docs, **options)
-    copies = mixed.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"))
-    copies = stored(copies.agg(F.max(F.col("epochs") + F.col("extra").cast("long")).alias("__copies")), "copies")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").cast("string").eqNullSafe(F.col("__source")) & (word_count(F.col("text")) == F.col("__size"))
-    rows = docs.join(copies.filter("__copies > 0").hint("merge"), same)
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    taken = _taken(docs, weight, weights, most, seed)[1]
+    own = [c.alias("__" + name) for c, name in zip(_draws(docs, weight, seed), CLASS)]
+    rows = docs.withColumns({"__part": F.spark_partition_id(), "__class": F.struct(*own)}).select("*", "__class.*").drop("__class")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+
+    def times(of: DataFrame, extra: Column) -> DataFrame:
+        number = F.col("__epochs") + extra.cast("long")
+        return of.withColumn("__times", number).filter("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times")))).select(*columns)
+
+    of_class = taken.select(*[F.col(c).alias("_c_" + c) for c in CLASS], F.col("copies").alias("__copies"), F.col("n").alias("__n"), F.col("epochs").alias("__epochs"))
+    split = (F.col("__n") > 0) & (F.col("__n") < F.col("__copies"))
+    whole = of_class.filter(~split & (F.col("__n") + F.col("__epochs") > 0)).hint("merge")
+    out = times(rows.join(whole, _same("__", "_c_")), F.col("__n") > 0)
+    some = stored(of_class.filter(split), "split")
+    if some.isEmpty():
+        return out
+    # rows of classes taken in part, written once, so that their numbers stay; counted part by part of the input
+    cut = stored(rows.join(some, _same("__", "_c_")).withColumn("__row", F.monotonically_increasing_id()), "parts")
+    group = ["__" + c for c in CLASS]
+    sums = cut.groupBy(*group, "__part").agg(F.count("*").alias("_here"))
+    sums = sums.withColumn("_before", F.sum("_here").over(W.partitionBy(*group).orderBy("__part")) - F.col("_here"))
+    sums = sums.select(*[F.col("__" + c).alias("_p_" + c) for c in CLASS], F.col("__part").alias("_p"), "_before")
+    numbered = cut.select("__row", *group, "__part").withColumn("_nth", F.row_number().over(W.partitionBy(*group, "__part").orderBy("__row")))
+    numbered = numbered.join(sums, _same("__", "_p_") & (F.col("__part") == F.col("_p"))).select(F.col("__row").alias("_row"), (F.col("_before") + F.col("_nth")).alias("_nth"))
+    cut = cut.join(numbered.hint("merge"), F.col("__row") == F.col("_row"))
+    return out.unionByName(times(cut, F.col("_nth") <= F.col("__n")))

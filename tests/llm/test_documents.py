@@ -155,20 +155,56 @@ def test_mixing_against_brute_force(docs_of, prose):
                 order.append((-math.log(u) / share, i, mine[i]["size"]))
         order.sort()
         extra, total = set(), 0
-        for _, i, n in order:
-            if total + n > budget:
+        most = budget
+        while True:  # the order until one does not fit, best fits, and on past what is too long
+            for _, i, n in order:
+                if i in extra or n == 0 or n > most:
+                    continue
+                if total + n > budget:
+                    break
+                extra.add(i)
+                total += n
+            for _ in range(mixing.FILLS - 1):
+                gap = budget - total
+                free = [(gap - n, key, i, n) for key, i, n in order if i not in extra and 0 < n <= gap]
+                if free:
+                    extra.add(min(free)[2])
+                    total += min(free)[3]
+            most = budget - total
+            if not any(i not in extra and 0 < n <= most for _, i, n in order):
                 break
-            extra.add(i)
-            total += n
-        for k in range(mixing.FILLS):
-            gap = budget - total
-            free = [(abs(gap - n), key, i, n) for key, i, n in order if i not in extra and n > 0 and abs(gap - n) < gap and (n <= gap or k + 1 == mixing.FILLS)]
-            if free:
-                extra.add(min(free)[2])
-                total += min(free)[3]
+        gap = budget - total
+        free = [(abs(gap - n), key, i, n) for key, i, n in order if i not in extra and n > 0 and abs(gap - n) < gap]
+        if free:
+            extra.add(min(free)[2])
         assert {i for i, r in mine.items() if r["extra"] and r["size"]} == {i for i in extra if mine[i]["size"]}
 
 
+@pytest.mark.parametrize("row_id", [9999, None])
+@pytest.mark.parametrize("share", [16.0, 14.0, 25.0])
+def test_mixing_takes_repeated_rows_one_by_one(docs_of, row_id, share):
+    rows = [(i, "word " * 20, "en", "a", 0) for i in range(300)] + [(row_id, "copy " * 50, "en", "a", 0)] * 400
+    rows += [(20_000 + i, "other " * 20, "en", "b", 0) for i in range(700)]
+    df = docs_of(rows).repartition(7)
+    got = mixing.mix(df, weights=(share, 40 - share), most=50).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((r[0], len(r[1].split())) for r in rows)
+    for source in "ab":
+        mine = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 50
+    again = mixing.repeat_rows(df, weights=(share, 40 - share), most=50)
+    want = Counter()
+    for r in got:
+        want[(r["doc_id"], r["source"])] += r["epochs"] + r["extra"]
+    assert Counter((r["doc_id"], r["source"]) for r in again.collect()) == +want
+
+
+def test_mixing_rows_of_one_id_and_size_with_different_texts(docs_of):
+    rows = [(1, "aa bb 11 22", "en", "a", 0), (1, "aa bb cc dd", "en", "a", 0)] * 50 + [(i, "x y", "en", "a" if i % 3 else "b", 0) for i in range(10, 300)]
+    got = mixing.mix(docs_of(rows)).collect()
+    again = mixing.repeat_rows(docs_of(rows)).collect()
+    assert len(got) == len(rows) and sum(r["taken"] for r in got) == sum(len(r["text"].split()) for r in again)
+
+
 def test_mixing_prefers_heavy_documents(spark, docs_of):
     df = docs_of([(i, "a b c d", "en", "x" if i < 400 else "y", 0) for i in range(800)])
     heavy = F.when(F.col("doc_id") % 2 == 0, 9.0).otherwise(1.0)
