@@ -100,11 +100,12 @@ def _first_of(texts: list[str]) -> list[bool]:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, digest of every line with a word; bands (keys and sketch) with the first of equal lines in a chunk."""
+    """doc_id, doc (hash of the text), line_no, digest of every line with a word; bands (keys and sketch) with the first of
+    equal lines in a chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in chunks(batch.column(1)):
-                split = pc.split_pattern(batch.column(1).slice(a, b - a), "\n")
+            for a, b in chunks(batch.column(2)):
+                split = pc.split_pattern(batch.column(2).slice(a, b - a), "\n")
                 owner, lines = np.asarray(pc.list_parent_indices(split), np.int64), split.flatten()
                 number = np.arange(len(owner)) - np.searchsorted(owner, owner)
                 real = np.flatnonzero(np.asarray(pc.not_equal(pc.ascii_trim_whitespace(lines), "")))
@@ -116,12 +117,13 @@ def _lines(docs: DataFrame) -> DataFrame:
                 packed = {x: (xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")), keys[i].tobytes()) for i, x in enumerate(distinct)}
                 signed = [packed[x][1] if new else None for x, new in zip(texts, _first_of(texts))]  # once per chunk
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(pa.array(owner[real] + a)), pa.array(number[real].astype(np.int32)),
+                    *(batch.column(i).take(pa.array(owner[real] + a)) for i in (0, 1)), pa.array(number[real].astype(np.int32)),
                     pa.array([packed[x][0] for x in texts], pa.binary()), pa.array(signed, pa.binary())],
-                    names=["doc_id", "line_no", "digest", "bands"])
+                    names=["doc_id", "doc", "line_no", "digest", "bands"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, line_no int, digest binary, bands binary")
+    text = text_of(F.col("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("doc"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, doc long, line_no int, digest binary, bands binary")
 
 
 def _explode_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,11 +304,17 @@ def duplicate_lines(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """doc_id, line_no, keep_doc_id, keep_line_no, kept: every line with a word, and the line its component keeps.
 
     Lines are what stands between \\n, compared as they are; lines without a word are in no component and have no row.
-    Null doc_id counts as larger than any other. Rows that repeat a doc_id are one document: equal lines at the same
-    number share their fate. Null and empty texts have no rows; other columns are not looked at.
+    Null doc_id counts as larger than any other. Rows alike in doc_id and text are one document, whose lines share their
+    fate; rows of one doc_id (or none) with different texts are documents of their own, and of equal line numbers the text
+    with the smaller hash comes first. Null and empty texts have no rows; other columns are not looked at.
     """
+    return _decided(docs, block).drop("doc")
+
+
+def _decided(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """duplicate_lines with `doc`, the hash of the text."""
     lines = stored(_lines(docs), "lines")
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "line_no")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "line_no", "doc")
     classes = lines.groupBy("digest").agg(F.min(place).alias("first"), F.min("bands").alias("bands"))
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     banded = classes.select("id", "bands").mapInArrow(_explode_bands, "key long, id long")
@@ -320,10 +328,10 @@ def duplicate_lines(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     sketched = sketched.select("meet", "id", "sketch").repartition("meet").sortWithinPartitions("meet")
     parties = stored(sketched.mapInArrow(_parties, "party long, id long").distinct(), "parties")
     drop(members)
-    wanted = parties.select("id").distinct().join(classes.select("id", "digest", "first.doc_id"), "id")
-    wanted = wanted.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("id", "digest")).alias("wanted"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
-    texts = texts.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc"))).select(F.explode(_pick("text", "wanted")).alias("x")).select("x.id", "x.text")
+    wanted = parties.select("id").distinct().join(classes.select("id", "digest", "first.doc_id", "first.doc"), "id")
+    wanted = wanted.groupBy(F.col("doc_id").alias("_doc_id"), F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("id", "digest")).alias("wanted"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text")).withColumn("doc", F.xxhash64("text"))
+    texts = texts.join(wanted.hint("merge"), (F.col("doc") == F.col("_doc")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))).select(F.explode(_pick("text", "wanted")).alias("x")).select("x.id", "x.text")
     texts = stored(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
     met = parties.join(texts, "id").select("party", "id", "text").repartition("party").sortWithinPartitions("party")
     linked = components(met.mapInArrow(_verify, "a long, b long"), "a", "b")
@@ -331,11 +339,11 @@ def duplicate_lines(docs: DataFrame, block: int = BLOCK) -> DataFrame:
                      .select("digest", "first", F.coalesce("component", "id").alias("root")), "grouped")
     drop(parties, texts, sizes)
     kept = stored(grouped.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("keep")), "kept")
-    labels = stored(grouped.join(kept, F.col("root") == F.col("_root")).select(F.col("digest").alias("_digest"), F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.line_no").alias("keep_line_no")), "labels")
+    labels = stored(grouped.join(kept, F.col("root") == F.col("_root")).select(F.col("digest").alias("_digest"), F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.line_no").alias("keep_line_no"), F.col("keep.doc").alias("_keep_doc")), "labels")
     drop(classes, grouped, kept)
-    out = lines.select("doc_id", "line_no", "digest").join(labels, F.col("digest") == F.col("_digest"))
-    same = F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("line_no") == F.col("keep_line_no"))
-    return out.select("doc_id", "line_no", "keep_doc_id", "keep_line_no", same.alias("kept"))
+    out = lines.select("doc_id", "doc", "line_no", "digest").join(labels, F.col("digest") == F.col("_digest"))
+    same = F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("line_no") == F.col("keep_line_no")) & (F.col("doc") == F.col("_keep_doc"))
+    return out.select("doc_id", "doc", "line_no", "keep_doc_id", "keep_line_no", same.alias("kept"))
 
 
 @F.arrow_udf(StringType())
@@ -354,9 +362,10 @@ def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
 def drop_duplicate_lines(docs: DataFrame) -> DataFrame:
     """`docs` without the lines that are not kept; n_chars, where it is a column, is the new length. A document that
     loses its last line with a word is dropped: all it said stands in other documents. Texts without a word stay."""
-    found = duplicate_lines(docs).filter("NOT kept")
-    gone = stored(found.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("line_no").alias("__gone")), "gone")
-    rows = docs.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")), "left").withColumn("__left", _without(F.col("text").cast("string"), "__gone"))
+    found = _decided(docs).filter("NOT kept")
+    gone = stored(found.groupBy(F.col("doc_id").alias("__id"), F.col("doc").alias("__doc")).agg(F.collect_set("line_no").alias("__gone")), "gone")
+    same = (F.xxhash64(text_of(F.col("text"))) == F.col("__doc")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+    rows = docs.join(gone.hint("merge"), same, "left").withColumn("__left", _without(F.col("text").cast("string"), "__gone"))
     rows = rows.filter(F.col("__left").isNotNull() | F.col("__gone").isNull())
     new = {"text": F.col("__left"), "n_chars": F.length("__left").cast(dict(docs.dtypes).get("n_chars", "long"))}
     return rows.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

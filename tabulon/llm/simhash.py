@@ -24,7 +24,7 @@ SHINGLE = 3
 SEED = 42
 #: The grid below is exact for differences of up to three bits.
 RADIUS = 3
-#: Fingerprints that stand in one cell before it is cut into blocks which are compared pair by pair.
+#: Fingerprints in one cell, its own and visitors, before it is cut into blocks which are compared pair by pair.
 BLOCK = 4096
 
 
@@ -66,8 +66,8 @@ def _cells(prints: DataFrame) -> DataFrame:
 
 
 def _blocks(cells: DataFrame, block: int) -> DataFrame:
-    """Cells with over `block` fingerprints of their own become pairs of blocks: a row goes to each pair with its block."""
-    crowded = cells.filter("own").groupBy("half", "cell").agg(F.count("*").alias("n")).filter(F.col("n") > block)
+    """Cells with over `block` fingerprints, own or visiting, become pairs of blocks: a row goes to each pair with its block."""
+    crowded = cells.groupBy("half", "cell").agg(F.count("*").alias("n")).filter(F.col("n") > block)
     crowded = stored(crowded.select(F.col("half").alias("h"), F.col("cell").alias("c"), F.ceil(F.col("n") / block).cast("int").alias("parts")), "crowded")
     joined = cells.join(crowded, (F.col("half") == F.col("h")) & (F.col("cell") == F.col("c")), "left")
     mine = F.expr("coalesce(pmod(xxhash64(fp), parts), 0)")
@@ -140,12 +140,18 @@ def digest(marked: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component of near-duplicates: its smallest doc_id, all columns as they were. Of repeated rows with
-    that doc_id one stays; rows without doc_id stay (one of them) only where their whole component has none."""
-    marks = near_duplicates(docs)
-    named = stored(marks.filter("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct(), "kept")
-    unnamed = stored(marks.filter("component_id IS NULL").select(F.col("fp").alias("__fp"), F.col("root").alias("__root")).distinct(), "unnamed")
+    """One row of each component of near-duplicates: its smallest doc_id, all columns as they were. Of the component's rows
+    with that doc_id one stays; rows without doc_id stay (one of them) only where their whole component has none. A doc_id
+    whose rows belong to several components is looked at component by component."""
+    marks = stored(near_duplicates(docs), "marks")
+    several = marks.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).agg(F.min("root").alias("a"), F.max("root").alias("b"))
+    several = stored(several.filter("a <> b").select("__id"), "several")
+    named = marks.filter("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
+    named = stored(named.join(several, "__id", "left_anti"), "kept")
     rows = docs.join(named.hint("merge"), F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    others = docs.filter("doc_id IS NULL").withColumn("__print", fingerprint_of(F.col("text")))
-    others = others.join(unnamed, F.col("__print") == F.col("__fp")).dropDuplicates(["__root"])
+    unclear = lambda df: df.filter("doc_id IS NULL").unionByName(df.join(several, F.col("doc_id") == F.col("__id"), "left_semi"))
+    first = unclear(marks.filter("component_id IS NULL OR doc_id = component_id")).select(F.col("doc_id").alias("__own"), F.col("fp").alias("__fp"), F.col("root").alias("__root"))
+    first = stored(first.distinct(), "unclear")
+    others = unclear(docs).withColumn("__print", fingerprint_of(F.col("text")))
+    others = others.join(first, (F.col("__print") == F.col("__fp")) & F.col("doc_id").eqNullSafe(F.col("__own"))).dropDuplicates(["__root"])
     return rows.unionByName(others.select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -449,3 +449,28 @@ def test_dropping_lines(docs_of, prose):
 def test_keep_one(docs_of, prose):
     rows = [(5, prose(1, 50)), (3, prose(1, 50)), (3, prose(1, 50)), (7, prose(2, 50)), (None, prose(3, 50)), (None, prose(3, 50)), (None, prose(2, 50))]
     assert Counter(r["doc_id"] for r in simhash.keep_one(docs_of(rows)).collect()) == {3: 1, 7: 1, None: 1}
+
+
+def test_keep_one_of_each_component_of_a_repeated_id(docs_of, prose):
+    a, b, c, d = (prose(i, 50) for i in range(4))
+    rows = [(5, a), (5, b), (5, b), (3, c), (5, c), (7, d), (7, a), (None, d), (None, prose(9, 50))]
+    got = Counter((r["doc_id"], r["text"]) for r in simhash.keep_one(docs_of(rows)).collect())
+    assert got == Counter([(5, a), (5, b), (3, c), (7, d), (None, prose(9, 50))])
+
+
+def test_lines_of_rows_with_one_id_and_different_texts(docs_of, prose):
+    x, y, z, u, v = (prose(i, 24, 24) for i in range(20, 25))
+    rows = [(1, x), (2, y + "\n" + z), (2, x + "\n" + u), (None, v), (None, z), (None, v + "\n" + y)]
+    got = Counter((r["doc_id"], r["text"]) for r in line_dedup.drop_duplicate_lines(docs_of(rows)).collect())
+    assert got == Counter([(1, x), (2, y + "\n" + z), (2, u), (None, v)]) and len(line_dedup.duplicate_lines(docs_of(rows)).collect()) == 9
+
+
+def test_simhash_cell_crowded_by_visitors(spark):
+    own = (1 << 40) - 1  # many fingerprints one step below the cell of one other
+    prints = {own} | {own ^ (1 << i) for i in range(40)} | {own ^ (1 << i) ^ (1 << j) for i in range(40) for j in range(i)}
+    cells = simhash._cells(spark.createDataFrame([(p,) for p in prints], "fp long"))
+    most = simhash._blocks(cells, 50).groupBy("meet").count().agg(F.max("count")).first()[0]
+    assert most < 200 < cells.groupBy("half", "cell").count().agg(F.max("count")).first()[0]
+    links = simhash.hamming_links(spark.createDataFrame([(p,) for p in prints], "fp long"), 50).collect()
+    pairs = {(r["a"], r["b"]) for r in links}
+    assert set(smallest({p: p for p in prints}, lambda a, b: (a, b) in pairs or (b, a) in pairs).values()) == {min(prints)}
