@@ -334,6 +334,17 @@ def _(t: Tables):
     return flows.run_once(bad.select("event_id", F.concat_ws("; ", "errors").alias("errors")), scratch_path(t.spark, "stream-quarantine"))
 
 
+@query("z1_stream_both_sides", """SELECT event_id, k < 20 AS rejected, CASE WHEN k < 10 THEN 'amount: missing' WHEN k < 20 THEN 'amount: negative' ELSE '' END AS errors
+FROM (SELECT event_id, json_extract_string(props, '$.k')::INT AS k FROM events)""")
+def _(t: Tables):
+    k = F.get_json_object("props", "$.k").cast("int")
+    amount = F.when(k < 10, F.lit("")).when(k < 20, F.lit("-1.5")).otherwise(F.col("value").cast("string"))
+    stream = _event_stream(t).select("event_id", amount.alias("amount"))
+    good, bad = flows.run_both(stream, number_rules("amount", allow_negative=False), scratch_path(t.spark, "stream-both"))
+    rejected = bad.select("event_id", F.lit(True).alias("rejected"), F.concat_ws("; ", "errors").alias("errors"))
+    return rejected.unionByName(good.select("event_id", F.lit(False).alias("rejected"), F.lit("").alias("errors")))
+
+
 @query("z2_stream_scoring", "SELECT count(*) AS rows, 0.0::DOUBLE AS max_diff FROM events", 12)
 def _(t: Tables):
     model = T.fit(LOGISTIC, _tx(t))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from tabulon.functions.numeric import col
 from tabulon.operators.contracts import Rule, with_errors
@@ -26,6 +26,35 @@ def quarantine(stream: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Dat
     return marked.where(~bad).drop("errors"), marked.where(bad)
 
 
+def keep_both(rules: Sequence[Rule], path: str) -> Callable[[DataFrame, int], None]:
+    """A batch writer: valid and rejected rows of a batch in one write, below a folder named by the batch id.
+
+    The write replaces that folder, so a batch that is run again after a failure neither doubles nor loses rows, and both
+    sides of a batch appear together.
+    """
+    def keep(batch: DataFrame, epoch: int) -> None:
+        marked = with_errors(batch, rules).withColumn("rejected", F.size("errors") > 0)
+        marked.write.mode("overwrite").partitionBy("rejected").parquet(f"{path}/data/epoch={epoch}")
+    return keep
+
+
+def run_both(stream: DataFrame, rules: Sequence[Rule], path: str) -> tuple[DataFrame, DataFrame]:
+    """Process everything available: (valid rows, rejected rows with their `errors`), each with the `epoch` it came in.
+
+    The stream must not have columns named errors, rejected or epoch. A later call with the same path goes on where the
+    last one stopped.
+    """
+    taken = {"errors", "rejected", "epoch"} & set(stream.columns)
+    if taken:
+        raise ValueError(f"the stream has columns of reserved names: {', '.join(sorted(taken))}")
+    q = (stream.writeStream.foreachBatch(keep_both(rules, path)).option("checkpointLocation", f"{path}/checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    fields = [*with_errors(stream, rules).schema.fields, StructField("epoch", LongType()), StructField("rejected", BooleanType())]
+    rows = stream.sparkSession.read.schema(StructType(fields)).parquet(f"{path}/data")
+    return rows.where(~F.col("rejected")).drop("errors", "rejected"), rows.where("rejected").drop("rejected")
+
+
 def hourly_counts(stream: DataFrame, ts: str, kind: str, *, lateness: str = "1 hour") -> DataFrame:
     """Rows per hour and kind with a watermark."""
     return (stream.withColumn("_ts", col(ts).cast("timestamp")).withWatermark("_ts", lateness)

@@ -369,6 +369,27 @@ def test_stream_quarantine_equals_batch(event_folder):
     assert sorted(r["id"] for r in flows.run_once(bad.select("id", "errors"), out + "-b").collect()) == list(range(0, 40, 4))
 
 
+def test_stream_keeps_both_sides_once(event_folder):
+    df, stream, out = event_folder
+    rules = number_rules("amount")
+    good, bad = flows.run_both(stream, rules, out)
+    rows = lambda: (sorted(r["id"] for r in good.collect()), sorted((r["id"], tuple(r["errors"])) for r in bad.collect()))
+    first = rows()
+    assert first[0] == [i for i in range(40) if i % 4] and [i for i, _ in first[1]] == list(range(0, 40, 4)) and all(e for _, e in first[1])
+    epochs = {r["epoch"] for r in good.unionByName(bad.drop("errors")).select("epoch").distinct().collect()}
+    for epoch in epochs:  # the same batches once more, as after a lost driver
+        ids = [r["id"] for r in good.unionByName(bad.drop("errors")).where(F.col("epoch") == epoch).collect()]
+        flows.keep_both(rules, out)(df.where(F.col("id").isin(ids)), epoch)
+    good, bad = flows.run_both(stream, rules, out)  # nothing new to read
+    assert rows() == first
+
+
+def test_stream_reserved_names_are_refused(event_folder):
+    _, stream, out = event_folder
+    with pytest.raises(ValueError, match="rejected"):
+        flows.run_both(stream.withColumn("rejected", F.lit(1)), number_rules("amount"), out)
+
+
 def test_stream_hourly_counts(event_folder):
     df, stream, out = event_folder
     got = flows.run_once(flows.hourly_counts(stream, "ts", "kind"), out, mode="update", keys=("hour_start", "kind"))
