@@ -98,8 +98,8 @@ def _draws(docs: DataFrame, weight: Column | None, seed: str) -> list[Column]:
 def _taken(docs: DataFrame, weight: Column | None, weights: tuple[float, ...], most: int, seed: str) -> tuple[DataFrame, DataFrame]:
     """(class, part, here): rows of each class in each part of the input; (class, copies, n, source_size, target, epochs):
     how many rows of each class the mix takes once more than `epochs` times."""
-    here = docs.select(*_draws(docs, weight, seed)).withColumn("part", F.spark_partition_id()).groupBy(*CLASS, "part").agg(F.count("*").alias("here"))
-    here = stored(here, "sizes")
+    rows = stored(docs.select(*_draws(docs, weight, seed)).withColumn("part", F.spark_partition_id()), "sizes")  # texts are read here alone
+    here = stored(rows.groupBy(*CLASS, "part").agg(F.count("*").alias("here")), "here")
     targets = source_targets(here.select("source", (F.col("size") * F.col("here")).alias("size")), weights, most)
     plan = targets.withColumn("epochs", F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)).cast("long"))
     plan = stored(plan.withColumn("budget", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long")), "budgets")
