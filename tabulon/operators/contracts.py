@@ -105,10 +105,15 @@ class ContractError(ValueError):
 
 def require(df: DataFrame, contract: Contract) -> DataFrame:
     """Return `df` unchanged or raise with the failed checks (one job)."""
-    failed = check_contract(df, contract).where(~F.col("passed")).collect()
+    require_passed(check_contract(df, contract))
+    return df
+
+
+def require_passed(checks: DataFrame) -> None:
+    """Raise with the failed checks of a check table."""
+    failed = checks.where(~F.col("passed")).collect()
     if failed:
         raise ContractError("; ".join(f"{r['check']}: {r['observed']}" for r in failed))
-    return df
 
 
 def verdict(checks: DataFrame) -> DataFrame:

@@ -7,11 +7,11 @@ millions of names never visits the driver.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.numeric import bucket_floor, col
@@ -229,6 +229,12 @@ SCALING = ("standard", "minimal", "log_amount", "passthrough")
 
 
 class PopulationScalerModel(StateModel):
+    def held(self) -> PopulationScalerModel:
+        """The same model with its one row of state computed once and held by the plan itself."""
+        moments = self.state["moments"]
+        row = moments.sparkSession.createDataFrame([moments.first()], moments.schema)
+        return PopulationScalerModel(self.config, {**self.state, "moments": row})
+
     def _transform(self, df: DataFrame) -> DataFrame:
         c = self.config
         out = df.withColumns({x: F.log1p(col(x).cast("double")) for x in c["logged"]}) if c["logged"] else df
@@ -245,22 +251,25 @@ class PopulationScaler(Estimator):
 
     strategy: 'standard' scales all columns, 'minimal' only `minimal_cols`, 'log_amount' takes
     log1p of `log_cols` before scaling everything, 'passthrough' scales nothing.
-    A constant column is centred and left unscaled.
+    A constant column is centred and left unscaled. `seen` names further aggregates of the rows it is fitted on, kept in
+    its state beside their number (see `suites.seen_rows`).
     """
 
     def __init__(self, cols: Sequence[str], strategy: str = "standard", *, minimal_cols: Sequence[str] = (),
-                 log_cols: Sequence[str] = ()):
+                 log_cols: Sequence[str] = (), seen: Mapping[str, Column] | None = None):
         super().__init__()
         if strategy not in SCALING:
             raise ValueError(f"unknown strategy {strategy!r}; expected one of {SCALING}")
         self.cols, self.strategy = list(cols), strategy
         self.minimal_cols, self.log_cols = list(minimal_cols), list(log_cols)
+        self.seen = dict(seen or {})
 
     def _fit(self, df: DataFrame) -> PopulationScalerModel:
         logged = self.log_cols if self.strategy == "log_amount" else []
         scaled = {"passthrough": [], "minimal": self.minimal_cols}.get(self.strategy, self.cols)
         x = lambda c: F.log1p(col(c).cast("double")) if c in logged else col(c).cast("double")
-        moments = df.agg(F.count(F.lit(1)).alias("n_seen"), *[e for c in scaled for e in (
+        seen = [c.alias(name) for name, c in self.seen.items()]
+        moments = df.agg(F.count(F.lit(1)).alias("n_seen"), *seen, *[e for c in scaled for e in (
             F.avg(x(c)).alias(f"{c}_mean"), F.stddev_pop(x(c)).alias(f"{c}_std"))])
         return PopulationScalerModel({"logged": logged, "scaled": scaled, "features": self.cols}, {"moments": moments})
 

@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 from tabulon.functions.numeric import col, count_if, finite
 from tabulon.functions.text import (clean_text, flag_below, lenient_minutes, lenient_year, malformed, parse_grouped_int,
                                     parse_minutes, parse_year, split_tokens)
-from tabulon.operators.contracts import Check, Contract, require, run_checks
+from tabulon.operators.contracts import Check, Contract, require, require_passed, run_checks
 from tabulon.operators.dedupe import dedupe_first
 from tabulon.operators.encode import PopulationScaler, PopulationScalerModel
 from tabulon.operators.skew import attach
 from tabulon.operators.splits import Split, split
+from tabulon.operators.suites import preprocessor_checks, seen_rows
+from tabulon.session import scratch_path, stored
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """Raw split, transformed parts and the fitted preprocessor."""
+    """Raw split, transformed parts, the fitted preprocessor and the checks they passed."""
 
     split: Split
     scaler: PopulationScalerModel
@@ -28,16 +30,30 @@ class Prepared:
     test: DataFrame
     features: tuple[str, ...]
     label: str
+    checks: DataFrame
+
+    @property
+    def feature_names(self) -> list[str]:
+        """Names of the transformed features, in order."""
+        return self.scaler.feature_names()
 
 
 def prepare(df: DataFrame, contract: Contract, features: Sequence[str], label: str, row_id: str, *, test: float = 0.2,
             seed: int = 42, scaling: str = "standard", stratify: bool = False) -> Prepared:
-    """Contract -> split -> fit scaler on train -> transform both."""
+    """Contract -> split -> fit scaler on train -> transform both -> check what came out.
+
+    The split is stored once, partitioned by part, and the fitted state is one row; a failed check raises.
+    """
     if label in features:
         raise ValueError(f"label {label!r} is among the features")
-    parts = split(require(df, contract), row_id, test=test, seed=seed, stratify=label if stratify else None)
-    scaler = PopulationScaler(features, scaling).fit(parts.train)
-    return Prepared(parts, scaler, scaler.transform(parts.train), scaler.transform(parts.test), tuple(features), label)
+    spark = df.sparkSession
+    parts = split(require(df, contract), row_id, test=test, seed=seed, stratify=label if stratify else None).saved(
+        scratch_path(spark, "prepared-split"))
+    scaler = PopulationScaler(features, scaling, seen=seen_rows(row_id)).fit(parts.train).held()
+    train, test_rows = scaler.transform(parts.train), scaler.transform(parts.test)
+    checks = stored(preprocessor_checks(parts.frame, train, test_rows, features, row_id, [scaler]), "prepared-checks")
+    require_passed(checks)
+    return Prepared(parts, scaler, train, test_rows, tuple(features), label, checks)
 
 
 def transformed_checks(df: DataFrame, features: Sequence[str], expected_rows: int) -> DataFrame:

@@ -15,7 +15,7 @@ from tabulon.operators.relate import step_delta
 from tabulon.operators.splits import folds, split
 from tabulon.plans import preparation as prep
 from tabulon.plans import training as T
-from tabulon.plans.q_prepare import sql_folds
+from tabulon.plans.q_prepare import SQL_SEEN, sql_folds
 from tabulon.plans.q_relate import sql_split
 from tabulon.plans.registry import query, r
 from tabulon.plans.tables import SQL_TRANSACTIONS, Tables
@@ -203,6 +203,34 @@ def _(t: Tables):
         F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("ids"), F.sum("label").alias("positives"))
 
 
+_STRATEGIES = ("none", "oversample", "undersample")
+
+
+@query("m13_b6_fit_records", "WITH " + SQL_TX + ", f AS (SELECT * FROM " + sql_folds("lt", "event_id", 3, strata="label") + f"""), n AS (SELECT g.fold, count(*) AS rows_seen, {SQL_SEEN('event_id')} AS seen_digest, sum(label)::BIGINT AS p, sum(1 - label)::BIGINT AS q
+ FROM f, (SELECT DISTINCT fold FROM f) g WHERE f.fold <> g.fold GROUP BY 1), v AS (SELECT fold, count(*) AS valid_rows, sum(label)::BIGINT AS valid_positives FROM f GROUP BY 1),
+s AS (SELECT *, CASE strategy WHEN 'none' THEN p WHEN 'oversample' THEN greatest(p, q) ELSE least(p, q) END AS positives_fitted, CASE strategy WHEN 'none' THEN q WHEN 'oversample' THEN greatest(p, q) ELSE least(p, q) END AS negatives_fitted
+ FROM n, (SELECT unnest({list(_STRATEGIES)}) AS strategy))
+SELECT 'logistic|' || strategy AS config, fold, rows_seen, seen_digest, positives_fitted + negatives_fitted AS rows_fitted, positives_fitted, negatives_fitted, valid_rows, valid_positives FROM s JOIN v USING (fold)""")
+def _(t: Tables):
+    recipes = [replace(LOGISTIC, name=f"logistic|{s}", strategy=s, params={"maxIter": 5}) for s in _STRATEGIES]
+    records: list = []
+    oof = T.cross_validate(_folded(t), recipes, "fold", 3, records=records)
+    valid = oof.where(F.col("score").isNotNull()).groupBy("config", "fold").agg(F.count_distinct("event_id").alias("valid_rows"), F.sum("label").alias("valid_positives"))
+    return T.fit_table(records, t.spark).drop("fit_seconds").join(valid, ["config", "fold"])
+
+
+@query("m11_run_records", "WITH " + SQL_TX + ", s AS " + sql_split("lt", "event_id", strata="label") + f""", n AS (SELECT count(*) AS rows_seen, {SQL_SEEN('event_id')} AS seen_digest, sum(label)::BIGINT AS p, sum(1 - label)::BIGINT AS q FROM s WHERE split = 'train'),
+x AS (SELECT split AS part, sum(label)::BIGINT AS positives, sum(1 - label)::BIGINT AS negatives FROM s GROUP BY 1)
+SELECT 'logistic|' || strategy AS config, part, positives, negatives, rows_seen, seen_digest, true AS timed, CASE strategy WHEN 'smote' THEN 2*greatest(p, q) ELSE p + q END AS rows_fitted,
+ CASE strategy WHEN 'smote' THEN greatest(p, q) ELSE p END AS positives_fitted, CASE strategy WHEN 'smote' THEN greatest(p, q) ELSE q END AS negatives_fitted FROM n, x, (SELECT unnest(['class_weight', 'smote']) AS strategy)""")
+def _(t: Tables):
+    parts, out = _parts(t), None
+    for s in ("class_weight", "smote"):
+        one = T.run_experiment(replace(LOGISTIC, name=f"logistic|{s}", strategy=s, params={"maxIter": 5}), parts.train, parts.test)
+        out = one if out is None else out.unionByName(one)
+    return out.select("config", "part", "positives", "negatives", "rows_seen", "seen_digest", (F.col("fit_seconds") > 0).alias("timed"), "rows_fitted", "positives_fitted", "negatives_fitted")
+
+
 @query("m13_cross_validated_summary")
 def _(t: Tables):
     oof = T.cross_validate(_folded(t), [LOGISTIC, FOREST], "fold", 3)
@@ -292,6 +320,18 @@ def _(t: Tables):
     return a.join(b, "event_id").agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("a") - F.col("b"))).alias("max_diff"))
 
 
+@query("s9_s10_bundle_manifest", "WITH " + SQL_TX + f", m AS (SELECT count(*) AS rows, sum(label)::BIGINT AS positives, {', '.join(f'min({c})::DOUBLE AS lo{i}, max({c})::DOUBLE AS hi{i}' for i, c in enumerate(FEATURES))} FROM lt) "
+       + " UNION ALL ".join(f"SELECT {i}::BIGINT AS position, '{c}' AS feature, {r(f'lo{i}')} AS low, {r(f'hi{i}')} AS high, rows, positives, rows - positives AS negatives, 'PopulationScalerModel,VectorAssembler,LogisticRegressionModel' AS stages FROM m" for i, c in enumerate(FEATURES)))
+def _(t: Tables):
+    df, path = _tx(t), scratch_path(t.spark, "bundle")
+    model = T.fit(replace(LOGISTIC, params={"maxIter": 5}), df)
+    files.save_bundle(model, {"features": list(FEATURES), "threshold": 0.5, "label": "label", **files.training_summary(df, FEATURES, "label")}, path, t.spark)
+    _, m = files.load_bundle(t.spark, path)
+    stages = ",".join(s["class"] for s in m["manifest"]["stages"])
+    rows = [(i, c, *map(float, m["ranges"][c]), m["rows"], m["classes"]["1"], m["classes"]["0"], stages) for i, c in enumerate(m["features"])]
+    return t.spark.createDataFrame(rows, "position int, feature string, low double, high double, rows bigint, positives bigint, negatives bigint, stages string")
+
+
 @query("s11_bundle_metadata", "SELECT 'label' AS label, 3::BIGINT AS features, 0.5::DOUBLE AS threshold, count(*) AS rows FROM events")
 def _(t: Tables):
     _, path = _bundle(t)

@@ -14,6 +14,7 @@ from tabulon.operators.assembly import FeatureAssembler
 from tabulon.operators.contracts import Check, Contract, fingerprint, run_checks, sql_fingerprint
 from tabulon.operators.profile import describe
 from tabulon.operators.relate import compare_counts
+from tabulon.operators.suites import MODULUS, preprocessor_checks, resampling_checks, seen_rows
 from tabulon.plans import preparation as prep
 from tabulon.plans.q_relate import sql_split
 from tabulon.plans.registry import query, r, union
@@ -277,6 +278,54 @@ def _(t: Tables):
                                Check("missing cells", count_if(F.col("o_totalprice").isNull()))])
 
 
+SQL_SEEN = lambda key: f"(sum({sql_digest('seen', key)}) % {MODULUS})::BIGINT"
+_CONTRACT = Contract(["event_id", "amount", "k", "label"], numeric=["amount", "k"], not_null=["amount", "k", "label"], finite=["amount"], domains={"label": [0, 1]})
+
+
+def sql_checks(checks: dict[str, tuple[str, int]], source: str) -> str:
+    """SQL of a check table: name -> (aggregate, expected)."""
+    return union(f"""SELECT '{n}' AS "check", (0 * count(*) + {e})::BIGINT AS observed, {want}::BIGINT AS expected, (0 * count(*) + {e})::BIGINT = {want} AS passed FROM {source}""" for n, (e, want) in checks.items())
+
+
+@query("e12_v12_preprocessor_suite", "WITH " + SQL_TRANSACTIONS + ", s AS " + sql_split("tx", "event_id", strata="label") + f""", m AS (SELECT avg(amount) AS a, stddev_pop(amount) AS d, avg(k) AS ka, stddev_pop(k) AS kd, count(*) AS n, {SQL_SEEN('event_id')} AS h FROM s WHERE split='train'),
+z AS (SELECT s.*, (amount - a)/d AS za, (k - ka)/kd AS zk, n, h FROM s, m) """ + sql_checks({
+    "columns in one part only": ("0", 0), "columns gained or lost": ("0", 0), "a scaler was fitted": ("1", 1),
+    "train rows gained or lost": ("abs(count(za) FILTER (split='train') - count(*) FILTER (split='train'))", 0),
+    "test rows gained or lost": ("abs(count(za) FILTER (split='test') - count(*) FILTER (split='test'))", 0),
+    "missing cells": ("count(*) FILTER (za IS NULL OR isnan(za)) + count(*) FILTER (zk IS NULL OR isnan(zk))", 0),
+    "infinite cells": ("count(*) FILTER (isinf(za)) + count(*) FILTER (isinf(zk))", 0),
+    "scalers fitted on other rows than train": (f"(any_value(n) <> count(*) FILTER (split='train') OR any_value(h) <> (SELECT {SQL_SEEN('event_id')} FROM s WHERE split='train'))::INT", 0)}, "z"))
+def _(t: Tables):
+    return prep.prepare(t.transactions.select("event_id", "amount", "k", "label"), _CONTRACT, ["amount", "k"], "label", "event_id", stratify=True).checks
+
+
+@query("v12_scaler_fitted_on_other_rows", "WITH s AS " + sql_split("orders", "o_orderkey") + f""", h AS (SELECT {SQL_SEEN('o_orderkey')} AS seen FROM s WHERE o_orderkey > (SELECT min(o_orderkey) FROM s WHERE split='test') OR split = 'test') """ + sql_checks({
+    "columns in one part only": ("0", 0), "columns gained or lost": ("0", 0), "a scaler was fitted": ("1", 1), "train rows gained or lost": ("0", 0), "test rows gained or lost": ("0", 0),
+    "missing cells": ("count(*) - count(o_totalprice)", 0), "infinite cells": ("0", 0),
+    "scalers fitted on other rows than train": (f"((SELECT any_value(seen) FROM h) <> (SELECT {SQL_SEEN('o_orderkey')} FROM s WHERE split='train'))::INT", 0)}, "s"))
+def _(t: Tables):
+    parts = L.split(t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey").saved(scratch_path(t.spark, "orders-split"))
+    first = parts.test.agg(F.min("o_orderkey")).scalar()
+    other = parts.frame.where((F.col("o_orderkey") > first) | (F.col("split") == "test"))
+    scaler = E.PopulationScaler(["o_totalprice"], seen=seen_rows("o_orderkey")).fit(other).held()
+    return preprocessor_checks(parts.frame, scaler.transform(parts.train), scaler.transform(parts.test), ["o_totalprice"], "o_orderkey", [scaler])
+
+
+@query("v13_resampling_suite", "WITH s AS " + sql_split("labels", "doc_id", strata="toxic") + """, c AS (SELECT toxic, count(*) FILTER (split='train') AS train, count(*) FILTER (split='test') AS test FROM s GROUP BY 1),
+g AS (SELECT toxic, train, test, max(train) OVER () AS over_n, min(train) OVER () AS under_n FROM c), x AS (SELECT strategy, g.*, CASE strategy WHEN 'oversample' THEN over_n WHEN 'undersample' THEN under_n ELSE train END AS made FROM g, (SELECT unnest(['none', 'oversample', 'undersample']) AS strategy)),
+k AS (SELECT strategy, unnest(['test rows gained or lost', 'test classes with another count', 'training classes changed', 'classes in the resampled rows']) AS "check",
+ unnest([0, 0, max((made <> train)::INT), count(*) FILTER (made > 0)])::BIGINT AS observed, unnest([0, 0, (strategy <> 'none')::INT, 2])::BIGINT AS expected FROM x GROUP BY strategy)
+SELECT *, observed = expected AS passed FROM k""")
+def _(t: Tables):
+    parts = L.split(t.labels.select("doc_id", "toxic"), "doc_id", stratify="toxic").saved(scratch_path(t.spark, "labels-split"))
+    rows, out = parts.train.select("doc_id", "toxic"), None
+    for s in ("none", "oversample", "undersample"):
+        one = resampling_checks(rows, B.resample(rows, "toxic", s, "doc_id"), t.labels.join(parts.test.select("doc_id"), "doc_id", "left_semi"), parts.test, "toxic",
+                                changes=s != "none").select(F.lit(s).alias("strategy"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---------------------------------------------------------------- class imbalance
 
 @query("b1_class_weights", f"SELECT toxic::BIGINT AS toxic, count(*) AS n, {r('(SELECT count(*) FROM labels) / (2.0 * count(*))')} AS weight FROM labels GROUP BY 1")

@@ -7,8 +7,9 @@ only ever see the rows handed to it: the training split, or the training part of
 from __future__ import annotations
 
 import itertools
+import time
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, astuple, dataclass, field, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -19,12 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.draws import digest
-from tabulon.functions.numeric import col
+from tabulon.functions.numeric import col, count_if
 from tabulon.operators import linear
 from tabulon.operators.encode import PopulationScaler
 from tabulon.operators.metrics import decide, evaluate, regression_metrics
 from tabulon.operators.ordered import hash_numbering
 from tabulon.operators.resample import STRATEGIES, resample, with_class_weights
+from tabulon.operators.suites import seen_rows
 
 CLASSIFIERS = ("logistic_regression", "random_forest")
 REGRESSORS = ("linear", "ridge", "lasso", "forest", "boosting")
@@ -83,12 +85,31 @@ def estimator(recipe: Recipe, rows: int):
                                    "subsamplingRate": 0.8, "seed": recipe.seed, **p})
 
 
+@dataclass(frozen=True)
+class FitRecord:
+    """What a fit read and learned from: rows handed to it and the digest of their ids, then rows and classes after
+    resampling (null for regressors), and how long scaling, resampling and learning took."""
+
+    rows_seen: int
+    seen_digest: int
+    rows_fitted: int
+    positives_fitted: int | None
+    negatives_fitted: int | None
+    fit_seconds: float
+
+
 def fit(recipe: Recipe, train: DataFrame) -> PipelineModel:
     """Scale -> resample or weight -> learn, all from `train` alone. Scoring skips resampling."""
+    return fit_recorded(recipe, train)[0]
+
+
+def fit_recorded(recipe: Recipe, train: DataFrame) -> tuple[PipelineModel, FitRecord]:
+    """`fit`, and what it saw. The counts come from the two aggregations that a fit runs anyway."""
+    start = time.perf_counter()
     features = list(recipe.features)
-    scaler = PopulationScaler(features, recipe.scaling, minimal_cols=recipe.minimal_cols, log_cols=recipe.log_cols).fit(train)
-    state = scaler.state["moments"].first()
-    scaler.state["moments"] = train.sparkSession.createDataFrame([state], scaler.state["moments"].schema)
+    scaler = PopulationScaler(features, recipe.scaling, minimal_cols=recipe.minimal_cols, log_cols=recipe.log_cols,
+                              seen=seen_rows(recipe.row_id)).fit(train).held()
+    seen = scaler.state["moments"].select("n_seen", "seen_digest").first()
     assembler = VectorAssembler(inputCols=features, outputCol="_features")
     rows = scaler.transform(train).select(recipe.row_id, recipe.label, *features)
     params = dict(recipe.params)
@@ -105,11 +126,20 @@ def fit(recipe: Recipe, train: DataFrame) -> PipelineModel:
     prepared = prepared.withColumn(recipe.label, col(recipe.label).cast("double"))
     prepared = prepared.persist()
     try:
-        learner = estimator(replace(recipe, params=params), prepared.count())
-        model = learner.fit(prepared)
+        y = col(recipe.label)
+        n = prepared.agg(F.count(F.lit(1)).alias("rows"), count_if(y == 1).alias("pos"), count_if(y == 0).alias("neg")).first()
+        model = estimator(replace(recipe, params=params), n["rows"]).fit(prepared)
     finally:
         prepared.unpersist()
-    return PipelineModel([scaler, assembler, model])
+    classes = (n["pos"], n["neg"]) if recipe.is_classifier else (None, None)
+    record = FitRecord(seen["n_seen"], seen["seen_digest"], n["rows"], *classes, time.perf_counter() - start)
+    return PipelineModel([scaler, assembler, model]), record
+
+
+def fit_table(records: Sequence[tuple[str, int, FitRecord]], spark) -> DataFrame:
+    """(config, fold, what the fit saw): one row per fit."""
+    return spark.createDataFrame([(c, f, *astuple(r)) for c, f, r in records], "config string, fold int, rows_seen bigint, "
+                                 "seen_digest bigint, rows_fitted bigint, positives_fitted bigint, negatives_fitted bigint, fit_seconds double")
 
 
 def score(model: PipelineModel, df: DataFrame, recipe: Recipe) -> DataFrame:
@@ -138,11 +168,12 @@ def metrics_of(recipe: Recipe, scored: DataFrame, by: Sequence[str] = ()) -> Dat
 
 
 def run_experiment(recipe: Recipe, train: DataFrame, test: DataFrame) -> DataFrame:
-    """Fit on train, then metrics on both parts: one row per part."""
-    model = fit(recipe, train)
+    """Fit on train, then metrics on both parts and what the fit saw: one row per part."""
+    model, record = fit_recorded(recipe, train)
     both = score(model, train, recipe).withColumn("part", F.lit("train")).unionByName(
         score(model, test, recipe).withColumn("part", F.lit("test")))
-    return metrics_of(recipe, both, ["part"]).select(F.lit(recipe.name).alias("config"), "*")
+    saw = [F.lit(v).cast("double" if n == "fit_seconds" else "bigint").alias(n) for n, v in asdict(record).items()]
+    return metrics_of(recipe, both, ["part"]).select(F.lit(recipe.name).alias("config"), "*", *saw)
 
 
 def results_table(recipes: Sequence[Recipe], train: DataFrame, test: DataFrame, part: str = "test") -> DataFrame:
@@ -153,15 +184,18 @@ def results_table(recipes: Sequence[Recipe], train: DataFrame, test: DataFrame,
     return out
 
 
-def cross_validate(df: DataFrame, recipes: Sequence[Recipe], fold: str, k: int, *, train_scores: bool = False) -> DataFrame:
+def cross_validate(df: DataFrame, recipes: Sequence[Recipe], fold: str, k: int, *, train_scores: bool = False,
+                   records: list[tuple[str, int, FitRecord]] | None = None) -> DataFrame:
     """Out-of-fold scores (config, fold, row_id, label, score): every row once per configuration,
     scored by the only model that did not see it. With train_scores=True each model also scores
-    its own training rows (`part` = 'train')."""
+    its own training rows (`part` = 'train'). What each fit saw is appended to `records`."""
     out = None
     for r in recipes:
         for i in range(1, k + 1):
             inside = df.where(col(fold) != i)
-            model = fit(r, inside)
+            model, record = fit_recorded(r, inside)
+            if records is not None:
+                records.append((r.name, i, record))
             parts = [("valid", df.where(col(fold) == i))] + ([("train", inside)] if train_scores else [])
             for part, rows in parts:
                 one = score(model, rows, r).select(F.lit(r.name).alias("config"), F.lit(i).alias("fold"), F.lit(part).alias("part"),

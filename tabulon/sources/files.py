@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import json
+import platform
+from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulon.functions.numeric import col
-from tabulon.operators.contracts import Contract, ContractError, require
+from tabulon.functions.numeric import col, count_if
+from tabulon.operators.contracts import Contract, ContractError, fingerprint, require
 from tabulon.operators.dedupe import dedupe_first
 
 
@@ -72,11 +75,47 @@ def write_results(df: DataFrame, path: str, fmt: str = "csv", *, digits: int = 1
     return path
 
 
+#: Version of the layout of a bundle; others are refused.
+BUNDLE_FORMAT = 1
+
+
+def training_summary(train: DataFrame, features: Sequence[str], label: str) -> dict:
+    """Rows, class counts (labels 0/1, else none) and the range of every feature, from one aggregation."""
+    y = col(label)
+    one = train.agg(F.count(F.lit(1)).alias("rows"), count_if(y == 1).alias("pos"), count_if(y == 0).alias("neg"),
+                    *[e for i, c in enumerate(features) for e in (F.min(col(c).cast("double")).alias(f"lo{i}"), F.max(col(c).cast("double")).alias(f"hi{i}"))]).first()
+    binary = one["pos"] + one["neg"] == one["rows"]
+    return {"rows": one["rows"], "classes": {"1": one["pos"], "0": one["neg"]} if binary else None,
+            "ranges": {c: [one[f"lo{i}"], one[f"hi{i}"]] for i, c in enumerate(features)}}
+
+
+def _stages(model: PipelineModel) -> list[dict]:
+    """Class and settings of every stage, in order."""
+    out = []
+    for s in model.stages:
+        settings = s.config if hasattr(s, "config") else {p.name: v for p, v in s.extractParamMap().items()}
+        out.append({"class": type(s).__name__, "params": json.loads(json.dumps(settings, default=str, sort_keys=True))})
+    return out
+
+
+def _parts_digest(spark: SparkSession, path: str) -> dict:
+    """Number and digest of the files of the saved pipeline: Spark hashes each by its place and content."""
+    parts = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{path}/model")
+    named = parts.select(F.regexp_extract("path", "/model/(.*)$", 1).alias("place"), F.sha2("content", 256).alias("sha"))
+    one = fingerprint(named).first()
+    return {"files": one["rows"], "low": one["low"], "high": one["high"]}
+
+
 def save_bundle(model: PipelineModel, metadata: dict, path: str, spark: SparkSession) -> str:
-    """Fitted pipeline plus one metadata row (features, threshold, ranges, rows, versions)."""
+    """Fitted pipeline plus one metadata row: what is given (features in order, threshold, label, `training_summary`), and
+    a manifest of format, versions, stages with their settings, and the digest of the saved parts."""
     check_metadata(metadata)
+    check_features(model, metadata["features"])
     model.write().overwrite().save(f"{path}/model")
-    spark.createDataFrame([(json.dumps(metadata),)], "metadata string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
+    manifest = {"format": BUNDLE_FORMAT, "versions": {"spark": spark.version, "python": platform.python_version()},
+                "stages": _stages(model), "parts": _parts_digest(spark, path)}
+    text = json.dumps({**metadata, "manifest": manifest})
+    spark.createDataFrame([(text,)], "metadata string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
     return path
 
 
@@ -88,11 +127,36 @@ def check_metadata(metadata: dict) -> dict:
         raise ContractError(f"threshold must lie in (0, 1), got {metadata['threshold']}")
     if len(set(metadata["features"])) != len(metadata["features"]):
         raise ContractError("feature names repeat")
+    absent = sorted(set(metadata["features"]) ^ set(metadata.get("ranges") or metadata["features"]))
+    if absent:
+        raise ContractError(f"features and ranges differ in {absent}")
     return metadata
 
 
+def check_features(model: PipelineModel, features: Sequence[str]) -> None:
+    """The features, in this order, are those that the stages read."""
+    for s in model.stages:
+        if isinstance(s, VectorAssembler) and list(s.getInputCols()) != list(features):
+            raise ContractError(f"the pipeline assembles {list(s.getInputCols())}, the bundle lists {list(features)}")
+        width = getattr(s, "numFeatures", None)
+        if isinstance(width, int) and width != len(features):
+            raise ContractError(f"the learner reads {width} features, the bundle lists {len(features)}")
+
+
 def load_bundle(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
-    return PipelineModel.load(f"{path}/model"), bundle_metadata(spark, path)
+    """Pipeline and metadata, after their format, files, stages and features were found to agree."""
+    metadata = bundle_metadata(spark, path)
+    manifest = metadata.get("manifest")
+    if manifest is None or manifest.get("format") != BUNDLE_FORMAT:
+        raise ContractError(f"bundle format {manifest and manifest.get('format')!r}; expected {BUNDLE_FORMAT}")
+    found = _parts_digest(spark, path)
+    if found != manifest["parts"]:
+        raise ContractError(f"saved parts changed: {found} instead of {manifest['parts']}")
+    model = PipelineModel.load(f"{path}/model")
+    if _stages(model) != manifest["stages"]:
+        raise ContractError("stages or their settings differ from the manifest")
+    check_features(model, metadata["features"])
+    return model, metadata
 
 
 def bundle_metadata(spark: SparkSession, path: str) -> dict:

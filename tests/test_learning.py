@@ -346,6 +346,62 @@ def test_batch_scoring_contract(learnable, spark, tmp_path):
     assert score(model) == score(again)
 
 
+def test_bundle_refuses_what_changed(learnable, spark, tmp_path):
+    import json
+    from tabulon.operators.contracts import ContractError
+    model, path = T.fit(LOGIT, learnable), str(tmp_path / "b")
+    meta = {"features": ["x", "z"], "threshold": .4, "label": "y", **files.training_summary(learnable, ["x", "z"], "y")}
+    with pytest.raises(ContractError, match="assembles"):
+        files.save_bundle(model, {**meta, "features": ["z", "x"]}, path, spark)
+    with pytest.raises(ContractError, match="ranges"):
+        files.save_bundle(model, {**meta, "ranges": {"x": [0, 1]}}, path, spark)
+    files.save_bundle(model, meta, path, spark)
+    _, loaded = files.load_bundle(spark, path)
+    assert loaded["rows"] == 600 and sum(loaded["classes"].values()) == 600 and loaded["manifest"]["versions"]["spark"] == spark.version
+
+    def altered(change):
+        text = json.loads(json.dumps(loaded))
+        change(text)
+        spark.createDataFrame([(json.dumps(text),)], "metadata string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
+        return pytest.raises(ContractError)
+
+    for change in (lambda m: m["features"].reverse(), lambda m: m["manifest"].update(format=2), lambda m: m.pop("manifest"),
+                   lambda m: m["manifest"]["stages"].reverse(), lambda m: m["manifest"]["stages"][-1]["params"].update(tol=1.0),
+                   lambda m: m["manifest"]["parts"].update(low=0)):
+        with altered(change):
+            files.load_bundle(spark, path)
+    spark.createDataFrame([(json.dumps(loaded),)], "metadata string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
+    files.load_bundle(spark, path)
+    T.fit(replace(LOGIT, params={"C": .1}), learnable).write().overwrite().save(f"{path}/model")
+    with pytest.raises(ContractError, match="parts"):
+        files.load_bundle(spark, path)
+
+
+def test_fit_records_and_suites(learnable, spark):
+    from tabulon.operators.suites import preprocessor_checks, resampling_checks, seen_digest, seen_rows
+    parts = split(learnable, "id", stratify="y")
+    _, record = T.fit_recorded(replace(LOGIT, strategy="undersample", params={"maxIter": 3}), parts.train)
+    assert record.rows_seen == 480 and record.positives_fitted == record.negatives_fitted == record.rows_fitted / 2
+    assert record.seen_digest == parts.train.agg(seen_digest("id")).first()[0] and record.fit_seconds > 0
+    failed = lambda checks: {r["check"] for r in checks.collect() if not r["passed"]}
+    scaler = lambda df: E.PopulationScaler(["x", "z"], seen=seen_rows("id")).fit(df).held()
+    check = lambda s, **kw: failed(preprocessor_checks(parts.frame, kw.get("train", s.transform(parts.train)), kw.get("test", s.transform(parts.test)), ["x", "z"], "id", [s]))
+    good, other = scaler(parts.train), scaler(parts.frame.orderBy(F.col("id").desc()).limit(480))
+    assert check(good) == set()
+    assert check(other) == {"scalers fitted on other rows than train"}  # as many rows, but not the same ones
+    assert check(good, train=good.transform(parts.train).limit(479)) == {"train rows gained or lost"}
+    assert check(good, test=good.transform(parts.test).drop("z")) == {"columns in one part only"}
+    assert check(good, test=good.transform(parts.test).withColumn("x", F.lit(float("nan")))) == {"missing cells"}
+    assert check(good, test=good.transform(parts.test).withColumn("x", F.lit(float("-inf")))) == {"infinite cells"}
+    assert failed(preprocessor_checks(parts.frame, parts.train, parts.test, ["x"], "id", [])) == {"a scaler was fitted"}
+    rows = parts.train.select("id", "y")
+    made = B.resample(rows, "y", "oversample", "id")
+    assert failed(resampling_checks(rows, made, parts.test, parts.test, "y")) == set()
+    assert failed(resampling_checks(rows, rows, parts.test, parts.test, "y")) == {"training classes changed"}
+    assert failed(resampling_checks(rows, made.where("y = 0"), parts.test, parts.test.where("y = 0"), "y")) == {
+        "test rows gained or lost", "test classes with another count", "classes in the resampled rows"}
+
+
 def test_grid_expansion_is_replayable():
     grid = {"C": [.1, 1, 10], "penalty": ["l1", "l2"]}
     assert len(T.expand_grid(LOGIT, grid)) == 6
