@@ -18,7 +18,7 @@ from tabulon.plans import training as T
 from tabulon.plans.q_prepare import SQL_SEEN, sql_folds
 from tabulon.plans.q_relate import sql_split
 from tabulon.plans.registry import query, r
-from tabulon.plans.tables import SQL_TRANSACTIONS, Tables
+from tabulon.plans.tables import SQL_TRANSACTIONS, Tables, sql_digest
 from tabulon.session import scratch_path, stored
 from tabulon.sources import files
 from tabulon.streaming import flows
@@ -284,6 +284,23 @@ def _(t: Tables):
     return M.regression_metrics(out, "label", "score", ["config"]).select("config", "n", "rmse", "mae")
 
 
+_GROUPS = {"time": ("yr", "mon"), "customer": ("cust",), "signal": ("signal",)}
+_PAIRS = "(SELECT r.*, g.fold AS g FROM f r, (SELECT DISTINCT fold FROM f) g WHERE r.fold <> g.fold)"
+_NUMBER = lambda order: f"row_number() OVER (PARTITION BY rep, fold ORDER BY {sql_digest('42-' + order, 'rep', 'o_orderkey')}, o_orderkey) AS number"
+_GROUP_RMSE = lambda cols: f"sqrt(avg((e{''.join(f' + d{REG.index(c)}' for c in cols)})^2))"
+
+
+@query("m18_fold_importance", "WITH " + SQL_REG + ", " + _FOLDED + f""", again AS (SELECT * FROM f, (SELECT unnest(range(1, 6)) AS rep)), w AS ({sql_solved(sql_normal(_PAIRS, REG, 0.0, "g", "g"), len(REG))}),
+a AS (SELECT *, {_NUMBER('to')} FROM again), b AS (SELECT rep, fold, {', '.join(f'{c} AS p_{c}' for c in REG)}, {_NUMBER('from')} FROM again),
+j AS (SELECT fold, rep, my + {' + '.join(f'w{i} * ({c} - m{i}) / s{i}' for i, c in enumerate(REG))} - y AS e, {', '.join(f'w{i} * (p_{c} - {c}) / s{i} AS d{i}' for i, c in enumerate(REG))} FROM a JOIN b USING (rep, fold, number) JOIN w ON fold = g),
+k AS (""" + " UNION ALL ".join(f"SELECT '{g}' AS feature_group, fold, rep, {_GROUP_RMSE(cols)} - sqrt(avg(e^2)) AS worse FROM j GROUP BY fold, rep" for g, cols in _GROUPS.items()) + f"""),
+v AS (SELECT feature_group, fold, avg(worse) AS x FROM k GROUP BY 1, 2)
+SELECT feature_group, count(*) AS folds, {r('avg(x)')} AS mean_worse, {r('stddev_samp(x)')} AS std_worse, count(*) FILTER (x > 0) AS folds_worse FROM v GROUP BY 1""")
+def _(t: Tables):
+    df = stored(folds(_orders(t), "o_orderkey", 5), "folds")
+    return T.importance_summary(T.linear_importance(df, LINEAR, _GROUPS, "fold"))
+
+
 @query("m18_permutation_importance")
 def _(t: Tables):
     parts = split(_orders(t), "o_orderkey").saved(scratch_path(t.spark, "orders-split"))

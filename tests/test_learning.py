@@ -334,6 +334,31 @@ def test_permutation_importance_finds_the_signal(learnable):
     assert drop["x"] > .2 > drop["z"]
 
 
+def test_linear_importance_against_replayed_permutation(spark, folded):
+    import hashlib
+    df, x, y = folded
+    recipe = T.Recipe("lin", "linear", ("a", "b", "c"), "y", "id")
+    got = {(r["feature_group"], r["fold"], r["repeat"]): (r["base_rmse"], r["permuted_rmse"])
+           for r in T.linear_importance(df, recipe, {"ab": ["a", "b"], "c": ["c"]}, "fold", repeats=2).collect()}
+    assert len(got) == 2 * 4 * 2
+    number = lambda order, rep, ids: sorted(ids, key=lambda i: (hashlib.md5(f"42-{order}|{rep}|{i}".encode()).hexdigest()[:15], i))
+    for k in range(1, 5):
+        ids = [i for i in range(500) if i % 4 + 1 == k]
+        outside = np.arange(500) % 4 + 1 != k
+        design = lambda v: np.column_stack([np.ones(len(v)), v - x.mean(0)])
+        w = np.linalg.lstsq(design(x[outside]), y[outside], rcond=None)[0]
+        rmse = lambda v, at: float(np.sqrt(np.mean((design(v) @ w - y[at]) ** 2)))
+        for rep in (1, 2):
+            to, source = number("to", rep, ids), number("from", rep, ids)
+            for group, at in (("ab", [0, 1]), ("c", [2])):
+                mixed = x[to].copy()
+                mixed[:, at] = x[source][:, at]
+                assert got[group, k, rep] == pytest.approx((rmse(x[to], to), rmse(mixed, to)), rel=1e-5)
+    with pytest.raises(ValueError):
+        T.linear_importance(df, recipe, {"g": ["zz"]}, "fold")
+    assert T.linear_importance(df.where("false"), recipe, {"c": ["c"]}, "fold").count() == 0
+
+
 def test_batch_scoring_contract(learnable, spark, tmp_path):
     model = T.fit(LOGIT, learnable)
     with pytest.raises(ValueError):
