@@ -134,10 +134,10 @@ def best_threshold(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return table.groupBy(*by).agg(best.alias("_b")).select(*by, F.col("_b.t").alias("threshold"), F.col("_b.f").alias("f1"))
 
 
-def best_threshold_extended(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """Best threshold; when it is an edge of the base grid, the grid is extended on that side only."""
+def _within_reach(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows of a table over the extended grid that count, with `edge`: the base grid, and the extension on the side where
+    the best base threshold is an edge."""
     low, high = THRESHOLDS[0], THRESHOLDS[-1]
-    table = threshold_table(df, label, score, by, [*LOWER_EXTENSION, *THRESHOLDS, *UPPER_EXTENSION])
     base = best_threshold(table.where(F.col("threshold").between(low, high)), by)
     edge = F.when(F.col("threshold") == high, "upper").when(F.col("threshold") == low, "lower").otherwise("none")
     base = base.select(*by, edge.alias("edge"))
@@ -145,9 +145,14 @@ def best_threshold_extended(df: DataFrame, label: str, score: str, by: Sequence[
         tagged = join_groups(table, base, list(by))
     else:
         tagged = table.withColumn("edge", base.select("edge").scalar())
-    usable = (F.col("threshold").between(low, high) | ((F.col("edge") == "upper") & (F.col("threshold") > high))
-              | ((F.col("edge") == "lower") & (F.col("threshold") < low)))
-    return best_threshold(tagged.where(usable), [*by, "edge"])
+    return tagged.where(F.col("threshold").between(low, high) | ((F.col("edge") == "upper") & (F.col("threshold") > high))
+                        | ((F.col("edge") == "lower") & (F.col("threshold") < low)))
+
+
+def best_threshold_extended(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Best threshold; when it is an edge of the base grid, the grid is extended on that side only."""
+    table = threshold_table(df, label, score, by, [*LOWER_EXTENSION, *THRESHOLDS, *UPPER_EXTENSION])
+    return best_threshold(_within_reach(table, by), [*by, "edge"])
 
 
 def alternative_thresholds(table: DataFrame, by: Sequence[str] = (), *, recall: float = .85, precision: float = .90) -> DataFrame:
@@ -168,6 +173,19 @@ def threshold_stability(df: DataFrame, label: str, score: str, fold: str) -> Dat
     return join_groups(best_threshold(per_fold, [fold]), at_pooled, [fold])
 
 
+def threshold_stability_extended(df: DataFrame, label: str, score: str, fold: str, by: Sequence[str]) -> DataFrame:
+    """`threshold_stability` per group of `by`, the grid being extended where the best threshold of a fold, or of all folds
+    together, is an edge of it."""
+    by = list(by)
+    per_fold = threshold_table(df, label, score, [*by, fold], [*LOWER_EXTENSION, *THRESHOLDS, *UPPER_EXTENSION])
+    pooled = per_fold.groupBy(*by, "threshold").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")]).withColumn(
+        "f1", ratio_or_zero(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")))
+    chosen = best_threshold(_within_reach(pooled, by), [*by, "edge"]).select(*by, F.col("edge").alias("pooled_edge"), F.col("threshold").alias("pooled_threshold"))
+    at_pooled = join_groups(per_fold, chosen, by).where(F.col("threshold") == F.col("pooled_threshold")).select(
+        *by, fold, "pooled_threshold", "pooled_edge", F.col("f1").alias("f1_at_pooled"))
+    return join_groups(best_threshold(_within_reach(per_fold, [*by, fold]), [*by, fold, "edge"]), at_pooled, [*by, fold])
+
+
 def tie_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Distinct scores and rows scored exactly 0, per class."""
     y = col(label).cast("int")

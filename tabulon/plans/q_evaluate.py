@@ -122,6 +122,21 @@ def _(t: Tables):
     return M.threshold_stability(t.scored.where("config = 'mix'"), "label", "score", "fold")
 
 
+def _sql_reach(table: str, by: str) -> str:
+    """SQL of the best threshold per group, the grid being extended behind an edge."""
+    return f"""(SELECT * FROM (SELECT t.*, edge, row_number() OVER (PARTITION BY {', '.join('t.' + b for b in by.split(', '))} ORDER BY round(f1, 8) DESC, threshold) AS rn FROM {table} t JOIN (
+ SELECT {by}, CASE arg_min(threshold, (-round(f1, 8), threshold)) WHEN 0.95 THEN 'upper' WHEN 0.05 THEN 'lower' ELSE 'none' END AS edge FROM {table} WHERE threshold BETWEEN 0.05 AND 0.95 GROUP BY {by}) USING ({by})
+ WHERE threshold BETWEEN 0.05 AND 0.95 OR (edge = 'upper' AND threshold > 0.95) OR (edge = 'lower' AND threshold < 0.05)) WHERE rn = 1)"""
+
+
+@query("x12_threshold_stability_extended", "WITH " + SQL_SCORED + ", " + _grid_sql("config, fold", [*M.LOWER_EXTENSION, *M.THRESHOLDS, *M.UPPER_EXTENSION]) + f""",
+pooled AS (SELECT config, threshold, coalesce(2*sum(tp)/nullif(2*sum(tp)+sum(fp)+sum(fn),0),0) AS f1 FROM th GROUP BY 1, 2)
+SELECT k.config, k.fold, k.edge, k.threshold, {r('k.f1')} AS f1, c.threshold AS pooled_threshold, c.edge AS pooled_edge, {r('th.f1')} AS f1_at_pooled
+FROM {_sql_reach('th', 'config, fold')} k JOIN {_sql_reach('pooled', 'config')} c ON k.config = c.config JOIN th ON th.config = k.config AND th.fold = k.fold AND th.threshold = c.threshold""")
+def _(t: Tables):
+    return M.threshold_stability_extended(t.scored, "label", "score", "fold", ["config"])
+
+
 _FOLDS = SQL_LONG + f""", f AS (SELECT model, 1 + {sql_digest('cv', 'o_orderkey')} % 5 AS fold, sqrt(avg((actual-predicted)^2)) AS rmse, avg(abs(actual-predicted)) AS mae FROM long GROUP BY 1, 2)"""
 
 
