@@ -13,7 +13,7 @@ from dataclasses import asdict, astuple, dataclass, field, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -35,7 +35,8 @@ REGRESSORS = ("linear", "ridge", "lasso", "forest", "boosting")
 
 @dataclass(frozen=True)
 class Recipe:
-    """One configuration: model family, scaling, imbalance strategy and parameters."""
+    """One configuration: model family, scaling, imbalance strategy and parameters. With scaling 'sparse' (ridge only) the
+    features are vector columns that stay as they are, and the learner divides by the deviations of its training rows."""
 
     name: str
     model: str
@@ -56,6 +57,8 @@ class Recipe:
             raise ValueError(f"unknown strategy {self.strategy!r}; expected one of {STRATEGIES}")
         if self.label in self.features:
             raise ValueError(f"label {self.label!r} is among the features")
+        if self.scaling == "sparse" and (self.model != "ridge" or self.strategy != "none"):
+            raise ValueError("sparse scaling is for the ridge without resampling")
 
     @property
     def is_classifier(self) -> bool:
@@ -76,7 +79,7 @@ def estimator(recipe: Recipe, rows: int):
         return LinearRegression(**base, regParam=0.0, solver="normal", **p)
     if recipe.model == "ridge":
         return LinearRegression(**base, regParam=float(p.pop("alpha", 1.0)) / max(rows, 1), elasticNetParam=0.0,
-                                standardization=False, **p)
+                                standardization=recipe.scaling == "sparse", **p)
     if recipe.model == "lasso":
         return LinearRegression(**base, regParam=float(p.pop("alpha", 0.01)), elasticNetParam=1.0, standardization=False, **p)
     if recipe.model == "forest":
@@ -108,7 +111,8 @@ def fit_recorded(recipe: Recipe, train: DataFrame) -> tuple[PipelineModel, FitRe
     """`fit`, and what it saw. The counts come from the two aggregations that a fit runs anyway."""
     start = time.perf_counter()
     features = list(recipe.features)
-    scaler = PopulationScaler(features, recipe.scaling, minimal_cols=recipe.minimal_cols, log_cols=recipe.log_cols,
+    scaling = "passthrough" if recipe.scaling == "sparse" else recipe.scaling
+    scaler = PopulationScaler(features, scaling, minimal_cols=recipe.minimal_cols, log_cols=recipe.log_cols,
                               seen=seen_rows(recipe.row_id)).fit(train).held()
     seen = scaler.state["moments"].select("n_seen", "seen_digest").first()
     assembler = VectorAssembler(inputCols=features, outputCol="_features")
@@ -340,25 +344,28 @@ def coefficients(model: PipelineModel, recipe: Recipe, spark) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, coefficient double").withColumn("is_zero", F.col("coefficient") == 0)
 
 
-
-
 def people_sensitivity(df: DataFrame, prefix: str, cols: Sequence[str], label: str, row_id: str, fold: str, k: int,
                        min_counts: Sequence[int]) -> DataFrame:
-    """Out-of-fold scores of a linear model for several `min_count` settings of the people encoder,
-    the encoder being refitted on the training part of every fold."""
+    """Out-of-fold scores of a ridge model for several `min_count` settings of the people encoder,
+    the encoder being refitted on the training part of every fold.
+
+    The names of a row stay a sparse vector, which the learner scales, so no row is ever as wide as the list of names.
+    """
     from tabulon.operators.encode import PeopleEncoder
     from tabulon.session import stored
     out = None
     for n in min_counts:
         for i in range(1, k + 1):
-            inside, outside = df.where(col(fold) != i), df.where(col(fold) == i)
-            encoder = PeopleEncoder(prefix, cols, row_id, min_count=n).fit(inside)
-            names = encoder.frequent_names()
-            features = tuple(encoder.fixed_names()) + tuple(f"hot_{j}" for j in range(len(names)))
-            flags = {f"hot_{j}": F.array_contains(f"{prefix}_frequent", v).cast("double") for j, v in enumerate(names)}
-            encoded = stored(encoder.transform(inside.unionByName(outside)).withColumns(flags).select(row_id, label, fold, *features), "encoded")
-            recipe = Recipe(f"min_count={n}", "ridge", features, label, row_id)
+            encoder = PeopleEncoder(prefix, cols, row_id, min_count=n).fit(df.where(col(fold) != i))
+            names, fixed = encoder.frequent_names(), encoder.fixed_names()
+            stages = [VectorAssembler(inputCols=fixed, outputCol="_people")]
+            if names:
+                stages = [CountVectorizerModel.from_vocabulary(names, f"{prefix}_frequent", "_hot").setBinary(True),
+                          VectorAssembler(inputCols=[*fixed, "_hot"], outputCol="_people")]
+            rows = PipelineModel(stages).transform(encoder.transform(df.where(col(fold).isNotNull())))
+            encoded = stored(rows.select(row_id, label, fold, "_people"), "encoded")
+            recipe = Recipe(f"min_count={n}", "ridge", ("_people",), label, row_id, scaling="sparse")
             one = score(fit(recipe, encoded.where(col(fold) != i)), encoded.where(col(fold) == i), recipe).select(
-                F.lit(recipe.name).alias("config"), F.lit(i).alias("fold"), F.lit(len(features)).alias("features"), row_id, "label", "score")
+                F.lit(recipe.name).alias("config"), F.lit(i).alias("fold"), F.lit(len(fixed) + len(names)).alias("features"), row_id, "label", "score")
             out = one if out is None else out.unionByName(one)
     return out

@@ -482,3 +482,23 @@ def test_stream_deduplication(event_folder):
     _, stream, out = event_folder
     twice = stream.withColumn("c", F.explode(F.array(F.lit(1), F.lit(2)))).drop("c")
     assert flows.run_once(flows.drop_duplicates(twice, ["id", "kind"], "ts", lateness="6 hours"), out).count() == 40
+
+
+def test_people_sensitivity_keeps_names_sparse(spark, monkeypatch):
+    from tabulon import session
+    rng = np.random.default_rng(4)
+    rows = [(i, f" P{rng.integers(9)}" if i % 7 else None, f"Q{rng.integers(8)}" if i % 9 else None, float(rng.normal()), i % 2 + 1) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, a string, b string, y double, fold int")
+    widths, stored = [], session.stored
+    monkeypatch.setattr(session, "stored", lambda frame, name: widths.append((name, len(frame.columns))) or stored(frame, name))
+    got = {(r["fold"], r["id"]): (r["features"], r["score"]) for r in T.people_sensitivity(df, "p", ["a", "b"], "y", "id", "fold", 2, [2]).collect()}
+    assert max(n for name, n in widths if name == "encoded") <= 5
+    encoder = E.PeopleEncoder("p", ["a", "b"], "id", min_count=2).fit(df.where("fold = 2"))
+    flags = {f"hot_{j}": F.array_contains("p_frequent", v).cast("double") for j, v in enumerate(encoder.frequent_names())}
+    wide = encoder.transform(df).withColumns(flags).persist()  # the same ridge with a scaled column per name
+    recipe = T.Recipe("wide", "ridge", (*encoder.fixed_names(), *flags), "y", "id")
+    want = {r["id"]: r["score"] for r in T.score(T.fit(recipe, wide.where("fold = 2")), wide.where("fold = 1"), recipe).collect()}
+    assert {x for i, x in got if i == 1} == set(want) and len(got) == 300
+    assert all(got[1, x][0] == len(recipe.features) and abs(got[1, x][1] - v) < 1e-9 for x, v in want.items())
+    with pytest.raises(ValueError, match="sparse"):
+        T.Recipe("x", "lasso", ("v",), "y", "id", scaling="sparse")
