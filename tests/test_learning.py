@@ -502,3 +502,16 @@ def test_people_sensitivity_keeps_names_sparse(spark, monkeypatch):
     assert all(got[1, x][0] == len(recipe.features) and abs(got[1, x][1] - v) < 1e-9 for x, v in want.items())
     with pytest.raises(ValueError, match="sparse"):
         T.Recipe("x", "lasso", ("v",), "y", "id", scaling="sparse")
+
+
+def test_neighbours_send_on_in_bounded_pieces(spark, monkeypatch):
+    from tabulon.operators import neighbours as N
+    monkeypatch.setattr(N, "ROUTED", 256)
+    monkeypatch.setattr(N, "COMPARED", 512)
+    v = np.random.default_rng(5).normal(size=(120, 16))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(2)) + np.diag(np.full(120, np.inf))
+    steps = [len(f) for f in N._nearest(np.arange(120), v, np.arange(120), v, 2)]
+    assert max(steps) <= 8 and sum(steps) == 240  # 512 distances are 4 queries at a time
+    got = {(r["row_id"], r["rank"]): r["neighbour_id"] for r in nearest_neighbours(df, "id", "v", 3, pivots=4, block=10).collect()}
+    assert got == {(i, j + 1): int(n) for i in range(120) for j, n in enumerate(np.argsort(d[i], kind="stable")[:3])}
