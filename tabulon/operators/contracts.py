@@ -201,38 +201,63 @@ def conflicting_labels(df: DataFrame, features: Sequence[str], label: str) -> Da
 LIMB_BITS = 48
 
 
-def row_text(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
-    """A row as text: per column `n` for null or `v`, its length, `:` and its value, joined by `|`. Floating-point numbers
-    are written as whole millionths, dates and times as days and microseconds since 1970."""
+def _millionths(x: Column) -> Column:
+    """`x` rounded half away from zero, as text: in whole numbers below 2^53, where doubles still have fractions."""
+    size = F.abs(x)
+    small = F.when(size < F.lit(2.0 ** 53), size)
+    whole = small.cast("bigint")
+    whole = whole + F.when(small - whole >= F.lit(0.5), 1).otherwise(0)
+    return F.when(small.isNotNull(), F.when(x < 0, -whole).otherwise(whole).cast("string")).otherwise(F.round(x).cast("decimal(38,0)").cast("string"))
+
+
+def _wrapped_sum(parts: Sequence[tuple[Column, int]], bits: int) -> Column:
+    """Aggregate: sum of (number * 2^shift) over rows and parts, modulo 2^bits. The numbers are below 2^24 and summed as they
+    are, which holds for 2^39 rows; `bits` is 62 at most."""
+    total = F.lit(0).cast("bigint")
+    for number, shift in parts:
+        one = F.shiftleft(F.pmod(F.coalesce(F.sum(number), F.lit(0)), F.lit(2 ** (bits - shift))), shift)
+        total = F.pmod(total + one, F.lit(2 ** bits))
+    return total.cast("bigint")
+
+
+def row_digests(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """(text, values) of every row: the MD5 of its text and a 64-bit hash of its values. The text has per column `n` for null
+    or `v`, its length, `:` and its value, joined by `|`. Floating-point numbers are written as whole millionths, dates and
+    times as days and microseconds since 1970. Written in steps, so that the generated code stays small."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
-
-    def written(c: str) -> Column:
+    names = list(cols or df.columns)
+    values = F.xxhash64(*[F.struct(F.lit(i), col(c)) for i, c in enumerate(names)])
+    first, second = [values.alias("values")], ["values"]
+    for i, c in enumerate(names):
         kind, v = kinds[c], col(c)
         if isinstance(kind, T.FractionalType):
-            v = F.when(finite(c), F.round(F.when(finite(c), v.cast("double")) * F.lit(1e6)).cast("decimal(38,0)").cast("string")).otherwise(v.cast("string"))
-        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            first += [F.when(finite(c), v.cast("double") * F.lit(1e6)).alias(f"_x{i}"), F.when(~finite(c), v.cast("string")).alias(f"_s{i}")]
+            second.append(F.coalesce(_millionths(F.col(f"_x{i}")), F.col(f"_s{i}")).alias(f"_t{i}"))
+            continue
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
             v = F.unix_micros(v.cast("timestamp"))
         elif isinstance(kind, T.DateType):
             v = F.unix_date(v)
-        text = v.cast("string")
-        return F.when(v.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.length(text).cast("string"), F.lit(":"), text))
-
-    return F.concat_ws("|", *[written(c) for c in (cols or df.columns)])
+        first.append(v.cast("string").alias(f"_t{i}"))
+        second.append(f"_t{i}")
+    written = [F.when(t.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.length(t).cast("string"), F.lit(":"), t))
+               for t in (F.col(f"_t{i}") for i in range(len(names)))]
+    return df.select(*first).select(*second).select(F.md5(F.concat_ws("|", *written)).alias("text"), "values")
 
 
 def fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(rows, low, high, exact): an order-independent digest of a table as a multiset of rows, equal for any partitioning.
 
-    The first 24 hex digits of the MD5 of each row's `row_text` are two numbers; both are summed modulo 2^48. Sums, unlike
+    The first 24 hex digits of the MD5 of each row's text (`row_digests`) are two numbers; both are summed modulo 2^48. Sums, unlike
     XOR, tell how often a row occurs, and any SQL engine can repeat them. `exact` is such a sum of 64-bit hashes of the
     values as they are: it also sees changes below a millionth, but only Spark has it.
     """
-    digest = F.md5(row_text(df, cols))
-    limb = lambda at: F.sum(F.conv(F.substring(digest, at, LIMB_BITS // 4), 16, 10).cast("decimal(38,0)"))
-    wrapped = lambda at: F.pmod(F.coalesce(limb(at), F.lit(0)), F.lit(2 ** LIMB_BITS).cast("decimal(38,0)")).cast("bigint")
-    values = F.xxhash64(*[F.struct(F.lit(i), col(c)) for i, c in enumerate(cols or df.columns)])
-    exact = F.pmod(F.coalesce(F.sum(values.cast("decimal(38,0)")), F.lit(0)), F.lit(2 ** 62).cast("decimal(38,0)")).cast("bigint")
-    return df.agg(F.count(F.lit(1)).alias("rows"), wrapped(1).alias("low"), wrapped(1 + LIMB_BITS // 4).alias("high"), exact.alias("exact"))
+    half = lambda at: F.conv(F.substring("text", at, LIMB_BITS // 8), 16, 10).cast("bigint")
+    wrapped = lambda at: _wrapped_sum([(half(at), LIMB_BITS // 2), (half(at + LIMB_BITS // 8), 0)], LIMB_BITS)
+    values = F.col("values")
+    low = F.lit(2 ** 24 - 1)
+    exact = _wrapped_sum([(F.shiftright(values, 48), 48), (F.shiftright(values, 24).bitwiseAND(low), 24), (values.bitwiseAND(low), 0)], 62)
+    return row_digests(df, cols).agg(F.count(F.lit(1)).alias("rows"), wrapped(1).alias("low"), wrapped(1 + LIMB_BITS // 4).alias("high"), exact.alias("exact"))
 
 
 def sql_fingerprint(table: str, cols: Mapping[str, str]) -> str:

@@ -189,3 +189,19 @@ def test_set_and_rank_helpers(spark):
     assert {r["i"]: r["rank"] for r in ranks.collect()} == {1: 1.5, 2: 1.5, 3: 3.0}
     wide = H.reindex(spark.createDataFrame([("b", 2)], "k string, n int"), "k", ["a", "b"], {"n": 0})
     assert [(r["k"], r["n"]) for r in wide.orderBy("k_order").collect()] == [("a", 0), ("b", 2)]
+
+
+def test_fingerprint_numbers_and_sums(spark):
+    import hashlib
+    from decimal import Decimal, ROUND_HALF_UP
+    numbers = [0.0, -0.0, 0.5e-6, -0.5e-6, 1.4999999e-6, -2.5e-6, 0.49999999999999994e-6, 123.4567895, -99999.9999995, 9007199254.740993, -1e20, 1e25, None]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    whole = lambda x: str(int(Decimal(repr(x * 1e6)).quantize(Decimal(1), ROUND_HALF_UP)) + 0) if x * 1e6 < 1e28 and x * 1e6 > -1e28 else str(int(Decimal(repr(x * 1e6))))
+    texts = ["n" if x is None else f"v{len(whole(x))}:{whole(x)}" for x in numbers]
+    digests = [hashlib.md5(t.encode()).hexdigest() for t in texts]
+    assert sorted(r["text"] for r in C.row_digests(df).collect()) == sorted(digests)
+    got = C.fingerprint(df).first()
+    assert (got["low"], got["high"]) == tuple(sum(int(h[a:a + 12], 16) for h in digests) % 2 ** 48 for a in (0, 12))
+    assert got["exact"] == sum(r["values"] for r in C.row_digests(df).collect()) % 2 ** 62
+    plan = C.fingerprint(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal" not in plan[plan.index("Aggregate"):plan.index("Project")].lower()  # sums are of whole numbers
