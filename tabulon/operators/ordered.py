@@ -131,15 +131,20 @@ def kth_in_hash_order(keys: DataFrame, hash_col: str, tie: str, wanted: DataFram
             .select(*strata, "mark", F.col("_h").alias("cut_hash"), F.col("_t").alias("cut_tie")))
 
 
-def hash_numbering(keys: DataFrame, hash_col: str, tie: str, *, by: Sequence[str] = (), name: str = "number") -> DataFrame:
+def hash_numbering(keys: DataFrame, hash_col: str, tie: str, *, by: Sequence[str] = (), name: str = "number",
+                   parts: int | None = None) -> DataFrame:
     """Number rows 0, 1, 2, ... in (hash, tie) order, anew in each group of `by` (without nulls), without a global sort.
 
-    Rows are ranked inside 65536 uniform hash slices of a group and shifted by the counts of earlier slices.
+    Rows are ranked inside 65536 uniform hash slices of a group and shifted by the counts of earlier slices, in `parts` tasks
+    (by default as many as the files below call for) where that is more than the shuffle setting.
     """
     sliced = keys.withColumn("_slice", F.shiftright(F.col(hash_col), 44))
     counts = sliced.groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*(by or [F.lit(1)])).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*by, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     rn = F.row_number().over(Window.partitionBy(*by, "_slice").orderBy(hash_col, tie))
+    parts = parts or range_count(keys)
+    if parts > int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")):
+        sliced = sliced.repartition(parts, *by, "_slice")
     return (sliced.withColumn("_rn", rn).join(starts, [*by, "_slice"])
             .withColumn(name, F.col("_start") + F.col("_rn") - 1).drop("_slice", "_rn", "_start"))

@@ -29,6 +29,9 @@ from tabulon.operators.reshape import rows_from
 from tabulon.operators.resample import STRATEGIES, resample, with_class_weights
 from tabulon.operators.suites import seen_rows
 
+#: Bytes of a shuffle that one task of an importance reads.
+TASK_BYTES = 64 * 1024 * 1024
+
 CLASSIFIERS = ("logistic_regression", "random_forest")
 REGRESSORS = ("linear", "ridge", "lasso", "forest", "boosting")
 
@@ -308,14 +311,18 @@ def linear_importance(df: DataFrame, recipe: Recipe, groups: Mapping[str, Sequen
     solutions = {k: _solution(recipe, whole - m) for k, m in moments.items()}
     models = df.sparkSession.createDataFrame([(k, s.intercept, [float(w) for w in s.weights]) for k, s in solutions.items()], "fold int, _b double, _w array<double>")
     again = rows.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-    numbered = lambda order, frame: hash_numbering(frame.withColumn("_h", digest(f"{recipe.seed}-{order}", "repeat", "_id")), "_h", "_id", by=["repeat", "fold"])
+    # A row of a shuffle has an id, a hash, three numbers and the features, 8 bytes each.
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-whole.rows * repeats * 8 * (6 + len(features)) // TASK_BYTES))
+    numbered = lambda order, frame: hash_numbering(frame.withColumn("_h", digest(f"{recipe.seed}-{order}", "repeat", "_id")), "_h", "_id", by=["repeat", "fold"], parts=parts)
     to = numbered("to", again).drop("_h", "_id")
     source = numbered("from", again).select("repeat", "fold", "number", *[F.col(f"_x{i}").alias(f"_p{i}") for i in range(len(features))])
     w = lambda i: F.col("_w")[i]
     error = sum((w(i) * F.col(f"_x{i}") for i in range(len(features))), F.col("_b")) - F.col("_y")
     moved = {g: sum((w(features.index(c)) * (F.col(f"_p{features.index(c)}") - F.col(f"_x{features.index(c)}")) for c in cols), F.lit(0.0))
              for g, cols in groups.items()}
-    pairs = to.join(source, ["repeat", "fold", "number"]).join(models, "fold").withColumn("_e", error)
+    meet = ["repeat", "fold", "number"]
+    spread = lambda frame: frame.repartition(parts, *meet)
+    pairs = spread(to).join(spread(source), meet).join(models, "fold").withColumn("_e", error)
     one = pairs.groupBy("fold", "repeat").agg(F.sqrt(F.avg(F.col("_e") ** 2)).alias("base_rmse"),
                                               *[F.sqrt(F.avg((F.col("_e") + m) ** 2)).alias(f"_g{j}") for j, m in enumerate(moved.values())])
     return rows_from(one, ["fold", "repeat", "base_rmse"], [{"feature_group": F.lit(g), "permuted_rmse": F.col(f"_g{j}"), "worse": F.col(f"_g{j}") - F.col("base_rmse")}
