@@ -33,12 +33,21 @@ def shared_folder(spark: SparkSession) -> str:
     return spark._tabulon_scratch
 
 
+#: Spark's own setting: shuffle files of an execution are removed at its end, not when the driver next collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back. It cuts the lineage in a way that survives lost executors,
-    and gives the planner exact sizes for the joins above it."""
+    and gives the planner exact sizes for the joins above it. The shuffle files of the write go as soon as it has ended."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     back = spark.read.schema(df.schema).parquet(path)
     back._tabulon_path = path
     return back

@@ -474,3 +474,17 @@ def test_simhash_cell_crowded_by_visitors(spark):
     links = simhash.hamming_links(spark.createDataFrame([(p,) for p in prints], "fp long"), 50).collect()
     pairs = {(r["a"], r["b"]) for r in links}
     assert set(smallest({p: p for p in prints}, lambda a, b: (a, b) in pairs or (b, a) in pairs).values()) == {min(prints)}
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    import os
+    import time
+    from tabulon.llm import common
+    files = lambda: sum(f.startswith("shuffle_") for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for _, _, names in os.walk(d) for f in names)
+    before, setting = files(), spark.conf.get(common.CLEANUP)
+    back = common.stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition(5), "shuffled")
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and back.count() == 7 and spark.conf.get(common.CLEANUP) == setting
