@@ -515,3 +515,13 @@ def test_neighbours_send_on_in_bounded_pieces(spark, monkeypatch):
     assert max(steps) <= 8 and sum(steps) == 240  # 512 distances are 4 queries at a time
     got = {(r["row_id"], r["rank"]): r["neighbour_id"] for r in nearest_neighbours(df, "id", "v", 3, pivots=4, block=10).collect()}
     assert got == {(i, j + 1): int(n) for i in range(120) for j, n in enumerate(np.argsort(d[i], kind="stable")[:3])}
+
+
+def test_linear_importance_tasks_follow_rows(folded, monkeypatch):
+    import re
+    df, _, _ = folded
+    monkeypatch.setattr(T, "TASK_BYTES", 1024)
+    per = T.linear_importance(df, T.Recipe("lin", "linear", ("a", "b", "c"), "y", "id"), {"ab": ["a", "b"]}, "fold", repeats=2)
+    plan = per._jdf.queryExecution().optimizedPlan().toString()
+    tasks = [int(n) for n in re.findall(r"RepartitionByExpression \[repeat[^\]]*\], (\d+)", plan)]
+    assert len(tasks) == 4 and set(tasks) == {-(-df.count() * 2 * 8 * 9 // 1024)} and per.count() == 8
