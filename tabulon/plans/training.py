@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import itertools
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, astuple, dataclass, field, replace
 
 from pyspark.ml import PipelineModel
@@ -16,13 +17,14 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tabulon.functions.draws import digest
 from tabulon.functions.numeric import col, count_if
 from tabulon.operators import linear
-from tabulon.operators.encode import PopulationScaler
+from tabulon.operators.encode import PopulationScaler, PopulationScalerModel
 from tabulon.operators.metrics import decide, evaluate, regression_metrics
 from tabulon.operators.ordered import hash_numbering
 from tabulon.operators.reshape import rows_from
@@ -31,6 +33,8 @@ from tabulon.operators.suites import seen_rows
 
 #: Bytes of a shuffle that one task of an importance reads.
 TASK_BYTES = 64 * 1024 * 1024
+#: Fits of a cross-validation that run at the same time.
+AT_ONCE = 4
 
 CLASSIFIERS = ("logistic_regression", "random_forest")
 REGRESSORS = ("linear", "ridge", "lasso", "forest", "boosting")
@@ -112,36 +116,88 @@ def fit(recipe: Recipe, train: DataFrame) -> PipelineModel:
 
 def fit_recorded(recipe: Recipe, train: DataFrame) -> tuple[PipelineModel, FitRecord]:
     """`fit`, and what it saw. The counts come from the two aggregations that a fit runs anyway."""
+    return _fit_alike([recipe], train, _fitted_scaler(recipe, train), map)[0]
+
+
+def _scaling_of(recipe: Recipe) -> tuple:
+    """Recipes with equal values here have equal scalers."""
+    return recipe.row_id, tuple(recipe.features), recipe.scaling, tuple(recipe.minimal_cols), tuple(recipe.log_cols)
+
+
+def _rows_of(recipe: Recipe) -> tuple:
+    """Recipes with equal values here learn from equal rows."""
+    return *_scaling_of(recipe), recipe.label, recipe.strategy, recipe.seed
+
+
+def _fitted_scaler(recipe: Recipe, train: DataFrame) -> tuple[PopulationScalerModel, Row, float]:
+    """The scaler of a recipe, what it saw, and the seconds it took."""
     start = time.perf_counter()
-    features = list(recipe.features)
     scaling = "passthrough" if recipe.scaling == "sparse" else recipe.scaling
-    scaler = PopulationScaler(features, scaling, minimal_cols=recipe.minimal_cols, log_cols=recipe.log_cols,
+    scaler = PopulationScaler(list(recipe.features), scaling, minimal_cols=recipe.minimal_cols, log_cols=recipe.log_cols,
                               seen=seen_rows(recipe.row_id)).fit(train).held()
     seen = scaler.state["moments"].select("n_seen", "seen_digest").first()
+    return scaler, seen, time.perf_counter() - start
+
+
+def _fit_alike(recipes: Sequence[Recipe], train: DataFrame, scaled: tuple[PopulationScalerModel, Row, float],
+               run: Callable) -> list[tuple[PipelineModel, FitRecord]]:
+    """Fits of recipes of equal `_rows_of`: their rows are scaled, resampled and held once. `run` maps the fits."""
+    start = time.perf_counter()
+    recipe, features, (scaler, seen, seconds) = recipes[0], list(recipes[0].features), scaled
     assembler = VectorAssembler(inputCols=features, outputCol="_features")
     rows = scaler.transform(train).select(recipe.row_id, recipe.label, *features)
-    params = dict(recipe.params)
+    weight = {}
     if recipe.strategy == "smote":
         vectors = rows.select(recipe.row_id, recipe.label, F.array(*[col(c).cast("double") for c in features]).alias("_x"))
         made = resample(vectors, recipe.label, "smote", recipe.row_id, vector="_x", seed=recipe.seed)
-        prepared = made.select(recipe.label, array_to_vector("_x").alias("_features"))
+        prepared = made.withColumn("_features", array_to_vector("_x"))
     else:
         changed = resample(rows, recipe.label, recipe.strategy, recipe.row_id, seed=recipe.seed)
         if recipe.strategy == "class_weight":
             changed = with_class_weights(changed, recipe.label, "_weight")
-            params["weightCol"] = "_weight"
+            weight = {"weightCol": "_weight"}
         prepared = assembler.transform(changed)
-    prepared = prepared.withColumn(recipe.label, col(recipe.label).cast("double"))
+    prepared = prepared.select(col(recipe.label).cast("double").alias(recipe.label), "_features", *weight.values())
     prepared = prepared.persist()
     try:
         y = col(recipe.label)
         n = prepared.agg(F.count(F.lit(1)).alias("rows"), count_if(y == 1).alias("pos"), count_if(y == 0).alias("neg")).first()
-        model = estimator(replace(recipe, params=params), n["rows"]).fit(prepared)
+        seconds += time.perf_counter() - start
+
+        def learn(r: Recipe) -> tuple[PipelineModel, FitRecord]:
+            begin = time.perf_counter()
+            model = estimator(replace(r, params={**r.params, **weight}), n["rows"]).fit(prepared)
+            classes = (n["pos"], n["neg"]) if r.is_classifier else (None, None)
+            record = FitRecord(seen["n_seen"], seen["seen_digest"], n["rows"], *classes, seconds + time.perf_counter() - begin)
+            return PipelineModel([scaler, assembler, model]), record
+
+        return list(run(learn, recipes))
     finally:
         prepared.unpersist()
-    classes = (n["pos"], n["neg"]) if recipe.is_classifier else (None, None)
-    record = FitRecord(seen["n_seen"], seen["seen_digest"], n["rows"], *classes, time.perf_counter() - start)
-    return PipelineModel([scaler, assembler, model]), record
+
+
+def _fit_folds(recipes: Sequence[Recipe], inside: Mapping[int, DataFrame]) -> dict[tuple[int, int], tuple[PipelineModel, FitRecord]]:
+    """The fits of all recipes on all training parts, by (place of the recipe, fold). A fit is a row of short jobs that wait
+    for each other, so AT_ONCE of them run at the same time; at most as many training tables are held."""
+    spark = next(iter(inside.values())).sparkSession
+    first, alike = {}, {}
+    for j, r in enumerate(recipes):
+        for i in inside:
+            first.setdefault((i, _scaling_of(r)), r)
+            alike.setdefault((i, _rows_of(r)), []).append(j)
+    with ThreadPoolExecutor(AT_ONCE) as tables, ThreadPoolExecutor(AT_ONCE) as fits:
+        def on(pool: ThreadPoolExecutor, f: Callable, items: Iterable) -> list:
+            return list(pool.map(inheritable_thread_target(spark)(f), items))
+
+        scalers = dict(zip(first, on(tables, lambda x: _fitted_scaler(x[1], inside[x[0][0]]), first.items()), strict=True))
+
+        def group(x: tuple) -> list:
+            (i, _), members = x
+            some = [recipes[j] for j in members]
+            return _fit_alike(some, inside[i], scalers[i, _scaling_of(some[0])], lambda f, items: on(fits, f, items))
+
+        made = on(tables, group, alike.items())
+    return {(j, i): one for ((i, _), members), found in zip(alike.items(), made, strict=True) for j, one in zip(members, found, strict=True)}
 
 
 def fit_table(records: Sequence[tuple[str, int, FitRecord]], spark) -> DataFrame:
@@ -150,11 +206,11 @@ def fit_table(records: Sequence[tuple[str, int, FitRecord]], spark) -> DataFrame
                                  "seen_digest bigint, rows_fitted bigint, positives_fitted bigint, negatives_fitted bigint, fit_seconds double")
 
 
-def score(model: PipelineModel, df: DataFrame, recipe: Recipe) -> DataFrame:
-    """(row_id, label, score): probability of class 1, or the regression prediction."""
+def score(model: PipelineModel, df: DataFrame, recipe: Recipe, keep: Sequence[Column] = ()) -> DataFrame:
+    """(row_id, label, score): probability of class 1, or the regression prediction; then `keep`, of columns that are no features."""
     raw = model.transform(df)
     value = vector_to_array("probability")[1] if recipe.is_classifier else F.col("prediction")
-    return raw.select(recipe.row_id, col(recipe.label).alias("label"), value.alias("score"))
+    return raw.select(recipe.row_id, col(recipe.label).alias("label"), value.alias("score"), *keep)
 
 
 def predict_batch(model: PipelineModel, df: DataFrame, features: Sequence[str], label: str, threshold: float) -> DataFrame:
@@ -197,18 +253,18 @@ def cross_validate(df: DataFrame, recipes: Sequence[Recipe], fold: str, k: int,
     """Out-of-fold scores (config, fold, row_id, label, score): every row once per configuration,
     scored by the only model that did not see it. With train_scores=True each model also scores
     its own training rows (`part` = 'train'). What each fit saw is appended to `records`."""
+    fitted = _fit_folds(recipes, {i: df.where(col(fold) != i) for i in range(1, k + 1)})
     out = None
-    for r in recipes:
+    for j, r in enumerate(recipes):
         for i in range(1, k + 1):
-            inside = df.where(col(fold) != i)
-            model, record = fit_recorded(r, inside)
+            model, record = fitted[j, i]
             if records is not None:
                 records.append((r.name, i, record))
-            parts = [("valid", df.where(col(fold) == i))] + ([("train", inside)] if train_scores else [])
-            for part, rows in parts:
-                one = score(model, rows, r).select(F.lit(r.name).alias("config"), F.lit(i).alias("fold"), F.lit(part).alias("part"),
-                                                   r.row_id, "label", "score")
-                out = one if out is None else out.unionByName(one)
+            valid = col(fold) == i
+            rows = df.where(valid | ~valid if train_scores else valid)  # a row without fold is in no part
+            part = F.when(valid, F.lit("valid")).otherwise(F.lit("train")).alias("part")
+            one = score(model, rows, r, [part]).select(F.lit(r.name).alias("config"), F.lit(i).alias("fold"), "part", r.row_id, "label", "score")
+            out = one if out is None else out.unionByName(one)
     return out
 
 

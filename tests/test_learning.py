@@ -525,3 +525,24 @@ def test_linear_importance_tasks_follow_rows(folded, monkeypatch):
     plan = per._jdf.queryExecution().optimizedPlan().toString()
     tasks = [int(n) for n in re.findall(r"RepartitionByExpression \[repeat[^\]]*\], (\d+)", plan)]
     assert len(tasks) == 4 and set(tasks) == {-(-df.count() * 2 * 8 * 9 // 1024)} and per.count() == 8
+
+
+def test_candidates_share_the_rows_of_a_fold(learnable, monkeypatch):
+    scaled, df = [], folds(learnable, "id", 2, stratify="y").withColumn("fold", F.when(F.col("id") != 3, F.col("fold")))
+    real = E.PopulationScaler._fit
+    monkeypatch.setattr(E.PopulationScaler, "_fit", lambda self, d: scaled.append(1) or real(self, d))
+    recipes = [T.Recipe(f"{s} {c}", "logistic_regression", ("x", "z"), "y", "id", strategy=s, params={"C": c, "maxIter": 5})
+               for s in ("none", "class_weight") for c in (.01, 1.0)]
+    records = []
+    got = T.cross_validate(df, recipes, "fold", 2, train_scores=True, records=records)
+    assert len(scaled) == 2 and [(c, f) for c, f, _ in records] == [(r.name, i) for r in recipes for i in (1, 2)]
+    monkeypatch.undo()
+    found = {(r["config"], r["fold"], r["id"]): (r["part"], r["label"], r["score"]) for r in got.collect()}
+    assert len(found) == got.count() == len(recipes) * 2 * (df.count() - 1)  # the row without fold is in no part
+    for r in recipes:
+        model, record = T.fit_recorded(r, df.where("fold <> 1"))
+        mine = next(x for c, f, x in records if (c, f) == (r.name, 1))
+        assert replace(mine, fit_seconds=0.0) == replace(record, fit_seconds=0.0) and mine.fit_seconds > 0
+        for row in T.score(model, df.where("fold IS NOT NULL"), r, ["fold"]).collect():
+            part, label, value = found[r.name, 1, row["id"]]
+            assert part == ("valid" if row["fold"] == 1 else "train") and label == row["label"] and value == pytest.approx(row["score"], abs=1e-9)

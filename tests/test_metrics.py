@@ -111,3 +111,15 @@ def test_evaluate_matches_separate_metrics(scored):
     c = M.classification_metrics(scored, "label", "score").first()
     assert all(e[k] == c[k] for k in ("tp", "fp", "fn", "tn", "precision", "recall", "f1"))
     assert scored.where(F.col("score") > 2).count() == 0
+
+
+def test_evaluate_reads_its_histogram_once(spark):
+    df = spark.createDataFrame([(c, y, s) for c in ("a", None) for _, y, s in ROWS], "c string, label int, score double")
+    got = M.evaluate(df, "label", "score", ["c"])
+    leaves = got._jdf.queryExecution().optimizedPlan().collectLeaves()
+    assert leaves.size() == 2  # the rows with their running totals, and the totals of the ranges
+    rows = {r["c"]: r for r in got.collect()}
+    assert set(rows) == {"a", None}
+    for r in rows.values():
+        assert (r["tp"], r["fp"], r["fn"], r["tn"]) == (2, 1, 1, 2)
+        assert r["roc_auc"] == pytest.approx(brute_auc(ROWS)) and r["pr_auc"] == pytest.approx(brute_ap(ROWS))
