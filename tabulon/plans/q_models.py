@@ -40,7 +40,7 @@ def _parts(t: Tables):
 
 
 def _folded(t: Tables, k: int = 3) -> DataFrame:
-    return stored(folds(_tx(t), "event_id", k, stratify="label"), "folds")
+    return stored(folds(stored(_tx(t), "tx"), "event_id", k, stratify="label"), "folds")
 
 
 LOGISTIC = T.Recipe("logistic", "logistic_regression", FEATURES, "label", "event_id")
