@@ -2,17 +2,18 @@
 
 1. Every line with a word gets a digest and the band keys of a one-permutation MinHash signature; equal lines become one
    class (a third of all rows may be one line).
-2. Classes meet in buckets of equal band keys. Buckets with the same members are one bucket. A bucket of over BLOCK
-   classes is cut into blocks, and each pair of blocks meets on its own.
-3. Before any text moves, the members of a meeting compare sketches, a few bits of each value of the signature. Members
-   whose sketches still allow the threshold form a party; who has nobody leaves. Parties with the same members are one.
-4. The text of each class in a party is fetched once and sent to its parties; there the shingle sets are compared exactly.
+2. Classes meet in buckets of equal band keys and bring their sketch along, a few bits of each value of the signature. A
+   bucket of over BLOCK classes is cut into blocks, and each pair of blocks meets on its own.
+3. Before any text moves, the members of a meeting compare sketches. Members whose sketches still allow the threshold
+   form a party; who has nobody leaves. Parties with the same members are one.
+4. The text of each class in a party is fetched once and sent to its parties; there the shingle sets are compared exactly,
+   first with PIVOTS members, then pair by pair where members are not joined yet.
 5. Components of the links that hold keep the line of the smallest (doc_id, line number).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,41 +33,58 @@ THRESHOLD = 0.8
 #: 14 bands of 4 values: a pair at the threshold shares a band with probability 0.9994.
 BANDS, ROWS = 14, 4
 KEY_BYTES = 5
-BLOCK = 1024
+BLOCK = 2048
 #: Bits of each signature value in a sketch, and how many standard deviations below the agreement that is expected at the
 #: threshold a pair may fall before it is left out (4: 3 pairs of 100,000 at the threshold itself, fewer above it).
-SKETCH_BITS, DEVIATIONS = 4, 4.0
+SKETCH_BITS, DEVIATIONS = 2, 4.0
 #: Meetings up to this size are compared together, pair by pair; rows that are handled at a time.
 SMALL, STEP = 48, 4096
 #: Distinct shingles of a bucket that are counted at a time.
 COLUMNS = 20_000
+#: Members of a party that all others are compared with before pairs are, and pairs a member that are compared one by one.
+PIVOTS, FEW = 4, 64
+#: What stays in a processor's cache: bytes of text signed together, characters hashed, numbers compared at a time.
+TEXT_PIECE, PIECE = 1 << 17, 1 << 14
 
 _BINS = BANDS * ROWS
-_SKETCH = _BINS // 2 + 1
+_SKETCH = _BINS * SKETCH_BITS // 8 + 1
 _EMPTY = np.uint32(0xFFFFFFFF)
 _DONORS = np.stack([np.random.default_rng(11 + j).permutation(_BINS) for j in range(_BINS)], 1)  # attempt x bin
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
-    return x ^ (x >> np.uint64(28))
+    x = x ^ (x >> np.uint64(31))
+    x *= np.uint64(0x9FB21C651E98DF25)
+    x ^= x >> np.uint64(28)
+    return x
+
+
+def _rolling(points: np.ndarray) -> np.ndarray:
+    """The hash of the SHINGLE characters that begin at each place, of 2 and then 4 characters from those of half as many."""
+    out = np.empty(max(len(points) - SHINGLE + 1, 0), np.uint64)
+    for at in range(0, len(out), PIECE):
+        h, step = _mix(points[at:at + PIECE + SHINGLE - 1].astype(np.uint64) + np.uint64(1)), 1
+        while step < SHINGLE:
+            h = _mix(h[:-step] * np.uint64(0xD6E8FEB86659FD93) + h[step:])
+            step *= 2
+        out[at:at + PIECE] = h
+    return out
 
 
 def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all character shingles of all lines, and the line of each. A line below WHOLE is one shingle."""
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
-    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    h, step = _mix(points + np.uint64(1)), 1
-    while step < SHINGLE:  # hashes of 2, 4 characters
-        h = _mix(h[:-step] * np.uint64(0xD6E8FEB86659FD93) + h[step:]) if len(h) > step else h[:0]
-        step *= 2
+    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
     counts = np.where(sizes >= WHOLE, sizes - SHINGLE + 1, 0)
     ends = np.cumsum(sizes)
+    inside = np.ones(len(points), bool)
+    for k in range(1, WHOLE):  # no shingle begins at the last places of a line, none at all in a short one
+        inside[(ends - k)[np.where(sizes >= WHOLE, k < SHINGLE, k <= sizes)]] = False
     owner = np.repeat(np.arange(len(lines)), counts)
-    at = np.arange(counts.sum()) + np.repeat(ends - sizes - (np.cumsum(counts) - counts), counts)
     short = np.flatnonzero(counts == 0)
     alone = np.fromiter((xxhash.xxh64_intdigest(lines[i].encode("utf-8", "surrogatepass"), 8) for i in short), np.uint64, len(short))
-    return np.concatenate([h[at], alone]), np.concatenate([owner, short])
+    h = _rolling(points)
+    return np.concatenate([h[inside[:len(h)]], alone]), np.concatenate([owner, short])
 
 
 def signatures(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -90,8 +108,11 @@ def signatures(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     key = np.zeros(values.shape[:2], np.uint64) + np.arange(BANDS, dtype=np.uint64)
     for i in range(ROWS):
         key = _mix(key * np.uint64(0xD6E8FEB86659FD93) + values[:, :, i] + np.uint64(1))
-    low = (filled & np.uint32(15)).astype(np.uint8)
-    return key, np.concatenate([own, low[:, ::2] | low[:, 1::2] << np.uint8(SKETCH_BITS)], 1)
+    low = (filled & np.uint32((1 << SKETCH_BITS) - 1)).astype(np.uint8)
+    packed = np.zeros((len(lines), _SKETCH - 1), np.uint8)
+    for i in range(8 // SKETCH_BITS):
+        packed |= low[:, i::8 // SKETCH_BITS] << np.uint8(i * SKETCH_BITS)
+    return key, np.concatenate([own, packed], 1)
 
 
 def _first_of(texts: list[str]) -> list[bool]:
@@ -104,7 +125,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     equal lines in a chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in chunks(batch.column(2)):
+            for a, b in chunks(batch.column(2), TEXT_PIECE):
                 split = pc.split_pattern(batch.column(2).slice(a, b - a), "\n")
                 owner, lines = np.asarray(pc.list_parent_indices(split), np.int64), split.flatten()
                 number = np.arange(len(owner)) - np.searchsorted(owner, owner)
@@ -126,36 +147,23 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, doc long, line_no int, digest binary, bands binary")
 
 
-def _explode_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw = np.frombuffer(b"".join(strings(batch.column(1))), np.uint8).reshape(-1, BANDS * KEY_BYTES + _SKETCH)[:, :BANDS * KEY_BYTES].reshape(-1, BANDS, KEY_BYTES)
-        wide = np.zeros((*raw.shape[:2], 8), np.uint8)
-        wide[:, :, :KEY_BYTES] = raw
-        key = wide.view("<i8")[:, :, 0] << 8 | np.arange(BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], names=["key", "id"])
+def _rows_of_bytes(column: pa.Array, width: int) -> np.ndarray:
+    """Binary values of one width as rows of bytes, without a Python object for each."""
+    if not len(column):
+        return np.zeros((0, width), np.uint8)
+    fixed = column.cast(pa.binary(width))
+    return np.frombuffer(fixed.buffers()[1], np.uint8)[fixed.offset * width:(fixed.offset + len(fixed)) * width].reshape(-1, width)
 
 
-def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key -> (bucket, id) of the runs of two or more; the bucket is a hash of its members."""
-    rest = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def members(key: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        sizes = np.diff(np.append(starts, len(key)))
-        total = np.add.reduceat(_mix(ids.astype(np.uint64) + np.uint64(77)), starts)
-        bucket = np.repeat(_mix(total + sizes.astype(np.uint64)).view(np.int64), sizes)
-        many = np.repeat(sizes > 1, sizes)
-        return pa.RecordBatch.from_arrays([pa.array(bucket[many]), pa.array(ids[many])], names=["bucket", "id"])
-
+def _explode_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        key, ids = (np.concatenate([old, batch.column(i).to_numpy()]) for i, old in enumerate(rest))
-        if len(key):
-            cut = int(np.searchsorted(key, key[-1]))  # the last run may go on
-            rest = key[cut:], ids[cut:]
-            if cut:
-                yield members(key[:cut], ids[:cut])
-    if len(rest[0]):
-        yield members(*rest)
+        raw = _rows_of_bytes(batch.column(1), BANDS * KEY_BYTES + _SKETCH)
+        wide = np.zeros((len(raw), BANDS, 8), np.uint8)
+        wide[:, :, :KEY_BYTES] = raw[:, :BANDS * KEY_BYTES].reshape(-1, BANDS, KEY_BYTES)
+        key = wide.view("<i8")[:, :, 0] << 8 | np.arange(BANDS)
+        sketch = np.repeat(raw[:, BANDS * KEY_BYTES:], BANDS, 0)
+        sketch = pa.FixedSizeBinaryArray.from_buffers(pa.binary(_SKETCH), len(sketch), [None, pa.py_buffer(sketch)])
+        yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS)), sketch.cast(pa.binary())], names=["key", "id", "sketch"])
 
 
 def similar(lines: list[str], threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
@@ -166,9 +174,10 @@ def similar(lines: list[str], threshold: float = THRESHOLD) -> tuple[np.ndarray,
     sizes = np.zeros(len(lines))
     order = np.argsort(code, kind="stable")
     code, owner = code[order], owner[order]
-    for at in range(0, len(distinct), COLUMNS):
-        a, b = np.searchsorted(code, [at, at + COLUMNS])
-        has = np.zeros((len(lines), min(COLUMNS, len(distinct) - at)), np.float32)
+    columns = max(1, min(COLUMNS, 40_000_000 // max(len(lines), 1)))
+    for at in range(0, len(distinct), columns):
+        a, b = np.searchsorted(code, [at, at + columns])
+        has = np.zeros((len(lines), min(columns, len(distinct) - at)), np.float32)
         has[owner[a:b], code[a:b] - at] = 1
         common += has @ has.T
         sizes += has.sum(1)
@@ -188,33 +197,62 @@ def _candidates(starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, lis
     return a, b, list(zip(starts[large].tolist(), stops[large].tolist()))
 
 
-_NIBBLES = np.uint64(0x1111111111111111)
+_FIRST_BITS = np.uint64(sum(1 << i for i in range(0, 64, SKETCH_BITS)))
+_EXPECTED = THRESHOLD + (1 - THRESHOLD) / (1 << SKETCH_BITS)
+#: By the number of values of its own that a line has: how many values of a partner's sketch may differ.
+_LIMITS = np.floor(_BINS * (1 - _EXPECTED + DEVIATIONS * np.sqrt(_EXPECTED * (1 - _EXPECTED) / np.maximum(np.arange(_BINS + 1), 1)))).astype(np.uint8)
 
 
 def sketch_words(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sketches as rows of 64-bit words, and how many values of their own they have."""
+    """Sketches as columns of 64-bit words, and how many of their values may differ from a partner's."""
     wide = np.zeros((len(rows), -(-(_SKETCH - 1) // 8) * 8), np.uint8)
     wide[:, :_SKETCH - 1] = rows[:, 1:]
-    return wide.view(np.uint64), rows[:, 0].astype(float)
+    return np.ascontiguousarray(wide.view(np.uint64).T), _LIMITS[rows[:, 0]]
+
+
+def _alike(words: list[tuple[np.ndarray, np.ndarray]], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the sketches with these pairs of words, which may be broadcast, and these limits allow the threshold."""
+    differ = np.uint8(0)
+    for a, b in words:
+        bits = a ^ b
+        bits |= bits >> np.uint64(1)  # two bits a value
+        bits &= _FIRST_BITS
+        differ = differ + np.bitwise_count(bits)
+    return differ <= np.maximum(x, y)
 
 
 def alike(sketches: tuple[np.ndarray, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which pairs of sketches may belong to lines at the threshold."""
-    words, values = sketches
-    x = words[a] ^ words[b]
-    x |= x >> np.uint64(2)
-    x |= x >> np.uint64(1)
-    differ = np.bitwise_count(x & _NIBBLES).sum(1)
-    expected = THRESHOLD + (1 - THRESHOLD) / (1 << SKETCH_BITS)
-    own = np.maximum(np.minimum(values[a], values[b]), 1)
-    return differ <= _BINS * (1 - expected + DEVIATIONS * np.sqrt(expected * (1 - expected) / own))
-
-
-def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[pa.Array]]]:
-    """Rows sorted by their first column -> (where groups begin, columns) of whole groups, about STEP rows at a time."""
+    words, limits = sketches
+    return _alike([(w[a], w[b]) for w in words], limits[a], limits[b])
+
+
+def _alike_within(sketches: tuple[np.ndarray, np.ndarray], low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join all pairs of alike sketches in [low, high): some rows at a time against all that follow."""
+    words, limits = sketches[0][:, low:high], sketches[1][low:high]
+    n = high - low
+    to, step = np.arange(n), max(1, PIECE // n)
+    for i in range(0, n, step):
+        a, b = np.nonzero(_alike([(w[i:i + step, None], w[None, i:]) for w in words], limits[i:i + step, None], limits[None, i:]))
+        if len(a) > min(step, n - i):  # more than each row with itself
+            to = roots(np.concatenate([np.arange(n), a + i]), np.concatenate([to, b + i]), n)
+    return np.arange(low, high), to + low
+
+
+def _meetings(batches: Iterator[pa.RecordBatch], limit: int | None = None) -> Iterator[tuple[np.ndarray, list[pa.Array]]]:
+    """Rows sorted by their first column -> (where groups begin, columns) of whole groups, about STEP rows at a time. Of a
+    group that has not ended after `limit` rows and a batch, pieces are given out without a beginning."""
     rest: list[pa.Array] | None = None
+    flowing = None  # the group that is given out in pieces
     for batch in batches:
         columns = batch.columns if rest is None else [pa.concat_arrays([r, c]) for r, c in zip(rest, batch.columns)]
+        if flowing is not None:
+            more = int(np.searchsorted(columns[0].to_numpy(), flowing, "right"))
+            if more:
+                yield np.zeros(0, np.int64), [c.slice(0, more) for c in columns]
+            if more == len(columns[0]):
+                continue
+            columns, flowing = [c.slice(more) for c in columns], None
         starts = run_starts(columns[0].to_numpy())
         at = 0
         while len(starts) - at > 1:  # the last group may go on
@@ -222,69 +260,174 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, l
             yield starts[at:stop] - starts[at], [c.slice(starts[at], starts[stop] - starts[at]) for c in columns]
             at = stop
         rest = [c.slice(starts[at]) for c in columns] if len(starts) else columns
+        if limit is not None and len(rest[0]) > limit:
+            yield np.zeros(0, np.int64), rest
+            flowing, rest = rest[0][0].as_py(), None
     if rest is not None and len(rest[0]):
         yield np.zeros(1, np.int64), rest
 
 
+def _groups_of_alike(starts: np.ndarray, ids: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Groups of rows that begin at `starts` -> (party, id) of members with a partner; the party is a hash of its members."""
+    sketches = sketch_words(sketches)
+    a, b, big = _candidates(starts, len(ids))
+    ok = alike(sketches, a, b)
+    links = [(a[ok], b[ok])] + [_alike_within(sketches, low, high) for low, high in big]
+    root = roots(*(np.concatenate(x) for x in zip(*links)), len(ids))
+    order = np.argsort(root, kind="stable")
+    starts = run_starts(root[order])
+    sizes = np.diff(np.append(starts, len(order)))
+    total = np.add.reduceat(_mix(ids[order].astype(np.uint64) + np.uint64(77)), starts) if len(ids) else np.zeros(0, np.uint64)
+    party = np.repeat(_mix(total + sizes.astype(np.uint64)).view(np.int64), sizes)
+    many = np.repeat(sizes > 1, sizes)
+    return party[many], ids[order][many]
+
+
 def _parties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(meet, id, bands) sorted by meet -> (party, id) of members with a partner; the party is a hash of its members."""
+    """(meet, id, sketch) sorted by meet -> (party, id)."""
     for starts, columns in _meetings(batches):
-        ids = columns[1].to_numpy()
-        sketches = np.frombuffer(b"".join(strings(columns[2])), np.uint8).reshape(len(ids), -1)[:, -_SKETCH:]
-        sketches = sketch_words(sketches)
-        a, b, big = _candidates(starts, len(ids))
-        ok = alike(sketches, a, b)
-        links = [(a[ok], b[ok])]
-        for low, high in big:
-            for i in range(low, high - 1):
-                other = np.arange(i + 1, high)
-                other = other[alike(sketches, np.full(len(other), i), other)]
-                links.append((np.full(len(other), i), other))
-        root = roots(*(np.concatenate(x) for x in zip(*links)), len(ids))
-        order = np.argsort(root, kind="stable")
-        starts = run_starts(root[order])
-        sizes = np.diff(np.append(starts, len(order)))
-        total = np.add.reduceat(_mix(ids[order].astype(np.uint64) + np.uint64(77)), starts)
-        party = np.repeat(_mix(total + sizes.astype(np.uint64)).view(np.int64), sizes)
-        many = np.repeat(sizes > 1, sizes)
-        yield pa.RecordBatch.from_arrays([pa.array(party[many]), pa.array(ids[order][many])], names=["party", "id"])
+        party, ids = _groups_of_alike(starts, columns[1].to_numpy(), _rows_of_bytes(columns[2], _SKETCH))
+        yield pa.RecordBatch.from_arrays([pa.array(party), pa.array(ids)], names=["party", "id"])
+
+
+def _meet(block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(key, id, sketch) sorted by key -> (party, id) without a sketch, but the rows of buckets of over `block` as they are."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for starts, columns in _meetings(batches, block):
+            n = len(columns[0])
+            sizes = np.diff(np.append(starts, n)) if len(starts) else np.zeros(0, np.int64)
+            crowded = np.repeat(sizes > block, sizes) if len(starts) else np.ones(n, bool)
+            if crowded.any():
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(crowded)) for c in columns], names=["party", "id", "sketch"])
+            few = (sizes > 1) & (sizes <= block)
+            rows = np.flatnonzero(np.repeat(few, sizes))
+            if len(rows):
+                begins = np.cumsum(sizes[few]) - sizes[few]
+                party, ids = _groups_of_alike(begins, columns[1].to_numpy()[rows], _rows_of_bytes(columns[2], _SKETCH)[rows])
+                yield pa.RecordBatch.from_arrays([pa.array(party), pa.array(ids), pa.nulls(len(ids), pa.binary())], names=["party", "id", "sketch"])
+
+    return run
+
+
+def _shingle_sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingle hashes of each line, sorted, line after line, and where each line's begin. Hashes lose as many
+    bits, which are zero at their end, as the number of a line takes."""
+    bits = np.uint64(max(len(lines) - 1, 1).bit_length())
+    ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)))
+    sets, at = [], 0
+    while at < len(lines):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 4 * PIECE, "right")))
+        h, owner = shingle_hashes(lines[at:stop])
+        x = np.sort((owner + at).astype(np.uint64) << (np.uint64(64) - bits) | h >> bits)
+        sets.append(x[run_starts(x)])
+        at = stop
+    x = np.concatenate(sets)
+    begin = np.append(0, np.cumsum(np.bincount((x >> (np.uint64(64) - bits)).astype(np.int64), minlength=len(lines))))
+    return x << bits, begin
 
 
 def _similar_pairs(lines: list[str], a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
-    """Which of the pairs have shingle sets of Jaccard similarity `threshold` or more: both sets end to end, sorted."""
-    h, owner = shingle_hashes(lines)
-    code = np.unique(h, return_inverse=True)[1]
-    both = np.unique(owner << 32 | code)  # sets of codes, line by line
-    owner, code = both >> 32, both & 0xFFFFFFFF
-    begin = np.searchsorted(owner, np.arange(len(lines) + 1))
+    """Which of the pairs have shingle sets of Jaccard similarity `threshold` or more."""
+    return _similar_sets(_shingle_sets(lines), a, b, threshold)
+
+
+def _ranges(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _common(x: np.ndarray, begin: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many hashes of each a its b has too. The hashes of an a are put into eight times as many slots; those whose slot
+    another one took are put into slots again, by other bits, and only what was not found yet is looked for there."""
+    first, row = np.unique(a, return_inverse=True)
+    size, n = begin[first + 1] - begin[first], begin[b + 1] - begin[b]
+    bits = np.ceil(np.log2(np.maximum(size, 2))).astype(np.int64) + 3
+    at, shift = np.cumsum(1 << bits) - (1 << bits), (64 - bits).astype(np.uint64)
+    own, table = x[_ranges(begin[first], size)], np.repeat(np.arange(len(first)), size)
+    asked, pair = x[_ranges(begin[b], n)], np.repeat(np.arange(len(b)), n)
+    base, by = np.repeat(at[row], n), np.repeat(shift[row], n)
+    common = np.zeros(len(b), np.int64)
+    factor = 1
+    slots = np.empty((1 << bits).sum(), np.uint64)
+    while len(own) and len(asked):
+        slots.fill(1)  # no hash: their last bits are zero
+        slot = at[table] + (own * np.uint64(factor) >> shift[table]).astype(np.int64)
+        slots[slot] = own
+        found = slots[base + (asked * np.uint64(factor) >> by).astype(np.int64)] == asked
+        common += np.bincount(pair[found], minlength=len(b))
+        lost = slots[slot] != own
+        own, table = own[lost], table[lost]
+        more = np.bincount(table, minlength=len(first))[row] > 0
+        left = ~found & more[pair]
+        asked, pair, base, by = asked[left], pair[left], base[left], by[left]
+        factor = factor * 0x9E3779B97F4A7C15 % (1 << 64)
+    return common
+
+
+def _similar_sets(sets: tuple[np.ndarray, np.ndarray], a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """_similar_pairs of lines whose sets are known."""
+    x, begin = sets
     sizes = np.diff(begin)
     out = np.zeros(len(a), bool)
+    able = np.flatnonzero(np.minimum(sizes[a], sizes[b]) >= threshold * np.maximum(sizes[a], sizes[b]))
+    a, b = a[able], b[able]
     ends = np.cumsum(sizes[a] + sizes[b])
     at = 0
     while at < len(a):
-        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 500_000, "right")))
-        both = np.concatenate([a[at:stop], b[at:stop]])
-        n = sizes[both]
-        of = np.repeat(np.tile(np.arange(stop - at), 2), n)
-        x = np.sort(of << 32 | code[np.arange(n.sum()) + np.repeat(begin[both] - (np.cumsum(n) - n), n)])
-        common = np.bincount(x[1:][x[1:] == x[:-1]] >> 32, minlength=stop - at)
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 2 * PIECE, "right")))
+        common = _common(x, begin, a[at:stop], b[at:stop])
         total = sizes[a[at:stop]] + sizes[b[at:stop]] - common
-        out[at:stop] = common >= threshold * total
+        out[able[at:stop]] = common >= threshold * total
         at = stop
     return out
 
 
+def _joined(texts: list[str], starts: np.ndarray) -> np.ndarray:
+    """The smallest index that each text reaches by links inside its group. Pairs that are joined already are left out."""
+    n = len(texts)
+    sets, of = _shingle_sets(texts), np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
+    to, done = np.arange(n), np.zeros(n, bool)  # done: compared with all of its group
+
+    def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return roots(np.concatenate([np.arange(n), a]), np.concatenate([to, b]), n)
+
+    for _ in range(PIVOTS):
+        new = np.flatnonzero((to == np.arange(n)) & ~done)
+        new = new[run_starts(of[new])]  # one of each group
+        pivot = np.full(len(starts), -1)
+        pivot[of[new]] = new
+        b = np.flatnonzero((pivot[of] >= 0) & ~done & (to != to[pivot[of]]))
+        a = pivot[of[b]]
+        ok = _similar_sets(sets, a, b)
+        done[new] = True
+        to = joined(a[ok], b[ok])
+    rest = np.flatnonzero(np.logical_or.reduceat(to != np.repeat(starts, np.diff(np.append(starts, n))), starts)[of] & ~done)
+    if not len(rest):
+        return to
+    a, b, big = _candidates(run_starts(of[rest]), len(rest))
+    pairs = [(rest[a], rest[b])]
+    for low, high in big:
+        rows = rest[low:high]
+        size = np.unique(to[rows], return_counts=True)[1]
+        if len(rows) ** 2 - (size ** 2).sum() <= FEW * len(rows):
+            order = rows[np.argsort(to[rows], kind="stable")]
+            after = np.searchsorted(to[order], to[order], "right")  # where members of other components follow
+            more = len(order) - after
+            pairs.append((np.repeat(order, more), order[np.repeat(after, more) + np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)]))
+        else:
+            x, y = similar([texts[i] for i in rows])
+            to = joined(rows[x], rows[y])
+    a, b = (np.concatenate(x) for x in zip(*pairs))
+    apart = to[a] != to[b]
+    a, b = a[apart], b[apart]
+    ok = _similar_sets(sets, a, b)
+    return joined(a[ok], b[ok])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (party, id, text) sorted by party -> links, one per class that is not its party's root."""
     for starts, columns in _meetings(batches):
-        ids, texts = columns[1].to_numpy(), strings(columns[2])
-        a, b, big = _candidates(starts, len(ids))
-        ok = _similar_pairs(texts, a, b)
-        links = [(a[ok], b[ok])]
-        for low, high in big:
-            x, y = similar(texts[low:high])
-            links.append((x + low, y + low))
-        root = roots(*(np.concatenate(x) for x in zip(*links)), len(ids))
+        ids = columns[1].to_numpy()
+        root = _joined(strings(columns[2]), starts)
         own = np.flatnonzero(root != np.arange(len(ids)))
         yield pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(ids[root[own]])], names=["a", "b"])
 
@@ -315,35 +458,37 @@ def _decided(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """duplicate_lines with `doc`, the hash of the text."""
     lines = stored(_lines(docs), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "line_no", "doc")
-    classes = lines.groupBy("digest").agg(F.min(place).alias("first"), F.min("bands").alias("bands"))
+    classes = lines.groupBy("digest").agg(F.min(place).alias("first"), F.min("bands").alias("bands"), F.count("*").alias("n"))
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
-    banded = classes.select("id", "bands").mapInArrow(_explode_bands, "key long, id long")
-    shared = banded.repartition("key").sortWithinPartitions("key").mapInArrow(_shared_buckets, "bucket long, id long")
-    members = stored(shared.distinct(), "buckets")
-    sizes = stored(members.groupBy(F.col("bucket").alias("_b")).agg(F.ceil(F.count("*") / block).cast("int").alias("parts")).filter("parts > 1"), "crowded")
-    spread = members.join(sizes, F.col("bucket") == F.col("_b"), "left").withColumn("mine", F.expr("coalesce(pmod(xxhash64(id), parts), 0)"))
-    spread = spread.withColumn("other", F.explode(F.expr("sequence(0L, coalesce(parts, 1) - 1L)")))
-    spread = spread.select("id", F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("meet"))
-    sketched = spread.join(classes.select("id", F.expr(f"substring(bands, {BANDS * KEY_BYTES + 1}, {_SKETCH})").alias("sketch")), "id")
-    sketched = sketched.select("meet", "id", "sketch").repartition("meet").sortWithinPartitions("meet")
-    parties = stored(sketched.mapInArrow(_parties, "party long, id long").distinct(), "parties")
-    drop(members)
+    banded = classes.select("id", "bands").mapInArrow(_explode_bands, "key long, id long, sketch binary")
+    met = stored(banded.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(block), "party long, id long, sketch binary"), "met")
+    crowded = met.filter("sketch IS NOT NULL").withColumnRenamed("party", "bucket")
+    sizes = stored(crowded.groupBy(F.col("bucket").alias("_b")).agg(F.ceil(F.count("*") / block).cast("int").alias("parts")), "crowded")
+    spread = crowded.join(sizes, F.col("bucket") == F.col("_b")).withColumn("mine", F.expr("pmod(xxhash64(id), parts)"))
+    spread = spread.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1L)")))
+    spread = spread.select(F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("meet"), "id", "sketch")
+    apart = spread.repartition("meet").sortWithinPartitions("meet").mapInArrow(_parties, "party long, id long")
+    parties = stored(met.filter("sketch IS NULL").select("party", "id").unionByName(apart).distinct(), "parties")
+    drop(met, sizes)
     wanted = parties.select("id").distinct().join(classes.select("id", "digest", "first.doc_id", "first.doc"), "id")
     wanted = wanted.groupBy(F.col("doc_id").alias("_doc_id"), F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("id", "digest")).alias("wanted"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text")).withColumn("doc", F.xxhash64("text"))
     texts = texts.join(wanted.hint("merge"), (F.col("doc") == F.col("_doc")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))).select(F.explode(_pick("text", "wanted")).alias("x")).select("x.id", "x.text")
     texts = stored(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
-    met = parties.join(texts, "id").select("party", "id", "text").repartition("party").sortWithinPartitions("party")
-    linked = components(met.mapInArrow(_verify, "a long, b long"), "a", "b")
-    grouped = stored(classes.select("id", "digest", "first").join(linked, F.col("id") == F.col("node"), "left")
+    told = parties.join(texts, "id").select("party", "id", "text").repartition("party").sortWithinPartitions("party")
+    linked = components(told.mapInArrow(_verify, "a long, b long"), "a", "b")
+    linked = linked.unionByName(linked.select(F.col("component").alias("node"), "component").distinct())
+    # a line that nothing equals or is linked with keeps itself and needs no label
+    grouped = stored(classes.select("id", "digest", "first", "n").join(linked, F.col("id") == F.col("node"), "left").filter("n > 1 OR component IS NOT NULL")
                      .select("digest", "first", F.coalesce("component", "id").alias("root")), "grouped")
-    drop(parties, texts, sizes)
-    kept = stored(grouped.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("keep")), "kept")
-    labels = stored(grouped.join(kept, F.col("root") == F.col("_root")).select(F.col("digest").alias("_digest"), F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.line_no").alias("keep_line_no"), F.col("keep.doc").alias("_keep_doc")), "labels")
-    drop(classes, grouped, kept)
-    out = lines.select("doc_id", "doc", "line_no", "digest").join(labels, F.col("digest") == F.col("_digest"))
-    same = F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("line_no") == F.col("keep_line_no")) & (F.col("doc") == F.col("_keep_doc"))
-    return out.select("doc_id", "doc", "line_no", "keep_doc_id", "keep_line_no", same.alias("kept"))
+    drop(parties, texts)
+    kept = grouped.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("keep"))
+    labels = stored(grouped.join(kept, F.col("root") == F.col("_root")).select(F.col("digest").alias("_digest"), "keep"), "labels")
+    drop(classes, grouped)
+    out = lines.select("doc_id", "doc", "line_no", "digest").join(labels, F.col("digest") == F.col("_digest"), "left")
+    keep = {c: F.when(F.col("_digest").isNull(), F.col(c)).otherwise(F.col(f"keep.{c}")) for c in ("doc_id", "line_no")}
+    same = F.col("_digest").isNull() | F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("line_no") == F.col("keep.line_no")) & (F.col("doc") == F.col("keep.doc"))
+    return out.select("doc_id", "doc", "line_no", keep["doc_id"].alias("keep_doc_id"), keep["line_no"].alias("keep_line_no"), same.alias("kept"))
 
 
 @F.arrow_udf(StringType())

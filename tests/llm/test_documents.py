@@ -443,6 +443,46 @@ def test_parties_and_links_at_any_step(docs_of, prose, monkeypatch, small, step)
     assert links == {(i, min(m)) for m in parties.values() for i in m if i != min(m)}
 
 
+@pytest.mark.parametrize("block, size", [(100, 7), (100, 1000), (10, 7), (10, 1000)])
+def test_only_alike_members_leave_a_bucket_but_crowded_ones_whole(prose, block, size):
+    import pyarrow as pa
+    lines = [prose(100 + i, 24) for i in range(30)] + [prose(7, 24) + "abc"[:i] for i in range(3)] + [prose(8, 24), prose(8, 24) + "x", prose(9, 24)]
+    key = [5] * 33 + [6] * 2 + [7]
+    sketches = [x.tobytes() for x in line_dedup.signatures(lines)[1]]
+    batches = [pa.record_batch({"key": pa.array(key[i:i + size], pa.int64()), "id": pa.array(range(i, min(i + size, 36)), pa.int64()), "sketch": pa.array(sketches[i:i + size], pa.binary())}) for i in range(0, 36, size)]
+    rows = [r for b in line_dedup._meet(block)(iter(batches)) for r in b.to_pylist()]
+    parties = {}
+    for r in rows:
+        if r["sketch"] is None:
+            parties.setdefault(r["party"], set()).add(r["id"])
+    assert sorted(map(sorted, parties.values())) == ([[30, 31, 32]] if block == 100 else []) + [[33, 34]]
+    assert sorted((r["party"], r["id"], r["sketch"]) for r in rows if r["sketch"]) == ([] if block == 100 else [(5, i, sketches[i]) for i in range(33)])
+
+
+@pytest.mark.parametrize("small, few, pivots", [(48, 64, 4), (3, 64, 1), (3, 0, 1)])
+def test_joined_members_are_not_compared_again(prose, monkeypatch, small, few, pivots):
+    for name, value in (("SMALL", small), ("FEW", few), ("PIVOTS", pivots)):
+        monkeypatch.setattr(line_dedup, name, value)
+    asked, compare = [], line_dedup._similar_sets
+    monkeypatch.setattr(line_dedup, "_similar_sets", lambda sets, a, b: asked.extend(a) or compare(sets, a, b))
+    copies = [prose(3, 40) + "abcdefghijklmnopqrstuvwxyz"[:i % 26] + str(i) for i in range(40)]
+    assert line_dedup._joined(copies, np.array([0])).tolist() == [0] * 40 and len(asked) == 39
+    r = np.random.default_rng(6)
+    lines = []
+    for i in range(90):
+        x = prose(i % 5, 30).split(" ")
+        for k in r.integers(0, len(x), 4):
+            x[k] = f"w{r.integers(9)}"
+        lines.append(" ".join(x))
+    lines[40] = "short"
+    starts = np.array([0, 1, 30, 34])
+    sets = [frozenset([x]) if len(x) < 8 else frozenset(x[j:j + 4] for j in range(len(x) - 3)) for x in lines]
+    group = np.searchsorted(starts, np.arange(90), "right")
+    near = [(i, j) for i in range(90) for j in range(i) if group[i] == group[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    want = line_dedup.roots(np.array([i for i, _ in near]), np.array([j for _, j in near]), 90)
+    assert line_dedup._joined(lines, starts).tolist() == want.tolist() and len(set(want.tolist())) > 12
+
+
 def test_one_changed_character_links_short_lines(docs_of):
     r = np.random.default_rng(4)
     letters = np.array(list("abcdefghijklmnopqrstuvwxyz    "))
