@@ -434,12 +434,11 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @F.arrow_udf(ArrayType(StructType([StructField("id", LongType()), StructField("text", StringType())])))
 def _pick(texts: pa.Array, wanted: pa.Array) -> pa.Array:
-    """The lines of a text whose digest is wanted, with their ids."""
+    """The lines of a text whose numbers are wanted, with their ids."""
     out = []
     for text, want in zip(texts.to_pylist(), wanted.to_pylist()):
-        ids = {w["digest"]: w["id"] for w in want}
-        lines = {x: ids.get(xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass"))) for x in text.split("\n")}
-        out.append([{"id": i, "text": x} for x, i in lines.items() if i is not None])
+        lines = text.split("\n")
+        out.append([{"id": w["id"], "text": lines[w["line_no"]]} for w in want])
     return pa.array(out, pa.list_(pa.struct([("id", pa.int64()), ("text", pa.string())])))
 
 
@@ -470,8 +469,8 @@ def _decided(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     apart = spread.repartition("meet").sortWithinPartitions("meet").mapInArrow(_parties, "party long, id long")
     parties = stored(met.filter("sketch IS NULL").select("party", "id").unionByName(apart).distinct(), "parties")
     drop(met, sizes)
-    wanted = parties.select("id").distinct().join(classes.select("id", "digest", "first.doc_id", "first.doc"), "id")
-    wanted = wanted.groupBy(F.col("doc_id").alias("_doc_id"), F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("id", "digest")).alias("wanted"))
+    wanted = parties.select("id").distinct().join(classes.select("id", "first.doc_id", "first.doc", "first.line_no"), "id")
+    wanted = wanted.groupBy(F.col("doc_id").alias("_doc_id"), F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("id", "line_no")).alias("wanted"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text")).withColumn("doc", F.xxhash64("text"))
     texts = texts.join(wanted.hint("merge"), (F.col("doc") == F.col("_doc")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))).select(F.explode(_pick("text", "wanted")).alias("x")).select("x.id", "x.text")
     texts = stored(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
