@@ -2,12 +2,14 @@
 
 1. Every line with a word gets a digest and the band keys of a one-permutation MinHash signature; equal lines become one
    class (a third of all rows may be one line).
-2. Classes meet in buckets of equal band keys and bring their sketch along, a few bits of each value of the signature. A
-   bucket of over BLOCK classes is cut into blocks, and each pair of blocks meets on its own.
+2. Classes meet in buckets of equal band keys and bring their sketch along, a few bits of each value of the signature.
+   They travel as entries of one width, packed by slots of the keys, and a task sorts a slot at a time. A bucket of over
+   BLOCK classes is cut into blocks, and each pair of blocks meets on its own.
 3. Before any text moves, the members of a meeting compare sketches. Members whose sketches still allow the threshold
    form a party; who has nobody leaves. Parties with the same members are one.
-4. The text of each class in a party is fetched once and sent to its parties; there the shingle sets are compared exactly,
-   first with PIVOTS members, then pair by pair where members are not joined yet.
+4. The text of each class in a party is fetched once and sent to the largest of its parties; there the shingle sets of
+   members with alike sketches are compared exactly, first with PIVOTS members, then pair by pair where members are not
+   joined yet. What the other parties still leave open - members alike, not joined and not compared - meets once more.
 5. Components of the links that hold keep the line of the smallest (doc_id, line number).
 """
 
@@ -43,11 +45,16 @@ SMALL, STEP = 48, 4096
 COLUMNS = 20_000
 #: Members of a party that all others are compared with before pairs are, and pairs a member that are compared one by one.
 PIVOTS, FEW = 4, 64
+#: Bits of the map of a line's shingles, by which pairs are told apart before their sets are compared.
+MAP_BITS = 4096
+#: Entries of buckets that a slot has on average at most, and entries of a slot that a task holds at a time.
+SLOT, HELD = 1 << 18, 1 << 20
 #: What stays in a processor's cache: bytes of text signed together, characters hashed, numbers compared at a time.
 TEXT_PIECE, PIECE = 1 << 17, 1 << 14
 
 _BINS = BANDS * ROWS
 _SKETCH = _BINS * SKETCH_BITS // 8 + 1
+_ENTRY = 8 + KEY_BYTES + 1 + _SKETCH
 _EMPTY = np.uint32(0xFFFFFFFF)
 _DONORS = np.stack([np.random.default_rng(11 + j).permutation(_BINS) for j in range(_BINS)], 1)  # attempt x bin
 
@@ -155,15 +162,41 @@ def _rows_of_bytes(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(fixed.buffers()[1], np.uint8)[fixed.offset * width:(fixed.offset + len(fixed)) * width].reshape(-1, width)
 
 
-def _explode_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw = _rows_of_bytes(batch.column(1), BANDS * KEY_BYTES + _SKETCH)
-        wide = np.zeros((len(raw), BANDS, 8), np.uint8)
-        wide[:, :, :KEY_BYTES] = raw[:, :BANDS * KEY_BYTES].reshape(-1, BANDS, KEY_BYTES)
-        key = wide.view("<i8")[:, :, 0] << 8 | np.arange(BANDS)
-        sketch = np.repeat(raw[:, BANDS * KEY_BYTES:], BANDS, 0)
-        sketch = pa.FixedSizeBinaryArray.from_buffers(pa.binary(_SKETCH), len(sketch), [None, pa.py_buffer(sketch)])
-        yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS)), sketch.cast(pa.binary())], names=["key", "id", "sketch"])
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Rows of bytes as binary values."""
+    rows = np.ascontiguousarray(rows)
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(rows.shape[1]), len(rows), [None, pa.py_buffer(rows)]).cast(pa.binary())
+
+
+def _keys(entries: np.ndarray) -> np.ndarray:
+    """The bucket of each entry: its band key, then its band."""
+    wide = np.zeros((len(entries), 8), np.uint8)
+    wide[:, 0] = entries[:, 8 + KEY_BYTES]
+    wide[:, 1:KEY_BYTES + 1] = entries[:, 8:8 + KEY_BYTES]
+    return wide.view("<i8")[:, 0]
+
+
+def _deal_bands(slots: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(id, bands) -> (slot, entries): one entry (id, band key, band, sketch) for each band of a class, those of a batch that
+    have the same slot end to end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = _rows_of_bytes(batch.column(1), BANDS * KEY_BYTES + _SKETCH)
+            entries = np.empty((len(raw), BANDS, _ENTRY), np.uint8)
+            entries[:, :, :8] = np.ascontiguousarray(batch.column(0).to_numpy(), "<i8").view(np.uint8).reshape(-1, 1, 8)
+            entries[:, :, 8:8 + KEY_BYTES] = raw[:, :BANDS * KEY_BYTES].reshape(-1, BANDS, KEY_BYTES)
+            entries[:, :, 8 + KEY_BYTES] = np.arange(BANDS)
+            entries[:, :, _ENTRY - _SKETCH:] = raw[:, None, BANDS * KEY_BYTES:]
+            entries = entries.reshape(-1, _ENTRY)
+            slot = (_keys(entries) >> 8) % slots
+            order = np.argsort(slot.astype(np.uint16) if slots <= 1 << 16 else slot, kind="stable")
+            slot = slot[order]
+            begin = run_starts(slot)
+            ends = pa.py_buffer(np.append(begin, len(slot)) * _ENTRY)
+            packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, ends, pa.py_buffer(entries[order])])
+            yield pa.RecordBatch.from_arrays([pa.array(slot[begin]), packed.cast(pa.binary())], names=["slot", "entries"])
+
+    return run
 
 
 def similar(lines: list[str], threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
@@ -227,16 +260,27 @@ def alike(sketches: tuple[np.ndarray, np.ndarray], a: np.ndarray, b: np.ndarray)
     return _alike([(w[a], w[b]) for w in words], limits[a], limits[b])
 
 
-def _alike_within(sketches: tuple[np.ndarray, np.ndarray], low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join all pairs of alike sketches in [low, high): some rows at a time against all that follow."""
-    words, limits = sketches[0][:, low:high], sketches[1][low:high]
-    n = high - low
-    to, step = np.arange(n), max(1, PIECE // n)
+def _alike_rows(sketches: tuple[np.ndarray, np.ndarray], apart: Callable[[slice, slice], np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows with alike sketches, and of those that are `apart`: some rows at a time against all that follow."""
+    words, limits = sketches
+    n = len(limits)
+    step = max(1, PIECE // max(n, 1))
     for i in range(0, n, step):
-        a, b = np.nonzero(_alike([(w[i:i + step, None], w[None, i:]) for w in words], limits[i:i + step, None], limits[None, i:]))
-        if len(a) > min(step, n - i):  # more than each row with itself
-            to = roots(np.concatenate([np.arange(n), a + i]), np.concatenate([to, b + i]), n)
-    return np.arange(low, high), to + low
+        ok = _alike([(w[i:i + step, None], w[None, i:]) for w in words], limits[i:i + step, None], limits[None, i:])
+        if apart is not None:
+            ok &= apart(slice(i, i + step), slice(i, None))
+        a, b = np.nonzero(ok)
+        yield a + i, b + i
+
+
+def _alike_within(sketches: tuple[np.ndarray, np.ndarray], apart: Callable[[slice, slice], np.ndarray] | None = None) -> np.ndarray:
+    """The smallest row that each row reaches by pairs of `_alike_rows`."""
+    n = len(sketches[1])
+    to = np.arange(n)
+    for a, b in _alike_rows(sketches, apart):
+        if (a != b).any():
+            to = roots(np.concatenate([np.arange(n), a]), np.concatenate([to, b]), n)
+    return to
 
 
 def _meetings(batches: Iterator[pa.RecordBatch], limit: int | None = None) -> Iterator[tuple[np.ndarray, list[pa.Array]]]:
@@ -267,27 +311,55 @@ def _meetings(batches: Iterator[pa.RecordBatch], limit: int | None = None) -> It
         yield np.zeros(1, np.int64), rest
 
 
-def _groups_of_alike(starts: np.ndarray, ids: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Groups of rows that begin at `starts` -> (party, id) of members with a partner; the party is a hash of its members."""
-    sketches = sketch_words(sketches)
+def _groups_of_alike(starts: np.ndarray, ids: np.ndarray, sketches: np.ndarray, told: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Groups of rows that begin at `starts` -> (party, row) of members with a partner; the party is the number of its
+    members and then a hash of them, so of two parties the larger number has more members. What is `told` of each row: what
+    it is joined with, and whether it was compared with all rows of its group of which that is told too; such are no partners."""
+    words, limits = sketches = sketch_words(sketches)
     a, b, big = _candidates(starts, len(ids))
+    if told is not None:
+        joined, met = told
+        open_ = (joined[a] != joined[b]) & ~(met[a] & met[b])
+        a, b = a[open_], b[open_]
     ok = alike(sketches, a, b)
-    links = [(a[ok], b[ok])] + [_alike_within(sketches, low, high) for low, high in big]
+    links = [(a[ok], b[ok])]
+    for low, high in big:
+        apart = None
+        if told is not None:
+            j, m = joined[low:high], met[low:high]
+            apart = lambda x, y: (j[x, None] != j[None, y]) & ~(m[x, None] & m[None, y])  # noqa: B023
+        links.append((np.arange(low, high), _alike_within((words[:, low:high], limits[low:high]), apart) + low))
     root = roots(*(np.concatenate(x) for x in zip(*links)), len(ids))
     order = np.argsort(root, kind="stable")
     starts = run_starts(root[order])
     sizes = np.diff(np.append(starts, len(order)))
     total = np.add.reduceat(_mix(ids[order].astype(np.uint64) + np.uint64(77)), starts) if len(ids) else np.zeros(0, np.uint64)
-    party = np.repeat(_mix(total + sizes.astype(np.uint64)).view(np.int64), sizes)
+    party = np.minimum(sizes, 4095) << 51 | (_mix(total + sizes.astype(np.uint64)) >> np.uint64(13)).astype(np.int64)
     many = np.repeat(sizes > 1, sizes)
-    return party[many], ids[order][many]
+    return np.repeat(party, sizes)[many], order[many]
 
 
 def _parties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(meet, id, sketch) sorted by meet -> (party, id)."""
     for starts, columns in _meetings(batches):
-        party, ids = _groups_of_alike(starts, columns[1].to_numpy(), _rows_of_bytes(columns[2], _SKETCH))
-        yield pa.RecordBatch.from_arrays([pa.array(party), pa.array(ids)], names=["party", "id"])
+        ids = columns[1].to_numpy()
+        party, rows = _groups_of_alike(starts, ids, _rows_of_bytes(columns[2], _SKETCH))
+        yield pa.RecordBatch.from_arrays([pa.array(party), pa.array(ids[rows])], names=["party", "id"])
+
+
+def _left_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(party, id, sketch, joined, met) sorted by party -> (party, id, joined) of parties of those that may still be joined;
+    `met` tells who was compared in this party."""
+    for starts, columns in _meetings(batches):
+        joined, met = columns[3].to_numpy(), np.asarray(columns[4])
+        sizes = np.diff(np.append(starts, len(joined)))
+        more = (np.minimum.reduceat(joined, starts) != np.maximum.reduceat(joined, starts)) & ~np.logical_and.reduceat(met, starts)
+        rows = np.flatnonzero(np.repeat(more, sizes))
+        if not len(rows):
+            continue
+        ids, joined = columns[1].to_numpy()[rows], joined[rows]
+        party, at = _groups_of_alike(np.cumsum(sizes[more]) - sizes[more], ids, _rows_of_bytes(columns[2], _SKETCH)[rows], (joined, met[rows]))
+        yield pa.RecordBatch.from_arrays([pa.array(party), pa.array(ids[at]), pa.array(joined[at])], names=["party", "id", "joined"])
 
 
 def _meet(block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -303,8 +375,60 @@ def _meet(block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
             rows = np.flatnonzero(np.repeat(few, sizes))
             if len(rows):
                 begins = np.cumsum(sizes[few]) - sizes[few]
-                party, ids = _groups_of_alike(begins, columns[1].to_numpy()[rows], _rows_of_bytes(columns[2], _SKETCH)[rows])
-                yield pa.RecordBatch.from_arrays([pa.array(party), pa.array(ids), pa.nulls(len(ids), pa.binary())], names=["party", "id", "sketch"])
+                ids = columns[1].to_numpy()[rows]
+                party, at = _groups_of_alike(begins, ids, _rows_of_bytes(columns[2], _SKETCH)[rows])
+                yield pa.RecordBatch.from_arrays([pa.array(party), pa.array(ids[at]), pa.nulls(len(at), pa.binary())], names=["party", "id", "sketch"])
+
+    return run
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(slot, entries) sorted by slot -> the entries of each slot, in one piece a batch, and an end."""
+    for batch in batches:
+        slot, entries = batch.column(0).to_numpy(), batch.column(1).cast(pa.large_binary())
+        if not len(slot):
+            continue
+        ends = np.frombuffer(entries.buffers()[1], np.int64)[entries.offset:entries.offset + len(entries) + 1]
+        data = np.frombuffer(entries.buffers()[2], np.uint8)
+        begin = run_starts(slot)
+        for low, high in zip(begin, np.append(begin[1:], len(slot))):
+            yield int(slot[low]), data[ends[low]:ends[high]].reshape(-1, _ENTRY)
+    yield None, np.zeros((0, _ENTRY), np.uint8)
+
+
+def _meet_in_slots(block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(slot, entries) sorted by slot -> what `_meet` gives. Of a slot with over HELD entries, rows of crowded buckets go on
+    before its end."""
+    meet = _meet(block)
+
+    def rows_of(entries: np.ndarray, key: np.ndarray, names: list[str]) -> pa.RecordBatch:
+        ids = np.ascontiguousarray(entries[:, :8]).view("<i8")[:, 0]
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids), _binary(entries[:, _ENTRY - _SKETCH:])], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, limit, crowded = None, [], HELD, np.zeros(0, np.int64)
+        for slot, piece in _pieces(batches):
+            ended = slot != at
+            if held and (ended or sum(map(len, held)) > limit):
+                entries = np.concatenate(held)
+                key = _keys(entries)
+                order = np.argsort(key, kind="stable")
+                key = key[order]
+                starts = run_starts(key)
+                sizes = np.diff(np.append(starts, len(key)))
+                full = (sizes > block) | np.isin(key[starts], crowded)
+                out = np.repeat(full, sizes)
+                if out.any():
+                    yield rows_of(entries[order[out]], key[out], ["party", "id", "sketch"])
+                kept = np.repeat(~full & (sizes > 1 if ended else True), sizes)
+                if ended:
+                    yield from meet(iter([rows_of(entries[order[kept]], key[kept], ["key", "id", "sketch"])]))
+                else:
+                    held, crowded = [entries[order[kept]]], np.union1d(crowded, key[starts[full]])
+                    limit = max(HELD, 2 * len(held[0]))
+            if ended:
+                at, held, limit, crowded = slot, [], HELD, np.zeros(0, np.int64)
+            held.append(piece)
 
     return run
 
@@ -381,25 +505,65 @@ def _similar_sets(sets: tuple[np.ndarray, np.ndarray], a: np.ndarray, b: np.ndar
     return out
 
 
-def _joined(texts: list[str], starts: np.ndarray) -> np.ndarray:
-    """The smallest index that each text reaches by links inside its group. Pairs that are joined already are left out."""
+def _maps(sets: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """For each set a map of MAP_BITS bits, as a row of 64-bit words: those bits are on that one of its hashes falls on."""
+    x, begin = sets
+    n = len(begin) - 1
+    maps = np.empty((n, MAP_BITS // 8), np.uint8)
+    bit, step = (x >> np.uint64(64 - MAP_BITS.bit_length() + 1)).astype(np.int64), max(1, 32 * PIECE // MAP_BITS)
+    for i in range(0, n, step):
+        stop = min(i + step, n)
+        on = np.zeros((stop - i, MAP_BITS), bool)
+        on.ravel()[np.repeat(np.arange(stop - i) * MAP_BITS, np.diff(begin[i:stop + 1])) + bit[begin[i]:begin[stop]]] = True
+        maps[i:stop] = np.packbits(on, axis=1)
+    return maps.view(np.uint64)
+
+
+def _maybe_similar(maps: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """Which pairs of sets may have Jaccard similarity `threshold`: where a bit differs, one of them has a hash that the other
+    has not, and at the threshold they have (1 - threshold) / (1 + threshold) of their sizes of such hashes at most."""
+    out, step = np.empty(len(a), bool), max(1, 32 * PIECE // MAP_BITS)
+    most = (sizes[a] + sizes[b]) * (1 - threshold) / (1 + threshold) + 1e-6
+    for i in range(0, len(a), step):
+        out[i:i + step] = np.bitwise_count(maps[a[i:i + step]] ^ maps[b[i:i + step]]).sum(1, dtype=np.int64) <= most[i:i + step]
+    return out
+
+
+def _joined(texts: list[str], starts: np.ndarray, sketches: tuple[np.ndarray, np.ndarray] | None = None, known: np.ndarray | None = None) -> np.ndarray:
+    """The smallest index that each text reaches by links inside its group. Pairs that are joined already, by links or by
+    what is `known` of both, are left out, and where there are sketches, pairs that these rule out."""
     n = len(texts)
     sets, of = _shingle_sets(texts), np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
     to, done = np.arange(n), np.zeros(n, bool)  # done: compared with all of its group
+    if known is not None:
+        order = np.lexsort((known, of))
+        begin = run_starts(of[order], known[order])
+        to[order] = np.repeat(order[begin], np.diff(np.append(begin, n)))
 
     def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return roots(np.concatenate([np.arange(n), a]), np.concatenate([to, b]), n)
 
+    maps, sizes = _maps(sets), np.diff(sets[1])
+
+    def maybe(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ok = np.flatnonzero(alike(sketches, a, b)) if sketches is not None else np.arange(len(a))
+        ok = ok[_maybe_similar(maps, sizes, a[ok], b[ok])]
+        return a[ok], b[ok]
+
+    def near(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        a, b = maybe(a, b)
+        ok = _similar_sets(sets, a, b)
+        return a[ok], b[ok]
+
     for _ in range(PIVOTS):
         new = np.flatnonzero((to == np.arange(n)) & ~done)
         new = new[run_starts(of[new])]  # one of each group
         pivot = np.full(len(starts), -1)
         pivot[of[new]] = new
         b = np.flatnonzero((pivot[of] >= 0) & ~done & (to != to[pivot[of]]))
-        a = pivot[of[b]]
-        ok = _similar_sets(sets, a, b)
+        links = near(pivot[of[b]], b)
         done[new] = True
-        to = joined(a[ok], b[ok])
+        to = joined(*links)
     rest = np.flatnonzero(np.logical_or.reduceat(to != np.repeat(starts, np.diff(np.append(starts, n))), starts)[of] & ~done)
     if not len(rest):
         return to
@@ -407,27 +571,51 @@ def _joined(texts: list[str], starts: np.ndarray) -> np.ndarray:
     pairs = [(rest[a], rest[b])]
     for low, high in big:
         rows = rest[low:high]
-        size = np.unique(to[rows], return_counts=True)[1]
-        if len(rows) ** 2 - (size ** 2).sum() <= FEW * len(rows):
-            order = rows[np.argsort(to[rows], kind="stable")]
-            after = np.searchsorted(to[order], to[order], "right")  # where members of other components follow
-            more = len(order) - after
-            pairs.append((np.repeat(order, more), order[np.repeat(after, more) + np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)]))
-        else:
+        found = _few_apart(rows, to[rows], None if sketches is None else (sketches[0][:, rows], sketches[1][rows]), maybe)
+        if found is None:
             x, y = similar([texts[i] for i in rows])
             to = joined(rows[x], rows[y])
+        else:
+            pairs.append(found)
     a, b = (np.concatenate(x) for x in zip(*pairs))
     apart = to[a] != to[b]
-    a, b = a[apart], b[apart]
-    ok = _similar_sets(sets, a, b)
-    return joined(a[ok], b[ok])
+    return joined(*near(a[apart], b[apart]))
+
+
+def _few_apart(rows: np.ndarray, to: np.ndarray, sketches: tuple[np.ndarray, np.ndarray] | None,
+               maybe: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray] | None:
+    """The pairs of rows that are not joined, of those with alike sketches that `maybe` leaves where there are sketches, if
+    these are few."""
+    if sketches is not None:
+        found, left = [], FEW * len(rows)
+        for a, b in _alike_rows(sketches, lambda x, y: to[x, None] != to[None, y]):
+            later = b > a
+            found.append(maybe(rows[a[later]], rows[b[later]]))
+            left -= len(found[-1][0])
+            if left < 0:
+                return None
+        return tuple(np.concatenate(x) for x in zip(*found))
+    size = np.unique(to, return_counts=True)[1]
+    if len(rows) ** 2 - (size ** 2).sum() > FEW * len(rows):
+        return None
+    order = np.argsort(to, kind="stable")
+    after = np.searchsorted(to[order], to[order], "right")  # where members of other components follow
+    more, order = len(order) - after, rows[order]
+    return np.repeat(order, more), order[np.repeat(after, more) + np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)]
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (party, id, text) sorted by party -> links, one per class that is not its party's root."""
+    """Rows (party, id, text), then sketch and what the id is joined with where that is known, sorted by party -> links, one
+    per class that is not its party's root."""
     for starts, columns in _meetings(batches):
-        ids = columns[1].to_numpy()
-        root = _joined(strings(columns[2]), starts)
+        sizes = np.diff(np.append(starts, len(columns[0])))
+        several = np.repeat(sizes > 1, sizes)
+        if not several.any():
+            continue
+        columns, sizes = [c.filter(pa.array(several)) for c in columns[1:]], sizes[sizes > 1]
+        ids = columns[0].to_numpy()
+        sketches = sketch_words(_rows_of_bytes(columns[2], _SKETCH)) if len(columns) > 2 else None
+        root = _joined(strings(columns[1]), np.cumsum(sizes) - sizes, sketches, columns[3].to_numpy() if len(columns) > 3 else None)
         own = np.flatnonzero(root != np.arange(len(ids)))
         yield pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(ids[root[own]])], names=["a", "b"])
 
@@ -459,8 +647,9 @@ def _decided(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "line_no", "doc")
     classes = lines.groupBy("digest").agg(F.min(place).alias("first"), F.min("bands").alias("bands"), F.count("*").alias("n"))
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
-    banded = classes.select("id", "bands").mapInArrow(_explode_bands, "key long, id long, sketch binary")
-    met = stored(banded.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(block), "party long, id long, sketch binary"), "met")
+    slots = max(8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-classes.count() * BANDS // SLOT))
+    banded = classes.select("id", "bands").mapInArrow(_deal_bands(slots), "slot long, entries binary")
+    met = stored(banded.repartition("slot").sortWithinPartitions("slot").mapInArrow(_meet_in_slots(block), "party long, id long, sketch binary"), "met")
     crowded = met.filter("sketch IS NOT NULL").withColumnRenamed("party", "bucket")
     sizes = stored(crowded.groupBy(F.col("bucket").alias("_b")).agg(F.ceil(F.count("*") / block).cast("int").alias("parts")), "crowded")
     spread = crowded.join(sizes, F.col("bucket") == F.col("_b")).withColumn("mine", F.expr("pmod(xxhash64(id), parts)"))
@@ -474,13 +663,20 @@ def _decided(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text")).withColumn("doc", F.xxhash64("text"))
     texts = texts.join(wanted.hint("merge"), (F.col("doc") == F.col("_doc")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))).select(F.explode(_pick("text", "wanted")).alias("x")).select("x.id", "x.text")
     texts = stored(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
-    told = parties.join(texts, "id").select("party", "id", "text").repartition("party").sortWithinPartitions("party")
-    linked = components(told.mapInArrow(_verify, "a long, b long"), "a", "b")
+    members = stored(parties.groupBy("id").agg(F.max("party").alias("own")).join(classes.select("id", F.substring("bands", BANDS * KEY_BYTES + 1, _SKETCH).alias("sketch")), "id"), "members")
+    gathered = lambda rows: rows.repartition("party").sortWithinPartitions("party")
+    largest = texts.join(members, "id").select(F.col("own").alias("party"), "id", "text", "sketch")
+    first = stored(gathered(largest).mapInArrow(_verify, "a long, b long"), "first")
+    told = members.join(first, F.col("id") == F.col("a"), "left").select("id", "own", "sketch", F.coalesce("b", "id").alias("joined"))
+    told = parties.join(told, "id").select("party", "id", "sketch", "joined", (F.col("own") == F.col("party")).alias("met"))
+    open_ = stored(gathered(told).mapInArrow(_left_open, "party long, id long, joined long").distinct(), "open")
+    again = open_.join(texts, "id").join(members.select("id", "sketch"), "id").select("party", "id", "text", "sketch", "joined")
+    linked = components(first.unionByName(gathered(again).mapInArrow(_verify, "a long, b long")), "a", "b")
     linked = linked.unionByName(linked.select(F.col("component").alias("node"), "component").distinct())
     # a line that nothing equals or is linked with keeps itself and needs no label
     grouped = stored(classes.select("id", "digest", "first", "n").join(linked, F.col("id") == F.col("node"), "left").filter("n > 1 OR component IS NOT NULL")
                      .select("digest", "first", F.coalesce("component", "id").alias("root")), "grouped")
-    drop(parties, texts)
+    drop(parties, texts, members, first, open_)
     kept = grouped.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("keep"))
     labels = stored(grouped.join(kept, F.col("root") == F.col("_root")).select(F.col("digest").alias("_digest"), "keep"), "labels")
     drop(classes, grouped)

@@ -459,6 +459,64 @@ def test_only_alike_members_leave_a_bucket_but_crowded_ones_whole(prose, block,
     assert sorted((r["party"], r["id"], r["sketch"]) for r in rows if r["sketch"]) == ([] if block == 100 else [(5, i, sketches[i]) for i in range(33)])
 
 
+@pytest.mark.parametrize("held, block, slots", [(1 << 20, 100, 3), (40, 100, 3), (40, 10, 2), (5, 3, 70_000)])
+def test_buckets_that_travel_in_slots_meet_as_sorted_rows_do(prose, monkeypatch, held, block, slots):
+    import pyarrow as pa
+    monkeypatch.setattr(line_dedup, "HELD", held)
+    lines = [prose(7, 24) + "abcdefghijklmnop"[:i % 16] + "x" * (i // 16) for i in range(60)] + [prose(100 + i, 24) for i in range(60)] + [prose(100 + i, 24) + "y" for i in range(20)]
+    keys, sketches = line_dedup.signatures(lines)
+    bands = [keys[i].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :line_dedup.KEY_BYTES].tobytes() + sketches[i].tobytes() for i in range(140)]
+    dealt = [r for i in range(0, 140, 30) for r in line_dedup._deal_bands(slots)(iter([pa.record_batch({"id": pa.array(range(i, min(i + 30, 140)), pa.int64()), "bands": pa.array(bands[i:i + 30], pa.binary())})]))]
+    dealt = pa.Table.from_batches(dealt).sort_by("slot")
+    raw = [(int.from_bytes(b[j * 5:j * 5 + 5], "little") << 8 | j, i, b[-line_dedup._SKETCH:]) for i, b in enumerate(bands) for j in range(line_dedup.BANDS)]
+    rows = pa.table({"key": pa.array([r[0] for r in raw], pa.int64()), "id": pa.array([r[1] for r in raw], pa.int64()), "sketch": pa.array([r[2] for r in raw], pa.binary())}).sort_by("key")
+    took = lambda batches: Counter(tuple(r.values()) for b in batches for r in b.to_pylist())
+    got = took(line_dedup._meet_in_slots(block)(iter(dealt.to_batches(7))))
+    assert got == took(line_dedup._meet(block)(iter(rows.to_batches()))) and len(got) > 100 and any(r[2] for r in got) == (block < 100)
+
+
+def test_only_pairs_that_may_reach_the_threshold_are_compared(prose, monkeypatch):
+    r = np.random.default_rng(4)
+    lines = []
+    for i in range(12):
+        base = prose(i, 60, 60)
+        for k in (0, 4, 40, 50, 60):
+            x = list(base)
+            for j in r.choice(len(x), k, replace=False):
+                x[j] = "#"
+            lines.append("".join(x))
+    sets = [frozenset(x[j:j + 4] for j in range(len(x) - 3)) for x in lines]
+    a, b = np.triu_indices(60, 1)
+    near = np.array([len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for i, j in zip(a, b)])
+    hashed = line_dedup._shingle_sets(lines)
+    maybe = line_dedup._maybe_similar(line_dedup._maps(hashed), np.diff(hashed[1]), a, b)
+    assert maybe[near].all() and near.sum() >= 12 and maybe.sum() < 2 * near.sum() + 12
+    asked, compare = [], line_dedup._similar_sets
+    monkeypatch.setattr(line_dedup, "_similar_sets", lambda sets, a, b: asked.extend(a) or compare(sets, a, b))
+    want = line_dedup.roots(a[near], b[near], 60)
+    sketches = line_dedup.sketch_words(line_dedup.signatures(lines)[1])
+    for known in (None, np.arange(60), want):
+        for small in (48, 3):
+            monkeypatch.setattr(line_dedup, "SMALL", small)
+            asked.clear()
+            assert line_dedup._joined(lines, np.array([0]), sketches, known).tolist() == want.tolist()
+            assert len(asked) <= (0 if known is want else maybe.sum())
+
+
+def test_what_one_party_has_settled_does_not_meet_again(prose):
+    import pyarrow as pa
+    base, other = prose(1, 60, 60), prose(2, 60, 60)
+    lines = [base, base + "a", base + "bc", other, other + "a", other + "bc"]
+    sketches = [x.tobytes() for x in line_dedup.signatures(lines)[1]]
+    def left(ids, joined, met):
+        rows = pa.record_batch({"party": pa.array([9] * len(ids), pa.int64()), "id": pa.array(ids, pa.int64()), "sketch": pa.array([sketches[i] for i in ids], pa.binary()), "joined": pa.array(joined, pa.int64()), "met": met})
+        return sorted((r["id"], r["joined"]) for b in line_dedup._left_open(iter([rows])) for r in b.to_pylist())
+    assert left([0, 1, 2], [0, 0, 0], [True, True, False]) == []
+    assert left([0, 1, 2], [0, 1, 2], [True, True, True]) == []
+    assert left([0, 1, 2, 3], [0, 0, 2, 3], [True, True, False, False]) == [(0, 0), (1, 0), (2, 2)]
+    assert left([0, 2, 3, 4, 5], [0, 0, 3, 3, 5], [False, False, True, True, True]) == []
+
+
 @pytest.mark.parametrize("small, few, pivots", [(48, 64, 4), (3, 64, 1), (3, 0, 1)])
 def test_joined_members_are_not_compared_again(prose, monkeypatch, small, few, pivots):
     for name, value in (("SMALL", small), ("FEW", few), ("PIVOTS", pivots)):
