@@ -30,9 +30,12 @@ from tabulon.operators.ordered import hash_numbering
 from tabulon.operators.reshape import rows_from
 from tabulon.operators.resample import STRATEGIES, resample, with_class_weights
 from tabulon.operators.suites import seen_rows
+from tabulon.session import stored
 
 #: Bytes of a shuffle that one task of an importance reads.
 TASK_BYTES = 64 * 1024 * 1024
+#: Bytes of the rows that one shuffle of an importance holds; repeats beyond it wait until the shuffles before are gone.
+REPEAT_BYTES = 256 * 1024 * 1024
 #: Fits of a cross-validation that run at the same time.
 AT_ONCE = 4
 
@@ -352,7 +355,8 @@ def linear_importance(df: DataFrame, recipe: Recipe, groups: Mapping[str, Sequen
 
     The models come from the sums of one scan. One join hands every row, in every repeat, the features of another row of its
     fold; a group's score is the row's own score plus its weights times the differences, so all groups are scored by that
-    one join and one aggregation. The permutations are replayable. Rows with a null label or feature are left out.
+    one join and one aggregation. Repeats are taken together as far as their rows fill REPEAT_BYTES, one after another at
+    least, and only their errors are kept. The permutations are replayable. Rows with a null label or feature are left out.
     """
     unknown = sorted({c for cols in groups.values() for c in cols} - set(recipe.features))
     if unknown:
@@ -366,23 +370,35 @@ def linear_importance(df: DataFrame, recipe: Recipe, groups: Mapping[str, Sequen
     whole = linear.total(moments)
     solutions = {k: _solution(recipe, whole - m) for k, m in moments.items()}
     models = df.sparkSession.createDataFrame([(k, s.intercept, [float(w) for w in s.weights]) for k, s in solutions.items()], "fold int, _b double, _w array<double>")
-    again = rows.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     # A row of a shuffle has an id, a hash, three numbers and the features, 8 bytes each.
-    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-whole.rows * repeats * 8 * (6 + len(features)) // TASK_BYTES))
+    width = 8 * (6 + len(features))
+    together, out = max(1, int(REPEAT_BYTES // (whole.rows * width))), None
+    for low in range(1, repeats + 1, together):
+        high = min(low + together - 1, repeats)
+        again = rows.withColumn("repeat", F.explode(F.sequence(F.lit(low), F.lit(high))))
+        parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-whole.rows * (high - low + 1) * width // TASK_BYTES))
+        one = _permuted_errors(again, recipe, groups, models, parts)
+        one = one if high == repeats else stored(one, "importance", clean=True)
+        out = one if out is None else out.unionByName(one)
+    return rows_from(out, ["fold", "repeat", "base_rmse"], [{"feature_group": F.lit(g), "permuted_rmse": F.col(f"_g{j}"), "worse": F.col(f"_g{j}") - F.col("base_rmse")}
+                                                            for j, g in enumerate(groups)])
+
+
+def _permuted_errors(again: DataFrame, recipe: Recipe, groups: Mapping[str, Sequence[str]], models: DataFrame, parts: int) -> DataFrame:
+    """(fold, repeat, base_rmse, _g0, _g1, ...): errors of the models in each repeat of `again`, with each group permuted."""
+    features = list(recipe.features)
     numbered = lambda order, frame: hash_numbering(frame.withColumn("_h", digest(f"{recipe.seed}-{order}", "repeat", "_id")), "_h", "_id", by=["repeat", "fold"], parts=parts)
     to = numbered("to", again).drop("_h", "_id")
     source = numbered("from", again).select("repeat", "fold", "number", *[F.col(f"_x{i}").alias(f"_p{i}") for i in range(len(features))])
     w = lambda i: F.col("_w")[i]
     error = sum((w(i) * F.col(f"_x{i}") for i in range(len(features))), F.col("_b")) - F.col("_y")
-    moved = {g: sum((w(features.index(c)) * (F.col(f"_p{features.index(c)}") - F.col(f"_x{features.index(c)}")) for c in cols), F.lit(0.0))
-             for g, cols in groups.items()}
+    moved = [sum((w(features.index(c)) * (F.col(f"_p{features.index(c)}") - F.col(f"_x{features.index(c)}")) for c in cols), F.lit(0.0))
+             for cols in groups.values()]
     meet = ["repeat", "fold", "number"]
     spread = lambda frame: frame.repartition(parts, *meet)
     pairs = spread(to).join(spread(source), meet).join(models, "fold").withColumn("_e", error)
-    one = pairs.groupBy("fold", "repeat").agg(F.sqrt(F.avg(F.col("_e") ** 2)).alias("base_rmse"),
-                                              *[F.sqrt(F.avg((F.col("_e") + m) ** 2)).alias(f"_g{j}") for j, m in enumerate(moved.values())])
-    return rows_from(one, ["fold", "repeat", "base_rmse"], [{"feature_group": F.lit(g), "permuted_rmse": F.col(f"_g{j}"), "worse": F.col(f"_g{j}") - F.col("base_rmse")}
-                                                            for j, g in enumerate(moved)])
+    return pairs.groupBy("fold", "repeat").agg(F.sqrt(F.avg(F.col("_e") ** 2)).alias("base_rmse"),
+                                               *[F.sqrt(F.avg((F.col("_e") + m) ** 2)).alias(f"_g{j}") for j, m in enumerate(moved)])
 
 
 def importance_summary(per: DataFrame) -> DataFrame:
@@ -415,7 +431,6 @@ def people_sensitivity(df: DataFrame, prefix: str, cols: Sequence[str], label: s
     The names of a row stay a sparse vector, which the learner scales, so no row is ever as wide as the list of names.
     """
     from tabulon.operators.encode import PeopleEncoder
-    from tabulon.session import stored
     out = None
     for n in min_counts:
         for i in range(1, k + 1):

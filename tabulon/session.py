@@ -61,9 +61,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Spark's own setting: shuffle files of an execution are removed at its end, not when the driver next collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str, *, clean: bool = False) -> DataFrame:
     """Write `df` once below the shared folder and read it back: cuts the lineage and gives the
-    planner exact sizes for everything built on it."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    planner exact sizes for everything built on it. With `clean` the shuffle files of the write go
+    as soon as it has ended; nothing that `df` reads may be cached then."""
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(CLEANUP)
+    if clean:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -527,6 +527,21 @@ def test_linear_importance_tasks_follow_rows(folded, monkeypatch):
     assert len(tasks) == 4 and set(tasks) == {-(-df.count() * 2 * 8 * 9 // 1024)} and per.count() == 8
 
 
+def test_linear_importance_shuffles_few_repeats_at_a_time(folded, monkeypatch):
+    import re
+    df, _, _ = folded
+    recipe, groups = T.Recipe("lin", "linear", ("a", "b", "c"), "y", "id"), {"ab": ["a", "b"], "c": ["c"]}
+    took = lambda per: {(r["feature_group"], r["fold"], r["repeat"]): (r["base_rmse"], r["permuted_rmse"], r["worse"]) for r in per.collect()}
+    want = took(T.linear_importance(df, recipe, groups, "fold"))
+    for together in (1, 2, 4):
+        monkeypatch.setattr(T, "REPEAT_BYTES", df.count() * 8 * 9 * together)
+        per = T.linear_importance(df, recipe, groups, "fold")
+        plan = per._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"RepartitionByExpression \[repeat", plan)) <= 4 and plan.count("Relation") >= -(-5 // together) - 1
+        got = took(per)
+        assert got.keys() == want.keys() and len(got) == 40 and all(got[k] == pytest.approx(want[k], rel=1e-9, abs=1e-12) for k in want)
+
+
 def test_candidates_share_the_rows_of_a_fold(learnable, monkeypatch):
     scaled, df = [], folds(learnable, "id", 2, stratify="y").withColumn("fold", F.when(F.col("id") != 3, F.col("fold")))
     real = E.PopulationScaler._fit
