@@ -517,6 +517,24 @@ def test_neighbours_send_on_in_bounded_pieces(spark, monkeypatch):
     assert got == {(i, j + 1): int(n) for i in range(120) for j, n in enumerate(np.argsort(d[i], kind="stable")[:3])}
 
 
+def test_neighbours_take_turns_where_rows_sent_on_are_many(spark, monkeypatch):
+    from tabulon.operators import neighbours as N
+    v, df = points(spark, 150)
+    sent, write = [], N.stored_in_turn
+    monkeypatch.setattr(N, "stored_in_turn", lambda frames, name: write((sent.append(1) or f for f in frames), name))
+    rows = lambda: sorted(map(tuple, nearest_neighbours(df, "id", "v", 3, pivots=6, block=25).collect()))
+    want = rows()
+    assert not sent and len(want) == 450
+    monkeypatch.setattr(N, "ROUND_BYTES", 150 * 8 * 12)
+    assert rows() == want and len(sent) > 2
+    d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(2)) + np.diag(np.full(150, np.inf))
+    kth = np.sort(d, axis=1)[:, 2]
+    for bound in (None, kth):
+        got = N._nearest_in_block(np.arange(150), v, np.arange(150), v, 3, bound)
+        assert sorted(zip(got["row_id"], got["neighbour_id"])) == sorted((r[0], r[2]) for r in want)
+    assert len(N._nearest_in_block(np.arange(150), v, np.arange(150), v, 3, kth - 1)) < 450
+
+
 def test_linear_importance_tasks_follow_rows(folded, monkeypatch):
     import re
     df, _, _ = folded
