@@ -431,6 +431,7 @@ def people_sensitivity(df: DataFrame, prefix: str, cols: Sequence[str], label: s
     The names of a row stay a sparse vector, which the learner scales, so no row is ever as wide as the list of names.
     """
     from tabulon.operators.encode import PeopleEncoder
+    from tabulon.session import stored  # looked up at each call
     out = None
     for n in min_counts:
         for i in range(1, k + 1):
